@@ -67,7 +67,10 @@ def ewm(
     """
     keep = df.columns
     values = list(dict.fromkeys(m.value for m in means))
-    chunk = F.floor(F.unix_seconds(instant(F.col(ts))) / (step_seconds * CHUNK_STEPS))
+    # never NULL, so both uses of the shuffled rows below plan the same exchange and share it
+    chunk = F.coalesce(
+        F.floor(F.unix_seconds(instant(F.col(ts))) / (step_seconds * CHUNK_STEPS)), F.lit(0).cast("bigint")
+    )
     inside = Window.partitionBy(key, "__c").orderBy(ts)
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
 
@@ -78,14 +81,15 @@ def ewm(
         return m.alpha * F.pow(F.lit(m.keep), F.col("__i")) * total
 
     def ranked(frame: DataFrame) -> DataFrame:
-        changes = {
-            f"__d_{m.out}": m.change(F.col(m.value), F.lag(m.value).over(inside))
-            for m in means
-            if m.of != "level"
-        }
+        moves = [m for m in means if m.of != "level"]
+        before = {f"__p_{v}": F.lag(v).over(inside) for v in {m.value for m in moves}}
         base = frame.withColumn("__c", chunk).withColumns(
-            {"__i": F.row_number().over(inside).cast("double"), **changes}
+            {"__i": F.row_number().over(inside).cast("double"), **before}
         )
+        if moves:
+            base = base.withColumns(
+                {f"__d_{m.out}": m.change(F.col(m.value), F.col(f"__p_{m.value}")) for m in moves}
+            )
         return base.withColumns({f"__l_{m.out}": local(m) for m in means})
 
     narrow = ranked(df.select(key, ts, *values))

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from tickloom.plans import candle_queries  # noqa: F401
+from tickloom.plans import (  # noqa: F401
+    book_queries,
+    candle_queries,
+    load_queries,
+    text_queries,
+    ticker_queries,
+)
 from tickloom.plans.registry import ORACLES, QUERIES
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tickloom.plans import (  # noqa: F401
     book_queries,
     candle_queries,
+    file_queries,
     load_queries,
     text_queries,
     ticker_queries,

@@ -330,16 +330,15 @@ def report_candles(t):
 @query(
     "market_report",
     CQ.INDICATED.rstrip()
-    + f""", i AS ({BARS}), g AS ({CQ.SIGNALS_SQL})
-        SELECT i.symbol, string_agg({CANDLE_LINE}, chr(10) ORDER BY i.ts) || chr(10) || chr(10) || '--- Summary ---' || chr(10)
-            || 'Candles: ' || count(*) || ' (Medium-term (weeks → month))' || chr(10) || 'Latest close: '
-            || format('{{:.4f}}', arg_max(close, i.ts)) || chr(10) || 'RSI(14): ' || format('{{:.6f}}', arg_max(i.rsi, i.ts)) || chr(10)
-            || 'MACD: ' || format('{{:.6f}}', arg_max(i.macd, i.ts)) || chr(10) || chr(10) || '--- Signals ---' || chr(10) || 'RSI: '
-            || any_value(g.rsi) || chr(10) || 'MACD: ' || any_value(g.macd) || chr(10) || 'VOLUME: ' || any_value(g.volume) || chr(10)
-            || 'STRUCTURE: ' || any_value(g.structure) AS report
-        FROM i JOIN g ON g.symbol = i.symbol GROUP BY 1""".replace("strftime(ts,", "strftime(i.ts,").replace(
-        "format('{:,.0f}', volume)", "format('{:,.0f}', i.volume)"
-    ).replace("format('{:.1f}', rsi)\"", "format('{:.1f}', i.rsi)\""),
+    + f""", i AS ({BARS}), g AS (SELECT symbol, rsi AS s1, macd AS s2, volume AS s3, structure AS s4 FROM ({CQ.SIGNALS_SQL})),
+        k AS (SELECT symbol, string_agg({CANDLE_LINE}, chr(10) ORDER BY ts) AS body, count(*) AS n, arg_max(close, ts) AS last,
+            arg_max(rsi, ts) AS last_rsi, arg_max(macd, ts) AS last_macd FROM i GROUP BY 1)
+        SELECT k.symbol, body || chr(10) || chr(10) || '--- Summary ---' || chr(10) || 'Candles: ' || n
+            || ' (Medium-term (weeks → month))' || chr(10) || 'Latest close: ' || format('{{:.4f}}', last) || chr(10)
+            || 'RSI(14): ' || format('{{:.6f}}', last_rsi) || chr(10) || 'MACD: ' || format('{{:.6f}}', last_macd) || chr(10) || chr(10)
+            || '--- Signals ---' || chr(10) || 'RSI: ' || s1 || chr(10) || 'MACD: ' || s2 || chr(10) || 'VOLUME: ' || s3 || chr(10)
+            || 'STRUCTURE: ' || s4 AS report
+        FROM k JOIN g ON g.symbol = k.symbol""",
 )
 def market_report(t):
     """Candles, summary and signals of the medium preset."""

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,12 +20,8 @@ from tickloom.vocab import (
     TECHNICAL_PHRASES,
 )
 
-FLAGS = "(?iuU)"
-
-
-def _any_of(terms: Iterable[str]) -> str:
-    # the longest term first, so that a phrase wins over a word it starts with
-    return "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True))
+NOT_A_WORD = r"[^\p{L}\p{N}_]+"
+PLAIN = re.compile(r"[\w ]+")
 
 
 def text_or_empty(x: Column) -> Column:
@@ -42,12 +39,48 @@ def clean_text(x: Column) -> Column:
     return F.trim(F.regexp_replace(no_tags, r"(?U)\s+", " "))
 
 
+def _any(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, even where `body` uses it many times.
+
+    Short-circuit conditions are not covered by common-subexpression elimination.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def words(lowered: Column) -> Column:
+    """Maximal runs of letters, digits and underscores."""
+    return F.split(lowered, NOT_A_WORD)
+
+
+def holds_phrase(lowered: Column, phrase: str) -> Column:
+    """Whole-word match of a term with blanks; the substring test spares most texts the regex."""
+    bounded = r"(?<![\p{L}\p{N}_])" + re.escape(phrase) + r"(?![\p{L}\p{N}_])"
+    return F.contains(lowered, F.lit(phrase)) & F.rlike(lowered, F.lit(bounded))
+
+
 def is_spam_title(title: Column, terms: Iterable[str] = SPAM_TITLE_TERMS) -> Column:
-    return F.rlike(text_or_empty(title), F.lit(FLAGS + "(" + _any_of(terms) + ")"))
+    """Any term as a substring."""
+    lowered = F.lower(text_or_empty(title))
+    return _once(lowered, lambda x: _any(F.contains(x, F.lit(t.lower())) for t in terms))
 
 
 def is_relevant(text: Column, terms: Iterable[str] = RELEVANT_TERMS) -> Column:
-    return F.rlike(text, F.lit(FLAGS + r"\b(?:" + _any_of(terms) + r")\b"))
+    """Any term as whole words.
+
+    One split of the text and a hash lookup per word; trying a hundred alternatives at every
+    position of a long text is several times slower.
+    """
+    single = [t.lower() for t in terms if PLAIN.fullmatch(t) and " " not in t]
+    phrases = [t.lower() for t in terms if t.lower() not in single]
+
+    def hit(x: Column) -> Column:
+        return F.exists(words(x), lambda w: w.isin(single)) | _any(holds_phrase(x, p) for p in phrases)
+
+    return _once(F.lower(text), hit)
 
 
 def good_article(
@@ -69,28 +102,66 @@ def good_article(
 def mentioned_symbols(text: Column, aliases: Mapping[str, str] = SYMBOL_ALIASES) -> Column:
     """Sorted distinct symbols whose alias occurs in `text` as whole words.
 
-    One pass over the text finds every alias; a literal map turns the hits into symbols.
+    The words of the text are looked up in a literal map; the few aliases of several words are
+    searched as phrases.
     """
-    pattern = FLAGS + r"\b(" + _any_of(aliases) + r")\b"
-    table = F.create_map(*[F.lit(v) for pair in aliases.items() for v in pair])
-    hits = F.regexp_extract_all(text_or_empty(text), F.lit(pattern), F.lit(1))
-    names = F.array_distinct(F.transform(hits, F.lower))
-    return F.array_sort(F.array_distinct(F.transform(names, lambda h: F.element_at(table, h))))
+    single = {a.lower(): s for a, s in aliases.items() if PLAIN.fullmatch(a) and " " not in a}
+    table = F.create_map(*[F.lit(v) for pair in single.items() for v in pair])
+    rest = {a.lower(): s for a, s in aliases.items() if a.lower() not in single}
+
+    def found(x: Column) -> Column:
+        hits = F.array_distinct(F.filter(words(x), lambda w: w.isin(list(single))))
+        names = F.transform(hits, lambda w: F.element_at(table, w))
+        if not rest:
+            return names
+        phrases = F.array(*[F.when(holds_phrase(x, a), s) for a, s in rest.items()])
+        return F.concat(names, F.array_compact(phrases))
 
+    lowered = F.lower(text_or_empty(text))
+    return F.array_sort(F.array_distinct(_once(lowered, found)))
 
-def _says(message: Column, phrases: Iterable[str]) -> Column:
-    return F.rlike(message, F.lit(FLAGS + "(" + "|".join(phrases) + ")"))
+
+def _says(lowered: Column, phrases: Iterable[str]) -> Column:
+    """Any phrase as a substring pattern.
+
+    Plain phrases are substring tests; a pattern is tried only where its plain beginning occurs.
+    """
+    plain, rest = [], []
+    for phrase in (p.lower() for p in phrases):
+        head = PLAIN.match(phrase)
+        if head and head.group() == phrase:
+            plain.append(F.contains(lowered, F.lit(phrase)))
+        elif head:
+            plain.append(F.contains(lowered, F.lit(head.group())) & F.rlike(lowered, F.lit("(?U)" + phrase)))
+        else:
+            rest.append(phrase)
+    if rest:
+        plain.append(F.rlike(lowered, F.lit("(?U)(?:" + "|".join(rest) + ")")))
+    return _any(plain)
 
 
 def intent_labels(message: Column) -> Column:
     """Array of work areas a chat message asks for; empty for a greeting, NULL when unclear."""
-    msg = F.regexp_replace(text_or_empty(message), r"(?U)^\s+|\s+$", "")
-    greets = F.rlike(msg, F.lit(FLAGS + "^(" + "|".join(GREETING_PHRASES) + ")$"))
-    technical, news = _says(msg, TECHNICAL_PHRASES), _says(msg, NEWS_PHRASES)
-    broad = _says(msg, COMPREHENSIVE_PHRASES)
+    trimmed = F.lower(F.regexp_replace(text_or_empty(message), r"(?U)^\s+|\s+$", ""))
+    greeting = F.lit("(?U)^(" + "|".join(GREETING_PHRASES) + ")$")
+    return _once(
+        trimmed,
+        lambda msg: F.when(F.rlike(msg, greeting), F.array().cast("array<string>")).otherwise(
+            _once(
+                F.struct(
+                    _says(msg, TECHNICAL_PHRASES).alias("technical"),
+                    _says(msg, NEWS_PHRASES).alias("news"),
+                    _says(msg, COMPREHENSIVE_PHRASES).alias("broad"),
+                ),
+                _areas,
+            )
+        ),
+    )
+
+
+def _areas(says: Column) -> Column:
     return (
-        F.when(greets, F.array().cast("array<string>"))
-        .when(broad | (technical & news), F.array(*[F.lit(v) for v in ("technical", "news", "deep")]))
-        .when(technical, F.array(F.lit("technical")))
-        .when(news, F.array(F.lit("news")))
+        F.when(says["broad"] | (says["technical"] & says["news"]), F.lit(["technical", "news", "deep"]))
+        .when(says["technical"], F.lit(["technical"]))
+        .when(says["news"], F.lit(["news"]))
     )

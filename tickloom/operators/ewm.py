@@ -20,12 +20,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.numbers import positive_part
-from tickloom.functions.times import instant
-
 CHUNK_STEPS = 512
 
 
@@ -39,15 +36,17 @@ class Mean:
     of: str = "level"  # 'level' | 'rise' | 'fall'
 
     @property
-    def alpha(self) -> float:
-        return 2.0 / (self.span + 1.0)
+    def alpha(self) -> str:
+        return f"{2.0 / (self.span + 1.0)!r}D"
 
     @property
-    def keep(self) -> float:
-        return 1.0 - self.alpha
+    def keep(self) -> str:
+        return f"{1.0 - 2.0 / (self.span + 1.0)!r}D"
 
-    def change(self, now: Column, before: Column) -> Column:
-        return positive_part(now - before if self.of == "rise" else before - now)
+    def change(self, now: str, before: str) -> str:
+        """Rise or fall from `before` to `now`, not below 0; NULL stays NULL."""
+        move = f"{now} - {before}" if self.of == "rise" else f"{before} - {now}"
+        return f"CASE WHEN {move} > 0 THEN {move} WHEN {move} IS NOT NULL THEN 0D END"
 
 
 def ewm(
@@ -57,7 +56,6 @@ def ewm(
     step_seconds: int,
     means: Sequence[Mean],
     carry: DataFrame | None = None,
-    with_state: bool = False,
 ) -> DataFrame:
     """Add one column per mean.
 
@@ -65,112 +63,98 @@ def ewm(
     `carry` has one row per key: the last value of every input (`last_<value>`) and of every mean.
     A mean of rises or falls is NULL on the first row of a key, which has no predecessor.
     """
-    keep = df.columns
     values = list(dict.fromkeys(m.value for m in means))
-    # never NULL, so both uses of the shuffled rows below plan the same exchange and share it
-    chunk = F.coalesce(
-        F.floor(F.unix_seconds(instant(F.col(ts))) / (step_seconds * CHUNK_STEPS)), F.lit(0).cast("bigint")
+    entries = _fold(_chunk_ends(df.select(key, ts, *values), key, ts, step_seconds, means), key, means, carry)
+    rows = _with_local(df, key, ts, step_seconds, means).join(entries, [key, "__c"])
+
+    def result(m: Mean) -> str:
+        y = f"__l_{m.out} + pow({m.keep}, __i - 1) * __e_{m.out}"
+        if m.of != "level":
+            y = f"CASE WHEN NOT (__head AND __i = 1) THEN {y} END"
+        return f"{y} AS {m.out}"
+
+    return rows.selectExpr(*[f"`{c}`" for c in df.columns], *[result(m) for m in means])
+
+
+def _with_local(df: DataFrame, key: str, ts: str, step: int, means: Sequence[Mean]) -> DataFrame:
+    """Chunk number, 1-based position in the chunk and each mean's response to the chunk's own values.
+
+    The first row of a chunk is left out of the response; it enters through the entry value.
+    """
+    inside = f"(PARTITION BY {key}, __c ORDER BY {ts})"
+    so_far = f"(PARTITION BY {key}, __c ORDER BY {ts} ROWS UNBOUNDED PRECEDING)"
+    moves = [m for m in means if m.of != "level"]
+    # the chunk is never NULL, so both uses of the shuffled rows plan the same exchange and share it
+    chunk = f"coalesce(floor(unix_seconds(CAST({ts} AS TIMESTAMP)) / {step * CHUNK_STEPS}), 0L) AS __c"
+    placed = df.selectExpr("*", chunk).selectExpr(
+        "*",
+        f"CAST(row_number() OVER {inside} AS DOUBLE) AS __i",
+        *[f"lag({v}) OVER {inside} AS __p_{v}" for v in dict.fromkeys(m.value for m in moves)],
     )
-    inside = Window.partitionBy(key, "__c").orderBy(ts)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-
-    def local(m: Mean) -> Column:
-        x = F.col(m.value) if m.of == "level" else F.col(f"__d_{m.out}")
-        weighted = F.when(F.col("__i") > 1, x * F.pow(F.lit(m.keep), -F.col("__i")))
-        total = F.coalesce(F.sum(weighted).over(so_far), F.lit(0.0))
-        return m.alpha * F.pow(F.lit(m.keep), F.col("__i")) * total
-
-    def ranked(frame: DataFrame) -> DataFrame:
-        moves = [m for m in means if m.of != "level"]
-        before = {f"__p_{v}": F.lag(v).over(inside) for v in {m.value for m in moves}}
-        base = frame.withColumn("__c", chunk).withColumns(
-            {"__i": F.row_number().over(inside).cast("double"), **before}
+    if moves:
+        placed = placed.selectExpr(
+            "*", *[f"{m.change(m.value, f'__p_{m.value}')} AS __d_{m.out}" for m in moves]
         )
-        if moves:
-            base = base.withColumns(
-                {f"__d_{m.out}": m.change(F.col(m.value), F.col(f"__p_{m.value}")) for m in moves}
-            )
-        return base.withColumns({f"__l_{m.out}": local(m) for m in means})
-
-    narrow = ranked(df.select(key, ts, *values))
-    ends = narrow.groupBy(key, "__c").agg(
+
+    def local(m: Mean) -> str:
+        x = m.value if m.of == "level" else f"__d_{m.out}"
+        total = f"sum(CASE WHEN __i > 1 THEN {x} * pow({m.keep}, -__i) END) OVER {so_far}"
+        return f"{m.alpha} * pow({m.keep}, __i) * coalesce({total}, 0D) AS __l_{m.out}"
+
+    return placed.selectExpr("*", *[local(m) for m in means])
+
+
+def _chunk_ends(df: DataFrame, key: str, ts: str, step: int, means: Sequence[Mean]) -> DataFrame:
+    """One row per chunk: size, first and last inputs, last local responses."""
+    values = dict.fromkeys(m.value for m in means)
+    return _with_local(df, key, ts, step, means).groupBy(key, "__c").agg(
         F.max("__i").alias("n"),
         *[F.min_by(v, "__i").alias(f"first_{v}") for v in values],
         *[F.max_by(v, "__i").alias(f"last_{v}") for v in values],
         *[F.max_by(f"__l_{m.out}", "__i").alias(f"local_{m.out}") for m in means],
         *[
-            F.max(F.when(F.col("__i") == 2, F.col(f"__d_{m.out}"))).alias(f"second_{m.out}")
+            F.expr(f"max(CASE WHEN __i = 2 THEN __d_{m.out} END)").alias(f"second_{m.out}")
             for m in means
             if m.of != "level"
         ],
     )
-    entries = _fold(ends, key, values, means, carry)
-    rows = ranked(df)
-    out = rows.join(entries, [key, "__c"])
-    back = F.col("__i") - 1
-    results = {}
-    for m in means:
-        y = F.col(f"__l_{m.out}") + F.pow(F.lit(m.keep), back) * F.col(f"e_{m.out}")
-        results[m.out] = y if m.of == "level" else F.when(~(F.col("head") & (back == 0)), y)
-    out = out.withColumns(results).select(*keep, *results)
-    if not with_state:
-        return out
-    return out.withColumns({f"last_{v}": F.col(v) for v in values})
-
-
-def _fold(
-    ends: DataFrame, key: str, values: Sequence[str], means: Sequence[Mean], carry: DataFrame | None
-) -> DataFrame:
+
+
+def _fold(ends: DataFrame, key: str, means: Sequence[Mean], carry: DataFrame | None) -> DataFrame:
     """Entry value of every mean for every chunk, by folding a key's chunk list in time order."""
-    summary = [c for c in ends.columns if c not in (key, "__c")]
-    listed = ends.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("__c", *summary))).alias("chunks")
-    )
-    start_cols = [f"last_{v}" for v in values] + [m.out for m in means]
+    values = list(dict.fromkeys(m.value for m in means))
+    state = [f"last_{v}" for v in values] + [m.out for m in means]
+    summary = ", ".join(c for c in ends.columns if c != key)
+    listed = ends.groupBy(key).agg(F.expr(f"array_sort(collect_list(struct({summary})))").alias("chunks"))
     if carry is None:
-        for name in start_cols:
-            listed = listed.withColumn(f"__s_{name}", F.lit(None).cast("double"))
+        listed = listed.selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS __s_{c}" for c in state])
     else:
-        renamed = carry.select(key, *[F.col(c).cast("double").alias(f"__s_{c}") for c in start_cols])
-        listed = listed.join(renamed, key, "left")
-
-    entry_type = "struct<c: bigint, head: boolean, " + ", ".join(f"e_{m.out}: double" for m in means) + ">"
-    start = F.struct(
-        F.array().cast(f"array<{entry_type}>").alias("entries"),
-        *[F.col(f"__s_{c}").alias(c) for c in start_cols],
-    )
-
-    def step(acc: Column, c: Column) -> Column:
-        entry, after = {}, {}
-        for m in means:
-            seen = acc[m.out]
-            if m.of == "level":
-                x = c[f"first_{m.value}"]
-                e = F.when(seen.isNull(), x).otherwise(m.keep * seen + m.alpha * x)
-            else:
-                before = acc[f"last_{m.value}"]
-                x = m.change(c[f"first_{m.value}"], before)
-                e = (
-                    F.when(before.isNull(), c[f"second_{m.out}"])
-                    .when(seen.isNull(), x)
-                    .otherwise(m.keep * seen + m.alpha * x)
-                )
-            entry[m.out] = e
-            after[m.out] = c[f"local_{m.out}"] + F.pow(F.lit(m.keep), c["n"] - 1) * e
-        item = F.struct(
-            c["__c"].alias("c"),
-            acc[f"last_{values[0]}"].isNull().alias("head"),
-            *[entry[m.out].alias(f"e_{m.out}") for m in means],
-        )
-        return F.struct(
-            F.concat(acc["entries"], F.array(item)).alias("entries"),
-            *[c[f"last_{v}"].alias(f"last_{v}") for v in values],
-            *[after[m.out].alias(m.out) for m in means],
+        stored = carry.selectExpr(key, *[f"CAST({c} AS DOUBLE) AS __s_{c}" for c in state])
+        listed = listed.join(stored, key, "left")
+
+    def entry(m: Mean) -> str:
+        x = f"c.first_{m.value}" if m.of == "level" else m.change(f"c.first_{m.value}", f"s.last_{m.value}")
+        seed = "" if m.of == "level" else f"WHEN s.last_{m.value} IS NULL THEN c.second_{m.out} "
+        return (
+            f"CASE {seed}WHEN s.{m.out} IS NULL THEN {x} ELSE {m.keep} * s.{m.out} + {m.alpha} * ({x}) END"
         )
 
-    folded = listed.select(key, F.aggregate("chunks", start, step, lambda acc: acc["entries"]).alias("e"))
-    one = folded.select(key, F.explode("e").alias("e"))
-    return one.select(key, F.col("e.c").alias("__c"), "e.head", *[f"e.e_{m.out}" for m in means])
+    def after(m: Mean) -> str:
+        return f"c.local_{m.out} + pow({m.keep}, c.n - 1) * ({entry(m)})"
+
+    fields = "c: bigint, head: boolean, " + ", ".join(f"e_{m.out}: double" for m in means)
+    start = f"struct(CAST(array() AS array<struct<{fields}>>) AS entries, " + ", ".join(
+        f"__s_{c} AS {c}" for c in state
+    )
+    item = f"struct(c.__c AS c, s.last_{values[0]} IS NULL AS head, " + ", ".join(
+        f"{entry(m)} AS e_{m.out}" for m in means
+    )
+    moved = [f"c.last_{v} AS last_{v}" for v in values] + [f"{after(m)} AS {m.out}" for m in means]
+    step = f"struct(concat(s.entries, array({item}))) AS entries, {', '.join(moved)})"
+    one = listed.selectExpr(key, f"inline(aggregate(chunks, {start}), (s, c) -> {step}, s -> s.entries))")
+    return one.selectExpr(
+        key, "c AS __c", "head AS __head", *[f"e_{m.out} AS __e_{m.out}" for m in means]
+    )
 
 
 def carry_of(df: DataFrame, key: str, ts: str, values: Sequence[str], means: Sequence[Mean]) -> DataFrame:

@@ -26,7 +26,7 @@ ORDER = ["doc_id"]
 
 def _word(text: str, term: str) -> str:
     """Whole-word match that treats every Unicode letter as a word character."""
-    return f"regexp_matches({text}, '(?i)(^|[^\\p{{L}}\\p{{M}}\\p{{N}}_]){term}($|[^\\p{{L}}\\p{{M}}\\p{{N}}_])')"
+    return f"regexp_matches({text}, '(?i)(^|[^\\p{{L}}\\p{{N}}_]){term}($|[^\\p{{L}}\\p{{N}}_])')"
 
 
 ALL_TEXT = "title || ' ' || description || ' '"

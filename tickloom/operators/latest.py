@@ -65,6 +65,19 @@ def top_n(df: DataFrame, by: str, n: int, tie: Sequence[str], ascending: bool =
     return df.orderBy(first, *tie).limit(n)
 
 
-def at_global_latest(df: DataFrame, ts: str) -> DataFrame:
-    """Rows that carry the overall newest `ts` (a scalar subquery, no join)."""
-    return df.where(F.col(ts) == df.select(F.max(ts)).scalar())
+def at_global_latest(df: DataFrame, ts: str, newest: Column | None = None) -> DataFrame:
+    """Rows that carry the overall newest `ts` (a scalar subquery, no join).
+
+    Pass `newest` from a cheaper frame where one is known, e.g. the table before dedup.
+    """
+    return df.where(F.col(ts) == (df.select(F.max(ts)).scalar() if newest is None else newest))
+
+
+def at_latest(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """All rows at each key's newest `ts`.
+
+    The newest times are reduced on the map side; everything older is dropped before any
+    further work on the rows.
+    """
+    newest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
+    return df.join(newest, [*keys, ts])

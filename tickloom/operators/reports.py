@@ -16,7 +16,7 @@ from tickloom.functions.times import instant
 from tickloom.operators.indicators import candle_indicators
 from tickloom.operators.orderbook import ob_latest, ob_summary, ob_trend
 from tickloom.operators.news import news_per_symbol
-from tickloom.operators.signals import signal_block, signals
+from tickloom.operators.signals import SIGNALS, signal_lines, with_signals
 from tickloom.operators.ticker import latest_ticker, ticker_trend
 from tickloom.presets import Timeframe
 
@@ -31,14 +31,13 @@ def _block(df: DataFrame, order: str, line: Column, out: str) -> DataFrame:
     return df.groupBy("symbol").agg(F.concat_ws("\n", F.transform(packed, lambda x: x["l"])).alias(out))
 
 
-def report_candles(df: DataFrame, pattern: str) -> DataFrame:
-    """One line per candle."""
+def _candle_line(pattern: str) -> Column:
     prices = [
         part
         for name, tag in (("open", " O:"), ("high", " H:"), ("low", " L:"), ("close", " C:"))
         for part in (F.lit(tag), fixed(F.col(name), 4))
     ]
-    line = F.concat(
+    return F.concat(
         _stamp("ts", pattern),
         *prices,
         F.lit(" V:"),
@@ -46,7 +45,11 @@ def report_candles(df: DataFrame, pattern: str) -> DataFrame:
         F.lit(" RSI:"),
         fixed(finite_or(F.col("rsi_14"), 50), 1),
     )
-    return _block(df, "ts", line, "report")
+
+
+def report_candles(df: DataFrame, pattern: str) -> DataFrame:
+    """One line per candle."""
+    return _block(df, "ts", _candle_line(pattern), "report")
 
 
 def report_ticker(trend: DataFrame, latest: DataFrame) -> DataFrame:
@@ -142,13 +145,14 @@ def report_book_trend(trend: DataFrame, latest: DataFrame) -> DataFrame:
     )
 
 
-def report_book(df: DataFrame, preset: Timeframe, as_of=None) -> DataFrame:
-    """Order-book report in the preset's mode."""
+def report_book(df: DataFrame, preset: Timeframe, as_of=None, latest: DataFrame | None = None) -> DataFrame:
+    """Order-book report in the preset's mode; `latest` may hold the newest snapshots already."""
+    newest = df if latest is None else latest
     if preset.book_mode == "latest_only":
-        return report_book_latest(ob_latest(df))
+        return report_book_latest(ob_latest(newest))
     if preset.book_mode == "summary_30d":
         return report_book_summary(ob_summary(df, 30, as_of))
-    return report_book_trend(ob_trend(df, preset.book_bucket, preset.book_days, as_of), ob_latest(df))
+    return report_book_trend(ob_trend(df, preset.book_bucket, preset.book_days, as_of), ob_latest(newest))
 
 
 def report_news(df: DataFrame, days: int, as_of=None) -> DataFrame:
@@ -170,10 +174,13 @@ def market_report(klines: DataFrame, preset: Timeframe, as_of=None, digits: int
     bars = candle_indicators(
         klines, preset.candle_bucket, lookback_days=preset.candle_days, limit=preset.candle_limit, as_of=as_of
     )
-    body = report_candles(bars, preset.candle_format)
-    last = bars.groupBy("symbol").agg(
+    # one pass per symbol: lines, count, last values and last signals
+    packed = F.array_sort(F.collect_list(F.struct("ts", _candle_line(preset.candle_format).alias("l"))))
+    last = ("close", "rsi_14", "macd", *[f"signal_{s}" for s in SIGNALS])
+    whole = with_signals(bars).groupBy("symbol").agg(
+        F.concat_ws("\n", F.transform(packed, lambda x: x["l"])).alias("lines"),
         F.count(F.lit(1)).alias("n"),
-        *[F.max_by(c, "ts").alias(c) for c in ("close", "rsi_14", "macd")],
+        *[F.max_by(c, "ts").alias(c) for c in last],
     )
     summary = F.concat(
         F.lit("\n\n--- Summary ---\nCandles: "),
@@ -185,12 +192,9 @@ def market_report(klines: DataFrame, preset: Timeframe, as_of=None, digits: int
         F.lit("\nMACD: "),
         fixed(F.col("macd"), digits),
     )
-    tail = F.coalesce(F.concat(F.lit("\n\n"), F.col("signals")), F.lit(""))
-    return (
-        body.join(last, "symbol")
-        .join(signal_block(signals(bars)), "symbol", "left")
-        .select("symbol", F.concat("report", summary, tail).alias("report"))
-    )
+    block = F.concat(F.lit("\n\n"), signal_lines(lambda s: F.col(f"signal_{s}")))
+    tail = F.when(F.col("n") >= 2, block).otherwise("")
+    return whole.select("symbol", F.concat("lines", summary, tail).alias("report"))
 
 
 def ticker_report(ticker: DataFrame, preset: Timeframe, as_of=None) -> DataFrame:

@@ -84,22 +84,25 @@ def top_by_latest(df: DataFrame, by: str, n: int = 10, ascending: bool = False,
     return top_n(latest_by_key(df, ["symbol"], order), by, n, ["symbol"], ascending)
 
 
-def top_at_global_latest(df: DataFrame, dim: DataFrame, by: str, n: int, ascending=False, where=None):
+def top_at_global_latest(df, dim, by: str, n: int, ascending=False, where=None, newest=None) -> DataFrame:
     """Top n rows of the overall newest snapshot; symbols missing there do not appear."""
-    rows = at_global_latest(df, "snapshot_time")
+    rows = at_global_latest(df, "snapshot_time", newest)
     if where is not None:
         rows = rows.where(where)
     named = rows.join(dim.select("symbol", "base_asset"), "symbol")
     return top_n(named, by, n, ["symbol"], ascending)
 
 
-def market_snapshot(dim: DataFrame, klines: DataFrame, ticker: DataFrame) -> DataFrame:
-    """Every symbol with its newest close and 24-hour change, NULL where it has none."""
+def market_snapshot(dim: DataFrame, klines: DataFrame, ticker: DataFrame, order=("snapshot_time",)) -> DataFrame:
+    """Every symbol with its newest close and 24-hour change, NULL where it has none.
+
+    With the delivery order at the end of `order` a raw ticker needs no dedup first.
+    """
     last_candle = klines.groupBy("symbol").agg(
         F.max("open_time").alias("latest_kline_time"), F.max_by("close", "open_time").alias("latest_close")
     )
-    last_ticker = ticker.groupBy("symbol").agg(
-        F.max_by("price_change_pct", "snapshot_time").alias("change_24h_pct")
+    last_ticker = latest_by_key(ticker, ["symbol"], order).select(
+        "symbol", F.col("price_change_pct").alias("change_24h_pct")
     )
     return (
         dim.select("symbol", "base_asset")

@@ -59,7 +59,7 @@ ZEROED = ", ".join(
 
 @query("ob_latest", V.with_views("last_book") + f"SELECT symbol, timestamp, {ZEROED} FROM last_book")
 def ob_latest(t):
-    return _rounded(O.ob_latest(t.books()))
+    return _rounded(O.ob_latest(t.latest_books()))
 
 
 @query(
@@ -70,7 +70,7 @@ def ob_latest(t):
         WHERE timestamp >= (SELECT max(timestamp) FROM books) - INTERVAL 30 DAY GROUP BY 1""",
 )
 def ob_summary_30d(t):
-    out = O.ob_summary(t.books())
+    out = O.ob_summary(t.books(), as_of=t.books_as_of())
     return out.select("symbol", *[F.round(c, 6).alias(c) for c in out.columns if c != "symbol"])
 
 
@@ -81,7 +81,7 @@ TREND = f"""SELECT symbol, date_trunc('month', timestamp) AS ts, round(avg(obi),
 
 @query("ob_trend", V.with_views("books") + TREND)
 def ob_trend(t):
-    out = O.ob_trend(t.books(), "month", 730)
+    out = O.ob_trend(t.books(), "month", 730, t.books_as_of())
     return out.select("symbol", "ts", *[F.round(c, 6).alias(c) for c in ("avg_obi", "avg_bid_vol", "avg_ask_vol")])
 
 
@@ -124,7 +124,7 @@ def _num(column: str, digits: int) -> str:
             '$' || {_num('nearest_ask_wall_price', 2)}, {_num('nearest_ask_wall_volume', 2)}]) AS value FROM last_book""",
 )
 def liquidity_table(t):
-    return O.liquidity_table(t.books())
+    return O.liquidity_table(t.latest_books())
 
 
 def _signed(x: str, digits: int = 3) -> str:
@@ -146,7 +146,7 @@ def _tagged(x: str) -> str:
         || format('{{:.4f}}', coalesce(spread_pct, 0)) || '%' AS report FROM last_book""",
 )
 def report_book_latest(t):
-    return R.report_book(t.books(), timeframe("very_long"))
+    return R.report_book(t.latest_books(), timeframe("very_long"))
 
 
 @query(
@@ -160,7 +160,7 @@ def report_book_latest(t):
         || {_signed('lo')} || ' / Max: ' || {_signed('hi')} || chr(10) || '  Latest: ' || {_tagged('l')} AS report FROM s""",
 )
 def report_book_summary(t):
-    return R.report_book(t.books(), timeframe("long"))
+    return R.report_book(t.books(), timeframe("long"), t.books_as_of())
 
 
 @query(
@@ -179,7 +179,7 @@ def report_book_summary(t):
 )
 def report_book(t):
     """Trend mode of the medium preset."""
-    return R.report_book(t.books(), timeframe("medium"))
+    return R.report_book(t.books(), timeframe("medium"), t.books_as_of(), t.latest_books())
 
 
 @query(

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.text import article_id
+from tickloom.functions.times import newest
 from tickloom.operators.candles import candles
-from tickloom.operators.latest import latest_by_key
+from tickloom.operators.latest import at_latest, latest_by_key
 from tickloom.operators.orderbook import books_from_levels, order_book_metrics
 from tickloom.operators.ticker import spread_of_ask
 
@@ -116,6 +117,14 @@ class Tables:
         """Final view: the last delivered snapshot per (symbol, snapshot_time)."""
         return latest_by_key(self.raw_ticker(), ["symbol", "snapshot_time"], ["ingest"])
 
+    def ticker_as_of(self):
+        """Newest snapshot time; the raw rows have it too and need no dedup."""
+        return newest(self.raw_ticker(), "snapshot_time")
+
+    def event_day(self):
+        """Newest snapshot time of the event market."""
+        return self.read("events").select(F.date_trunc("day", F.max("ts").cast("timestamp"))).scalar()
+
     # --- order books --------------------------------------------------------
     def book_levels(self) -> DataFrame:
         """Returned lines are bids, accepted lines asks; one book per supplier and month."""
@@ -135,6 +144,15 @@ class Tables:
     def books(self) -> DataFrame:
         return order_book_metrics(self.raw_books(), depth_pct=BOOK_DEPTH)
 
+    def latest_books(self) -> DataFrame:
+        """Only the newest book of every symbol is built."""
+        newest_levels = at_latest(self.book_levels(), ["symbol"], "timestamp")
+        return order_book_metrics(books_from_levels(newest_levels), depth_pct=BOOK_DEPTH)
+
+    def books_as_of(self):
+        """Newest book time, read from the levels without building books."""
+        return newest(self.book_levels(), "timestamp")
+
     # --- news, chat, forecasts ----------------------------------------------
     def raw_news(self) -> DataFrame:
         """Documents as deliveries: same text, same article; doc_id is the delivery order."""
@@ -154,6 +172,10 @@ class Tables:
             "doc_id",
         )
 
+    def news_as_of(self):
+        """Newest publication time of the deliveries."""
+        return newest(self.raw_news(), "published_at")
+
     def predictions(self) -> DataFrame:
         """One forecast per order and priority class; pending orders have no actual yet."""
         orders, customers = self.read("orders"), self.read("customer")

@@ -157,10 +157,10 @@ def news_pipeline(t):
     "news_for_symbol",
     PIPELINE
     + """SELECT article_id, source_name, published_at FROM p WHERE list_contains(symbols, 'THEUSDT')
-        AND published_at >= (SELECT max(published_at) FROM p) - INTERVAL 14 DAY ORDER BY published_at DESC, article_id LIMIT 15""",
+        AND published_at >= (SELECT max(published_at) FROM raw_news) - INTERVAL 14 DAY ORDER BY published_at DESC, article_id LIMIT 15""",
 )
 def news_for_symbol(t):
-    return N.news_for_symbol(_pipeline(t), "THEUSDT", 14).select("article_id", "source_name", "published_at")
+    return N.news_for_symbol(_pipeline(t), "THEUSDT", 14, t.news_as_of()).select("article_id", "source_name", "published_at")
 
 
 @query(
@@ -178,14 +178,14 @@ def news_mentions(t):
     PIPELINE.rstrip()
     + """,
         e AS (SELECT unnest(symbols) AS symbol, * EXCLUDE (symbols) FROM p
-            WHERE published_at >= (SELECT max(published_at) FROM p) - INTERVAL 3 DAY),
+            WHERE published_at >= (SELECT max(published_at) FROM raw_news) - INTERVAL 3 DAY),
         k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY published_at DESC, article_id) AS rn FROM e WHERE symbol <> '' QUALIFY rn <= 15)
         SELECT symbol, string_agg('[' || strftime(published_at, '%Y-%m-%d %H:%M') || '] ' || substr(title, 1, 120) || chr(10) || '  '
             || substr(description, 1, 200) || chr(10) || '  Source: ' || source_name, chr(10) ORDER BY rn) AS report FROM k GROUP BY 1""",
 )
 def report_news(t):
     """Newest 15 articles per symbol as text."""
-    return R.report_news(_pipeline(t), 3)
+    return R.report_news(_pipeline(t), 3, t.news_as_of())
 
 
 # --- chat ---------------------------------------------------------------------

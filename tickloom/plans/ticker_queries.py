@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import compact_usd, price_text
 from tickloom.operators import ticker as K
-from tickloom.operators.latest import latest_by_key, latest_values, top_n
+from tickloom.operators.latest import latest_by_key, top_n
 from tickloom.plans import sqlviews as V
 from tickloom.plans.registry import query
 from tickloom.sources.messages import parse_ticker_json
@@ -73,7 +73,7 @@ def ticker_symbol_filter(t):
         WHERE snapshot_time >= (SELECT max(snapshot_time) FROM ticker) - INTERVAL 30 DAY GROUP BY 1, 2""",
 )
 def spread_daily(t):
-    return K.spread_daily(t.ticker(), 30).orderBy(F.desc("day"), "symbol")
+    return K.spread_daily(t.ticker(), 30, t.ticker_as_of()).orderBy(F.desc("day"), "symbol")
 
 
 def _trend(name, size, days, expr):
@@ -83,7 +83,7 @@ def _trend(name, size, days, expr):
         WHERE snapshot_time >= (SELECT max(snapshot_time) FROM ticker) - INTERVAL {days} DAY GROUP BY 1, 2"""
 
     def run(t):
-        out = K.ticker_trend(t.ticker(), size, days)
+        out = K.ticker_trend(t.ticker(), size, days, t.ticker_as_of())
         return out.withColumns({c: F.round(c, 8) for c in out.columns if c.startswith("avg_")})
 
     query(name, sql)(run)
@@ -142,7 +142,7 @@ AT_LATEST = """FROM event_ticker t JOIN event_dim s ON s.symbol = t.symbol
     + f"SELECT base_asset AS coin, quote_volume_24h AS volume_usd {AT_LATEST} ORDER BY 2 DESC, t.symbol LIMIT 10",
 )
 def panel_top_volume(t):
-    top = K.top_at_global_latest(t.event_ticker(), t.event_dim(), "quote_volume_24h", 10)
+    top = K.top_at_global_latest(t.event_ticker(), t.event_dim(), "quote_volume_24h", 10, newest=t.event_day())
     return top.select(F.col("base_asset").alias("coin"), F.col("quote_volume_24h").alias("volume_usd"))
 
 
@@ -153,7 +153,7 @@ def panel_top_volume(t):
         ORDER BY quote_volume_24h DESC, t.symbol LIMIT 10""",
 )
 def panel_volume_billions(t):
-    top = K.top_at_global_latest(t.event_ticker(), t.event_dim(), "quote_volume_24h", 10)
+    top = K.top_at_global_latest(t.event_ticker(), t.event_dim(), "quote_volume_24h", 10, newest=t.event_day())
     named = K.with_billions(top, "quote_volume_24h", "volume_billion_usd")
     return named.select(F.col("base_asset").alias("coin"), "volume_billion_usd")
 
@@ -176,7 +176,7 @@ def _cells(df):
 )
 def panel_losers(t):
     falling = F.col("price_change_pct") < 0
-    return _cells(K.top_at_global_latest(t.event_ticker(), t.event_dim(), "price_change_pct", 5, True, falling))
+    return _cells(K.top_at_global_latest(t.event_ticker(), t.event_dim(), "price_change_pct", 5, True, falling, t.event_day()))
 
 
 @query(
@@ -187,7 +187,7 @@ def panel_losers(t):
 )
 def panel_gainers_positive(t):
     rising = F.col("price_change_pct") > 0
-    top = K.top_at_global_latest(t.event_ticker(), t.event_dim(), "price_change_pct", 5, where=rising)
+    top = K.top_at_global_latest(t.event_ticker(), t.event_dim(), "price_change_pct", 5, where=rising, newest=t.event_day())
     return top.select(F.col("base_asset").alias("coin"), "price_change_pct", "quote_volume_24h")
 
 
@@ -199,7 +199,7 @@ def panel_gainers_positive(t):
 )
 def panel_gainers(t):
     """Top 5 by newest change of each symbol, whatever its sign."""
-    newest = latest_values(t.ticker(), ["symbol"], "snapshot_time", ["price_change_pct", "quote_volume_24h"])
+    newest = latest_by_key(t.raw_ticker(), ["symbol"], LATEST)
     return _cells(top_n(newest.join(t.accounts(), "symbol"), "price_change_pct", 5, ["symbol"]))
 
 
@@ -213,7 +213,7 @@ def panel_gainers(t):
 )
 def market_snapshot(t):
     """Accounts without events have no candle: their columns stay NULL."""
-    out = K.market_snapshot(t.accounts(), t.account_ticks(), t.ticker())
+    out = K.market_snapshot(t.accounts(), t.account_ticks(), t.raw_ticker(), LATEST)
     return out.orderBy("symbol")
 
 

@@ -133,3 +133,12 @@ def test_chunked_scan_shares_one_shuffle(spark, walk):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in plan
+
+
+def test_warmup_form_is_close_to_exact(spark, walk):
+    df = frame(spark, {"A": walk["A"]})
+    cut = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    exact = I.momentum(df).where(F.col("open_time") >= cut)
+    short = I.momentum_after_warmup(df.where(F.col("open_time") < cut), df.where(F.col("open_time") >= cut))
+    np.testing.assert_allclose(values(short, "A", "rsi_14"), values(exact, "A", "rsi_14"), atol=1e-4)
+    np.testing.assert_allclose(values(short, "A", "macd"), values(exact, "A", "macd"), atol=1e-2)

@@ -39,6 +39,12 @@ def test_incremental_global_on_an_empty_table(spark):
     assert load.incremental(new, new, [], "ts").count() == 0
 
 
+def test_resent_book_row_is_not_loaded_again(spark):
+    old = spark.createDataFrame([("A", T("2024-01-01 00:00:05"))], "symbol string, timestamp timestamp")
+    new = spark.createDataFrame([("A", T("2024-01-01 00:00:05.900")), ("A", T("2024-01-01 00:00:06.100"))], "symbol string, timestamp timestamp")
+    assert [str(r["timestamp"]) for r in load.load_order_book(new, old).collect()] == ["2024-01-01 00:00:06"]
+
+
 def test_late_policies(spark):
     loaded = rows(spark, ("A", "2024-01-10", 1), ("A", "2024-02-10", 1))
     new = rows(spark, ("A", "2024-01-05", 2), ("A", "2024-01-10", 1), ("A", "2024-02-10", 1), ("A", "2024-02-11", 3))

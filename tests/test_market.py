@@ -190,3 +190,11 @@ def test_registry(spark):
     assert len(rows) == len(REGISTERED_SYMBOLS) == 50
     assert rows["BTCUSDT"]["base_asset"] == "BTC" and rows["BTCUSDT"]["quote_asset"] == "USDT"
     assert {s for s, r in rows.items() if r["status"] == "BREAK"} == set(DELISTED_ON)
+
+
+def test_book_view_follows_the_preset(spark):
+    from tickloom.presets import timeframe
+
+    books = orderbook.order_book_metrics(book(spark, [["42290", "1.5"]], [["42310", "1"]]))
+    views = {p: orderbook.ob_view(books, timeframe(p)).columns for p in ("short", "long", "very_long")}
+    assert "ts" in views["short"] and "latest_obi" in views["long"] and "best_bid" in views["very_long"]

@@ -131,6 +131,13 @@ def test_trace_rollup(spark):
     assert out["e"]["agents"] == []
 
 
+def test_json_in_text(spark):
+    texts = ['Sure: {"agents": ["a", "b"], "reason": "r"} ok', "no json", "{broken", None]
+    got = col(spark, texts, lambda c: text.json_in_text(c, "agents array<string>, reason string"))
+    assert got[0]["agents"] == ["a", "b"] and got[1] is None and got[3] is None
+    assert got[2] is None or got[2]["agents"] is None
+
+
 def forecasts(spark, n=500):
     rng = np.random.default_rng(1)
     rows = [("A", i, float(a), float(p)) for i, (a, p) in enumerate(zip(rng.integers(1, 9, n), rng.integers(1, 9, n)))]

@@ -165,3 +165,9 @@ def _areas(says: Column) -> Column:
         .when(says["technical"], F.lit(["technical"]))
         .when(says["news"], F.lit(["news"]))
     )
+
+
+def json_in_text(text: Column, schema: str) -> Column:
+    """The outermost {...} of a free text, parsed; NULL where there is none or it is broken."""
+    body = F.regexp_extract(text, r"(?s)\{.*\}", 0)
+    return F.from_json(F.nullif(body, F.lit("")), schema)

@@ -80,6 +80,15 @@ def since(df: DataFrame, ts: str, days: int, as_of=None) -> DataFrame:
     return df.where(F.col(ts) >= days_before(as_of_column(df, ts, as_of), days))
 
 
+def between(df: DataFrame, ts: str, start: dt.datetime | None = None, end: dt.datetime | None = None) -> DataFrame:
+    """Rows with `ts` in [start, end]; literals of the column's own type, so they reach the scan."""
+    kind = dict(df.dtypes)[ts]
+    for bound, keeps in ((start, F.col(ts).__ge__), (end, F.col(ts).__le__)):
+        if bound is not None:
+            df = df.where(keeps(F.lit(bound.isoformat(" ")).cast(kind)))
+    return df
+
+
 def check_month(month: str) -> str:
     """Validate a 'YYYY-MM' partition name."""
     if not re.fullmatch(MONTH_PATTERN[1:-1], month):
@@ -96,10 +105,7 @@ def in_month(df: DataFrame, ts: str, month: str) -> DataFrame:
     """Rows with `ts` in [first of month, first of next month); literals, so it reaches the scan."""
     start, end = month_bounds(month)
     kind = dict(df.dtypes)[ts]
-    return df.where(
-        (F.col(ts) >= F.lit(start.isoformat(" ")).cast(kind))
-        & (F.col(ts) < F.lit(end.isoformat(" ")).cast(kind))
-    )
+    return between(df, ts, start).where(F.col(ts) < F.lit(end.isoformat(" ")).cast(kind))
 
 
 def completed_months(as_of: Column, n: int) -> Column:

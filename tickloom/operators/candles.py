@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.times import adaptive_seconds, bucket, since
+from tickloom.functions.times import adaptive_seconds, between, bucket, since
 from tickloom.operators.latest import newest_n, oldest_n
 
 
@@ -43,8 +43,6 @@ def candles(
 
 def candles_between(df: DataFrame, start, end, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Chart candles for [start, end] with a width chosen from the range; volume is quote volume."""
-    kind = dict(df.dtypes)["open_time"]
-    lo, hi = (F.lit(t.isoformat(" ")).cast(kind) for t in (start, end))
-    rows = df.where(F.col("open_time").between(lo, hi))
+    rows = between(df, "open_time", start, end)
     width = adaptive_seconds((end - start).total_seconds())
     return candles(rows, width, keys=keys, sums=("quote_volume",)).withColumnRenamed("quote_volume", "volume")

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.text import intent_labels
+from tickloom.functions.text import intent_labels, json_in_text
 from tickloom.operators.latest import newest_n
 from tickloom.vocab import CHAT_TURNS
 
+CONTEXT = (
+    "symbol string, supervisor_decision array<string>, supervisor_reason string, "
+    "tools_used array<string>, agents_called array<string>, provider string"
+)
+
 
 def chat_window(df: DataFrame, session: str, order: list[str], turns: int = CHAT_TURNS) -> DataFrame:
     """Newest 2*turns messages per session, oldest first (`order` ends with a unique tie-break)."""
@@ -24,6 +29,11 @@ def with_intents(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("labels", intent_labels(F.col(text)))
 
 
+def with_context(df: DataFrame, column: str = "context_summary") -> DataFrame:
+    """Unpack the JSON summary an assistant message carries."""
+    return df.withColumn("context", json_in_text(F.col(column), CONTEXT))
+
+
 def trace_rollup(df: DataFrame) -> DataFrame:
     """Runs, distinct agents and tools and durations per session.
 

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.times import days_before, instant, local_time
+from tickloom.functions.times import between, days_before, instant, local_time
 from tickloom.vocab import LOCAL_ZONE
 
 STEPS_PER_CHUNK = 8192
 
 
 def forecast_errors(df: DataFrame) -> DataFrame:
-    """MAE, MAPE (zero actuals skipped) and RMSE per symbol over known actuals."""
+    """MAE, MAPE (zero actuals skipped) and RMSE per symbol over known actuals.
+
+    Narrow the input with `times.between` on target_time for a dashboard range.
+    """
     err = F.col("actual_close") - F.col("predicted_close")
     share = F.try_divide(F.abs(err), F.col("actual_close")) * 100
     return df.where(F.col("actual_close").isNotNull()).groupBy("symbol").agg(
@@ -95,10 +98,5 @@ def forecast_series(predictions: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame
 
 def local_series(df: DataFrame, ts: str, value: str, out: str, start=None, end=None, zone: str = LOCAL_ZONE):
     """(symbol, local time, value) of rows in [start, end]."""
-    rows = df
-    kind = dict(df.dtypes)[ts]
-    if start is not None:
-        rows = rows.where(F.col(ts) >= F.lit(start.isoformat(" ")).cast(kind))
-    if end is not None:
-        rows = rows.where(F.col(ts) <= F.lit(end.isoformat(" ")).cast(kind))
+    rows = between(df, ts, start, end)
     return rows.select("symbol", local_time(instant(F.col(ts)), zone).alias("time"), F.col(value).alias(out))

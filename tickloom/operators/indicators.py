@@ -11,8 +11,9 @@ from tickloom.functions.numbers import positive_part
 from tickloom.functions.times import bucket_seconds
 from tickloom.operators.candles import candles
 from tickloom.operators.ewm import Mean, carry_of, ewm
+from tickloom.operators.load import with_warmup
 from tickloom.session import cut_lineage
-from tickloom.vocab import CANDLE_STEP_SECONDS
+from tickloom.vocab import CANDLE_STEP_SECONDS, WARMUP_ROWS
 
 GAIN, LOSS = Mean("close", 14, "avg_gain", "rise"), Mean("close", 14, "avg_loss", "fall")
 FAST, SLOW = Mean("close", 12, "ema_fast"), Mean("close", 26, "ema_slow")
@@ -62,6 +63,16 @@ def momentum(
     return out if keep_means else out.drop("avg_gain", "avg_loss", "ema_fast", "ema_slow")
 
 
+def momentum_after_warmup(history: DataFrame, new: DataFrame, key="symbol", ts="open_time", rows=WARMUP_ROWS) -> DataFrame:
+    """rsi_14 and macd of new rows, restarted from the last `rows` stored rows of each symbol.
+
+    The bounded form of an incremental run: the means are cut off after `rows` rows, where
+    `momentum` with a carry is exact.
+    """
+    run = momentum(with_warmup(history, new, [key], ts, rows), key, ts)
+    return run.where(~F.col("is_context")).drop("is_context")
+
+
 def momentum_state(df: DataFrame, key="symbol", ts="open_time") -> DataFrame:
     """Carry rows for the next incremental `momentum` run (input made with keep_means=True)."""
     return carry_of(df, key, ts, ["close"], [GAIN, LOSS, FAST, SLOW])

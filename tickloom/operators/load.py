@@ -49,6 +49,24 @@ def incremental(
     return marked.where(fresh | F.col("__late")).drop("__mark", "__month", "__late")
 
 
+def load_candles(new: DataFrame, loaded: DataFrame) -> DataFrame:
+    return incremental(new, loaded, ["symbol"], "open_time")
+
+
+def load_ticker(new: DataFrame, loaded: DataFrame) -> DataFrame:
+    return incremental(new, loaded, ["symbol"], "snapshot_time")
+
+
+def load_order_book(new: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Book times are stored in whole seconds; truncating first keeps a re-sent row from loading again."""
+    return incremental(new.withColumn("timestamp", F.date_trunc("second", "timestamp")), loaded, ["symbol"], "timestamp")
+
+
+def load_news(new: DataFrame, loaded: DataFrame) -> DataFrame:
+    """One mark for the whole table."""
+    return incremental(new, loaded, [], "extracted_at")
+
+
 def late_rows(new: DataFrame, loaded: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Rows at or behind the high-water mark: what the 'drop' policy loses."""
     marks = watermarks(loaded, keys, ts, "__mark")

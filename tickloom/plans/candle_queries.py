@@ -174,6 +174,26 @@ def warmup_context(t):
     )
 
 
+@query(
+    "momentum_warmup",
+    V.with_views(
+        "minutes", recursive=True,
+        h="""SELECT * FROM minutes WHERE open_time < TIMESTAMP '2024-01-20'
+            QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 120
+            UNION ALL SELECT * FROM minutes WHERE open_time >= TIMESTAMP '2024-01-20'""",
+        **_momentum("h", "open_time"),
+    )
+    + f"""SELECT symbol, ts AS open_time, round({V.RSI_OF_MEANS}, 6) AS rsi_14, round(e12 - e26, 6) AS macd FROM r
+        WHERE ts >= TIMESTAMP '2024-01-20'""",
+)
+def momentum_warmup(t):
+    """Indicators of new rows from 120 rows of context."""
+    rows = t.minutes().select("symbol", "open_time", "close")
+    cut = F.lit("2024-01-20 00:00:00").cast("timestamp")
+    out = I.momentum_after_warmup(rows.where(F.col("open_time") < cut), rows.where(F.col("open_time") >= cut))
+    return out.select("symbol", "open_time", *[F.round(c, 6).alias(c) for c in ("rsi_14", "macd")])
+
+
 C4 = V.candles("ticks", "open_time", V.bucket("open_time", 14400))
 
 

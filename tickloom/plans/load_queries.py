@@ -157,6 +157,22 @@ def delete_predicate(t):
     return L.delete_where(marked, F.col("doomed")).drop("doomed")
 
 
+@query(
+    "load_order_book",
+    V.with_views("levels")
+    + """SELECT symbol, timestamp, count(*) AS n FROM levels WHERE timestamp > TIMESTAMP '2000-01-01' GROUP BY 1, 2""",
+)
+def load_order_book(t):
+    """Books after 2000-01-01; the re-sent ones arrive with fractions of a second and are not loaded again."""
+    cut = F.lit("2000-01-01 00:00:00").cast("timestamp")
+    sizes = t.raw_books().select("symbol", "timestamp", (F.size("bids") + F.size("asks")).cast("bigint").alias("n"))
+    marks = t.read("supplier").select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"), cut.alias("timestamp")
+    )
+    sent = sizes.withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(secs=F.lit(0.25)))
+    return L.load_order_book(sent, marks)
+
+
 @query("dim_list", V.with_views("accounts") + "SELECT symbol FROM accounts")
 def dim_list(t):
     return t.accounts().select("symbol").distinct().orderBy("symbol")

@@ -229,6 +229,26 @@ def intent_labels_q(t):
     return t.read("conversations").select("conv_id", "turn", labels)
 
 
+@query(
+    "chat_context",
+    """SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'C' || conv_id END AS symbol,
+        CASE WHEN role = 'assistant' THEN role || ',' || turn END AS decision FROM conversations""",
+)
+def chat_context(t):
+    """JSON summaries inside assistant texts; other messages carry none."""
+    body = F.to_json(
+        F.struct(
+            F.concat(F.lit("C"), F.col("conv_id").cast("string")).alias("symbol"),
+            F.array("role", F.col("turn").cast("string")).alias("supervisor_decision"),
+        )
+    )
+    noisy = F.when(F.col("role") == "assistant", F.concat(F.lit("Sure: "), body, F.lit(" done"))).otherwise("none")
+    out = H.with_context(t.read("conversations").select("conv_id", "turn", noisy.alias("context_summary")))
+    return out.select(
+        "conv_id", "turn", "context.symbol", F.array_join("context.supervisor_decision", ",").alias("decision")
+    )
+
+
 @query(
     "trace_rollup",
     r"""SELECT CAST(conv_id AS VARCHAR) AS session_id, count(*) AS n_runs, CAST(sum(length(text)) AS BIGINT) AS total_ms,

@@ -3,7 +3,7 @@
 y1 = x1 and yt = a*xt + (1-a)*y(t-1) with a = 2/(span+1). Each step is an affine map, so a
 series can be cut into chunks:
 
-1. rows are shuffled by (key, chunk) where a chunk is `CHUNK_STEPS` grid steps wide. Rows are
+1. rows are shuffled by (key, chunk) where a chunk is at most `CHUNK_STEPS` grid steps wide. Rows are
    unique per grid step, so a chunk holds at most that many rows and a hot key spreads over as
    many tasks as it has chunks. Inside a chunk a running sum gives each row's response to the
    chunk's own values ("local").
@@ -17,13 +17,16 @@ incremental run equals a full run.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_STEPS = 512
+CHUNK_STEPS = 2048
+# (1-a)^-n of a chunk must stay far inside the double range, whatever the inputs are scaled to
+LARGEST_POWER_OF_TEN = 270
 
 
 @dataclass(frozen=True)
@@ -35,6 +38,14 @@ class Mean:
     out: str
     of: str = "level"  # 'level' | 'rise' | 'fall'
 
+    def __post_init__(self):
+        if self.span <= 1:
+            raise ValueError("span must be greater than 1 (a span of 1 is the value itself)")
+
+    @property
+    def longest_chunk(self) -> int:
+        return max(1, int(LARGEST_POWER_OF_TEN / -math.log10(1.0 - 2.0 / (self.span + 1.0))))
+
     @property
     def alpha(self) -> str:
         return f"{2.0 / (self.span + 1.0)!r}D"
@@ -85,7 +96,8 @@ def _with_local(df: DataFrame, key: str, ts: str, step: int, means: Sequence[Mea
     so_far = f"(PARTITION BY {key}, __c ORDER BY {ts} ROWS UNBOUNDED PRECEDING)"
     moves = [m for m in means if m.of != "level"]
     # the chunk is never NULL, so both uses of the shuffled rows plan the same exchange and share it
-    chunk = f"coalesce(floor(unix_seconds(CAST({ts} AS TIMESTAMP)) / {step * CHUNK_STEPS}), 0L) AS __c"
+    steps = min(CHUNK_STEPS, *[m.longest_chunk for m in means])
+    chunk = f"coalesce(floor(unix_seconds(CAST({ts} AS TIMESTAMP)) / {step * steps}), 0L) AS __c"
     placed = df.selectExpr("*", chunk).selectExpr(
         "*",
         f"CAST(row_number() OVER {inside} AS DOUBLE) AS __i",

@@ -94,13 +94,16 @@ def books_from_levels(levels: DataFrame, depth: int = BOOK_DEPTH_LEVELS) -> Data
     kept = newest_n(
         merged.withColumn("rank", rank), [*key, "side"], [F.asc("rank")], depth
     )
-    level = F.struct("rank", F.array(F.col("price").cast("string"), F.col("qty").cast("string")).alias("l"))
+    # one list per side where the ranked rows already are, so that only two rows per book move on
+    listed = kept.groupBy(*key, "side").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "price", "qty"))).alias("ranked")
+    )
+    ladder = F.transform("ranked", lambda x: F.array(x["price"].cast("string"), x["qty"].cast("string")))
 
     def side(name: str) -> Column:
-        packed = F.array_sort(F.collect_list(F.when(F.col("side") == name, level)))
-        return F.transform(packed, lambda x: x["l"]).alias(f"{name}s")
+        return F.flatten(F.collect_list(F.when(F.col("side") == name, F.col("ladder")))).alias(f"{name}s")
 
-    return kept.groupBy(*key).agg(side("bid"), side("ask"))
+    return listed.select(*key, "side", ladder.alias("ladder")).groupBy(*key).agg(side("bid"), side("ask"))
 
 
 def legacy_imbalance(obi: Column) -> Column:

@@ -21,7 +21,7 @@ HEADLINE = [
     "candles_1h", "candles_4h", "candles_adaptive", "candles_indicators", "ewm", "rsi_ewm", "macd", "rsi_sma",
     "rsi_heatmap", "signals", "market_report", "latest_by_key", "incremental_load", "upsert_merge", "gap_ranges",
     "missing_candles", "market_snapshot", "top_volume", "panel_gainers", "spread_daily", "ticker_trend_month",
-    "ticker_transform", "order_book_metrics", "ob_trend", "ob_summary_30d", "liquidity_table", "news_pipeline",
+    "ticker_transform", "order_book_metrics", "ob_trend", "ob_summary_30d", "liquidity_table", "news_transform",
     "news_quality_default", "extract_entities", "clean_text", "intent_labels", "chat_window", "forecast_errors",
     "direction_accuracy", "forecast_overlay", "format_usd",
 ]

@@ -102,15 +102,15 @@ def articles(spark):
     return spark.createDataFrame(rows, "article_id string, title string, description string, published_at timestamp, extracted_at timestamp").withColumn("content", F.lit(None).cast("string")).withColumn("source_name", F.lit("desk"))
 
 
-def test_news_pipeline(spark):
-    out = {r["article_id"]: r for r in news.news_pipeline(articles(spark)).collect()}
+def test_news_transform(spark):
+    out = {r["article_id"]: r for r in news.news_transform(articles(spark)).collect()}
     assert set(out) == {"a", "b", "c"} and out["a"]["title"] == "Bitcoin up"
     assert out["a"]["symbols"] == ["BTCUSDT"] and out["c"]["symbols"] == [] and out["b"]["image_url"] is None
-    assert [r["article_id"] for r in news.news_pipeline(articles(spark), ["SOLUSDT"]).collect()] == ["b"]
+    assert [r["article_id"] for r in news.news_transform(articles(spark), ["SOLUSDT"]).collect()] == ["b"]
 
 
 def test_news_reports(spark):
-    piped = news.news_pipeline(articles(spark))
+    piped = news.news_transform(articles(spark))
     assert [r["article_id"] for r in news.news_for_symbol(piped, "BTCUSDT", 14).collect()] == ["a"]
     report = {r["symbol"]: r["report"] for r in reports.report_news(piped, 14).collect()}
     assert report["BTCUSDT"].splitlines()[0] == "[2025-09-30 00:00] Bitcoin up"

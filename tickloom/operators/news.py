@@ -36,7 +36,7 @@ def about(df: DataFrame, symbols: Iterable[str]) -> DataFrame:
     return df.where(F.arrays_overlap("symbols", wanted))
 
 
-def news_pipeline(
+def news_transform(
     df: DataFrame,
     symbols: Iterable[str] | None = None,
     aliases: Mapping[str, str] = SYMBOL_ALIASES,

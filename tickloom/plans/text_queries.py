@@ -133,49 +133,49 @@ def entity_filter(t):
     return _joined(N.about(named, ["THEUSDT", "UNDUSDT"]))
 
 
-PIPELINE = V.with_views(
+TRANSFORMED = V.with_views(
     "news",
     p=f"SELECT *, string_split({SYMBOLS_SQL}, ',') AS symbols FROM news WHERE {QUALITY_SQL}",
 )
 
 
-def _pipeline(t, symbols=None):
-    return N.news_pipeline(t.raw_news(), symbols, ALIASES, ORDER, spam=SPAM, relevant=RELEVANT)
+def _transformed(t, symbols=None):
+    return N.news_transform(t.raw_news(), symbols, ALIASES, ORDER, spam=SPAM, relevant=RELEVANT)
 
 
 @query(
-    "news_pipeline",
-    PIPELINE
+    "news_transform",
+    TRANSFORMED
     + """SELECT article_id, title, description, CAST(NULL AS VARCHAR) AS content, url, CAST(NULL AS VARCHAR) AS image_url, source_name,
         source_url, published_at, search_query, published_at AS extracted_at, array_to_string(symbols, ',') AS symbols FROM p""",
 )
-def news_pipeline(t):
-    return _joined(_pipeline(t))
+def news_transform(t):
+    return _joined(_transformed(t))
 
 
 @query(
     "news_for_symbol",
-    PIPELINE
+    TRANSFORMED
     + """SELECT article_id, source_name, published_at FROM p WHERE list_contains(symbols, 'THEUSDT')
         AND published_at >= (SELECT max(published_at) FROM raw_news) - INTERVAL 14 DAY ORDER BY published_at DESC, article_id LIMIT 15""",
 )
 def news_for_symbol(t):
-    return N.news_for_symbol(_pipeline(t), "THEUSDT", 14, t.news_as_of()).select("article_id", "source_name", "published_at")
+    return N.news_for_symbol(_transformed(t), "THEUSDT", 14, t.news_as_of()).select("article_id", "source_name", "published_at")
 
 
 @query(
     "news_mentions",
-    PIPELINE
+    TRANSFORMED
     + """SELECT symbol, day, count(*) AS n_articles FROM (SELECT unnest(symbols) AS symbol, CAST(published_at AS DATE) AS day FROM p)
         WHERE symbol <> '' GROUP BY 1, 2""",
 )
 def news_mentions(t):
-    return N.news_mentions(_pipeline(t))
+    return N.news_mentions(_transformed(t))
 
 
 @query(
     "report_news",
-    PIPELINE.rstrip()
+    TRANSFORMED.rstrip()
     + """,
         e AS (SELECT unnest(symbols) AS symbol, * EXCLUDE (symbols) FROM p
             WHERE published_at >= (SELECT max(published_at) FROM raw_news) - INTERVAL 3 DAY),
@@ -185,7 +185,7 @@ def news_mentions(t):
 )
 def report_news(t):
     """Newest 15 articles per symbol as text."""
-    return R.report_news(_pipeline(t), 3, t.news_as_of())
+    return R.report_news(_transformed(t), 3, t.news_as_of())
 
 
 # --- chat ---------------------------------------------------------------------

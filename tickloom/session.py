@@ -28,11 +28,14 @@ def build_session(app: str = "tickloom", **conf: str) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by the cluster in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, a laptop) a local folder is chosen instead.
+    Only where that setting is absent and Spark runs in one process (tests, a laptop) a local
+    folder is chosen instead; a cluster without it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext.getCheckpointDir()
+        if current is None and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = os.path.dirname(current) if current else tempfile.mkdtemp(prefix="tickloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

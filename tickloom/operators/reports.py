@@ -157,16 +157,22 @@ def report_book(df: DataFrame, preset: Timeframe, as_of=None, latest: DataFrame
 
 def report_news(df: DataFrame, days: int, as_of=None) -> DataFrame:
     """Newest articles of every symbol."""
-    title = F.substring(text_or_empty(F.col("title")), 1, 120)
-    description = F.substring(text_or_empty(F.col("description")), 1, 200)
-    source = text_or_empty(F.col("source_name"))
+    # the printed parts only, so that whole article texts are not sorted and shuffled
+    printed = df.select(
+        "article_id",
+        "published_at",
+        "symbols",
+        F.substring(text_or_empty(F.col("title")), 1, 120).alias("title"),
+        F.substring(text_or_empty(F.col("description")), 1, 200).alias("description"),
+        text_or_empty(F.col("source_name")).alias("source"),
+    )
     line = F.concat_ws(
         "\n",
-        F.concat(F.lit("["), _stamp("published_at", "yyyy-MM-dd HH:mm"), F.lit("] "), title),
-        F.when(description != "", F.concat(F.lit("  "), description)),
-        F.when(source != "", F.concat(F.lit("  Source: "), source)),
+        F.concat(F.lit("["), _stamp("published_at", "yyyy-MM-dd HH:mm"), F.lit("] "), F.col("title")),
+        F.when(F.col("description") != "", F.concat(F.lit("  "), F.col("description"))),
+        F.when(F.col("source") != "", F.concat(F.lit("  Source: "), F.col("source"))),
     )
-    return _block(news_per_symbol(df, days, as_of), "rank", line, "report")
+    return _block(news_per_symbol(printed, days, as_of), "rank", line, "report")
 
 
 def market_report(klines: DataFrame, preset: Timeframe, as_of=None, digits: int = 6) -> DataFrame:

@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tickloom.llm import pieces, token_counts, token_pack
+from pyspark.sql import functions as F
+
+from tickloom.llm import (
+    chat_format,
+    decontaminate,
+    jaccard_join,
+    kd_shards,
+    pieces,
+    rule_lists,
+    suffix_dedup,
+    token_counts,
+    token_pack,
+    weak_quality,
+)
 from tickloom.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +29,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that benchmark windows of ten words occur in."""
+    found = decontaminate.scan_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 400 bytes that stand anywhere else."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op3_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return weak_quality.classify(table(spark, sf_dir, "documents"))
+
+
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return kd_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, and of one that says the template's control strings."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat_format.conversation_digests(chat_format.format_conversations(rows.unionByName(added)))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -34,10 +83,22 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and whether the learnt rules keep it."""
+    return rule_lists.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_wu_manber": op1_wu_manber,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_weak_labels": op3_weak_labels,
+    "op4_kd_shards": op4_kd_shards,
+    "op5_chosen_path_join": op5_chosen_path_join,
+    "op6_chat_format": op6_chat_format,
     "op7_token_counts": op7_token_counts,
     "op8_bit_pack": op8_bit_pack,
     "op9_sentence_pieces": op9_sentence_pieces,
+    "op10_decision_list": op10_decision_list,
 }
 
 ORACLES: dict[str, str] = {}

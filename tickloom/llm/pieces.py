@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 import itertools
-import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -14,13 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType
 
-from tickloom.llm.arrays import slices, text_bytes
-from tickloom.llm.units import UnitCache, parts
+from tickloom.llm.arrays import ragged, slices, text_bytes
+from tickloom.llm.units import Sequences, UnitTable, pair_cuts
 
 MARK = "▁"
-#: A word with the run of marks before it, without the run's first mark.
-_WORD = re.compile(f"{MARK}({MARK}*[^{MARK}]*)")
-_MISSING = -1
+#: A word with the run of marks before it.
+_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
 class PieceModel:
@@ -33,19 +31,31 @@ class PieceModel:
     """
 
     def __init__(self, pieces: list[str], scores: list[float], byte_ids: dict[int, int], unknown: int, merges: bool, special: set[int] = frozenset()):
-        self.pieces, self.scores, self.merges, self.unknown = pieces, scores, merges, unknown
+        self.pieces, self.scores, self.merges, self.unknown = list(pieces), scores, merges, unknown
         plain = [i for i in range(len(pieces)) if i not in special and i not in byte_ids.values()]
         self.id = {pieces[i]: i for i in plain}
         if any(re.search(f"[^{MARK}]{MARK}", pieces[i]) for i in plain):
             raise ValueError("a piece runs over the start of a word: words are not independent")
-        self.longest = max((len(pieces[i]) for i in plain), default=1)
+        self.real = len(pieces)  # numbers from here on stand for characters without a piece
+        self.lone: dict[str, int] = {}
+        self.heads = {pieces[i][:k] for i in plain for k in range(len(pieces[i]) + 1)}
+        self.steps: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
         self.byte_ids = byte_ids
         self.raw = [p.encode() for p in pieces]
         for byte, i in byte_ids.items():
             self.raw[i] = bytes([byte])
         for i in special:
             self.raw[i] = b""
-        self.stable: dict[tuple[str, str], bool] = {}
+        self.stable: dict[int, bool] = {}
+        # bytes a, b that may stand side by side in a piece; all but ASCII are taken to, the mark is a space
+        self.joined = np.ones((256, 256), bool)
+        self.joined[:128, :128] = False
+        self.joined[:, 32] = False
+        self.joined[0x81, 32] = True  # the last byte of a mark written in the text
+        for i in plain:
+            for a, b in itertools.pairwise(self.pieces[i].replace(MARK, " ")):
+                if ord(a) < 128 and ord(b) < 128:
+                    self.joined[ord(a), ord(b)] = True
         self.unseen = min(scores, default=0.0) - 10.0  # of a character without a piece
 
     def merged(self, symbols: list[str]) -> list[str]:
@@ -61,78 +71,93 @@ class PieceModel:
                 return symbols
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
 
-    def apart(self, left: str, right: str) -> bool:
-        """Whether merging the characters of both pieces (of one alone at a word's start) ends in just these."""
-        if len(self.stable) > 300_000:
+    def _apart(self, left: int, right: int) -> bool:
+        """Whether merging the characters of both pieces (of the right one alone if left is -1) ends in just these."""
+        if len(self.stable) > 400_000:
             self.stable.clear()
-        known = self.stable[left, right] = self.merged(list(left + right)) == ([left, right] if left else [right])
+        a, b = "" if left < 0 else self.pieces[left], self.pieces[right]
+        known = self.stable[left << 32 | right] = self.merged(list(a + b)) == ([a, b] if a else [b])
         return known
 
+    def _step(self, seen: str) -> tuple[str, tuple[tuple[int, int], ...]]:
+        """After the characters `seen`: the longest end of them that starts a piece, and the (piece, length) that end there, longest first."""
+        if len(self.steps) > 400_000:
+            self.steps.clear()
+        state = seen
+        while state not in self.heads:
+            state = state[1:]
+        ends = [(self.id[seen[k:]], len(seen) - k) for k in range(len(seen)) if seen[k:] in self.id]
+        if not ends or ends[-1][1] > 1:  # the last character alone is no piece
+            char = seen[-1]
+            if char not in self.lone:
+                self.lone[char] = len(self.pieces)
+                self.pieces.append(char)
+            ends.append((self.lone[char], 1))
+        out = self.steps[seen] = (state, tuple(ends))
+        return out
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of every word. Words are walked in sorted order; the states of a prefix shared with the word before stay."""
-        out: dict[str, list[int]] = {}
-        step = self._merge_step if self.merges else self._score_step
-        before, total, last = "", [0.0], [""]
-        for word in sorted(words):
-            shared = len(os.path.commonprefix((before, word)))
-            del total[shared + 1 :], last[shared + 1 :]
+        order = sorted(range(len(words)), key=words.__getitem__)
+        out: list[list[int]] = [[] for _ in words]
+        steps, stable, merges = self.steps, self.stable, self.merges
+        before, states, total = "", [""], [0.0]
+        last, length = [-1], [0]  # last piece of the path over each prefix, and its length
+        for number in order:
+            word, shared = words[number], 0
+            for a, b in zip(before, word):  # noqa: B905
+                if a != b:
+                    break
+                shared += 1
+            del states[shared + 1 :], last[shared + 1 :], length[shared + 1 :], total[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                step(word, end, total, last)
-            path, end = [], len(word)
+                seen = states[-1] + word[end - 1]
+                state, ends = steps.get(seen) or self._step(seen)
+                states.append(state)
+                if merges:
+                    for piece, size in ends:
+                        left = last[end - size]
+                        known = stable.get(left << 32 | piece)
+                        if known is None:
+                            known = self._apart(left, piece)
+                        if known:
+                            break
+                    value = 0.0
+                else:
+                    value, _, piece, size = max((total[end - n] + (self.scores[i] if i < self.real else self.unseen), n, i, n) for i, n in ends)
+                total.append(value)
+                last.append(piece)
+                length.append(size)
+            path, end = out[number], len(word)
             while end:
                 path.append(last[end])
-                end -= len(last[end])
-            out[word] = self._ids(reversed(path))
+                end -= length[end]
+            path.reverse()
+            if max(path, default=0) >= self.real:
+                out[number] = [i for p in path for i in self._known(p)]
             before = word
-        return [out[w] for w in words]
-
-    def _score_step(self, word: str, end: int, total: list[float], last: list[str]) -> None:
-        """Append the last piece and total score of the best path over word[:end]."""
-        best, score = "", float("-inf")
-        for begin in range(max(0, end - self.longest), end):
-            i = self.id.get(word[begin:end])
-            if i is None and end - begin > 1:
-                continue
-            value = total[begin] + (self.unseen if i is None else self.scores[i])
-            if value > score:
-                best, score = word[begin:end], value
-        total.append(score)
-        last.append(best)
-
-    def _merge_step(self, word: str, end: int, total: list[float], last: list[str]) -> None:
-        """Append the last piece of the only path over word[:end] whose neighbours stay apart."""
-        ids, stable = self.id, self.stable
-        best = word[end - 1]
-        for begin in range(max(0, end - self.longest), end):
-            piece = word[begin:end]
-            if piece not in ids and end - begin > 1:
-                continue
-            key = (last[begin], piece)
-            known = stable.get(key)
-            if known is None:
-                known = self.apart(*key)
-            if known:
-                best = piece
-                break
-        total.append(0.0)
-        last.append(best)
-
-    def _ids(self, path) -> list[int]:
-        ids = []
-        for piece in path:
-            i = self.id.get(piece)
-            if i is not None:
-                ids.append(i)
-            elif self.byte_ids:
-                ids.extend(self.byte_ids[b] for b in piece.encode())
-            else:
-                ids.append(self.unknown)
-        return ids
+        return out
+
+    def _known(self, piece: int) -> list[int]:
+        if piece < self.real:
+            return [piece]
+        return [self.byte_ids[b] for b in self.pieces[piece].encode()] if self.byte_ids else [self.unknown]
+
+    def decode_bytes(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """UTF-8 texts of the sequences ids[ends[i]:ends[i + 1]]: pieces and bytes joined, marks as spaces, without the mark before the text."""
+        if not hasattr(self, "plain"):
+            plain = [r.replace(MARK.encode(), b" ") for r in self.raw]
+            self.size = np.fromiter(map(len, plain), np.int64, len(plain))
+            self.at = np.append(0, np.cumsum(self.size))[:-1]
+            self.plain = np.frombuffer(b"".join(plain), np.uint8)
+        size = self.size[ids]
+        text = self.plain[ragged(self.at[ids], size)].tobytes()
+        cut = np.append(0, np.cumsum(size))[ends].tolist()
+        return [text[a + (text[a : a + 1] == b" ") : b] if a < b else b"" for a, b in itertools.pairwise(cut)]
 
     def decode(self, ids: list[int]) -> str:
-        """Text of the ids: pieces and bytes joined, marks as spaces, the mark before the first word taken off."""
-        text = b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace").replace(MARK, " ")
-        return text[1:] if text[:1] == " " else text
+        """Text of one sequence; bytes that are no UTF-8 become the replacement character."""
+        return self.decode_bytes(np.array(ids, np.int64), np.array([0, len(ids)]))[0].decode(errors="replace").replace(MARK, " ")
 
 
 @functools.cache
@@ -149,19 +174,25 @@ def piece_model(path: str, merges: bool = True) -> PieceModel:
 
 
 @functools.cache
-def _worker(path: str, merges: bool) -> tuple[PieceModel, UnitCache, list[list[int]]]:
-    model, known = piece_model(path, merges), []
-    return model, UnitCache(lambda new: known.extend(model.encode_words([MARK + w for w in new]))), known
+def _worker(path: str, merges: bool) -> tuple[PieceModel, UnitTable, Sequences]:
+    """The model, the units this worker met and their ids."""
+    model, ids = piece_model(path, merges), Sequences()
+
+    def learn(units: list[bytes], heads: list[bool]) -> None:
+        words = [marked_words((" " if head else "") + u.decode()) for u, head in zip(units, heads, strict=True)]
+        got = model.encode_words([w for some in words for w in some])
+        at, sizes = 0, []
+        for some in words:
+            sizes.append(sum(map(len, got[at : at + len(some)])))
+            at += len(some)
+        ids.extend(np.fromiter(itertools.chain.from_iterable(got), np.int32, sum(sizes)), np.array(sizes, np.int64))
+
+    return model, UnitTable(learn, ids.clear, firsts_differ=True), ids
 
 
-def words_of(text: str) -> Iterator[list[str]]:
-    """Marked words of a text, a part at a time, without their first mark; a mark stands before the text and for each space."""
-    for k, part in enumerate(parts(text)):
-        marked = part.replace(" ", MARK)
-        if not k:
-            marked = MARK + marked
-        words = marked.split(MARK)[1:]
-        yield _WORD.findall(marked) if "" in words or MARK * 2 in marked else words
+def marked_words(text: str) -> list[str]:
+    """Words of a text, each with the run of marks that stands for the spaces before it."""
+    return _WORD.findall(text.replace(" ", MARK))
 
 
 def encode_pieces(docs: DataFrame, model: str, merges: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,40 +206,26 @@ def encode_pieces(docs: DataFrame, model: str, merges: bool = True, id_col: str
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_pieces long, ids array<int>, ids_crc32 long, round_trip boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spm, cache, known = _worker(model, merges)
+        spm, table, known = _worker(model, merges)
         for batch in batches:
-            _, offsets = text_bytes(batch.column(1))
-            for lo, hi in slices(offsets, 1 << 20):
-                texts = batch.column(1).slice(lo, hi - lo).to_pylist()
-                values: list[list[int]] = [[] for _ in texts]
-                units, pieces = [], []
-
-                def flush(values=values, units=units, pieces=pieces) -> None:
-                    at, got = 0, list(map(known.__getitem__, cache.lookup(units).tolist()))
-                    for row, n in pieces:
-                        values[row] += itertools.chain.from_iterable(got[at : at + n])
-                        at += n
-                    if cache.renew():
-                        known.clear()
-                    units.clear()
-                    pieces.clear()
-
-                for row, text in enumerate(texts):
-                    for words in words_of(text) if text else ():
-                        units += words
-                        pieces.append((row, len(words)))
-                        if len(units) > 1 << 20:
-                            flush()
-                flush()
-                sizes = list(map(len, values))
-                flat = np.fromiter(itertools.chain.from_iterable(values), np.int32, sum(sizes))
-                ends = np.cumsum([0, *sizes])
+            data, offsets = text_bytes(batch.column(1))
+            for lo, hi in slices(offsets):
+                part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+                flat, sizes = [np.zeros(0, np.int32)], np.zeros(hi - lo, np.int64)
+                for numbers, start in table.numbers(part, at, pair_cuts(part, at, spm.joined)):
+                    begin = known.start[numbers]
+                    size = known.start[numbers + 1] - begin
+                    flat.append(known.flat[ragged(begin, size)])
+                    sizes += np.bincount(np.searchsorted(at, start, side="right") - 1, size, hi - lo).astype(np.int64)
+                ids = np.concatenate(flat)
+                ends = np.append(0, np.cumsum(sizes))
+                same = spm.decode_bytes(ids, ends)
+                crcs = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in itertools.pairwise(ends.tolist())]
+                texts = [part[a:b].tobytes() for a, b in itertools.pairwise(at.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                        pa.array([zlib.crc32(flat[a:b].astype("<u4").tobytes()) for a, b in itertools.pairwise(ends.tolist())], pa.int64()),
-                        pa.array([spm.decode(ids) == (text or "") for ids, text in zip(values, texts, strict=True)]),
+                        batch.column(0).slice(lo, hi - lo), pa.array(sizes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+                        pa.array(crcs, pa.int64()), pa.array([a == b for a, b in zip(same, texts, strict=True)], pa.bool_()),
                     ],
                     names=["doc_id", "n_pieces", "ids", "ids_crc32", "round_trip"],
                 )

@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tickloom.llm.arrays import slices, text_bytes
-from tickloom.llm.units import UnitCache, marked_units, unit_text
+from tickloom.llm.units import MARKS, UnitTable, pretoken_cuts
 
 #: Fixed value: the published pre-token pattern of byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -125,10 +125,11 @@ class MergeTable:
 
 
 @functools.cache
-def unit_counts(path: str) -> tuple[UnitCache, list[int]]:
-    """Units seen by this worker and their token counts, one pair per vocabulary."""
-    table, counts = MergeTable(path), []
-    return UnitCache(lambda new: counts.extend(table.count_units([unit_text(u) for u in new]).tolist())), counts
+def _worker(path: str) -> tuple[UnitTable, list[np.ndarray], bytes]:
+    """Units met by this worker and arrays of their token counts, one set per vocabulary."""
+    merges, counts = MergeTable(path), []
+    marks = bytes(c for c in MARKS if not any(chr(c) in s for s in merges.special))
+    return UnitTable(lambda new, _: counts.append(merges.count_units([u.decode() for u in new])), counts.clear, firsts_differ=False), counts, marks
 
 
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -142,29 +143,17 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, counts = unit_counts(vocabulary)
-
-        def add(rows: np.ndarray, units: list[str], owner: list[int], length: list[int]) -> None:
-            got = np.fromiter(map(counts.__getitem__, cache.lookup(units).tolist()), np.int64, len(units))
-            np.add.at(rows, np.repeat(owner, length), got)
-            if cache.renew():
-                counts.clear()
-
+        table, counts, marks = _worker(vocabulary)
         for batch in batches:
-            _, offsets = text_bytes(batch.column(1))
+            data, offsets = text_bytes(batch.column(1))
             n_tokens = np.zeros(batch.num_rows, np.int64)
             for lo, hi in slices(offsets, 1 << 22):
-                units, owner, length = [], [], []
-                for row, text in enumerate(batch.column(1).slice(lo, hi - lo).to_pylist(), lo):
-                    for cut in marked_units(text) if text else ():
-                        units += cut
-                        owner.append(row)
-                        length.append(len(cut))
-                        if len(units) > 1 << 20:
-                            add(n_tokens, units, owner, length)
-                            units, owner, length = [], [], []
-                if units:
-                    add(n_tokens, units, owner, length)
+                part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+                for numbers, start in table.numbers(part, at, pretoken_cuts(part, at, marks)):
+                    if len(counts) > 1:
+                        counts[:] = [np.concatenate(counts)]
+                    row = np.searchsorted(at, start, side="right") - 1
+                    n_tokens[lo:hi] += np.bincount(row, counts[0][numbers], hi - lo).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.diff(offsets)), pa.array(n_tokens), pa.array(n_tokens > limit)],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import ragged, slices, text_bytes
-from tickloom.llm.units import UnitCache, marked_units, unit_text
+from tickloom.llm.units import MARKS, Sequences, UnitTable, pretoken_cuts
 
 #: Ids after which a block is closed at the next document's end.
 BLOCK_IDS = 1 << 17
@@ -70,56 +70,42 @@ def library_tokenizer(path: str):
 
 
 class DocumentEncoder:
-    """Ids of whole texts, from the library's ids of their distinct space-delimited units."""
+    """Ids of whole texts, from the library's ids of their distinct units."""
 
     def __init__(self, path: str, end_id: int):
-        self.tokenizer, self.end_id = library_tokenizer(path), end_id
-        self.cache = UnitCache(self._encode)
-        self._reset()
-
-    def _reset(self) -> None:
-        self.flat, self.start = np.zeros(1 << 20, np.int32), np.zeros(1 << 16, np.int64)
-        self.known = self.used = 0
-
-    def _encode(self, units: list[str]) -> None:
-        for lo in range(0, len(units), 4096):
-            texts = [unit_text(u) for u in units[lo : lo + 4096]]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            total, more = int(size.sum()), len(got)
-            if self.used + total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(total, self.used), np.int32)])
-            if self.known + more + 1 > len(self.start):
-                self.start = np.concatenate([self.start, np.zeros(max(more + 1, len(self.start)), np.int64)])
-            self.flat[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(got), np.int32, total)
-            self.start[self.known + 1 : self.known + 1 + more] = self.used + np.cumsum(size)
-            self.known, self.used = self.known + more, self.used + total
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        self.tokenizer, self.end_id, self.ids = library_tokenizer(path), end_id, Sequences()
+        special = self.tokenizer.get_added_tokens_decoder()
+        self.between = min(special) if special else None
+        self.mark = special[self.between].content.encode() if special else b""
+        self.marks = bytes(c for c in MARKS if not any(chr(c) in t.content for t in special.values()))
+        self.table = UnitTable(self._learn, self.ids.clear, firsts_differ=False)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, units: list[bytes], _: list[bool]) -> None:
+        """Many units go to the library as one text, with a special token between them that none of them holds."""
+        for lo in range(0, len(units), 512):
+            some = units[lo : lo + 512]
+            if self.between is not None and not any(self.mark in u for u in some):
+                ids = np.array(self._encode([(self.mark.join(some) + self.mark).decode()])[0], np.int32)
+                cut = ids == self.between
+                ends = np.flatnonzero(cut)
+                self.ids.extend(ids[~cut], np.diff(ends, prepend=-1) - 1)
+            else:
+                got = self._encode([u.decode() for u in some])
+                sizes = np.fromiter(map(len, got), np.int64, len(got))
+                self.ids.extend(np.fromiter(itertools.chain.from_iterable(got), np.int32, int(sizes.sum())), sizes)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, the end id after every text, and the number of ids of each text."""
-        out, sizes, units, owner, length = [], np.zeros(len(texts), np.int64), [], [], []
-
-        def flush() -> None:
-            numbers = self.cache.lookup(units)
-            size = self.start[numbers + 1] - self.start[numbers]
-            out.append(self.flat[ragged(self.start[numbers], size)])
-            ends = np.append(0, np.cumsum(size))[np.cumsum([0, *length])]
-            np.add.at(sizes, owner, np.diff(ends))
-            if self.cache.renew():
-                self._reset()
-            for x in (units, owner, length):
-                x.clear()
-
-        for row, text in enumerate(texts):
-            for cut in marked_units(text) if text else ():
-                units += cut
-                owner.append(row)
-                length.append(len(cut))
-                if len(units) > 1 << 20:
-                    flush()
-        if units:
-            flush()
-        ids = np.full(int(sizes.sum()) + len(texts), self.end_id, np.int32)
+        out, sizes = [], np.zeros(len(offsets) - 1, np.int64)
+        for numbers, start in self.table.numbers(data, offsets, pretoken_cuts(data, offsets, self.marks)):
+            begin = self.ids.start[numbers]
+            size = self.ids.start[numbers + 1] - begin
+            out.append(self.ids.flat[ragged(begin, size)])
+            sizes += np.bincount(np.searchsorted(offsets, start, side="right") - 1, size, len(sizes)).astype(np.int64)
+        ids = np.full(int(sizes.sum()) + len(sizes), self.end_id, np.int32)
         room = np.ones(len(ids), bool)
         room[np.cumsum(sizes + 1) - 1] = False
         ids[room] = np.concatenate(out) if out else 0
@@ -163,9 +149,9 @@ def write_blocks(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, i
             return out
 
         for batch in batches:
-            _, offsets = text_bytes(batch.column(1))
-            for lo, hi in slices(offsets, 1 << 20):
-                ids, sizes = encoder.encode(batch.column(1).slice(lo, hi - lo).to_pylist())
+            data, offsets = text_bytes(batch.column(1))
+            for lo, hi in slices(offsets):
+                ids, sizes = encoder.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 held.append(ids)
                 held_ids.extend(batch.column(0).slice(lo, hi - lo).to_pylist())
                 held_sizes.extend(sizes.tolist())

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.llm.arrays import U64, mix, ragged, slices, text_bytes, words
 
@@ -131,7 +132,7 @@ def scan_contamination(
     Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. A pattern is `window` consecutive words of
     an item, or all its words where it has fewer; a document word inside any occurrence of a pattern is hit. item_ids are
     the items with an occurring pattern, hit_spans the byte ranges from the first to the last word of each run of hit
-    words. A null text, and an item without words, has no words and no hits; an empty benchmark hits nothing; repeated
+    words. The id may be of any type, a struct of the whole row too. A null text, and an item without words, has no words and no hits; an empty benchmark hits nothing; repeated
     rows are returned as they come, repeated items count once; other columns are ignored.
 
     Documents are scanned whole where they are, without a shuffle. The benchmark is taken in blocks of about 16 MB,
@@ -153,10 +154,9 @@ def scan_contamination(
             for lo, hi in slices(offsets, 1 << 22):
                 yield _scan(batch.column(0).slice(lo, hi - lo), data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], held, window)
 
-    id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, n_words long, n_hit long, item_ids array<string>, hit_spans array<struct<start:long,end:long>>"
-    )
+    pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    found = StructType.fromDDL("n_words long, n_hit long, item_ids array<string>, hit_spans array<struct<start:long,end:long>>")
+    return pairs.mapInArrow(run, StructType([pairs.schema["doc_id"], *found.fields]))
 
 
 def _scan(ids: pa.Array, data: np.ndarray, offsets: np.ndarray, held: list, window: int) -> pa.RecordBatch:

@@ -40,7 +40,7 @@ def op1_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without strings of 400 bytes that stand anywhere else."""
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept", "carried")
 
 
 def op3_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

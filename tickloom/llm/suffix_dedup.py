@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.llm.arrays import U64, mix, prefix_hash, ragged, slices, span_hash, text_bytes
 from tickloom.session import work_path
@@ -332,9 +333,12 @@ def _by_join(contexts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.hash(text).alias("text_hash"), text.alias("text"))
+    return docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.hash(text).alias("text_hash"), text.alias("text"),
+        F.struct(F.lit(0).alias("none"), *(F.col(c) for c in carry)).alias("carried"),
+    )
 
 
 def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> str:
@@ -378,8 +382,10 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     return path
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (binary) and kept_sha256 of every row of `docs`.
+def remove_repeats(
+    docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept (binary), kept_sha256 and carried (struct of the columns `carry`) of every row of `docs`.
 
     Removed is each byte covered by a string of `length` bytes that also starts anywhere else in the table, in the same
     text included; strings overlap, never run over the end of a text, and are judged on the input. n_spans counts the
@@ -387,7 +393,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     so each loses all that is long enough; a null id counts as an id; an empty table gives no rows; other columns are
     ignored.
     """
-    texts = _keyed(docs, id_col, text_col)
+    texts = _keyed(docs, id_col, text_col, carry)
     spans = docs.sparkSession.read.parquet(repeated_spans(docs, length, id_col, text_col))
     per_text = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("begin", "stop")).alias("spans"))
 
@@ -419,11 +425,13 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
                     [
                         batch.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets[lo : hi + 1])), pa.array(removed, pa.int64()),
                         pa.array(runs, pa.int64()), pa.array(bodies, pa.binary()), pa.array(hashes, pa.string()),
+                        batch.column(3).slice(lo, hi - lo),
                     ],
-                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", "carried"],
                 )
 
-    return (
-        texts.join(per_text, ["doc_id", "text_hash"], "left").select(F.nullif("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "text", "spans")
-        .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    rows = texts.join(per_text, ["doc_id", "text_hash"], "left").select(
+        F.nullif("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "text", "spans", "carried"
     )
+    found = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return rows.mapInArrow(run, StructType([*found.fields, rows.schema["carried"]]))

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.llm.arrays import U64, mix, prefix_hash, slices, span_hash, text_bytes, words
 
@@ -188,7 +189,8 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Rejected is a text that the scorer gives more than 0.5 and the label model does not call good. The label model counts the votes on all texts; the scorer is fitted on some FIT_ROWS texts chosen by hash, the same
     at every size of table. A null text is empty: nobody votes on it and it is not rejected; nor is any text on which no
-    labeller votes. Repeated rows and null ids are returned as they come; an empty table gives no rows; other columns
+    labeller votes. The id may be of any type, a struct of the whole
+    row too. Repeated rows and null ids are returned as they come; an empty table gives no rows; other columns
     are ignored.
     """
     spark, texts = docs.sparkSession, _pairs(docs, id_col, text_col)
@@ -231,5 +233,5 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                     names=["doc_id", "n_votes", "posterior", "score", "rejected"],
                 )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, n_votes long, posterior double, score double, rejected boolean")
+    found = StructType.fromDDL("n_votes long, posterior double, score double, rejected boolean")
+    return texts.mapInArrow(run, StructType([texts.schema["doc_id"], *found.fields]))

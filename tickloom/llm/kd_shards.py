@@ -103,7 +103,7 @@ def kd_tree(groups: DataFrame, shards: int) -> tuple[DataFrame, list[dict]]:
     A level of the tree is a small table of splits that is joined to the groups, so a group's node is a chain of joins
     with tables of at most `shards` rows.
     """
-    points = groups.withColumn("node", F.lit(0))
+    points = groups.withColumn("node", (F.col("weight") < 0).cast("int"))  # 0, but no constant: the first split is a join too
     parts, splits, fresh = {0: (0, shards)}, [], 1
     while any(k > 1 for _, k in parts.values()):
         open_ = [n for n, (_, k) in parts.items() if k > 1]

@@ -189,7 +189,7 @@ def learn_rules(labelled: DataFrame) -> list[Rule]:
     rows = labelled.withColumn("held", F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(3)) == 0)
     cuts = _cuts(rows)
     rules: list[Rule] = []
-    while len(rules) < RULES:
+    while any(cuts.values()) and len(rules) < RULES:
         rule = _grow(rows.filter(~F.col("held")), cuts)
         if not rule:
             break

@@ -41,6 +41,8 @@ def suffix_array(text: list[int]) -> list[int]:
     ascending order: the suffix at each rank places those whose Lyndon prefix ends where it starts.
     """
     n = len(text)
+    if not n:
+        return []
     symbols = {c: g for g, c in enumerate(sorted(set(text)))}
     group = [symbols[c] for c in text]
     members: list[list[int]] = [[] for _ in symbols]

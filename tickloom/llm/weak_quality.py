@@ -71,7 +71,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     start = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
     start = start[start < len(data)]
     stop = np.minimum(np.append(start[1:], len(data)), len(data))
-    stop = stop - ((stop > start) & (data[stop - 1] == 10))
+    stop = stop - ((stop > start) & (data[stop - 1] == 10)) if len(start) else start
     full = stop > start
     start, stop = start[full], stop[full]
     line = span_hash(prefix_hash(data), start, stop) if len(start) else np.zeros(0, U64)

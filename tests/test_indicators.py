@@ -142,3 +142,61 @@ def test_warmup_form_is_close_to_exact(spark, walk):
     short = I.momentum_after_warmup(df.where(F.col("open_time") < cut), df.where(F.col("open_time") >= cut))
     np.testing.assert_allclose(values(short, "A", "rsi_14"), values(exact, "A", "rsi_14"), atol=1e-4)
     np.testing.assert_allclose(values(short, "A", "macd"), values(exact, "A", "macd"), atol=1e-2)
+
+
+@pytest.mark.parametrize("holes", [[0], [0, 1, 2], [5], [7, 8, 9], [39], [0, 10, 11, 38, 39], list(range(8, 24))])
+@pytest.mark.parametrize("chunk", [1, 8, 2048])
+def test_null_values_are_stepped_over(spark, monkeypatch, holes, chunk):
+    """A row without a value keeps its place and shows the mean before it, as pandas does when it ignores gaps."""
+    monkeypatch.setattr(E, "CHUNK_STEPS", chunk)
+    rng = np.random.default_rng(3)
+    closes = pd.Series(100 + rng.normal(size=40).round(2))
+    closes[holes] = np.nan
+    start = dt.datetime(2024, 1, 1)
+    rows = [("A", start + dt.timedelta(minutes=i), None if np.isnan(c) else float(c)) for i, c in enumerate(closes)]
+    df = spark.createDataFrame(rows, "symbol string, open_time timestamp, close double")
+    out = ewm(df, "symbol", "open_time", 60, [Mean("close", 9, "y"), Mean("close", 9, "up", "rise")])
+    want = closes.ewm(span=9, adjust=False, ignore_na=True).mean()
+    np.testing.assert_allclose(values(out, "A", "y"), want, rtol=1e-11)
+    known = closes.dropna()
+    rises = known.diff().clip(lower=0).ewm(span=9, adjust=False).mean().reindex(closes.index).ffill()
+    np.testing.assert_allclose(values(out, "A", "up"), rises, rtol=1e-9, atol=1e-12)
+
+
+def test_more_rows_than_steps_raise(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = [("A", start + dt.timedelta(seconds=i), 1.0) for i in range(6000)]
+    df = spark.createDataFrame(rows, "symbol string, open_time timestamp, close double")
+    with pytest.raises(Exception, match="remove duplicates first"):
+        ewm(df, "symbol", "open_time", 60, [Mean("close", 9, "y")]).collect()
+
+
+def test_fold_is_linear(spark, monkeypatch):
+    """Twenty thousand chunks of one symbol."""
+    import time
+
+    monkeypatch.setattr(E, "CHUNK_STEPS", 1)
+    df = spark.range(20_000).select(
+        F.lit("A").alias("symbol"), F.timestamp_seconds(F.col("id") * 60).alias("open_time"), (F.col("id") % 7).cast("double").alias("close")
+    )
+    start = time.monotonic()
+    out = ewm(df, "symbol", "open_time", 60, [Mean("close", 9, "y")])
+    want = pd.Series(np.arange(20_000) % 7).astype(float).ewm(span=9, adjust=False).mean()
+    np.testing.assert_allclose(values(out, "A", "y"), want, rtol=1e-9)
+    assert time.monotonic() - start < 15
+
+
+def test_batch_delivered_twice(spark, tmp_path):
+    """The same rows twice in one micro-batch count once; two versions of the carry stay."""
+    from tickloom.streaming.indicators import MomentumStream
+
+    rng = np.random.default_rng(11)
+    closes = 100 + np.cumsum(rng.normal(size=50)).round(2)
+    df = frame(spark, {"A": closes})
+    stream = MomentumStream(spark, str(tmp_path / "m"))
+    rows = df.orderBy("open_time").collect()
+    for batch, part in enumerate((rows[:20], rows[20:35], rows[35:])):
+        new = spark.createDataFrame(part, df.schema)
+        stream(new.unionByName(new), batch)
+    np.testing.assert_allclose(values(stream.rows(), "A", "rsi_14"), pandas_rsi(pd.Series(closes)), rtol=1e-9, atol=1e-9)
+    assert sorted(p.name for p in (tmp_path / "m" / "carry").iterdir()) == ["v1", "v2"]

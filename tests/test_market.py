@@ -89,13 +89,46 @@ def test_depth_band_and_short_levels(spark):
     assert (far["depth_bid_volume"], far["obi"], far["bid_ask_ratio"]) == (0.0, 0.0, None)
 
 
-def test_books_keep_the_best_levels(spark):
-    rows = [("S", dt.datetime(2024, 1, 1), side, float(p), 1.0) for side in ("bid", "ask") for p in range(1, 301)]
+def test_books_hold_every_level(spark):
+    rows = [("S", dt.datetime(2024, 1, 1), side, float(p), 1.0) for side in ("bid", "ask") for p in range(1, 151)]
     rows += rows[:5]  # equal prices add up
     df = spark.createDataFrame(rows, "symbol string, timestamp timestamp, side string, price double, qty double")
     row = orderbook.books_from_levels(df).first()
-    assert len(row["bids"]) == len(row["asks"]) == 100
-    assert row["bids"][0] == ["300.0", "1.0"] and row["asks"][0] == ["1.0", "1.0"]
+    assert len(row["bids"]) == len(row["asks"]) == 150
+    assert tuple(row["bids"][0]) == (150.0, 1.0) and tuple(row["asks"][0]) == (1.0, 1.0) and tuple(row["bids"][-1]) == (1.0, 2.0)
+
+
+def test_metrics_see_all_levels_near_the_middle(spark):
+    """150 levels a side within half a percent all count, typed or as text."""
+    rows = [("S", dt.datetime(2024, 1, 1), "bid", 100 - k / 1000, 1.0) for k in range(1, 151)]
+    rows += [("S", dt.datetime(2024, 1, 1), "ask", 100 + k / 1000, 1.0) for k in range(1, 151)]
+    books = orderbook.books_from_levels(
+        spark.createDataFrame(rows, "symbol string, timestamp timestamp, side string, price double, qty double")
+    )
+    text = books.withColumns({c: orderbook.wire_levels(F.col(c)) for c in ("bids", "asks")})
+    for df in (books, text):
+        m = orderbook.order_book_metrics(df).first()
+        assert (m["depth_bid_volume"], m["depth_ask_volume"], m["obi"]) == (150.0, 150.0, 0.0)
+
+
+def test_depth_imbalance(spark):
+    rows = [("S", dt.datetime(2024, 1, 1), "bid", 1.0, 3.0), ("S", dt.datetime(2024, 1, 1), "ask", 900.0, 1.0), ("T", dt.datetime(2024, 1, 1), "ask", 9.0, 1.0)]
+    books = orderbook.books_from_levels(
+        spark.createDataFrame(rows, "symbol string, timestamp timestamp, side string, price double, qty double")
+    )
+    assert [(r.symbol, r.imbalance) for r in orderbook.depth_imbalance(books).collect()] == [("S", 0.75)]
+
+
+def test_report_ends_with_the_newest_bar(spark):
+    """100 days of hourly rows: the medium preset's report closes with the last one."""
+    from tickloom.operators.reports import market_report
+    from tickloom.presets import timeframe
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [("A", start + dt.timedelta(hours=h), *([100.0 + h] * 4), 1.0) for h in range(2400)]
+    klines = spark.createDataFrame(rows, "symbol string, open_time timestamp, open double, high double, low double, close double, volume double")
+    report = market_report(klines, timeframe("medium")).first()["report"]
+    assert f"Latest close: {100.0 + 2399:.4f}" in report and "2024-04-09 20:00" in report
 
 
 def test_depth_message(spark):
@@ -170,11 +203,11 @@ def test_latest_limits_before_the_shuffle(spark):
 
 def test_heatmap_rules(spark):
     start = dt.datetime(2024, 1, 1)
-    rows = [(s, start + dt.timedelta(hours=4 * i), 100.0 + (i * i) % 7, 100.0, 100.0, 100.0 + (i * 5) % 11) for s in "ABC" for i in range(30)]
+    rows = [(s, start + dt.timedelta(hours=4 * i), 100.0 + (i * i) % 7, 100.0, 100.0, 100.0 + (i * 5) % 11) for s in "ABCD" for i in range(30)]
     k = spark.createDataFrame(rows, "symbol string, open_time timestamp, open double, high double, low double, close double")
-    t = spark.createDataFrame([(s, start, v, 1.0) for s, v in (("A", 5.0), ("B", 0.0), ("C", 9.0))], "symbol string, snapshot_time timestamp, quote_volume_24h double, price_change_pct double")
-    d = spark.createDataFrame([("A", "a", None), ("B", "b", "TRADING"), ("C", "c", "BREAK")], "symbol string, base_asset string, status string")
-    assert [r["symbol"] for r in heatmap.rsi_heatmap(k, t, d).collect()] == ["A"]
+    t = spark.createDataFrame([(s, start, v, 1.0) for s, v in (("A", 5.0), ("B", 0.0), ("C", 9.0), ("D", 3.0))], "symbol string, snapshot_time timestamp, quote_volume_24h double, price_change_pct double")
+    d = spark.createDataFrame([("A", "a", "TRADING"), ("B", "b", "TRADING"), ("C", "c", "BREAK"), ("D", "d", None)], "symbol string, base_asset string, status string")
+    assert [r["symbol"] for r in heatmap.rsi_heatmap(k, t, d).collect()] == ["A"]  # no volume, delisted, status unknown
 
 
 def test_market_snapshot_keeps_unmatched_symbols(spark):

@@ -17,6 +17,7 @@ from tickloom.presets import TIMEFRAMES, timeframe
 from tickloom.sources.messages import news_flatten
 from tickloom.streaming.candles import stream_candles, stream_dedup
 from tickloom.streaming.indicators import MomentumStream
+from tickloom.vocab import NEWS_CAPS
 from tickloom.streaming.sinks import read_new_files, run_available, run_batches
 
 
@@ -89,7 +90,9 @@ def test_news_flatten_caps_and_dates(spark):
     bad = '{"title": "x", "publishedAt": "yesterday", "source": {}}'
     now = F.lit("2026-01-01 00:00:00").cast("timestamp")
     df = spark.createDataFrame([(body,), (bad,)], "b string")
-    a, b = news_flatten(df, "b", F.lit("q"), now).orderBy(F.desc(F.length("title"))).collect()
+    whole = news_flatten(df, "b", F.lit("q"), now).orderBy(F.desc(F.length("title"))).first()
+    assert len(whole["title"]) == 600  # nothing is cut unless asked for
+    a, b = news_flatten(df, "b", F.lit("q"), now, NEWS_CAPS).orderBy(F.desc(F.length("title"))).collect()
     assert (len(a["title"]), a["description"], str(a["published_at"]), a["source_name"]) == (500, "", "2025-09-30 19:38:25", "n")
     assert (b["article_id"], str(b["published_at"]), b["url"]) == (hashlib.md5(b"").hexdigest(), "2026-01-01 00:00:00", "")
 

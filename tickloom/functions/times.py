@@ -75,14 +75,27 @@ def as_of_column(df: DataFrame, ts: str, as_of: Column | dt.datetime | None) ->
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 
-def since(df: DataFrame, ts: str, days: int, as_of=None) -> DataFrame:
-    """Rows of the last `days` days before `as_of`."""
-    return df.where(F.col(ts) >= days_before(as_of_column(df, ts, as_of), days))
+def from_month(df: DataFrame, low: Column | None = None, high: Column | None = None, month: str | None = None) -> DataFrame:
+    """Rows whose partition column `month` ('yyyy-MM') can hold times in [low, high]; all rows if there is no such column."""
+    if month is not None and low is not None:
+        df = df.where(F.col(month) >= F.date_format(instant(low), "yyyy-MM"))
+    if month is not None and high is not None:
+        df = df.where(F.col(month) <= F.date_format(instant(high), "yyyy-MM"))
+    return df
+
+
+def since(df: DataFrame, ts: str, days: int, as_of=None, month: str | None = None) -> DataFrame:
+    """Rows of the last `days` days before `as_of`; `month` names a partition column to prune by."""
+    low = days_before(as_of_column(df, ts, as_of), days)
+    return from_month(df.where(F.col(ts) >= low), low, None, month)
 
 
-def between(df: DataFrame, ts: str, start: dt.datetime | None = None, end: dt.datetime | None = None) -> DataFrame:
-    """Rows with `ts` in [start, end]; literals of the column's own type, so they reach the scan."""
+def between(
+    df: DataFrame, ts: str, start: dt.datetime | None = None, end: dt.datetime | None = None, month: str | None = None
+) -> DataFrame:
+    """Rows with `ts` in [start, end]; literals of the column's own type, so they reach the scan, and partitions by `month`."""
     kind = dict(df.dtypes)[ts]
+    df = from_month(df, *(None if b is None else F.lit(b.isoformat(" ")).cast("timestamp") for b in (start, end)), month)
     for bound, keeps in ((start, F.col(ts).__ge__), (end, F.col(ts).__le__)):
         if bound is not None:
             df = df.where(keeps(F.lit(bound.isoformat(" ")).cast(kind)))
@@ -101,10 +114,12 @@ def month_bounds(month: str) -> tuple[dt.datetime, dt.datetime]:
     return start, (start + dt.timedelta(days=32)).replace(day=1)
 
 
-def in_month(df: DataFrame, ts: str, month: str) -> DataFrame:
-    """Rows with `ts` in [first of month, first of next month); literals, so it reaches the scan."""
+def in_month(df: DataFrame, ts: str, month: str, partition: str | None = None) -> DataFrame:
+    """Rows with `ts` in [first of month, first of next month); literals, so it reaches the scan. `partition`: the month column."""
     start, end = month_bounds(month)
     kind = dict(df.dtypes)[ts]
+    if partition is not None:
+        df = df.where(F.col(partition) == month)
     return between(df, ts, start).where(F.col(ts) < F.lit(end.isoformat(" ")).cast(kind))
 
 

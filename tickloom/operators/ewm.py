@@ -8,7 +8,8 @@ series can be cut into chunks:
    many tasks as it has chunks. Inside a chunk a running sum gives each row's response to the
    chunk's own values ("local").
 2. one small row per chunk (count, ends, last local) goes to its key, where a fold carries the
-   mean from chunk to chunk. The list length follows the calendar, not the row count.
+   mean from chunk to chunk, in blocks of `FOLD_BLOCK` chunks so that its work stays linear. The list
+   length follows the calendar, not the row count.
 3. the entry value of its chunk is joined back: y = local + (1-a)^(i-1) * entry.
 
 Everything is built-in expressions. The same fold starts from stored values (`carry`), so an
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_STEPS = 2048
+FOLD_BLOCK = 128
 # (1-a)^-n of a chunk must stay far inside the double range, whatever the inputs are scaled to
 LARGEST_POWER_OF_TEN = 270
 
@@ -70,7 +72,9 @@ def ewm(
 ) -> DataFrame:
     """Add one column per mean.
 
-    `df` must hold one row per (key, grid step of `step_seconds`) and no NULL values.
+    `df` must hold one row per (key, grid step of `step_seconds`); more rows than steps in a chunk raise.
+    A row with a NULL input is stepped over: it keeps its place and shows the mean before it (NULL
+    where there is none yet), and the next value follows as if the row were not there.
     `carry` has one row per key: the last value of every input (`last_<value>`) and of every mean.
     A mean of rises or falls is NULL on the first row of a key, which has no predecessor.
     """
@@ -82,7 +86,7 @@ def ewm(
         y = f"__l_{m.out} + pow({m.keep}, __i - 1) * __e_{m.out}"
         if m.of != "level":
             y = f"CASE WHEN NOT (__head AND __i = 1) THEN {y} END"
-        return f"{y} AS {m.out}"
+        return f"CASE WHEN __i = 0 THEN __b_{m.out} ELSE {y} END AS {m.out}"
 
     return rows.selectExpr(*[f"`{c}`" for c in df.columns], *[result(m) for m in means])
 
@@ -90,7 +94,8 @@ def ewm(
 def _with_local(df: DataFrame, key: str, ts: str, step: int, means: Sequence[Mean]) -> DataFrame:
     """Chunk number, 1-based position in the chunk and each mean's response to the chunk's own values.
 
-    The first row of a chunk is left out of the response; it enters through the entry value.
+    The first row of a chunk is left out of the response; it enters through the entry value. Positions
+    count the rows without a NULL input (`__ok`).
     """
     inside = f"(PARTITION BY {key}, __c ORDER BY {ts})"
     so_far = f"(PARTITION BY {key}, __c ORDER BY {ts} ROWS UNBOUNDED PRECEDING)"
@@ -98,11 +103,15 @@ def _with_local(df: DataFrame, key: str, ts: str, step: int, means: Sequence[Mea
     # the chunk is never NULL, so both uses of the shuffled rows plan the same exchange and share it
     steps = min(CHUNK_STEPS, *[m.longest_chunk for m in means])
     chunk = f"coalesce(floor(unix_seconds(CAST({ts} AS TIMESTAMP)) / {step * steps}), 0L) AS __c"
-    placed = df.selectExpr("*", chunk).selectExpr(
+    values = list(dict.fromkeys(m.value for m in means))
+    known = " AND ".join(f"{v} IS NOT NULL" for v in values)
+    fits = f"assert_true(row_number() OVER {inside} <= {steps}, 'more rows than grid steps: remove duplicates first')"
+    placed = df.selectExpr("*", chunk, f"({known}) AS __ok").selectExpr(
         "*",
-        f"CAST(row_number() OVER {inside} AS DOUBLE) AS __i",
-        *[f"lag({v}) OVER {inside} AS __p_{v}" for v in dict.fromkeys(m.value for m in moves)],
-    )
+        f"CAST(count_if(__ok) OVER {so_far} AS DOUBLE) AS __i",
+        f"{fits} AS __fits",
+        *[f"lag(CASE WHEN __ok THEN {v} END) IGNORE NULLS OVER {inside} AS __p_{v}" for v in dict.fromkeys(m.value for m in moves)],
+    ).where("__fits IS NULL").drop("__fits")
     if moves:
         placed = placed.selectExpr(
             "*", *[f"{m.change(m.value, f'__p_{m.value}')} AS __d_{m.out}" for m in moves]
@@ -110,7 +119,7 @@ def _with_local(df: DataFrame, key: str, ts: str, step: int, means: Sequence[Mea
 
     def local(m: Mean) -> str:
         x = m.value if m.of == "level" else f"__d_{m.out}"
-        total = f"sum(CASE WHEN __i > 1 THEN {x} * pow({m.keep}, -__i) END) OVER {so_far}"
+        total = f"sum(CASE WHEN __ok AND __i > 1 THEN {x} * pow({m.keep}, -__i) END) OVER {so_far}"
         return f"{m.alpha} * pow({m.keep}, __i) * coalesce({total}, 0D) AS __l_{m.out}"
 
     return placed.selectExpr("*", *[local(m) for m in means])
@@ -121,11 +130,11 @@ def _chunk_ends(df: DataFrame, key: str, ts: str, step: int, means: Sequence[Mea
     values = dict.fromkeys(m.value for m in means)
     return _with_local(df, key, ts, step, means).groupBy(key, "__c").agg(
         F.max("__i").alias("n"),
-        *[F.min_by(v, "__i").alias(f"first_{v}") for v in values],
-        *[F.max_by(v, "__i").alias(f"last_{v}") for v in values],
+        *[F.expr(f"max(CASE WHEN __ok AND __i = 1 THEN {v} END)").alias(f"first_{v}") for v in values],
+        *[F.expr(f"max_by({v}, __i) FILTER (WHERE __ok)").alias(f"last_{v}") for v in values],
         *[F.max_by(f"__l_{m.out}", "__i").alias(f"local_{m.out}") for m in means],
         *[
-            F.expr(f"max(CASE WHEN __i = 2 THEN __d_{m.out} END)").alias(f"second_{m.out}")
+            F.expr(f"max(CASE WHEN __ok AND __i = 2 THEN __d_{m.out} END)").alias(f"second_{m.out}")
             for m in means
             if m.of != "level"
         ],
@@ -152,20 +161,27 @@ def _fold(ends: DataFrame, key: str, means: Sequence[Mean], carry: DataFrame | N
         )
 
     def after(m: Mean) -> str:
-        return f"c.local_{m.out} + pow({m.keep}, c.n - 1) * ({entry(m)})"
+        """Mean after the chunk; a chunk without values leaves it."""
+        return f"CASE WHEN c.n = 0 THEN s.{m.out} ELSE c.local_{m.out} + pow({m.keep}, c.n - 1) * ({entry(m)}) END"
 
-    fields = "c: bigint, head: boolean, " + ", ".join(f"e_{m.out}: double" for m in means)
-    start = f"struct(CAST(array() AS array<struct<{fields}>>) AS entries, " + ", ".join(
-        f"__s_{c} AS {c}" for c in state
-    )
+    fields = "c: bigint, head: boolean, " + ", ".join(f"e_{m.out}: double, b_{m.out}: double" for m in means)
+    none, nothing = f"CAST(array() AS array<struct<{fields}>>)", f"CAST(array() AS array<array<struct<{fields}>>>)"
     item = f"struct(c.__c AS c, s.last_{values[0]} IS NULL AS head, " + ", ".join(
-        f"{entry(m)} AS e_{m.out}" for m in means
+        f"{entry(m)} AS e_{m.out}, s.{m.out} AS b_{m.out}" for m in means
     )
-    moved = [f"c.last_{v} AS last_{v}" for v in values] + [f"{after(m)} AS {m.out}" for m in means]
+    moved = [f"coalesce(c.last_{v}, s.last_{v}) AS last_{v}" for v in values] + [f"{after(m)} AS {m.out}" for m in means]
     step = f"struct(concat(s.entries, array({item}))) AS entries, {', '.join(moved)})"
-    one = listed.selectExpr(key, f"inline(aggregate(chunks, {start}), (s, c) -> {step}, s -> s.entries))")
+    # an inner fold lists the entries of a block, the outer one the blocks
+    begin = f"struct({none} AS entries, " + ", ".join(f"t.{c} AS {c}" for c in state) + ")"
+    inner = f"aggregate(block, {begin}, (s, c) -> {step})"
+    outer = f"transform(array({inner}), r -> struct(concat(t.blocks, array(r.entries)) AS blocks, " + ", ".join(
+        f"r.{c} AS {c}" for c in state
+    ) + "))[0]"
+    start = f"struct({nothing} AS blocks, " + ", ".join(f"__s_{c} AS {c}" for c in state) + ")"
+    blocks = f"transform(sequence(0, (size(chunks) - 1) div {FOLD_BLOCK}), k -> slice(chunks, CAST(k * {FOLD_BLOCK} + 1 AS INT), {FOLD_BLOCK}))"
+    one = listed.selectExpr(key, f"inline(aggregate({blocks}, {start}, (t, block) -> {outer}, t -> flatten(t.blocks)))")
     return one.selectExpr(
-        key, "c AS __c", "head AS __head", *[f"e_{m.out} AS __e_{m.out}" for m in means]
+        key, "c AS __c", "head AS __head", *[f"e_{m.out} AS __e_{m.out}" for m in means], *[f"b_{m.out} AS __b_{m.out}" for m in means]
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.times import between, days_before, instant, local_time
+from tickloom.functions.times import between, days_before, from_month, instant, local_time
 from tickloom.vocab import LOCAL_ZONE
 
 STEPS_PER_CHUNK = 8192
@@ -66,10 +66,13 @@ def direction_accuracy(df: DataFrame, steps_per_chunk: int = STEPS_PER_CHUNK) ->
     )
 
 
-def forecast_overlay(klines: DataFrame, predictions: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+def forecast_overlay(
+    klines: DataFrame, predictions: DataFrame, zone: str = LOCAL_ZONE, month: str | None = None
+) -> DataFrame:
     """Actual closes between the first forecast of the last day and one hour after the newest one.
 
-    Bounds are one row per symbol, joined on the symbol.
+    Bounds are one row per symbol, joined on the symbol; their ends reach the scan of the candles, and its
+    partitions if `month` names a 'yyyy-MM' partition column.
     """
     day, hour = F.make_dt_interval(F.lit(1)), F.make_dt_interval(hours=F.lit(1))
     newest = predictions.groupBy("symbol").agg(F.max("predicted_at").alias("newest"))
@@ -79,8 +82,10 @@ def forecast_overlay(klines: DataFrame, predictions: DataFrame, zone: str = LOCA
         .groupBy("symbol")
         .agg(F.min("predicted_at").alias("lo"), (F.max("newest") + hour).alias("hi"))
     )
+    low, high = bounds.select(F.min("lo")).scalar(), bounds.select(F.max("hi")).scalar()
+    window = from_month(klines.where(F.col("open_time").between(low, high)), low, high, month)
     return (
-        klines.join(bounds, "symbol")
+        window.join(bounds, "symbol")
         .where(F.col("open_time").between(F.col("lo"), F.col("hi")))
         .select("symbol", local_time(F.col("open_time"), zone).alias("time"), F.col("close").alias("actual_close"))
     )

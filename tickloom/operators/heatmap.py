@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.labels import in_zone, is_trading, rsi_zone
-from tickloom.functions.times import instant, newest
+from tickloom.functions.labels import in_zone, rsi_zone
+from tickloom.functions.times import from_month, instant, newest
 from tickloom.operators.candles import candles
 from tickloom.operators.indicators import rsi_sma
 from tickloom.operators.latest import latest_values
@@ -16,17 +16,18 @@ BAR_SECONDS = {"1h": 3600, "4h": 14400}
 LOOKBACK_BARS = 80
 
 
-def rsi_heatmap(klines: DataFrame, ticker: DataFrame, dim: DataFrame, tf: str = "4h", zone: str = "All"):
+def rsi_heatmap(
+    klines: DataFrame, ticker: DataFrame, dim: DataFrame, tf: str = "4h", zone: str = "All", month: str | None = None
+) -> DataFrame:
     """One row per trading symbol with two known RSI values and volume.
 
     The lookback bounds the window to about 80 bars per symbol; the previous RSI comes from a
-    lag over the same window instead of a self join.
+    lag over the same window instead of a self join. `month` names a 'yyyy-MM' partition column.
     """
     width = BAR_SECONDS.get(tf, 86400)
     last = newest(klines, "open_time")
-    recent = klines.where(
-        F.col("open_time") >= last - F.make_dt_interval(secs=F.lit(width * LOOKBACK_BARS))
-    )
+    low = last - F.make_dt_interval(secs=F.lit(width * LOOKBACK_BARS))
+    recent = from_month(klines.where(F.col("open_time") >= low), low, None, month)
     bars = rsi_sma(candles(recent, width, sums=()))
     order = Window.partitionBy("symbol").orderBy("ts")
     pairs = bars.withColumns(
@@ -36,7 +37,7 @@ def rsi_heatmap(klines: DataFrame, ticker: DataFrame, dim: DataFrame, tf: str =
         }
     ).where((F.col("rn") == 1) & F.col("rsi").isNotNull() & F.col("prev").isNotNull())
     volume = latest_values(ticker, ["symbol"], "snapshot_time", ["quote_volume_24h", "price_change_pct"])
-    active = dim.where(is_trading(F.col("status"))).select("symbol", "base_asset")
+    active = dim.where(F.col("status") == "TRADING").select("symbol", "base_asset")  # an unknown status is not shown
     joined = pairs.join(active, "symbol").join(volume.where(F.col("quote_volume_24h") > 0), "symbol")
     return (
         joined.select(

@@ -12,7 +12,6 @@ from tickloom.functions.times import bucket_seconds
 from tickloom.operators.candles import candles
 from tickloom.operators.ewm import Mean, carry_of, ewm
 from tickloom.operators.load import with_warmup
-from tickloom.session import cut_lineage
 from tickloom.vocab import CANDLE_STEP_SECONDS, WARMUP_ROWS
 
 GAIN, LOSS = Mean("close", 14, "avg_gain", "rise"), Mean("close", 14, "avg_loss", "fall")
@@ -81,11 +80,9 @@ def momentum_state(df: DataFrame, key="symbol", ts="open_time") -> DataFrame:
 def candle_indicators(df: DataFrame, size: int | str, **kw) -> DataFrame:
     """Re-bucket, then RSI and MACD of the buckets (RSI-14 of daily candles is a 14-day RSI).
 
-    The scan reads its input twice, so the much smaller candle set is checkpointed first and the
-    raw table is read once.
+    Both uses of the candles in the scan plan the same exchange, so the raw table is read once.
     """
-    bars = cut_lineage(candles(df, size, **kw))
-    return momentum(bars, ts="ts", step=bucket_seconds(size))
+    return momentum(candles(df, size, **kw), ts="ts", step=bucket_seconds(size))
 
 
 def rsi_sma(df: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", n: int = 14) -> DataFrame:

@@ -19,17 +19,19 @@ def watermarks(df: DataFrame, keys: Sequence[str], ts: str, out: str = "watermar
 
 
 def incremental(
-    new: DataFrame, loaded: DataFrame, keys: Sequence[str], ts: str, late_policy: str = "drop"
+    new: DataFrame, loaded: DataFrame, keys: Sequence[str], ts: str, late_policy: str = "drop", marks: DataFrame | None = None
 ) -> DataFrame:
     """Rows of `new` still to be loaded.
 
     'drop' keeps rows strictly after the key's high-water mark, so late rows are lost.
     'recompute_month' also keeps every row of any month that received a late row.
     The marks are one row per key: Spark broadcasts them if they are small and otherwise
-    shuffles, splitting a hot key through the adaptive skew join.
+    shuffles, splitting a hot key through the adaptive skew join. `marks` (keys and `ts`, kept by
+    `advance_marks`) spares the scan of `loaded`.
     """
     if keys:
-        joined = new.join(watermarks(loaded, keys, ts, "__mark"), list(keys), "left")
+        stored = watermarks(loaded, keys, ts, "__mark") if marks is None else marks.select(*keys, F.col(ts).alias("__mark"))
+        joined = new.join(stored, list(keys), "left")
     else:
         joined = new.withColumn("__mark", loaded.select(F.max(ts)).scalar())
     fresh = F.col("__mark").isNull() | (F.col(ts) > F.col("__mark"))
@@ -38,9 +40,11 @@ def incremental(
     if late_policy != "recompute_month":
         raise ValueError(f"unknown late_policy {late_policy!r}")
     month = F.date_format(ts, "yyyy-MM")
-    seen = loaded.select(*keys, ts)
+    behind = joined.where(~fresh).select(*keys, ts)
+    touched = behind.select(F.date_format(ts, "yyyy-MM").alias("__month")).distinct()
+    seen = loaded.select(*keys, ts, month.alias("__month")).join(touched, "__month", "left_semi").drop("__month")
     late = (
-        joined.where(~fresh).select(*keys, ts).join(seen, [*keys, ts], "left_anti")
+        behind.join(seen, [*keys, ts], "left_anti")
         .select(*keys, month.alias("__month")).distinct()
     )
     marked = joined.withColumn("__month", month).join(
@@ -49,6 +53,11 @@ def incremental(
     return marked.where(fresh | F.col("__late")).drop("__mark", "__month", "__late")
 
 
+def advance_marks(marks: DataFrame, new: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Marks after a load: the greatest `ts` per key of the stored marks and the new rows."""
+    return watermarks(marks.select(*keys, ts).unionByName(new.select(*keys, ts)), keys, ts, ts)
+
+
 def load_candles(new: DataFrame, loaded: DataFrame) -> DataFrame:
     return incremental(new, loaded, ["symbol"], "open_time")
 

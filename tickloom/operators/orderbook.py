@@ -4,22 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom import schemas
 from tickloom.functions.labels import obi_tag
 from tickloom.functions.numbers import finite_or, shortest, to_double
 from tickloom.functions.times import bucket, local_time, since
-from tickloom.operators.latest import latest_by_key, newest_n
+from tickloom.operators.latest import latest_by_key
 from tickloom.presets import Timeframe
-from tickloom.vocab import BOOK_DEPTH_LEVELS, BOOK_DEPTH_PCT, LOCAL_ZONE, WALL_MULTIPLE
+from tickloom.vocab import BOOK_DEPTH_PCT, LOCAL_ZONE, WALL_MULTIPLE
 
 
-def _levels(side: Column) -> Column:
+def _typed(df: DataFrame, side: str) -> bool:
+    """Whether a side already holds levels of (p, q) instead of the text pairs of messages."""
+    return isinstance(df.schema[side].dataType.elementType, StructType)
+
+
+def _levels(df: DataFrame, side: str) -> Column:
     """[[price, qty], ...] of text to [(p, q), ...] of double; short levels are dropped."""
+    if _typed(df, side):
+        return F.col(side)
     full = F.filter(side, lambda level: F.size(level) > 1)
     return F.transform(full, lambda l: F.struct(to_double(l[0]).alias("p"), to_double(l[1]).alias("q")))
 
 
+def _best(df: DataFrame, side: str) -> Column:
+    """Price of a side's first level."""
+    first = F.get(side, F.lit(0))
+    return first["p"] if _typed(df, side) else to_double(F.get(first, F.lit(0)))
+
+
+def wire_levels(side: Column) -> Column:
+    """[(p, q), ...] as the [[price, qty], ...] of text that messages carry."""
+    return F.transform(side, lambda l: F.array(l["p"].cast("string"), l["q"].cast("string")))
+
+
 def _between(levels: Column, low: Column, high: Column) -> Column:
     return F.filter(levels, lambda l: (l["p"] >= low) & (l["p"] <= high))
 
@@ -48,10 +67,10 @@ def order_book_metrics(
     base = df.select(
         "symbol",
         "timestamp",
-        _levels(F.col("bids")).alias("b"),
-        _levels(F.col("asks")).alias("a"),
-        F.when(two_sided, to_double(F.get(F.get("bids", F.lit(0)), F.lit(0)))).alias("best_bid"),
-        F.when(two_sided, to_double(F.get(F.get("asks", F.lit(0)), F.lit(0)))).alias("best_ask"),
+        _levels(df, "bids").alias("b"),
+        _levels(df, "asks").alias("a"),
+        F.when(two_sided, _best(df, "bids")).alias("best_bid"),
+        F.when(two_sided, _best(df, "asks")).alias("best_ask"),
     ).withColumn("mid_price", (F.col("best_bid") + F.col("best_ask")) / 2)
     mid = F.col("mid_price")
     near = base.withColumns(
@@ -81,29 +100,21 @@ def order_book_metrics(
     ).select(*schemas.columns(schemas.BOOK))
 
 
-def books_from_levels(levels: DataFrame, depth: int = BOOK_DEPTH_LEVELS) -> DataFrame:
+def books_from_levels(levels: DataFrame) -> DataFrame:
     """Nested snapshots from flat (symbol, timestamp, side, price, qty) levels.
 
-    Quantities are summed per price first and a book is published `depth` levels deep, so the
-    arrays stay small whatever number of orders a symbol has.
+    Quantities are summed per price first, with map-side combine; a book then holds every price of its snapshot, best
+    first: bids from the highest price, asks from the lowest.
     """
     key = ["symbol", "timestamp"]
     merged = levels.groupBy(*key, "side", "price").agg(F.sum("qty").alias("qty"))
-    # best first: bids from the highest price, asks from the lowest
-    rank = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
-    kept = newest_n(
-        merged.withColumn("rank", rank), [*key, "side"], [F.asc("rank")], depth
-    )
-    # one list per side where the ranked rows already are, so that only two rows per book move on
-    listed = kept.groupBy(*key, "side").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "price", "qty"))).alias("ranked")
-    )
-    ladder = F.transform("ranked", lambda x: F.array(x["price"].cast("string"), x["qty"].cast("string")))
 
-    def side(name: str) -> Column:
-        return F.flatten(F.collect_list(F.when(F.col("side") == name, F.col("ladder")))).alias(f"{name}s")
+    def side(name: str, rank: Column) -> Column:
+        level = F.when(F.col("side") == name, F.struct(rank.alias("r"), F.col("price").alias("p"), F.col("qty").alias("q")))
+        ranked = F.array_sort(F.collect_list(level))
+        return F.transform(ranked, lambda x: F.struct(x["p"].alias("p"), x["q"].alias("q"))).alias(f"{name}s")
 
-    return listed.select(*key, "side", ladder.alias("ladder")).groupBy(*key).agg(side("bid"), side("ask"))
+    return merged.groupBy(*key).agg(side("bid", -F.col("price")), side("ask", F.col("price")))
 
 
 def legacy_imbalance(obi: Column) -> Column:
@@ -111,6 +122,13 @@ def legacy_imbalance(obi: Column) -> Column:
     return (obi + 1) / 2
 
 
+def depth_imbalance(df: DataFrame) -> DataFrame:
+    """Older 0..1 imbalance over the whole depth of every two-sided snapshot."""
+    bid, ask = _volume(F.col("b")), _volume(F.col("a"))
+    sides = df.select("symbol", "timestamp", _levels(df, "bids").alias("b"), _levels(df, "asks").alias("a"))
+    return sides.where((F.size("b") > 0) & (F.size("a") > 0)).select("symbol", "timestamp", F.try_divide(bid, bid + ask).alias("imbalance"))
+
+
 def ob_latest(df: DataFrame) -> DataFrame:
     """Newest snapshot per symbol; missing numbers read 0."""
     numbers = [c for c in schemas.columns(schemas.BOOK) if c not in ("symbol", "timestamp")]

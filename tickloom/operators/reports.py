@@ -21,6 +21,10 @@ from tickloom.operators.ticker import latest_ticker, ticker_trend
 from tickloom.presets import Timeframe
 
 
+#: Characters of a title and of a description that the report format prints.
+TITLE_CHARS, TEXT_CHARS = 120, 200
+
+
 def _stamp(ts: str, pattern: str) -> Column:
     return F.date_format(instant(F.col(ts)), pattern)
 
@@ -155,15 +159,22 @@ def report_book(df: DataFrame, preset: Timeframe, as_of=None, latest: DataFrame
     return report_book_trend(ob_trend(df, preset.book_bucket, preset.book_days, as_of), ob_latest(newest))
 
 
-def report_news(df: DataFrame, days: int, as_of=None) -> DataFrame:
-    """Newest articles of every symbol."""
+def report_news(
+    df: DataFrame, days: int, as_of=None, title_chars: int | None = TITLE_CHARS, text_chars: int | None = TEXT_CHARS
+) -> DataFrame:
+    """Newest articles of every symbol; titles and descriptions are printed up to so many characters, whole if None."""
+
+    def printed_part(name: str, most: int | None) -> Column:
+        text = text_or_empty(F.col(name))
+        return (text if most is None else F.substring(text, 1, most)).alias(name)
+
     # the printed parts only, so that whole article texts are not sorted and shuffled
     printed = df.select(
         "article_id",
         "published_at",
         "symbols",
-        F.substring(text_or_empty(F.col("title")), 1, 120).alias("title"),
-        F.substring(text_or_empty(F.col("description")), 1, 200).alias("description"),
+        printed_part("title", title_chars),
+        printed_part("description", text_chars),
         text_or_empty(F.col("source_name")).alias("source"),
     )
     line = F.concat_ws(
@@ -178,7 +189,7 @@ def report_news(df: DataFrame, days: int, as_of=None) -> DataFrame:
 def market_report(klines: DataFrame, preset: Timeframe, as_of=None, digits: int = 6) -> DataFrame:
     """Candle report, summary and signals per symbol for a timeframe preset."""
     bars = candle_indicators(
-        klines, preset.candle_bucket, lookback_days=preset.candle_days, limit=preset.candle_limit, as_of=as_of
+        klines, preset.candle_bucket, lookback_days=preset.candle_days, as_of=as_of
     )
     # one pass per symbol: lines, count, last values and last signals
     packed = F.array_sort(F.collect_list(F.struct("ts", _candle_line(preset.candle_format).alias("l"))))

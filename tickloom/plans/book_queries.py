@@ -40,7 +40,7 @@ def order_book_metrics(t):
 )
 def depth_messages(t):
     """Books through their JSON wire form and back."""
-    wire = t.raw_books().select("symbol", "timestamp", F.to_json(F.struct("bids", "asks")).alias("body"))
+    wire = t.raw_books().select("symbol", "timestamp", F.to_json(F.struct(*(O.wire_levels(F.col(c)).alias(c) for c in ("bids", "asks")))).alias("body"))
     book = parse_depth_json(wire, "body")
     return book.select(
         "symbol",
@@ -109,6 +109,60 @@ def imbalance_series(t):
     )
 
 
+@query(
+    "depth_imbalance",
+    V.with_views("levels")
+    + """SELECT symbol, timestamp, round(sum(qty) FILTER (WHERE side = 'bid') / sum(qty), 6) AS imbalance FROM levels
+        GROUP BY 1, 2 HAVING count(DISTINCT side) = 2""",
+)
+def depth_imbalance(t):
+    """Imbalance over all levels of a book, whatever their distance from the middle."""
+    return O.depth_imbalance(t.raw_books()).withColumn("imbalance", F.round("imbalance", 6))
+
+
+def _trend_sql(unit: str, days: int) -> str:
+    return V.with_views("books") + f"""SELECT symbol, date_trunc('{unit}', timestamp) AS ts, round(avg(obi), 6) AS avg_obi,
+        round(avg(depth_bid_volume), 6) AS avg_bid_vol, round(avg(depth_ask_volume), 6) AS avg_ask_vol FROM books
+        WHERE timestamp >= (SELECT max(timestamp) FROM books) - INTERVAL {days} DAY GROUP BY 1, 2"""
+
+
+def _view(t, preset: str):
+    """The book view of a preset, numbers rounded."""
+    whole = timeframe(preset).book_mode == "latest_only"
+    out = O.ob_view(t.latest_books() if whole else t.books(), timeframe(preset), None if whole else t.books_as_of())
+    return out.select(*[F.round(c, 6).alias(c) if kind == "double" else c for c, kind in out.dtypes])
+
+
+@query("ob_view_short", _trend_sql("hour", 3))
+def ob_view_short(t):
+    return _view(t, "short")
+
+
+@query("ob_view_medium", _trend_sql("day", 30))
+def ob_view_medium(t):
+    return _view(t, "medium")
+
+
+@query(
+    "ob_view_long",
+    V.with_views("books")
+    + """SELECT symbol, round(avg(obi), 6) AS avg_obi, round(min(obi), 6) AS min_obi, round(max(obi), 6) AS max_obi,
+        round(arg_max(obi, timestamp), 6) AS latest_obi FROM books
+        WHERE timestamp >= (SELECT max(timestamp) FROM books) - INTERVAL 30 DAY GROUP BY 1""",
+)
+def ob_view_long(t):
+    return _view(t, "long")
+
+
+@query(
+    "ob_view_very_long",
+    V.with_views("last_book")
+    + "SELECT symbol, timestamp, " + ", ".join(f"round(coalesce({c}, 0), 6) AS {c}" for c in [*PLAIN[2:], *RATIOS]) + " FROM last_book",
+)
+def ob_view_very_long(t):
+    return _view(t, "very_long")
+
+
 def _num(column: str, digits: int) -> str:
     return f"regexp_replace(format('{{:.6f}}', round({column}, {digits})), '\\.?0+$', '')"
 

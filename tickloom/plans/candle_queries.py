@@ -21,6 +21,8 @@ from tickloom.plans.registry import query
 
 BARS = "symbol, ts, open, high, low, close, volume"
 CHART = (dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 19))
+#: Hours that a chart spans, and the bucket seconds it must pick.
+CHART_HOURS = [(6, 60), (24, 300), (72, 900), (168, 3600), (1000, 43200), (5000, 86400), (20000, 604800)]
 
 
 def _bars(name, size, expr):
@@ -46,6 +48,30 @@ def candles_adaptive(t):
     return C.candles_between(t.ticks(), *CHART).withColumn("volume", F.round("volume", 4))
 
 
+def _chart(name: str, hours: float, width: int) -> None:
+    """A chart of the last `hours` hours before 2024-01-19 picks buckets of `width` seconds."""
+    end = dt.datetime(2024, 1, 19)
+    start = end - dt.timedelta(hours=hours)
+    sql = V.with_views("ticks") + f"""SELECT symbol, {V.bucket('t', width)} AS ts, arg_min(open, t) AS open, max(high) AS high,
+        min(low) AS low, arg_max(close, t) AS close, round(sum(close * volume), 4) AS volume
+        FROM (SELECT *, open_time AS t FROM ticks) WHERE t BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}' GROUP BY 1, 2"""
+    query(name, sql)(lambda t: C.candles_between(t.ticks(), start, end).withColumn("volume", F.round("volume", 4)))
+
+
+for _hours, _width in CHART_HOURS:
+    _chart(f"candles_adaptive_{_width}s", _hours, _width)
+
+
+@query(
+    "candles_in_list",
+    V.with_views("ticks", c=V.candles("ticks", "open_time", "date_trunc('day', open_time)", where="WHERE symbol IN ('view', 'click')"))
+    + f"SELECT {BARS} FROM c",
+)
+def candles_in_list(t):
+    """Daily candles of listed symbols only."""
+    return C.candles(t.ticks().where(F.col("symbol").isin("view", "click")), "day")
+
+
 @query(
     "candles_limit",
     V.with_views("ticks")
@@ -116,7 +142,7 @@ INDICATED = V.with_views("ticks", recursive=True, c=MEDIUM, **_momentum("c", "ts
 
 
 def _medium(t):
-    return I.candle_indicators(t.ticks(), 4 * 3600, lookback_days=90, limit=540)
+    return I.candle_indicators(t.ticks(), 4 * 3600, lookback_days=90)
 
 
 @query(
@@ -206,30 +232,47 @@ def rsi_sma(t):
     return out.select("symbol", "ts", "close", F.round("rsi", 6).alias("rsi"))
 
 
-@query(
-    "rsi_heatmap",
-    V.with_views(
+def _heatmap_sql(seconds: int, zone: str = "") -> str:
+    """Newest RSI pair of every trading symbol over 80 bars; `zone` adds a condition on the zone."""
+    return V.with_views(
         "ticks", "event_dim", "event_ticker",
-        c=V.candles("ticks", "open_time", V.bucket("open_time", 14400),
-                    where="WHERE open_time >= (SELECT max(open_time) FROM ticks) - INTERVAL 320 HOUR"),
+        c=V.candles("ticks", "open_time", V.bucket("open_time", seconds),
+                    where=f"WHERE open_time >= (SELECT max(open_time) FROM ticks) - INTERVAL {seconds * 80 // 3600} HOUR"),
         **V.rsi_sma_ctes("c"),
         p="""SELECT *, lag(rsi) OVER (PARTITION BY symbol ORDER BY ts) AS prev,
             row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM s""",
         v="""SELECT symbol, arg_max(quote_volume_24h, snapshot_time) AS quote_volume_24h,
             arg_max(price_change_pct, snapshot_time) AS price_change_pct FROM event_ticker GROUP BY 1""",
-    )
-    + f"""SELECT p.symbol, base_asset, round(rsi, 2) AS rsi, round(prev, 2) AS prev_rsi, round(rsi - prev, 2) AS rsi_delta,
+    ) + f"""SELECT p.symbol, base_asset, round(rsi, 2) AS rsi, round(prev, 2) AS prev_rsi, round(rsi - prev, 2) AS rsi_delta,
         {V.ZONE.format('rsi')} AS zone, quote_volume_24h, round(price_change_pct, 6) AS price_change_pct,
         close AS latest_close, strftime(ts, '%Y-%m-%d %H:%M:%S') AS latest_time
         FROM p JOIN event_dim d ON d.symbol = p.symbol JOIN v ON v.symbol = p.symbol
-        WHERE rn = 1 AND coalesce(status, 'TRADING') = 'TRADING' AND rsi IS NOT NULL AND prev IS NOT NULL
-          AND quote_volume_24h > 0""",
-)
-def heatmap(t):
-    out = rsi_heatmap(t.ticks(), t.event_ticker(), t.event_dim(), "4h", "All")
+        WHERE rn = 1 AND status = 'TRADING' AND rsi IS NOT NULL AND prev IS NOT NULL
+          AND quote_volume_24h > 0 {zone}"""
+
+
+def _heatmap(t, tf: str, zone: str):
+    out = rsi_heatmap(t.ticks(), t.event_ticker(), t.event_dim(), tf, zone)
     return out.withColumn("price_change_pct", F.round("price_change_pct", 6))
 
 
+@query("rsi_heatmap", _heatmap_sql(14400))
+def heatmap(t):
+    """4-hour bars, every zone; signups have no status and errors are delisted, so neither is shown."""
+    return _heatmap(t, "4h", "All")
+
+
+@query("rsi_heatmap_1h", _heatmap_sql(3600))
+def heatmap_1h(t):
+    return _heatmap(t, "1h", "All")
+
+
+@query("rsi_heatmap_neutral", _heatmap_sql(14400, f"AND {V.ZONE.format('rsi')} = 'Neutral'"))
+def heatmap_neutral(t):
+    """One zone only."""
+    return _heatmap(t, "4h", "Neutral")
+
+
 @query(
     "rsi_zones",
     V.with_views("ticks", c=C4, **V.rsi_sma_ctes("c"))

@@ -137,11 +137,12 @@ def upsert_months(t):
     rows = t.ticker().select(
         "symbol", "snapshot_time", "quote_volume_24h", F.date_format("snapshot_time", "yyyy-MM").alias("month")
     )
-    rows.repartition("month").write.partitionBy("month").parquet(path)
+    rows.repartition("month", F.pmod(F.xxhash64("symbol"), F.lit(lake.FILES_PER_PARTITION))).write.partitionBy("month").parquet(path)
     late = rows.where(F.col("snapshot_time") >= F.lit("2001-01-01 00:00:00").cast("timestamp_ntz"))
     fixed = late.withColumn("quote_volume_24h", F.col("quote_volume_24h") * 2)
+    months = [r["month"] for r in late.select("month").distinct().collect()]  # bounded by the calendar
     for _ in range(2):
-        lake.upsert_months(fixed, path, ["symbol", "snapshot_time"], ["month"])
+        lake.upsert_months(fixed, path, ["symbol", "snapshot_time"], ["month"], months=months, schema=rows.schema)
     out = t.spark.read.schema(fixed.schema).parquet(path)
     return out.select("symbol", "snapshot_time", "month", "quote_volume_24h")
 

@@ -16,7 +16,7 @@ VIEWS = {
         min(low) AS low, arg_max(close, t) AS close, sum(volume) AS volume
         FROM (SELECT *, open_time AS t FROM ticks) GROUP BY 1, 2""",
     "event_dim": """SELECT DISTINCT event_type AS symbol, upper(event_type) AS base_asset,
-        CASE WHEN event_type = 'error' THEN 'BREAK' END AS status FROM events""",
+        CASE WHEN event_type = 'error' THEN 'BREAK' WHEN event_type <> 'signup' THEN 'TRADING' END AS status FROM events""",
     "event_ticker": f"""SELECT symbol, snapshot_time, (last - first) / nullif(first, 0) * 100 AS price_change_pct,
         volume_24h, volume_24h * 1000 AS quote_volume_24h, trade_count, bid_price, ask_price,
         {SPREAD.format(bid='bid_price', ask='ask_price')} AS spread_pct
@@ -37,11 +37,11 @@ VIEWS = {
         QUALIFY row_number() OVER (PARTITION BY symbol, snapshot_time ORDER BY ingest DESC) = 1""",
     "last_ticker": """SELECT * FROM ticker QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY snapshot_time DESC) = 1""",
     "levels": """SELECT 'S' || l_suppkey AS symbol, date_trunc('month', l_shipdate) AS timestamp,
-        CASE l_returnflag WHEN 'A' THEN 'bid' ELSE 'ask' END AS side,
+        CASE WHEN l_returnflag = 'A' OR (l_returnflag = 'N' AND l_linenumber % 2 = 0) THEN 'bid' ELSE 'ask' END AS side,
         floor(l_extendedprice / l_quantity * 100) / 100 AS price, sum(l_quantity) AS qty
-        FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY ALL""",
+        FROM lineitem GROUP BY ALL""",
     "ranked_levels": """SELECT *, row_number() OVER (PARTITION BY symbol, timestamp, side
-        ORDER BY CASE side WHEN 'bid' THEN -price ELSE price END) AS rn FROM levels QUALIFY rn <= 100""",
+        ORDER BY CASE side WHEN 'bid' THEN -price ELSE price END) AS rn FROM levels""",
     "tops": """SELECT *, (best_bid + best_ask) / 2 AS mid_price FROM (
         SELECT symbol, timestamp, CASE WHEN count(DISTINCT side) = 2 THEN max(price) FILTER (WHERE side = 'bid') END AS best_bid,
             CASE WHEN count(DISTINCT side) = 2 THEN min(price) FILTER (WHERE side = 'ask') END AS best_ask

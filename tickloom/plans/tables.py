@@ -48,7 +48,7 @@ class Tables:
         return self.read("events").select(
             F.col("event_type").alias("symbol"),
             F.upper("event_type").alias("base_asset"),
-            F.when(F.col("event_type") == "error", "BREAK").alias("status"),
+            F.when(F.col("event_type") == "error", "BREAK").when(F.col("event_type") != "signup", "TRADING").alias("status"),
         ).distinct()
 
     def event_ticker(self) -> DataFrame:
@@ -127,10 +127,10 @@ class Tables:
 
     # --- order books --------------------------------------------------------
     def book_levels(self) -> DataFrame:
-        """Returned lines are bids, accepted lines asks; one book per supplier and month."""
-        flag = F.col("l_returnflag")
-        side = F.when(flag == "A", "bid").when(flag == "R", "ask")
-        return self.read("lineitem").where(flag.isin("A", "R")).select(
+        """Accepted lines are bids, returned ones asks, the others by line number; one book per supplier and month."""
+        flag, even = F.col("l_returnflag"), F.col("l_linenumber") % 2 == 0
+        side = F.when((flag == "A") | ((flag == "N") & even), "bid").otherwise("ask")
+        return self.read("lineitem").select(
             F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"),
             F.date_trunc("month", F.col("l_shipdate").cast("timestamp")).alias("timestamp"),
             side.alias("side"),
@@ -190,11 +190,11 @@ class Tables:
         )
 
     def traces(self) -> DataFrame:
-        """Conversations as agent runs: the first words of a message stand for agents and tools."""
+        """Conversations as agent runs: the role of a message stands for the agent, its words for the tools."""
         words = F.split(F.lower("text"), r"\s+")
         return self.read("conversations").select(
             F.col("conv_id").cast("string").alias("session_id"),
             F.array(F.col("role")).alias("agents_called"),
-            F.slice(words, 1, 2).alias("tools_used"),
+            words.alias("tools_used"),
             F.length("text").cast("bigint").alias("duration_ms"),
         )

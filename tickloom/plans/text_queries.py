@@ -16,6 +16,7 @@ from tickloom.plans.book_queries import _signed
 from tickloom.plans.registry import query
 from tickloom.presets import timeframe
 from tickloom.sources.messages import news_flatten
+from tickloom.vocab import NEWS_CAPS
 
 # The given prose is invented, so names that do occur in it stand for coin names.
 ALIASES = {"the": "THEUSDT", "with": "WITHUSDT", "une": "UNEUSDT", "des": "DESUSDT", "und": "UNDUSDT", "was": "WITHUSDT"}
@@ -87,7 +88,7 @@ def news_flatten_q(t):
         ).alias("body")
     )
     as_of = t.read("events").select(F.max("ts").cast("timestamp")).scalar()
-    return news_flatten(wire, "body", F.lit("crypto"), as_of)
+    return news_flatten(wire, "body", F.lit("crypto"), as_of, NEWS_CAPS)
 
 
 @query("news_dedup", V.with_views("news") + "SELECT article_id, doc_id, source_name FROM news")
@@ -253,7 +254,7 @@ def chat_context(t):
     "trace_rollup",
     r"""SELECT CAST(conv_id AS VARCHAR) AS session_id, count(*) AS n_runs, CAST(sum(length(text)) AS BIGINT) AS total_ms,
         round(avg(length(text)), 6) AS avg_ms, array_to_string(list_sort(list_distinct(list(role))), ',') AS agents,
-        array_to_string(list_sort(list_distinct(flatten(list(regexp_split_to_array(lower(text), '\s+')[1:2])))), ',') AS tools
+        array_to_string(list_sort(list_distinct(flatten(list(regexp_split_to_array(lower(text), '\s+'))))), ',') AS tools
         FROM conversations GROUP BY 1""",
 )
 def trace_rollup(t):
@@ -293,7 +294,7 @@ def direction_accuracy(t):
 FORECAST = V.with_views(
     "ticks",
     f="""SELECT symbol, open_time AS predicted_at, open_time + INTERVAL 1 HOUR AS target_time, close * 1.01 AS predicted_close
-        FROM ticks WHERE volume >= 50""",
+        FROM ticks""",
     b="""SELECT symbol, min(predicted_at) AS lo, max(newest) + INTERVAL 1 HOUR AS hi
         FROM (SELECT *, max(predicted_at) OVER (PARTITION BY symbol) AS newest FROM f) WHERE predicted_at >= newest - INTERVAL 24 HOUR
         GROUP BY 1""",
@@ -301,8 +302,7 @@ FORECAST = V.with_views(
 
 
 def _event_forecasts(t):
-    rows = t.ticks().where(F.col("volume") >= 50)
-    return rows.select(
+    return t.ticks().select(
         "symbol",
         F.col("open_time").alias("predicted_at"),
         (F.col("open_time") + F.make_dt_interval(hours=F.lit(1))).alias("target_time"),

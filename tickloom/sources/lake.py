@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.functions.times import MONTH_PATTERN, epoch_millis, instant
 from tickloom.operators.load import union_evolving, upsert
@@ -40,19 +41,31 @@ def append_delta(df: DataFrame, path: str, keys: Sequence[str] = ("symbol",)) ->
     derive_month(df).write.mode("append").partitionBy(*keys, "month").parquet(path)
 
 
-def upsert_months(df: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str], order=()) -> None:
+#: Files that one partition is written to, so that a hot key's month is not one task's work.
+FILES_PER_PARTITION = 8
+
+
+def upsert_months(
+    df: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str], order=(),
+    months: Sequence[str] | None = None, schema: StructType | None = None,
+) -> None:
     """Merge `df` (with its partition columns) into the touched partitions of `path`.
 
-    Only partitions present in `df` are read. The merged rows are checkpointed to the shared
+    `months`, the values of the first partition column that `df` holds, keep the other partitions from being
+    listed and read; without them Spark may read all. `schema` is the stored one; without it every file's footer
+    is opened to merge theirs. A partition's rows are dealt over several tasks by their keys. The merged rows are checkpointed to the shared
     folder before the dynamic overwrite, so a lost executor cannot make a task re-read a
     partition that is already being replaced.
     """
     spark = df.sparkSession
-    old = spark.read.option("mergeSchema", "true").parquet(path)
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
+    old = reader.parquet(path)
+    if months is not None:
+        old = old.where(F.col(partitions[0]).isin(list(months)))
     touched = old.join(df.select(*partitions).distinct(), list(partitions), "left_semi")
     merged = cut_lineage(upsert(touched, df, [*partitions, *keys], order))
     (
-        merged.repartition(*partitions, *keys[:1])
+        merged.repartition(*partitions, F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PARTITION)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)

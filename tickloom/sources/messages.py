@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.functions.text import article_id, text_or_empty
-from tickloom.vocab import NEWS_CAPS, TICKER_COLUMNS
+from tickloom.vocab import TICKER_COLUMNS
 
 
 def parse_ticker_json(df: DataFrame, column: str) -> DataFrame:
@@ -33,16 +35,21 @@ def iso_instant(text: Column, default: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(text), default)
 
 
-def news_flatten(df: DataFrame, column: str, query: Column, as_of: Column) -> DataFrame:
-    """Article message to one flat row with the fixed length caps; a bad date becomes `as_of`."""
+def news_flatten(
+    df: DataFrame, column: str, query: Column, as_of: Column, caps: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Article message to one flat row; a bad date becomes `as_of`.
+
+    Texts are kept whole unless `caps` gives the characters to keep of a field (NEWS_CAPS: those of the stored format).
+    """
     a = df.select(F.from_json(column, schemas.ARTICLE_MESSAGE).alias("a"))
     sources = {
         "title": "a.title", "description": "a.description", "content": "a.content", "url": "a.url",
         "image_url": "a.image", "source_name": "a.source.name", "source_url": "a.source.url",
     }
     capped = [
-        F.substring(text_or_empty(F.col(path)), 1, NEWS_CAPS[name]).alias(name)
-        for name, path in sources.items()
+        (F.substring(text, 1, caps[name]) if caps and name in caps else text).alias(name)
+        for name, text in ((name, text_or_empty(F.col(path))) for name, path in sources.items())
     ]
     return a.select(
         article_id(F.col("a.url")).alias("article_id"),

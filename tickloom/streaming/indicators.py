@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.indicators import momentum, momentum_state
 from tickloom.operators.load import incremental, upsert
-from tickloom.session import cut_lineage
+from tickloom.session import cut_lineage, remove_path
 from tickloom.vocab import CANDLE_STEP_SECONDS
 
 
@@ -16,8 +16,9 @@ class MomentumStream:
 
     The carry table has one row per symbol (last close, four means, last time). Batch n reads
     the version written by batch n-1 and writes version n; both outputs are overwritten by
-    batch id, so a batch repeated after a failure gives the same files. Rows at or behind a
-    symbol's last time are late and dropped.
+    batch id, so a batch repeated after a failure gives the same files. The last two versions
+    are kept. Rows at or behind a symbol's last time are late and dropped, and of rows delivered
+    twice in a batch one is used.
     """
 
     def __init__(self, spark: SparkSession, path: str, step: int = CANDLE_STEP_SECONDS):
@@ -31,6 +32,7 @@ class MomentumStream:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         before = self._carry(batch_id - 1)
+        batch = batch.dropDuplicates(["symbol", "open_time"])
         fresh = batch if before is None else incremental(
             batch, before.withColumnRenamed("last_time", "open_time"), ["symbol"], "open_time"
         )
@@ -44,3 +46,5 @@ class MomentumStream:
             f"{self.path}/rows/batch={batch_id}"
         )
         state.write.mode("overwrite").parquet(f"{self.path}/carry/v{batch_id}")
+        if batch_id > 1:
+            remove_path(self.spark, f"{self.path}/carry/v{batch_id - 2}")

@@ -10,7 +10,6 @@ from __future__ import annotations
 CANDLE_STEP_SECONDS = 60
 EPOCH_MICROS_THRESHOLD = 1_000_000_000_000_000
 BOOK_DEPTH_PCT = 0.005
-BOOK_DEPTH_LEVELS = 100
 WALL_MULTIPLE = 3
 WARMUP_ROWS = 120
 BACKFILL_MONTHS = 36

@@ -231,3 +231,16 @@ def test_book_view_follows_the_preset(spark):
     books = orderbook.order_book_metrics(book(spark, [["42290", "1.5"]], [["42310", "1"]]))
     views = {p: orderbook.ob_view(books, timeframe(p)).columns for p in ("short", "long", "very_long")}
     assert "ts" in views["short"] and "latest_obi" in views["long"] and "best_bid" in views["very_long"]
+
+
+def test_unreadable_messages_are_found(spark):
+    df = spark.createDataFrame([('[{"symbol": "A", "closeTime": 7}]',), ("[{",), (None,)], "body string")
+    kept = messages.parse_ticker_json(df, "body", ["closeTime"]).collect()
+    assert [(r.symbol, r.closeTime) for r in kept] == [("A", "7")]
+    assert [r.body for r in messages.unreadable(df, "body", "array<struct<symbol: string>>").collect()] == ["[{"]
+
+
+def test_negative_price(spark):
+    x = F.lit(-1234.5)
+    assert spark.range(1).select(numbers.price_text(x)).first()[0] == "-$1,234.5"
+    assert spark.range(1).select(numbers.price_text(F.lit(-0.00123))).first()[0] == "-$0.001230"

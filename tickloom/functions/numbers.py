@@ -55,11 +55,12 @@ def compact_usd(x: Column) -> Column:
 
 
 def price_text(x: Column) -> Column:
-    """Price whose precision follows its size: grouped above 1000, four significant digits below 0.01."""
+    """Price whose precision follows its size: grouped above 1000, four significant digits below 0.01. A minus stays in front."""
+    sign, x = F.when(x < 0, F.lit("-")).otherwise(F.lit("")), F.abs(x)
     grouped = F.regexp_replace(F.regexp_replace(fixed(x, 2, comma=True), "0+$", ""), r"\.$", "")
     digits = F.lit(3) - F.floor(F.log10(x)).cast("int")
     small = F.when(x == 0, F.lit("0.000")).otherwise(F.call_function("format_number", x, digits))
     body = (
         F.when(x >= 1000, grouped).when(x >= 1, fixed(x, 2)).when(x >= 0.01, fixed(x, 4)).otherwise(small)
     )
-    return F.when(x.isNull() | F.isnan(x), F.lit("-")).otherwise(F.concat(F.lit("$"), body))
+    return F.when(x.isNull() | F.isnan(x), F.lit("-")).otherwise(F.concat(sign, F.lit("$"), body))

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.times import epoch_millis
 from tickloom.operators.candles import candles
+from tickloom.operators.news import news_dedup
 from tickloom.plans import candle_queries as CQ
 from tickloom.plans import sqlviews as V
 from tickloom.plans.registry import query
 from tickloom.session import work_path
 from tickloom.sources import lake
 from tickloom.sources.candles import parse_kline_json, scan_klines_csv
+from tickloom.sources.messages import parse_ticker_json
 from tickloom.streaming.candles import stream_candles, stream_dedup
 from tickloom.streaming.indicators import MomentumStream
 from tickloom.streaming.sinks import read_new_files, run_available, run_batches
@@ -196,3 +198,73 @@ def stream_ewm(t):
         run_batches(read_new_files(spark, f"{root}/in", minutes.schema), handler, f"{root}/state")
     out = handler.rows()
     return out.select("symbol", "open_time", *[F.round(c, 6).alias(c) for c in ("rsi_14", "macd")])
+
+
+def _loaded(t, name: str, parts, keys, ts: str, month):
+    """The parts loaded one after the other into a monthly table, the last one twice, and read back."""
+    path = work_path(t.spark, name)
+    for rows in [*parts, parts[-1]]:
+        lake.load_into(rows.withColumn("month", month), path, keys, ts)
+    return t.spark.read.schema(parts[-1].withColumn("month", month).schema).parquet(path).drop("month")
+
+
+@query("load_candles", V.with_views("minutes") + "SELECT symbol, open_time, close, volume FROM minutes")
+def load_candles(t):
+    """Minute candles: the first two weeks, then the whole table, then the whole table again."""
+    rows = t.minutes().select("symbol", "open_time", "close", "volume")
+    first = rows.where(F.col("open_time") < F.lit("2024-01-15 00:00:00").cast("timestamp"))
+    return _loaded(t, "load-candles", [first, rows], ["symbol"], "open_time", F.date_format("open_time", "yyyy-MM"))
+
+
+@query("load_ticker", V.with_views("ticker") + "SELECT symbol, snapshot_time, quote_volume_24h FROM ticker")
+def load_ticker(t):
+    rows = t.ticker().select("symbol", "snapshot_time", "quote_volume_24h")
+    first = rows.where(F.col("snapshot_time") < F.lit("1997-01-01 00:00:00").cast("timestamp_ntz"))
+    return _loaded(t, "load-ticker", [first, rows], ["symbol"], "snapshot_time", F.date_format("snapshot_time", "yyyy-MM"))
+
+
+@query(
+    "load_news",
+    V.with_views("news") + "SELECT article_id, published_at AS extracted_at, source_name FROM news",
+)
+def load_news(t):
+    """Articles under one mark for the whole table."""
+    rows = news_dedup(t.raw_news(), ["doc_id"]).select("article_id", "extracted_at", "source_name")
+    first = rows.where(F.col("extracted_at") < F.lit("2024-01-01 06:00:00").cast("timestamp"))
+    return _loaded(t, "load-news", [first, rows], [], "extracted_at", F.date_format("extracted_at", "yyyy-MM"))
+
+
+@query(
+    "ticker_increment",
+    """SELECT 'C' || o_custkey AS symbol, max(o_orderkey) AS close_time, count(DISTINCT o_orderkey) AS n FROM orders GROUP BY 1""",
+)
+def ticker_increment(t):
+    """Snapshots by (symbol, source close time) through their wire form; a page sent twice adds nothing."""
+    raw = t.read("orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("symbol"),
+        F.to_json(F.array(F.struct(
+            F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("symbol"),
+            F.col("o_totalprice").cast("string").alias("bidPrice"), F.col("o_orderkey").cast("string").alias("closeTime"),
+        ))).alias("body"),
+    )
+    wire = parse_ticker_json(raw, "body", ["closeTime"]).select("symbol", F.col("closeTime").cast("bigint").alias("close_time"), F.lit("all").alias("month"))
+    path = work_path(t.spark, "ticker-increment")
+    for part in (wire.where(F.col("close_time") < 3000), wire, wire):
+        lake.load_into(part, path, ["symbol"], "close_time")
+    stored = t.spark.read.schema(wire.schema).parquet(path)
+    return stored.groupBy("symbol").agg(F.max("close_time").alias("close_time"), F.count("*").alias("n"))
+
+
+@query(
+    "delete_rewrite",
+    """SELECT conv_id, turn, role FROM conversations WHERE NOT (role = 'system' OR conv_id % 10 = 3)""",
+)
+def delete_rewrite(t):
+    """A stored table by last digit of the session, rewritten without system messages and one whole partition."""
+    rows = t.read("conversations").select("conv_id", "turn", "role", (F.col("conv_id") % 10).cast("string").alias("month"))
+    path = work_path(t.spark, "delete-rewrite")
+    rows.write.partitionBy("month").parquet(path)
+    gone = (F.col("role") == "system") | (F.col("month") == "3")
+    for _ in range(2):
+        lake.delete_from(t.spark, path, gone, rows.schema)
+    return t.spark.read.schema(rows.schema).parquet(path).drop("month")

@@ -54,6 +54,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable (replicated, not executor-local) checkpoint."""
     checkpoint_root(df.sparkSession)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +12,21 @@ from tickloom.functions.text import article_id, text_or_empty
 from tickloom.vocab import TICKER_COLUMNS
 
 
-def parse_ticker_json(df: DataFrame, column: str) -> DataFrame:
-    """One row per ticker object of a JSON array; every field stays text as on the wire."""
-    fields = ", ".join(["symbol: string", *[f"{wire}: string" for wire in TICKER_COLUMNS]])
+def parse_ticker_json(df: DataFrame, column: str, more: Sequence[str] = ()) -> DataFrame:
+    """One row per ticker object of a JSON array; every field stays text as on the wire.
+
+    `more` names further wire fields to keep, such as closeTime.
+    """
+    fields = ", ".join(["symbol: string", *[f"{wire}: string" for wire in [*TICKER_COLUMNS, *more]]])
     return df.select(F.inline(F.from_json(column, f"array<struct<{fields}>>")))
 
 
+def unreadable(df: DataFrame, column: str, kind: str) -> DataFrame:
+    """The messages that do not parse as `kind`: what the parsers of this module leave out or empty."""
+    parsed = F.from_json(column, kind, {"mode": "PERMISSIVE"})
+    return df.where(F.col(column).isNotNull() & parsed.isNull())
+
+
 def parse_depth_json(df: DataFrame, column: str, symbol: str = "symbol", ts: str = "timestamp") -> DataFrame:
     """Depth message to (symbol, timestamp, bids, asks)."""
     book = F.from_json(column, schemas.DEPTH_MESSAGE)

@@ -186,6 +186,13 @@ def report_news(
     return _block(news_per_symbol(printed, days, as_of), "rank", line, "report")
 
 
+def for_every_symbol(reports: DataFrame, dim: DataFrame, missing: str) -> DataFrame:
+    """A report for each symbol of the dimension; `missing` (NO_CANDLES, NO_NEWS) where it has no rows to report."""
+    return dim.select("symbol").distinct().join(reports, "symbol", "left").select(
+        "symbol", F.coalesce("report", F.lit(missing)).alias("report")
+    )
+
+
 def market_report(klines: DataFrame, preset: Timeframe, as_of=None, digits: int = 6) -> DataFrame:
     """Candle report, summary and signals per symbol for a timeframe preset."""
     bars = candle_indicators(

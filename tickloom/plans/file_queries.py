@@ -10,7 +10,7 @@ from tickloom.operators.news import news_dedup
 from tickloom.plans import candle_queries as CQ
 from tickloom.plans import sqlviews as V
 from tickloom.plans.registry import query
-from tickloom.session import work_path
+from tickloom.session import remove_path, work_path
 from tickloom.sources import lake
 from tickloom.sources.candles import parse_kline_json, scan_klines_csv
 from tickloom.sources.messages import parse_ticker_json
@@ -149,16 +149,14 @@ def upsert_months(t):
     return out.select("symbol", "snapshot_time", "month", "quote_volume_24h")
 
 
-def _stream(t, rows, name):
-    """Land a frame as files and open it as a stream."""
-    path = work_path(t.spark, name)
-    rows.write.parquet(path)
-    return read_new_files(t.spark, path, rows.schema)
-
-
-def _finish(t, stream, name):
-    out = work_path(t.spark, name)
+def _streamed(t, rows, name, transform):
+    """Land a frame as files, run the streaming transformation over them and read what it stored; only that is left."""
+    landed, out = work_path(t.spark, f"{name}-in"), work_path(t.spark, name)
+    rows.write.parquet(landed)
+    stream = transform(read_new_files(t.spark, landed, rows.schema))
     run_available(stream, f"{out}/rows", f"{out}/state")
+    for path in (landed, f"{out}/state"):
+        remove_path(t.spark, path)
     return t.spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
@@ -169,16 +167,14 @@ def _finish(t, stream, name):
 )
 def stream_candles_q(t):
     """Daily candles from a file stream; days the watermark has not passed are held back."""
-    stream = _stream(t, t.ticks(), "ticks")
-    return _finish(t, stream_candles(stream, "1 day", "1 hour"), "stream-candles")
+    return _streamed(t, t.ticks(), "stream-candles", lambda s: stream_candles(s, "1 day", "1 hour"))
 
 
 @query("stream_dedup", "SELECT event_id, event_type, ts, value FROM events")
 def stream_dedup_q(t):
     """Every event delivered twice, stored once."""
     events = t.read("events").select("event_id", "event_type", "ts", "value")
-    stream = _stream(t, events.unionByName(events), "events-twice")
-    return _finish(t, stream_dedup(stream, ["event_id"], "ts", "1 hour"), "stream-dedup")
+    return _streamed(t, events.unionByName(events), "stream-dedup", lambda s: stream_dedup(s, ["event_id"], "ts", "1 hour"))
 
 
 @query(
@@ -196,6 +192,8 @@ def stream_ewm(t):
         part = minutes.where((F.col("open_time") >= low) & (F.col("open_time") < high))
         part.write.mode("append").parquet(f"{root}/in")
         run_batches(read_new_files(spark, f"{root}/in", minutes.schema), handler, f"{root}/state")
+    for path in (f"{root}/in", f"{root}/state"):
+        remove_path(spark, path)
     out = handler.rows()
     return out.select("symbol", "open_time", *[F.round(c, 6).alias(c) for c in ("rsi_14", "macd")])
 

@@ -16,7 +16,7 @@ from tickloom.plans.book_queries import _signed
 from tickloom.plans.registry import query
 from tickloom.presets import timeframe
 from tickloom.sources.messages import news_flatten
-from tickloom.vocab import NEWS_CAPS
+from tickloom.vocab import NEWS_CAPS, NO_CANDLES, NO_NEWS
 
 # The given prose is invented, so names that do occur in it stand for coin names.
 ALIASES = {"the": "THEUSDT", "with": "WITHUSDT", "une": "UNEUSDT", "des": "DESUSDT", "und": "UNDUSDT", "was": "WITHUSDT"}
@@ -174,21 +174,34 @@ def news_mentions(t):
     return N.news_mentions(_transformed(t))
 
 
-@query(
-    "report_news",
-    TRANSFORMED.rstrip()
-    + """,
+NEWS_REPORT = TRANSFORMED.rstrip() + """,
         e AS (SELECT unnest(symbols) AS symbol, * EXCLUDE (symbols) FROM p
             WHERE published_at >= (SELECT max(published_at) FROM raw_news) - INTERVAL 3 DAY),
-        k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY published_at DESC, article_id) AS rn FROM e WHERE symbol <> '' QUALIFY rn <= 15)
-        SELECT symbol, string_agg('[' || strftime(published_at, '%Y-%m-%d %H:%M') || '] ' || substr(title, 1, 120) || chr(10) || '  '
-            || substr(description, 1, 200) || chr(10) || '  Source: ' || source_name, chr(10) ORDER BY rn) AS report FROM k GROUP BY 1""",
-)
+        k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY published_at DESC, article_id) AS rn FROM e WHERE symbol <> '' QUALIFY rn <= 15),
+        y AS (SELECT symbol, string_agg('[' || strftime(published_at, '%Y-%m-%d %H:%M') || '] ' || substr(title, 1, 120) || chr(10) || '  '
+            || substr(description, 1, 200) || chr(10) || '  Source: ' || source_name, chr(10) ORDER BY rn) AS report FROM k GROUP BY 1)
+        """
+
+
+@query("report_news", NEWS_REPORT + "SELECT symbol, report FROM y")
 def report_news(t):
     """Newest 15 articles per symbol as text."""
     return R.report_news(_transformed(t), 3, t.news_as_of())
 
 
+@query(
+    "report_news_all",
+    NEWS_REPORT
+    + f"""SELECT d.symbol, coalesce(report, '{NO_NEWS}') AS report
+        FROM (SELECT unnest({sorted(set(ALIASES.values()))}) AS symbol UNION SELECT r_name FROM region) d LEFT JOIN y ON y.symbol = d.symbol""",
+)
+def report_news_all(t):
+    """The same for a dimension that also lists symbols without news (the regions)."""
+    listed = t.spark.sql("SELECT explode(array({})) AS symbol".format(", ".join(f"'{s}'" for s in sorted(set(ALIASES.values())))))
+    dim = listed.unionByName(t.read("region").select(F.col("r_name").alias("symbol")))
+    return R.for_every_symbol(R.report_news(_transformed(t), 3, t.news_as_of()), dim, NO_NEWS)
+
+
 # --- chat ---------------------------------------------------------------------
 @query(
     "chat_window",
@@ -347,6 +360,19 @@ def report_candles(t):
     return R.report_candles(CQ._medium(t), timeframe("medium").candle_format)
 
 
+@query(
+    "report_candles_all",
+    CQ.INDICATED.rstrip()
+    + f""", i AS ({BARS}), y AS (SELECT symbol, string_agg({CANDLE_LINE}, chr(10) ORDER BY ts) AS report FROM i GROUP BY 1)
+        SELECT d.symbol, coalesce(report, '{NO_CANDLES}') AS report
+        FROM (SELECT DISTINCT event_type AS symbol FROM events UNION SELECT r_name FROM region) d LEFT JOIN y ON y.symbol = d.symbol""",
+)
+def report_candles_all(t):
+    """The same for a dimension that also lists symbols without candles (the regions)."""
+    dim = t.event_dim().select("symbol").unionByName(t.read("region").select(F.col("r_name").alias("symbol")))
+    return R.for_every_symbol(R.report_candles(CQ._medium(t), timeframe("medium").candle_format), dim, NO_CANDLES)
+
+
 @query(
     "market_report",
     CQ.INDICATED.rstrip()

@@ -37,6 +37,10 @@ TICKER_COLUMNS = {
     "askPrice": "ask_price",
 }
 
+# --- Fixed values: what a report says of a symbol without rows ---
+NO_CANDLES = "(No candle data available)"
+NO_NEWS = "(No recent news articles found for this symbol)"
+
 # --- Fixed values: news length caps (characters) ---
 NEWS_CAPS = {
     "title": 500, "description": 1000, "content": 5000, "url": 500,

@@ -23,7 +23,8 @@ HEADLINE = [
     "missing_candles", "market_snapshot", "top_volume", "panel_gainers", "spread_daily", "ticker_trend_month",
     "ticker_transform", "order_book_metrics", "ob_trend", "ob_summary_30d", "liquidity_table", "news_transform",
     "news_quality_default", "extract_entities", "clean_text", "intent_labels", "chat_window", "forecast_errors",
-    "direction_accuracy", "forecast_overlay", "format_usd",
+    "direction_accuracy", "forecast_overlay", "format_usd", "upsert_months", "scan_base_delta", "stream_ewm",
+    "momentum_warmup", "load_candles",
 ]
 
 

@@ -80,7 +80,8 @@ def momentum_state(df: DataFrame, key="symbol", ts="open_time") -> DataFrame:
 def candle_indicators(df: DataFrame, size: int | str, **kw) -> DataFrame:
     """Re-bucket, then RSI and MACD of the buckets (RSI-14 of daily candles is a 14-day RSI).
 
-    Both uses of the candles in the scan plan the same exchange, so the raw table is read once.
+    Lazy: nothing runs while the plan is built. The raw table is read twice, the second time only the
+    columns that closes need.
     """
     return momentum(candles(df, size, **kw), ts="ts", step=bucket_seconds(size))
 

@@ -25,20 +25,32 @@ class Timeframe:
 
 TIMEFRAMES = {
     "short": Timeframe(
-        "Short-term (hours → days)", "hour", 20, 480, "yyyy-MM-dd HH:00",
-        "hour", 3, "trend", 3, "hour", 3,
+        label="Short-term (hours → days)",
+        candle_bucket="hour", candle_days=20, candle_limit=480, candle_format="yyyy-MM-dd HH:00",
+        ticker_bucket="hour", ticker_days=3,
+        book_mode="trend", book_bucket="hour", book_days=3,
+        news_days=3,
     ),
     "medium": Timeframe(
-        "Medium-term (weeks → month)", 4 * 3600, 90, 540, "yyyy-MM-dd HH:00",
-        "day", 30, "trend", 14, "day", 30,
+        label="Medium-term (weeks → month)",
+        candle_bucket=4 * 3600, candle_days=90, candle_limit=540, candle_format="yyyy-MM-dd HH:00",
+        ticker_bucket="day", ticker_days=30,
+        book_mode="trend", book_bucket="day", book_days=30,
+        news_days=14,
     ),
     "long": Timeframe(
-        "Long-term (months → 1 year)", "day", 730, 730, "yyyy-MM-dd",
-        "week", 730, "summary_30d", 30,
+        label="Long-term (months → 1 year)",
+        candle_bucket="day", candle_days=730, candle_limit=730, candle_format="yyyy-MM-dd",
+        ticker_bucket="week", ticker_days=730,
+        book_mode="summary_30d",
+        news_days=30,
     ),
     "very_long": Timeframe(
-        "Very long-term (1 → 3+ years)", "day", 1095, 1095, "yyyy-MM-dd",
-        "month", 1095, "latest_only", 90,
+        label="Very long-term (1 → 3+ years)",
+        candle_bucket="day", candle_days=1095, candle_limit=1095, candle_format="yyyy-MM-dd",
+        ticker_bucket="month", ticker_days=1095,
+        book_mode="latest_only",
+        news_days=90,
     ),
 }
 

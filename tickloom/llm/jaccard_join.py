@@ -324,15 +324,15 @@ def _screened(met: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _further_buckets(again: DataFrame, sets: DataFrame) -> DataFrame:
-    """path, sid of the buckets in which crowded ones end: small enough, or as deep as choices go."""
-    sizes = again.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
+    """path, sid, n of the buckets in which crowded ones end: small enough, or as deep as choices go."""
+    sizes = _stored(again.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "further-sizes")
     above = sizes.select(F.col("path").alias("parent"), F.col("n").alias("above"))
     ends = (
         again.join(sizes, "path").join(above, "parent", "left")
         .filter((F.col("depth") == 2) | (F.col("above") > SMALL)).filter((F.col("n") <= SMALL) | (F.col("depth") == DEPTH))
     )
     few = _screened(ends.filter(F.col("n") <= SMALL).select("path", "sid"), sets)
-    return few.unionByName(ends.filter(F.col("n") > SMALL).select("path", "sid"))
+    return few.withColumn("n", F.lit(1).cast("long")).unionByName(ends.filter(F.col("n") > SMALL).select("path", "sid", "n"))
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -356,11 +356,12 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "distinct-sets",
     )
     chosen = sets.select("sid", F.explode("paths").alias("path"))
-    sizes = chosen.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
+    # sums are written before they are joined back, so that Spark may split the join where a path is hot
+    sizes = _stored(chosen.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes")
     met = _stored(chosen.join(sizes, "path"), "buckets")
 
     small = _stored(_screened(met.filter(F.col("n") <= SMALL).select("path", "sid"), sets), "small-buckets")
-    crowded = met.filter(F.col("n") > SMALL).select("path", "sid")
+    crowded = met.filter(F.col("n") > SMALL)
     by_hash = Window.partitionBy("path").orderBy(F.xxhash64("sid"))
     sampled = (
         crowded.withColumn("k", F.row_number().over(by_hash)).filter(F.col("k") <= SAMPLE).join(sets.select("sid", "size", "sketch"), "sid")
@@ -373,13 +374,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     first_texts = texts.join(wanted.select(F.col("set_id").alias("doc_id")).distinct(), "doc_id")
     tokens = _stored(_tokens(first_texts).join(wanted, "sid").dropDuplicates(["sid"]), "tokens")
 
-    again = _stored(_choose_again(crowded.join(dense, "path", "left_anti").join(tokens.select("sid", "tokens"), "sid")), "further-choices")
+    again = _stored(_choose_again(crowded.select("path", "sid").join(dense, "path", "left_anti").join(tokens.select("sid", "tokens"), "sid")), "further-choices")
     buckets = _stored(
-        small.unionByName(crowded.join(dense, "path").select("path", "sid")).unionByName(_further_buckets(again, sets)), "final-buckets"
+        small.withColumn("n", F.lit(1).cast("long"))  # one chunk
+        .unionByName(crowded.join(dense, "path").select("path", "sid", "n")).unionByName(_further_buckets(again, sets)), "final-buckets"
     )
-    sizes = buckets.groupBy("path").agg(F.count("*").alias("n"))
     lists = buckets.groupBy("sid").agg(F.sort_array(F.collect_set("path")).alias("buckets"))
-    parts = buckets.join(sizes, "path").withColumn("k", F.ceil(F.col("n") / CHUNK).cast("int"))
+    parts = buckets.withColumn("k", F.ceil(F.col("n") / CHUNK).cast("int"))
     parts = parts.withColumn("chunk", F.pmod(F.xxhash64("sid", "path"), F.col("k")).cast("int"))
     placed = parts.select("path", "sid", "chunk", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")).select(
         "path", "sid", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")

@@ -353,8 +353,10 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
         found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
         .filter("n > 1").select("anchor", (F.col("a") != F.col("b")).alias("mixed"))
     )
-    again_path = _write(found.join(kinds, "anchor"), "repeated-anchors")
-    _drop(spark, all_path)
+    # sums are written before they are joined back, so that Spark may split the join where an anchor is hot
+    kinds_path = _write(kinds, "anchor-kinds")
+    again_path = _write(found.join(spark.read.parquet(kinds_path), "anchor"), "repeated-anchors")
+    _drop(spark, all_path, kinds_path)
 
     again = spark.read.parquet(again_path)
     whole = (((F.shiftright("place", 20)) + F.shiftright("place", 10).bitwiseAND(1023)) + (length - 1)).alias("stop")
@@ -368,13 +370,13 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     counted_path = _write(again.filter("not mixed").select(*spans).unionByName(copied.select(*spans)), "copied-spans")
     _drop(spark, again_path)
 
-    crowded = mixed.groupBy("anchor").agg((F.count("*") > GROUP_CONTEXTS).alias("hot"))
+    crowded_path = _write(mixed.groupBy("anchor").agg((F.count("*") > GROUP_CONTEXTS).alias("hot")), "crowded-anchors")
     wanted = (
-        mixed.join(crowded, "anchor").groupBy("at.doc_id", "at.text_hash")
+        mixed.join(spark.read.parquet(crowded_path), "anchor").groupBy("at.doc_id", "at.text_hash")
         .agg(F.collect_list(F.struct("anchor", "context", "copies", "hot", F.col("at.place").alias("place"))).alias("wanted"))
     )
     body_path = _write(_contexts(texts.join(wanted, ["doc_id", "text_hash"]), length), "context-bodies")
-    _drop(spark, mixed_path)
+    _drop(spark, mixed_path, crowded_path)
 
     bodies = spark.read.parquet(body_path)
     path = _write(

@@ -73,7 +73,7 @@ def ticker_symbol_filter(t):
         WHERE snapshot_time >= (SELECT max(snapshot_time) FROM ticker) - INTERVAL 30 DAY GROUP BY 1, 2""",
 )
 def spread_daily(t):
-    return K.spread_daily(t.ticker(), 30, t.ticker_as_of()).orderBy(F.desc("day"), "symbol")
+    return K.spread_daily(t.ticker(), 30, t.ticker_as_of())
 
 
 def _trend(name, size, days, expr):
@@ -213,8 +213,7 @@ def panel_gainers(t):
 )
 def market_snapshot(t):
     """Accounts without events have no candle: their columns stay NULL."""
-    out = K.market_snapshot(t.accounts(), t.account_ticks(), t.raw_ticker(), LATEST)
-    return out.orderBy("symbol")
+    return K.market_snapshot(t.accounts(), t.account_ticks(), t.raw_ticker(), LATEST)
 
 
 @query(

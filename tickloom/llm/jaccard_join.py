@@ -17,11 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import U64, mix, shingles, slices, text_bytes, words
-from tickloom.session import cut_lineage, work_path
+from tickloom.session import cut_lineage, remove_path, work_path
 
 SHINGLE = 5
 #: Similarity at least NEAR[0] / NEAR[1].
@@ -307,12 +307,23 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared work folder and read back."""
-    path = work_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    df.sparkSession._jvm.System.gc()  # lets Spark's cleaner take the shuffle files of finished jobs
-    return df.sparkSession.read.parquet(path)
+class _Steps:
+    """Work tables of one run in the shared folder."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows written and read back."""
+        path = self.paths[name] = work_path(self.spark, name)
+        df.write.option("compression", "zstd").parquet(path)
+        self.spark._jvm.System.gc()  # lets Spark's cleaner take the shuffle files of finished jobs
+        return self.spark.read.parquet(path)
+
+    def drop_but(self, *names: str) -> None:
+        """Delete the tables that the result does not read."""
+        for name in self.paths.keys() - {*names}:
+            remove_path(self.spark, self.paths.pop(name))
 
 
 def _screened(met: DataFrame, sets: DataFrame) -> DataFrame:
@@ -323,9 +334,9 @@ def _screened(met: DataFrame, sets: DataFrame) -> DataFrame:
     return _screen(members).groupBy("ids").agg(F.min("path").alias("path")).select("path", F.explode("ids").alias("sid"))
 
 
-def _further_buckets(again: DataFrame, sets: DataFrame) -> DataFrame:
+def _further_buckets(again: DataFrame, sets: DataFrame, steps: _Steps) -> DataFrame:
     """path, sid, n of the buckets in which crowded ones end: small enough, or as deep as choices go."""
-    sizes = _stored(again.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "further-sizes")
+    sizes = steps.store(again.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "further-sizes")
     above = sizes.select(F.col("path").alias("parent"), F.col("n").alias("above"))
     ends = (
         again.join(sizes, "path").join(above, "parent", "left")
@@ -348,36 +359,37 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(null_id)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    described = _stored(_describe(texts), "shingle-sets")
+    steps = _Steps(docs.sparkSession)
+    described = steps.store(_describe(texts), "shingle-sets")
     key = ["h1", "h2", "size"]
     counted = described.filter("size > 0").groupBy(*key).agg(F.min("doc_id").alias("set_id"), F.count("*").alias("copies"))
-    sets = _stored(  # one row per distinct set, named by its first hash
+    sets = steps.store(  # one row per distinct set, named by its first hash
         described.withColumnRenamed("doc_id", "set_id").join(counted, ["set_id", *key]).withColumnRenamed("h1", "sid").dropDuplicates(["sid"]),
         "distinct-sets",
     )
     chosen = sets.select("sid", F.explode("paths").alias("path"))
     # sums are written before they are joined back, so that Spark may split the join where a path is hot
-    sizes = _stored(chosen.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes")
-    met = _stored(chosen.join(sizes, "path"), "buckets")
+    sizes = steps.store(chosen.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes")
+    met = steps.store(chosen.join(sizes, "path"), "buckets")
 
-    small = _stored(_screened(met.filter(F.col("n") <= SMALL).select("path", "sid"), sets), "small-buckets")
+    small = steps.store(_screened(met.filter(F.col("n") <= SMALL).select("path", "sid"), sets), "small-buckets")
     crowded = met.filter(F.col("n") > SMALL)
     by_hash = Window.partitionBy("path").orderBy(F.xxhash64("sid"))
     sampled = (
         crowded.withColumn("k", F.row_number().over(by_hash)).filter(F.col("k") <= SAMPLE).join(sets.select("sid", "size", "sketch"), "sid")
         .groupBy("path").agg(F.collect_list(F.struct("sid", "size", "sketch")).alias("members"))
     )
-    dense = _stored(_dense(sampled), "dense-buckets")
+    dense = steps.store(_dense(sampled), "dense-buckets")
 
     active = small.select("sid").unionByName(crowded.select("sid")).distinct()
     wanted = active.join(sets.select("sid", "set_id", "copies"), "sid")
     first_texts = texts.join(wanted.select(F.col("set_id").alias("doc_id")).distinct(), "doc_id")
-    tokens = _stored(_tokens(first_texts).join(wanted, "sid").dropDuplicates(["sid"]), "tokens")
+    tokens = steps.store(_tokens(first_texts).join(wanted, "sid").dropDuplicates(["sid"]), "tokens")
 
-    again = _stored(_choose_again(crowded.select("path", "sid").join(dense, "path", "left_anti").join(tokens.select("sid", "tokens"), "sid")), "further-choices")
-    buckets = _stored(
+    again = steps.store(_choose_again(crowded.select("path", "sid").join(dense, "path", "left_anti").join(tokens.select("sid", "tokens"), "sid")), "further-choices")
+    buckets = steps.store(
         small.withColumn("n", F.lit(1).cast("long"))  # one chunk
-        .unionByName(crowded.join(dense, "path").select("path", "sid", "n")).unionByName(_further_buckets(again, sets)), "final-buckets"
+        .unionByName(crowded.join(dense, "path").select("path", "sid", "n")).unionByName(_further_buckets(again, sets, steps)), "final-buckets"
     )
     lists = buckets.groupBy("sid").agg(F.sort_array(F.collect_set("path")).alias("buckets"))
     parts = buckets.withColumn("k", F.ceil(F.col("n") / CHUNK).cast("int"))
@@ -385,7 +397,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     placed = parts.select("path", "sid", "chunk", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")).select(
         "path", "sid", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
     )
-    links = _stored(_compare(placed.join(tokens.join(lists, "sid"), "sid")), "links")
+    links = steps.store(_compare(placed.join(tokens.join(lists, "sid"), "sid")), "links")
+
+    steps.drop_but("shingle-sets", "distinct-sets", "links")
 
     per_set = links.groupBy("sid").agg(F.sum("links").alias("links"))
     roots = components(links.select(F.col("set_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "set_id")

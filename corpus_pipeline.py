@@ -11,20 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import decontaminate, jaccard_join, pieces, suffix_dedup, weak_quality
-from tickloom.session import work_path
+from tickloom.session import remove_path, work_path
 
 #: Label model, trained scorer and hashing are not expressible in SQL.
 ORACLE_SQL = None
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    """Texts whose id is the whole row."""
-    return docs.select(F.struct(*docs.columns).alias("doc_id"), "text")
+#: Bytes of a passage that must not stand anywhere else; one of over 50 words is some 300 bytes long.
+PASSAGE_BYTES = 256
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    return weak_quality.classify(_rows(docs)).filter(~F.col("rejected")).select("doc_id.*")
+    return weak_quality.classify(docs, carry=tuple(docs.columns)).filter(~F.col("rejected")).select("carried.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,12 +38,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the strings of 400 bytes that stand anywhere else; one of which nothing is left goes.
+    """Documents without the strings of PASSAGE_BYTES bytes that stand anywhere else; one of which nothing is left goes.
 
     A character cut in two by a removed string becomes the replacement character. n_chars follows the text.
     """
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    left = suffix_dedup.remove_repeats(docs, carry=others).filter("n_removed = 0 or n_removed < n_bytes")
+    left = suffix_dedup.remove_repeats(docs, PASSAGE_BYTES, carry=others).filter("n_removed = 0 or n_removed < n_bytes")
     rows = left.select("doc_id", F.make_valid_utf8(F.col("kept").cast("string")).alias("text"), "n_removed", *(f"carried.{c}" for c in others))
     if "n_chars" in others:
         counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
@@ -55,7 +54,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of ten words of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.scan_contamination(_rows(docs), benchmark).filter("n_hit = 0").select("doc_id.*")
+    return decontaminate.scan_contamination(docs, benchmark, carry=tuple(docs.columns)).filter("n_hit = 0").select("carried.*")
 
 
 def subword_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,10 +72,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir; what each stage returns is written to the shared work folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of sf_dir; what a stage returns is kept in the shared work folder until the next is done."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = work_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,7 +3,7 @@
 import hashlib
 
 import pyarrow as pa
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tickloom.llm import chat_format as C
@@ -15,6 +15,7 @@ SF = "/root/testdata/sf0.001"
 TEXT = st.text(st.sampled_from("#\\<>/turn: \nassistant日é"), max_size=40)
 
 
+@settings(deadline=None)
 @given(st.lists(st.tuples(TEXT, TEXT), min_size=1, max_size=8))
 def test_round_trip(turns):
     out, at, start, end = C.assemble(pa.array([r for r, _ in turns]), pa.array([t for _, t in turns]))

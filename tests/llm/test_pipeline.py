@@ -13,7 +13,7 @@ from .test_suffix_dedup import Counter
 SF = "/root/testdata/sf0.001"
 
 
-def removed(rows, length=400):
+def removed(rows, length):
     texts = [(i, t.encode()) for i, t in rows]
     count = Counter(t[k : k + length] for _, t in texts for k in range(len(t) - length + 1))
     out = []
@@ -33,7 +33,7 @@ def test_against_plain_stages(spark):
     poor = {r.doc_id for r in weak_quality.classify(docs).filter("rejected").collect()}
     rows = sorted((i, t) for i, t in texts.items() if i not in poor)
     classes = {eval(x)[0]: eval(x)[2] for x in linked(rows)}  # noqa: S307
-    rows = removed([(i, t) for i, t in rows if classes[i] == i])
+    rows = removed([(i, t) for i, t in rows if classes[i] == i], P.PASSAGE_BYTES)
     items = [(r.item_id, r.text) for r in Q.table(spark, SF, "benchmark").collect()]
     hit = {eval(x)[0] for x in contaminated(rows, items) if eval(x)[2]}  # noqa: S307
     want = {i: t for i, t in rows if i not in hit}

@@ -10,6 +10,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 U64 = np.uint64
 #: Bytes worked on at a time.
@@ -55,6 +58,23 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offs[0] : offs[-1]], offs - offs[0]
 
 
+def carried_columns(names: tuple[str, ...], text: str) -> list[Column]:
+    """Columns to hand to a task besides the id and the text, under names that clash with nothing."""
+    return [F.col(n).alias(f"__carried_{k}") for k, n in enumerate(names) if n != text]
+
+
+def carried_field(docs: DataFrame, names: tuple[str, ...]) -> StructField:
+    """Schema field of what `carried` builds."""
+    return StructField("carried", StructType([docs.schema[n] for n in names] or [StructField("none", IntegerType())]))
+
+
+def carried(batch: pa.RecordBatch, names: tuple[str, ...], text: str, lo: int, hi: int) -> pa.StructArray:
+    """Struct of the columns `names` of rows lo .. hi - 1; column 1 is the text, the others follow it in the order of the names."""
+    others = iter(range(2, batch.num_columns))
+    columns = [batch.column(1 if n == text else next(others)).slice(lo, hi - lo) for n in names]
+    return pa.StructArray.from_arrays(columns, names=list(names)) if names else pa.nulls(hi - lo, pa.struct([("none", pa.int32())]))
+
+
 def slices(offsets: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
     """Runs of rows [lo, hi) of at most `most` bytes together, or one longer row."""
     n, lo = len(offsets) - 1, 0

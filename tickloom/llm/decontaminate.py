@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.llm.arrays import U64, mix, ragged, slices, text_bytes, words
+from tickloom.llm.arrays import U64, carried, carried_columns, carried_field, mix, ragged, slices, text_bytes, words
 
 #: Benchmark bytes that are searched for, and broadcast, at a time.
 BLOCK_BYTES = 16 << 20
@@ -125,15 +125,17 @@ class _Held:
 
 
 def scan_contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id"
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, item_ids (array<string>, sorted as strings) and hit_spans of every row of `docs`.
+    """doc_id, n_words, n_hit, item_ids (array<string>, sorted as strings), hit_spans and carried of every row of `docs`.
 
     Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. A pattern is `window` consecutive words of
     an item, or all its words where it has fewer; a document word inside any occurrence of a pattern is hit. item_ids are
     the items with an occurring pattern, hit_spans the byte ranges from the first to the last word of each run of hit
-    words. The id may be of any type, a struct of the whole row too. A null text, and an item without words, has no words and no hits; an empty benchmark hits nothing; repeated
-    rows are returned as they come, repeated items count once; other columns are ignored.
+    words; carried is the struct of the columns `carry`, unchanged. A null text, and an item without words, has no words
+    and no hits; an empty benchmark hits nothing; repeated rows are returned as they come, repeated items count once;
+    other columns are ignored.
 
     Documents are scanned whole where they are, without a shuffle. The benchmark is taken in blocks of about 16 MB,
     each broadcast by itself.
@@ -152,11 +154,13 @@ def scan_contamination(
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             for lo, hi in slices(offsets, 1 << 22):
-                yield _scan(batch.column(0).slice(lo, hi - lo), data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], held, window)
+                part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+                found = _scan(batch.column(0).slice(lo, hi - lo), part, at, held, window)
+                yield found.append_column("carried", carried(batch, carry, text_col, lo, hi))
 
-    pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carried_columns(carry, text_col))
     found = StructType.fromDDL("n_words long, n_hit long, item_ids array<string>, hit_spans array<struct<start:long,end:long>>")
-    return pairs.mapInArrow(run, StructType([pairs.schema["doc_id"], *found.fields]))
+    return pairs.mapInArrow(run, StructType([pairs.schema["doc_id"], *found.fields, carried_field(docs, carry)]))
 
 
 def _scan(ids: pa.Array, data: np.ndarray, offsets: np.ndarray, held: list, window: int) -> pa.RecordBatch:

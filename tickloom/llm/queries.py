@@ -45,7 +45,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
-    return weak_quality.classify(table(spark, sf_dir, "documents"))
+    return weak_quality.classify(table(spark, sf_dir, "documents")).drop("carried")
 
 
 def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.llm.arrays import U64, mix, prefix_hash, slices, span_hash, text_bytes, words
+from tickloom.llm.arrays import U64, carried, carried_columns, carried_field, mix, prefix_hash, slices, span_hash, text_bytes, words
 
 #: Texts that the scorer is fitted on, at most about; chosen by hash.
-FIT_ROWS = 4096
+FIT_ROWS = 2048
 #: Hash buckets of trigrams, learning steps and step size.
-BUCKETS, STEPS, RATE = 1 << 13, 200, 0.3
+BUCKETS, STEPS, RATE = 1 << 13, 150, 0.3
 #: Rounds of expectation maximisation; accuracy that labellers start with, and votes that this counts for.
 ROUNDS, START, SMOOTH = 30, 0.9, 10.0
 
@@ -184,28 +184,24 @@ def _patterns(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "pattern long, features binary")
 
 
-def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_votes, posterior (of the label model), score (of the scorer, 0 to 1) and rejected of every row.
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_votes, posterior (of the label model), score (of the scorer, 0 to 1), rejected and carried of every row.
+
+    carried is the struct of the columns `carry`, unchanged.
 
     Rejected is a text that the scorer gives more than 0.5 and the label model does not call good. The label model counts the votes on all texts; the scorer is fitted on some FIT_ROWS texts chosen by hash, the same
     at every size of table. A null text is empty: nobody votes on it and it is not rejected; nor is any text on which no
-    labeller votes. The id may be of any type, a struct of the whole
-    row too. Repeated rows and null ids are returned as they come; an empty table gives no rows; other columns
+    labeller votes. Repeated rows and null ids are returned as they come; an empty table gives no rows; other columns
     are ignored.
     """
     spark, texts = docs.sparkSession, _pairs(docs, id_col, text_col)
     share = min(1.0, FIT_ROWS / max(1, docs.count()))
     picked = F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(1 << 30)) < int(share * (1 << 30))
-    seen = _patterns(texts.select("text", picked.alias("fit")))
-    # one pass: counts of all patterns, and the features of the bounded sample
-    rows = (
-        seen.groupBy("pattern").agg(F.count("*").alias("n"), F.collect_list("features").alias("sample"))
-        .collect()
-    )
-    rows.sort(key=lambda r: r["pattern"])
+    rows = sorted(_patterns(texts.select("text", F.lit(False).alias("fit"))).groupBy("pattern").agg(F.count("*").alias("n")).collect())
     numbers, counts = np.array([r["pattern"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
     _, posterior = estimate(numbers, counts)
-    sample = sorted((r["pattern"], bytes(x)) for r in rows for x in r["sample"])
+    fitted = _patterns(texts.filter(picked).select("text", F.lit(True).alias("fit")))
+    sample = sorted((r["pattern"], bytes(r["features"])) for r in fitted.collect())
     sparse = [np.frombuffer(x, "<f4").reshape(2, -1) for _, x in sample] or [np.zeros((2, 0))]
     soft = dict(zip(numbers.tolist(), posterior.tolist(), strict=True))
     bucket, value = np.concatenate(sparse, 1)
@@ -224,14 +220,16 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 score = 1 / (1 + np.exp(-(np.bincount(row, value * weight[bucket], hi - lo) + weight[-1])))
                 n_votes = (v != 0).sum(1)
                 judged = np.fromiter(map(soft.__getitem__, pattern(v).tolist()), float, hi - lo)
+                rest = carried(batch, carry, text_col, lo, hi)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo), pa.array(n_votes, pa.int64()),
                         pa.array(judged), pa.array(score),
-                        pa.array((score > 0.5) & (n_votes > 0) & (judged >= 0.5)),
+                        pa.array((score > 0.5) & (n_votes > 0) & (judged >= 0.5)), rest,
                     ],
-                    names=["doc_id", "n_votes", "posterior", "score", "rejected"],
+                    names=["doc_id", "n_votes", "posterior", "score", "rejected", "carried"],
                 )
 
     found = StructType.fromDDL("n_votes long, posterior double, score double, rejected boolean")
-    return texts.mapInArrow(run, StructType([texts.schema["doc_id"], *found.fields]))
+    whole = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carried_columns(carry, text_col))
+    return whole.mapInArrow(run, StructType([whole.schema["doc_id"], *found.fields, carried_field(docs, carry)]))

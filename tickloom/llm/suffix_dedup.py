@@ -23,13 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.llm.arrays import U64, mix, prefix_hash, ragged, slices, span_hash, text_bytes
-from tickloom.session import work_path
+from tickloom.session import remove_path, work_path
 
 GRAM, BLOCK = 32, 16
 #: Bytes of a text whose anchors are found at a time; positions inside fit the low bits of a key.
 SEGMENT_BITS = 20
 #: Different contexts of an anchor that one task compares by suffix array, and blocks in one array.
 GROUP_CONTEXTS, ARRAY_BLOCKS = 96, 1 << 15
+#: Strings that are counted together at a crowded anchor.
+RUN = 16
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -181,8 +183,7 @@ def _write(df: DataFrame, name: str) -> str:
 def _drop(spark: SparkSession, *paths: str) -> None:
     """Delete finished steps in the work folder and let Spark's cleaner take the shuffle files of finished jobs."""
     for path in paths:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        remove_path(spark, path)
     spark._jvm.System.gc()
 
 
@@ -305,36 +306,65 @@ def _by_suffix_array(contexts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _by_join(contexts: DataFrame, length: int) -> DataFrame:
-    """Spans of repeated strings of the contexts of crowded anchors: strings are counted by hash, then joined with the repeated ones."""
+def _strings(rows: DataFrame, length: int, run_of: int) -> DataFrame:
+    """Hash and place of every run of `run_of` consecutive strings of the contexts that ends before `low` or starts after `high`.
+
+    rows: anchor, context, copies, doc_id, text_hash, place, body, low and high (first and last string known to repeat, or null).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["string", "anchor", "context", "copies", "doc_id", "text_hash", "first", "last"]
         for batch in batches:
-            data, offsets = text_bytes(batch.column(3))
-            place = batch.column(2).to_numpy()
+            data, offsets = text_bytes(batch.column(6))
+            place = batch.column(5).to_numpy()
+            low, high = (batch.column(k).fill_null(v).to_numpy() for k, v in ((7, 1 << 62), (8, -1)))
             for lo, hi in slices(offsets):
-                part = data[offsets[lo] : offsets[hi]]
                 many = np.diff(offsets[lo : hi + 1]) - length + 1
-                start = ragged(offsets[lo:hi] - offsets[lo], many)
-                hashes = span_hash(prefix_hash(part), start, start + length).view(np.int64)
-                owner = np.repeat(np.arange(lo, hi), many)
+                runs = -(-many // run_of)
+                owner = np.repeat(np.arange(lo, hi), runs)
+                first = run_of * ragged(np.zeros(hi - lo, np.int64), runs)
+                last = np.minimum(first + run_of, np.repeat(many, runs)) - 1
+                at = first + (place >> 20)[owner]  # in the text
+                open_ = (at < low[owner]) | (at + last - first > high[owner])
+                owner, first, last, at = owner[open_], first[open_], last[open_], at[open_]
+                start = offsets[owner] - offsets[lo] + first
+                hashes = span_hash(prefix_hash(data[offsets[lo] : offsets[hi]]), start, start + last - first + length).view(np.int64)
                 take = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(hashes), batch.column(0).take(take), batch.column(1).take(take),
-                        pa.array((place >> 20)[owner] + start - (offsets[owner] - offsets[lo])), batch.column(4).take(take),
-                    ],
-                    names=["string", "doc_id", "text_hash", "begin", "copies"],
+                    [pa.array(hashes), *(batch.column(k).take(take) for k in range(5)), pa.array(at), pa.array(at + last - first)], names=names
                 )
 
-    rows = contexts.filter("hot").dropDuplicates(["anchor", "context"]).select("doc_id", "text_hash", "place", "body", "copies")
-    strings = rows.mapInArrow(run, "string long, doc_id long, text_hash int, begin long, copies long")
-    repeated = strings.groupBy("string").agg(F.sum("copies").alias("places")).filter("places > 1").select("string")
-    return strings.filter("copies = 1").join(repeated, "string").select(
-        "doc_id", "text_hash", "begin", (F.col("begin") + length).alias("stop")
+    return rows.select("anchor", "context", "copies", "doc_id", "text_hash", "place", "body", "low", "high").mapInArrow(
+        run, "string long, anchor long, context long, copies long, doc_id long, text_hash int, first long, last long"
     )
 
 
+def _by_join(contexts: DataFrame, length: int) -> DataFrame:
+    """Spans of repeated strings of the contexts of crowded anchors.
+
+    A context has fewer strings than a string has bytes, so whatever lies between two repeated ones is covered by them: its first
+    and last repeated string decide. Runs of strings are counted by hash first; single strings are joined with the
+    repeated ones only where they could widen what the runs found.
+    """
+    none = F.lit(None).cast("long")
+    rows = contexts.filter("hot").dropDuplicates(["anchor", "context"]).withColumns({"low": none, "high": none})
+    key = ["anchor", "context", "doc_id", "text_hash"]
+
+    def found(strings: DataFrame, among: DataFrame) -> DataFrame:
+        repeated = among.groupBy("string").agg(F.sum("copies").alias("places")).filter("places > 1").select("string")
+        return (
+            strings.filter("copies = 1").join(repeated, "string").groupBy(*key)
+            .agg(F.min("first").alias("low"), F.max("last").alias("high"))
+        )
+
+    runs = _strings(rows, length, RUN)
+    wide = found(runs, runs)
+    rest = rows.filter("copies = 1").drop("low", "high").join(wide.drop("doc_id", "text_hash"), ["anchor", "context"], "left")
+    single = found(_strings(rest, length, 1), _strings(rows, length, 1))
+    ends = wide.unionByName(single).groupBy(*key).agg(F.min("low").alias("begin"), (F.max("high") + length).alias("stop"))
+    return ends.select("doc_id", "text_hash", "begin", "stop")
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(

@@ -101,4 +101,29 @@ QUERIES: dict[str, Query] = {
     "op10_decision_list": op10_decision_list,
 }
 
-ORACLES: dict[str, str] = {}
+#: Lower-cased words of the contract, in DuckDB's dialect.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SAFE = r"replace(replace(replace({}, '\', '\\'), '##', '#\#'), '</turn>', '<\/turn>')"
+_SAID = r"\### Assistant: </turn> ok"
+
+ORACLES: dict[str, str] = {
+    "op1_wu_manber": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        p AS (SELECT DISTINCT item_id, m, array_to_string(w[k:k + m - 1], ' ') AS t
+            FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS k FROM (SELECT *, least(10, len(w)) AS m FROM i WHERE len(w) > 0))),
+        s AS (SELECT doc_id, m, k, array_to_string(w[k:k + m - 1], ' ') AS t
+            FROM (SELECT d.*, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, (SELECT DISTINCT m FROM p))),
+        h AS (SELECT doc_id, s.m, k, item_id FROM s JOIN p ON p.m = s.m AND p.t = s.t),
+        a AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + m)) AS place FROM h) GROUP BY 1),
+        b AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS x
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY 1)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(x, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN a ON a.doc_id = d.doc_id LEFT JOIN b ON b.doc_id = d.doc_id""",
+    "op6_chat_format": f"""WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '{_SAID}'), (-7, 1, 'assistant', '{_SAID}')),
+        f AS (SELECT *, role = 'assistant' AS learnt,
+            length('### ' || replace({_SAFE.format("role")}, ':', '\\:') || ': ' || {_SAFE.format("text")} || '</turn>' || chr(10)) AS n FROM c)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (WHERE learnt), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE learnt), '')) AS loss_sha256,
+            CAST(sum(n) AS BIGINT) AS formatted_chars FROM f GROUP BY 1""",
+}

@@ -1,9 +1,13 @@
 """Label model on simulated votes, and the classifier against held-out labels."""
 
 import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm import queries as Q
 from tickloom.llm import weak_quality as K
+from tickloom.llm.arrays import text_bytes
 
 from . import cases
 
@@ -33,6 +37,38 @@ def test_accuracy_on_labels(spark):
     assert poor.filter("rejected").count() >= 0.95 * poor.count()
 
 
+def _votes(text):
+    return dict(zip([name for name, _ in K.LABELLERS], K.votes(*text_bytes(pa.array([text])))[0].tolist(), strict=True))
+
+
+def _long_prose(spark, n):
+    docs = Q.table(spark, SF, "documents").join(Q.table(spark, SF, "labels").filter("quality = 1"), "doc_id")
+    rows = docs.filter("lang = 'en'").orderBy("doc_id").select(F.col("text")).collect()
+    return " ".join(" ".join(r.text for r in rows).split(" ")[:n])
+
+
+@pytest.mark.parametrize("n", [5000, 20000, 100000, 200000])
+def test_long_clean_text_is_varied(spark, n):
+    got = _votes(_long_prose(spark, n))
+    assert got["repeated_words"] == 0
+    assert got["varied_words"] == -1
+
+
+def test_long_clean_text_is_kept(spark):
+    docs = Q.table(spark, SF, "documents").select("doc_id", "text")
+    long = spark.createDataFrame([(-1, _long_prose(spark, 200000))], docs.schema)
+    (r,) = K.classify(docs.unionByName(long)).filter("doc_id = -1").collect()
+    assert r.posterior < 0.5
+    assert not r.rejected
+
+
+def test_long_repeats_are_poor(spark):
+    """A long passage again and again, words from few, and both in a long text."""
+    passage = _long_prose(spark, 5000)
+    few = np.random.default_rng(3).choice(passage.split(" ")[:100], 30000)
+    assert [_votes(t)["repeated_words"] for t in (passage * 4, " ".join(few), passage + " " + " ".join(few))] == [1, 1, 1]
+
+
 def test_edges(spark):
     rows = cases.edge_rows()
     got = K.classify(cases.documents(spark, rows)).collect()

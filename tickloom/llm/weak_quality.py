@@ -15,12 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.llm.arrays import U64, carried, carried_columns, carried_field, mix, prefix_hash, slices, span_hash, text_bytes, words
+from tickloom.llm.arrays import (
+    U64, carried, carried_columns, carried_field, mix, prefix_hash, ragged, shingles, slices, span_hash, text_bytes, words,
+)
 
 #: Texts that the scorer is fitted on, at most about; chosen by hash.
 FIT_ROWS = 2048
 #: Hash buckets of trigrams, learning steps and step size.
 BUCKETS, STEPS, RATE = 1 << 13, 150, 0.3
+#: Variety is judged in blocks of at most so many words, and longer texts by repeated windows of so many words besides.
+BLOCK, WINDOW = 1000, 8
 #: Rounds of expectation maximisation; accuracy that labellers start with, and votes that this counts for.
 ROUNDS, START, SMOOTH = 30, 0.9, 10.0
 
@@ -53,6 +57,37 @@ LABELLERS = (
 )
 
 
+def _distinct(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+    """Distinct values of each of n groups."""
+    order = np.lexsort((values, group))
+    v, g = values[order], group[order]
+    new = np.append(True, (v[1:] != v[:-1]) | (g[1:] != g[:-1]))[: len(v)]
+    return np.bincount(g[new], minlength=n)
+
+
+def _variety(hashes: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words of each text as a share, and the share that prose has.
+
+    Prose uses fewer new words the longer it is, so a text is cut into equal blocks of at most BLOCK words, whose shares
+    are averaged over the whole text. What repeats from block to block counts by the windows of WINDOW words that stood
+    in the text before, rare in prose of any length: the share is lowered by theirs.
+    """
+    n, count = len(word_at) - 1, np.diff(word_at)
+    blocks = np.maximum(1, -(-count // BLOCK))
+    first = np.append(0, np.cumsum(blocks))
+    owner = np.repeat(np.arange(n), count)
+    within = np.arange(len(hashes)) - word_at[:-1][owner]
+    block = first[owner] + within * blocks[owner] // np.maximum(count, 1)[owner]
+    distinct = np.add.reduceat(_distinct(hashes, block, first[-1]), first[:-1]) if n else np.zeros(0, np.int64)
+    share = distinct / np.maximum(count, 1)
+    long = np.flatnonzero(blocks > 1)
+    if len(long):
+        grams, gram_at = shingles(hashes[ragged(word_at[:-1][long], count[long])], np.append(0, np.cumsum(count[long])), WINDOW)
+        per = np.diff(gram_at)
+        share[long] *= _distinct(grams, np.repeat(np.arange(len(long)), per), len(long)) / per
+    return share, np.minimum(1.0, 1.15 - 0.065 * np.log(np.maximum(count / blocks, 1)))
+
+
 def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """What the labellers look at, for each text."""
     n = len(offsets) - 1
@@ -61,10 +96,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     hashes, _, _, word_at = words(data, offsets)
     count = np.diff(word_at)
     owner = np.repeat(np.arange(n), count)
-    order = np.lexsort((hashes, owner))
-    h, o = hashes[order], owner[order]
-    new = np.append(True, (h[1:] != h[:-1]) | (o[1:] != o[:-1]))[: len(h)]
-    distinct = np.bincount(o[new], minlength=n)
+    distinct, expected = _variety(hashes, word_at)
     echo = np.bincount(owner[1:][(hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])], minlength=n) if len(owner) else np.zeros(n)
     # lines that are not empty, by hash
     breaks = np.flatnonzero(data == 10)
@@ -76,17 +108,13 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     start, stop = start[full], stop[full]
     line = span_hash(prefix_hash(data), start, stop) if len(start) else np.zeros(0, U64)
     at = np.searchsorted(offsets, start, side="right") - 1
-    order = np.lexsort((line, at))
-    ll, la = line[order], at[order]
-    first = np.append(True, (ll[1:] != ll[:-1]) | (la[1:] != la[:-1]))[: len(ll)]
     lines = np.bincount(at, minlength=n)
     letters = kinds[:, _UPPER] + kinds[:, _LOWER]
     per = lambda a, b: a / np.maximum(b, 1)
     return {
         "letters": letters, "words": count, "upper": per(kinds[:, _UPPER], letters), "symbol": per(kinds[:, _SYMBOL], count),
-        "shout": per(kinds[:, _SHOUT], count), "digit": per(kinds[:, _DIGIT], np.diff(offsets)), "distinct": per(distinct, count),
-        "expected": np.minimum(1.0, 1.15 - 0.065 * np.log(np.maximum(count, 1))),  # distinct share of prose falls slowly with length
-        "lines": lines, "repeats": per(lines - np.bincount(la[first], minlength=n), lines), "echo": per(echo, count),
+        "shout": per(kinds[:, _SHOUT], count), "digit": per(kinds[:, _DIGIT], np.diff(offsets)), "distinct": distinct, "expected": expected,
+        "lines": lines, "repeats": per(lines - _distinct(line, at, n), lines), "echo": per(echo, count),
     }
 
 

@@ -27,12 +27,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the least id; of rows with that id and one text, one row."""
-    linked = jaccard_join.jaccard_join(docs)
-    marks = linked.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.count("*").alias("_rows"), F.min(F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("_first")
-    )
-    marked = docs.join(marks, docs["doc_id"].eqNullSafe(marks["_id"])).filter("_first")
+    """One document of each group of near copies, the one with the least id; of rows with that id and one text, one row.
+
+    Different texts under one id, or without one, are documents of their own.
+    """
+    key = jaccard_join.text_key(F.col("text"))
+    marks = jaccard_join.linked_rows(docs).filter("first").groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.count("*").alias("_rows"))
+    marked = docs.join(marks, docs["doc_id"].eqNullSafe(marks["_id"]) & (key == marks["_key"]))
     once = marked.filter("_rows = 1").select(docs.columns)
     return once.unionByName(marked.filter("_rows > 1").select(docs.columns).dropDuplicates(["doc_id", "text"]))
 

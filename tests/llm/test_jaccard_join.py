@@ -83,6 +83,17 @@ def test_used_id_and_empty(spark):
     assert got(J.jaccard_join(only)) == cases.counted([(1, 0, 1), (2, 0, 2), (3, 0, 3)])
 
 
+def test_used_and_null_ids(spark):
+    """Texts under one id, or without one, are linked by their words alone."""
+    a, b, c, d = (cases.prose(k, 200) for k in (21, 22, 23, 24))
+    changed = lambda t, k: t + f" more{k}"
+    rows = [
+        *cases.edge_rows(), (103, a), (107, changed(a, 1)), (107, b), (109, changed(b, 1)), (None, c), (None, changed(c, 1)), (111, changed(c, 2)),
+        (None, d), (112, changed(d, 1)), (113, cases.prose(25, 200)), (113, cases.prose(26, 200)), (114, a.upper()), (None, "!"), (None, ""),
+    ]
+    assert got(J.jaccard_join(cases.documents(spark, rows))) == brute(rows)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(50, 60), (70, 60), (5, 5)]
     found = {r.node: r.root for r in J.components(spark.createDataFrame(edges, "a long, b long")).collect()}

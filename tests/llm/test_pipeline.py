@@ -65,3 +65,16 @@ def test_one_of_each_group_stays(spark):
     out = P.near_copies(spark, cases.documents(spark, rows), SF)
     assert cases.counted((r.doc_id, r.text) for r in out.collect()) == cases.counted([(1, "a b c d e f"), (3, None), (4, None), (None, "x y z")])
     assert out.filter(F.col("doc_id") == 2).count() == 0
+
+
+def test_texts_under_one_id_stay(spark):
+    """A near copy goes, but not the other text under its id; of near copies without ids one stays."""
+    a, b, c, d = (cases.prose(k, 200) for k in (21, 22, 23, 24))
+    rows = [
+        (3, a), (7, a + " more"), (7, b), (8, b + " more"), (None, c), (None, c + " more"), (9, c + " else"), (None, d), (None, d), (10, d + " more"),
+        (11, cases.prose(25, 200)), (11, cases.prose(26, 200)),
+    ]
+    out = [(r.doc_id, r.text) for r in P.near_copies(spark, cases.documents(spark, rows), SF).collect()]
+    of_c = [r for r in out if r[1].startswith(c)]
+    assert of_c in ([rows[4]], [rows[5]])
+    assert cases.counted(r for r in out if r not in of_c) == cases.counted([(3, a), (7, b), (None, d), *rows[-2:]])

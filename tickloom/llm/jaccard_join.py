@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import U64, mix, shingles, slices, text_bytes, words
@@ -62,7 +62,7 @@ def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _describe(docs: DataFrame) -> DataFrame:
-    """doc_id, two hashes and size of its set, first choices and sketch (least hash of each of BINS ranges, one byte)."""
+    """doc_id, text_key, two hashes and size of its set, first choices and sketch (least hash of each of BINS ranges, one byte)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,15 +87,15 @@ def _describe(docs: DataFrame) -> DataFrame:
                 sketch[bins[first]] = (tokens[first] % U64(255)).astype(np.uint8) + 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(lo, hi - lo), pa.array(_sums(mix(tokens), at).view(np.int64)),
+                        batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(_sums(mix(tokens), at).view(np.int64)),
                         pa.array(_sums(mix(tokens ^ U64(0x5851F42D4C957F2D)), at).view(np.int64)), pa.array(size, pa.int32()),
                         pa.ListArray.from_arrays(pa.array(paths_at, pa.int32()), pa.array(chosen[order].view(np.int64))),
                         pa.array([bytes(s) for s in sketch.reshape(-1, BINS)], pa.binary()),
                     ],
-                    names=["doc_id", "h1", "h2", "size", "paths", "sketch"],
+                    names=["doc_id", "text_key", "h1", "h2", "size", "paths", "sketch"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, h1 long, h2 long, size int, paths array<long>, sketch binary")
+    return docs.mapInArrow(run, "doc_id long, text_key long, h1 long, h2 long, size int, paths array<long>, sketch binary")
 
 
 def _alike(sketches: list[bytes], sizes: np.ndarray) -> np.ndarray:
@@ -214,10 +214,10 @@ def _common(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _compare(rows: DataFrame) -> DataFrame:
-    """sid, set_id, links and root of every set with a similar set, for each (path, low, high) bucket of the rows.
+    """sid, set_id, links, root_id and root of every set with a similar set, for each (path, low, high) bucket of the rows.
 
-    links counts the rows of similar sets for pairs whose first common bucket is this one; root is the least set_id that
-    similar pairs of this bucket connect the set with.
+    links counts the rows of similar sets for pairs whose first common bucket is this one; (root_id, root) is the least
+    (set_id, sid) that similar pairs of this bucket connect the set with.
     """
 
     def solve(t: pa.Table) -> pa.RecordBatch | None:
@@ -246,16 +246,19 @@ def _compare(rows: DataFrame) -> DataFrame:
             met = earlier @ earlier.T > 0
         links = (near & ~met) @ copies
         names = t["set_id"].to_numpy()
-        root = names.copy()
-        while True:  # least id reached over similar pairs
-            least = np.minimum(root, np.where(near, root, np.iinfo(np.int64).max).min(1))
-            if (least == root).all():
+        order = np.lexsort((sids, names))
+        rank = np.empty(len(sids), np.int64)
+        rank[order] = np.arange(len(sids))
+        while True:  # least set reached over similar pairs
+            least = np.minimum(rank, np.where(near, rank, len(sids)).min(1))
+            if (least == rank).all():
                 break
-            root = least
+            rank = least
         keep = near.any(1)
+        root = order[rank[keep]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(sids[keep]), pa.array(names[keep]), pa.array(links[keep].astype(np.int64)), pa.array(root[keep])],
-            names=["sid", "set_id", "links", "root"],
+            [pa.array(x) for x in (sids[keep], names[keep], links[keep].astype(np.int64), names[root], sids[root])],
+            names=["sid", "set_id", "links", "root_id", "root"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,7 +281,7 @@ def _compare(rows: DataFrame) -> DataFrame:
     return (
         rows.select("path", "low", "high", "chunk", "sid", "set_id", "copies", "buckets", "tokens")
         .repartition(n, "path", "low", "high").sortWithinPartitions("path", "low", "high")
-        .mapInArrow(run, "sid long, set_id long, links long, root long")
+        .mapInArrow(run, "sid long, set_id long, links long, root_id long, root long")
     )
 
 
@@ -346,25 +349,41 @@ def _further_buckets(again: DataFrame, sets: DataFrame, steps: _Steps) -> DataFr
     return few.withColumn("n", F.lit(1).cast("long")).unionByName(ends.filter(F.col("n") > SMALL).select("path", "sid", "n"))
 
 
+def text_key(text: Column) -> Column:
+    """What tells the texts of one id apart; a null text counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, copy_id and n_links of every row of `docs`.
+    """doc_id, class_id, copy_id and n_links of every row of `docs`, as `linked_rows` gives them."""
+    return linked_rows(docs, id_col, text_col).drop("text_key", "first")
+
+
+def linked_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id, copy_id, n_links, text_key and first of every row of `docs`.
 
     Two rows are linked if the Jaccard similarity of their sets of five-word shingles is 0.8 or more (words as in
     `arrays.words`; a text of one to four words is one shingle). n_links counts the other rows a row is linked with, its
     copies included. class_id is the least doc_id that links lead to, over any number of them; copy_id the least doc_id
     of the rows with the same set. A text without words, or null, is linked with nothing and a class of its own.
-    Repeated rows are copies; a null id counts as the least one. An empty table gives no rows; other columns are ignored.
+    Repeated rows are copies; a null id counts as the least one. Different texts under one id, or without one, are linked
+    by their sets alone; as classes are named by ids, two of them can then have one class_id. first marks the row of every
+    class that has its least id (with all rows that repeat it; of several texts under that id the one with the least set
+    and text_key). An empty table gives no rows; other columns are ignored.
     """
     null_id = -(1 << 63)
     texts = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(null_id)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+        F.coalesce(F.col(id_col).cast("long"), F.lit(null_id)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        text_key(F.col(text_col)).alias("text_key"),
     )
     steps = _Steps(docs.sparkSession)
     described = steps.store(_describe(texts), "shingle-sets")
     key = ["h1", "h2", "size"]
-    counted = described.filter("size > 0").groupBy(*key).agg(F.min("doc_id").alias("set_id"), F.count("*").alias("copies"))
+    counted = described.filter("size > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "text_key")).alias("least"), F.count("*").alias("copies"))
+    counted = counted.select(*key, F.col("least.doc_id").alias("set_id"), F.col("least.text_key").alias("text_key"), "copies")
     sets = steps.store(  # one row per distinct set, named by its first hash
-        described.withColumnRenamed("doc_id", "set_id").join(counted, ["set_id", *key]).withColumnRenamed("h1", "sid").dropDuplicates(["sid"]),
+        described.withColumnRenamed("doc_id", "set_id").join(counted, ["set_id", "text_key", *key])
+        .withColumnRenamed("h1", "sid").dropDuplicates(["sid"]),
         "distinct-sets",
     )
     chosen = sets.select("sid", F.explode("paths").alias("path"))
@@ -382,9 +401,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     dense = steps.store(_dense(sampled), "dense-buckets")
 
     active = small.select("sid").unionByName(crowded.select("sid")).distinct()
-    wanted = active.join(sets.select("sid", "set_id", "copies"), "sid")
-    first_texts = texts.join(wanted.select(F.col("set_id").alias("doc_id")).distinct(), "doc_id")
-    tokens = steps.store(_tokens(first_texts).join(wanted, "sid").dropDuplicates(["sid"]), "tokens")
+    wanted = active.join(sets.select("sid", "set_id", "text_key", "copies"), "sid")
+    first_texts = texts.join(wanted.select(F.col("set_id").alias("doc_id"), "text_key").distinct(), ["doc_id", "text_key"])
+    tokens = steps.store(_tokens(first_texts).join(wanted.drop("text_key"), "sid").dropDuplicates(["sid"]), "tokens")
 
     again = steps.store(_choose_again(crowded.select("path", "sid").join(dense, "path", "left_anti").join(tokens.select("sid", "tokens"), "sid")), "further-choices")
     buckets = steps.store(
@@ -402,13 +421,19 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     steps.drop_but("shingle-sets", "distinct-sets", "links")
 
     per_set = links.groupBy("sid").agg(F.sum("links").alias("links"))
-    roots = components(links.select(F.col("set_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "set_id")
+    node = lambda i, sid: F.struct(F.col(i).alias("id"), F.col(sid).alias("sid"))
+    roots = components(links.select(node("set_id", "sid").alias("a"), node("root_id", "root").alias("b")))
     named = (
-        sets.select(F.col("sid").alias("h1"), "h2", "size", "set_id", "copies").join(per_set.withColumnRenamed("sid", "h1"), "h1", "left")
-        .join(roots, "set_id", "left")
-        .select(*key, "set_id", F.coalesce("root", "set_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        sets.select(F.col("sid").alias("h1"), "h2", "size", "set_id", F.col("text_key").alias("set_key"), "copies")
+        .join(per_set.withColumnRenamed("sid", "h1"), "h1", "left").join(roots.select(F.col("node.sid").alias("h1"), "root"), "h1", "left")
+        .select(
+            *key, "set_id", "set_key", F.coalesce("root.id", "set_id").alias("class_id"), F.isnull("root").alias("is_root"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        )
     )
     id_of = lambda c: F.nullif(F.coalesce(F.col(c), F.col("doc_id")), F.lit(null_id)).alias(c)
-    return described.select("doc_id", *key).join(named, key, "left").select(
-        F.nullif("doc_id", F.lit(null_id)).alias("doc_id"), id_of("class_id"), id_of("set_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    first = F.col("is_root") & (F.col("doc_id") == F.col("set_id")) & (F.col("text_key") == F.col("set_key"))
+    return described.select("doc_id", "text_key", *key).join(named, key, "left").select(
+        F.nullif("doc_id", F.lit(null_id)).alias("doc_id"), id_of("class_id"), id_of("set_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "text_key", F.coalesce(first, F.lit(True)).alias("first"),
     ).withColumnRenamed("set_id", "copy_id")

@@ -266,14 +266,15 @@ def _compare(rows: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(batch)
-            t = pa.Table.from_batches(held).combine_chunks()
+            t = pa.Table.from_batches([*held, batch]).combine_chunks()
+            del batch
             key = np.stack([t[c].to_numpy() for c in ("path", "low", "high")])
             cuts = np.append(0, np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1)
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 if (out := solve(t.slice(a, b - a))) is not None:
                     yield out
-            held = t.slice(cuts[-1]).to_batches()  # the last bucket may go on
+            held = t.take(pa.array(np.arange(cuts[-1], len(t)))).combine_chunks().to_batches()  # the last bucket may go on; a copy, so that t goes
+            del t
         if held and (out := solve(pa.Table.from_batches(held).combine_chunks())) is not None:
             yield out
 

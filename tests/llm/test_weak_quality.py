@@ -69,6 +69,15 @@ def test_long_repeats_are_poor(spark):
     assert [_votes(t)["repeated_words"] for t in (passage * 4, " ".join(few), passage + " " + " ".join(few))] == [1, 1, 1]
 
 
+def test_short_signs_are_poor(spark):
+    """Signs among a few words are a fault; one sign, or a call, is none."""
+    docs = Q.table(spark, SF, "documents").select("doc_id", "text")
+    texts = ["Iechein | chenverst | enenlich.\nVon | ungein. |", "That*** atly.###", "AT&T grows", "Really?!", "In 2024"]
+    short = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(texts)], docs.schema)
+    got = K.classify(docs.unionByName(short)).filter("doc_id < 0").orderBy(F.desc("doc_id")).collect()
+    assert [r.rejected for r in got] == [True, True, False, False, False]
+
+
 def test_edges(spark):
     rows = cases.edge_rows()
     got = K.classify(cases.documents(spark, rows)).collect()

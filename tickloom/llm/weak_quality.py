@@ -47,7 +47,7 @@ def _plain(s: dict[str, np.ndarray]) -> np.ndarray:
 LABELLERS = (
     ("capitals", lambda s: np.where((s["letters"] >= 40) & (s["upper"] > 0.5), 1, 0)),
     ("shouting", lambda s: np.where((s["words"] >= 10) & (s["shout"] > 0.4), 1, 0)),
-    ("symbols", lambda s: np.where((s["words"] >= 10) & (s["symbol"] > 0.2), 1, 0)),
+    ("symbols", lambda s: np.where((s["words"] >= 2) & (s["symbol"] * s["words"] >= 2) & (s["symbol"] > 0.2), 1, 0)),
     ("digits", lambda s: np.where((s["words"] >= 10) & (s["digit"] > 0.4), 1, 0)),
     ("repeated_words", lambda s: np.where((s["words"] >= 30) & (s["distinct"] < s["expected"] * 0.6), 1, 0)),
     ("echo", lambda s: np.where((s["words"] >= 20) & (s["echo"] > 0.2), 1, 0)),

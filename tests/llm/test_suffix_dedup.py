@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tickloom.llm import queries as Q
 from tickloom.llm import suffix_dedup as S
@@ -96,3 +97,15 @@ def test_empty(spark):
 def test_query(spark):
     rows = [(r.doc_id, r.text) for r in Q.table(spark, SF, "documents").collect()]
     assert got(Q.op2_suffix_dedup(spark, SF)) == brute(rows, 400)
+
+
+def test_texts_of_one_id_and_one_short_hash(spark):
+    """A repeated passage goes from its own text, not from another under the same id whose 32-bit hash is the same."""
+    passage, other = cases.prose(61, 120), cases.prose(62, 60)
+    many = spark.range(400000).withColumn("text", F.concat(F.col("id").cast("string"), F.when(F.col("id") % 2 == 0, passage).otherwise(other)))
+    same = many.groupBy(F.hash("text")).agg(F.count("*").alias("n"), F.min_by("text", "id").alias("a"), F.max_by("text", "id").alias("b"))
+    pair = next((r.a, r.b) for r in same.filter("n = 2").collect() if r.a.endswith(passage) != r.b.endswith(passage))
+    rows = [(None, pair[0]), (None, pair[1]), (1, passage)]
+    got = cases.counted((r.n_bytes, r.n_removed) for r in S.remove_repeats(cases.documents(spark, rows), 400).collect())
+    assert len(passage.encode()) >= 400
+    assert got == cases.counted((len(t.encode()), len(passage.encode()) if passage in t else 0) for _, t in rows)

@@ -208,7 +208,7 @@ def _occurrences(docs: DataFrame, length: int) -> DataFrame:
                     got, rows, held = [], [], 0
 
     return docs.filter(F.octet_length("text") >= length).mapInArrow(
-        run, "anchor long, context long, doc_id long, text_hash int, place long"
+        run, "anchor long, context long, doc_id long, text_hash struct<hash:long,bytes:int>, place long"
     )
 
 
@@ -238,7 +238,7 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
                 )
 
     return texts.select("doc_id", "text_hash", "text", "wanted").mapInArrow(
-        run, "anchor long, context long, copies long, hot boolean, doc_id long, text_hash int, place long, body binary"
+        run, "anchor long, context long, copies long, hot boolean, doc_id long, text_hash struct<hash:long,bytes:int>, place long, body binary"
     )
 
 
@@ -302,7 +302,7 @@ def _by_suffix_array(contexts: DataFrame, length: int) -> DataFrame:
     n = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         contexts.filter(~F.col("hot")).repartition(n, "anchor").sortWithinPartitions("anchor", "context")
-        .mapInArrow(run, "doc_id long, text_hash int, begin long, stop long")
+        .mapInArrow(run, "doc_id long, text_hash struct<hash:long,bytes:int>, begin long, stop long")
     )
 
 
@@ -335,7 +335,7 @@ def _strings(rows: DataFrame, length: int, run_of: int) -> DataFrame:
                 )
 
     return rows.select("anchor", "context", "copies", "doc_id", "text_hash", "place", "body", "low", "high").mapInArrow(
-        run, "string long, anchor long, context long, copies long, doc_id long, text_hash int, first long, last long"
+        run, "string long, anchor long, context long, copies long, doc_id long, text_hash struct<hash:long,bytes:int>, first long, last long"
     )
 
 
@@ -368,7 +368,8 @@ def _by_join(contexts: DataFrame, length: int) -> DataFrame:
 def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.hash(text).alias("text_hash"), text.alias("text"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
+        F.struct(F.xxhash64(text).alias("hash"), F.octet_length(text).alias("bytes")).alias("text_hash"), text.alias("text"),
         F.struct(F.lit(0).alias("none"), *(F.col(c) for c in carry)).alias("carried"),
     )
 

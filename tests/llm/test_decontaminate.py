@@ -47,6 +47,12 @@ def test_edges(spark, monkeypatch, window):
     assert got(found) == brute(rows, [i for i in items if i[0] is not None], window)
 
 
+def test_items_without_id_hit(spark):
+    docs = cases.documents(spark, [(1, "zz one two three four"), (2, "two three"), (3, "four five"), (4, "six")])
+    items = spark.createDataFrame([(None, "two three"), (None, "four five"), (7, "One two")], "item_id long, text string")
+    assert got(decontaminate.scan_contamination(docs, items)) == cases.counted([(1, 5, 3, ("7",)), (2, 2, 2, ()), (3, 2, 2, ()), (4, 1, 0, ())])
+
+
 def test_spans(spark):
     docs = cases.documents(spark, [(1, "Zz one two three. four\nqq One two! three")])
     items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")

@@ -80,8 +80,11 @@ class Patterns:
         return first[same], pattern[same]
 
 
-def build_patterns(items: list[tuple[str, str | None]], window: int) -> list[Patterns]:
-    """Search tables of all windows of the items, one for each length (shorter items are one window of their own length)."""
+def build_patterns(items: list[tuple[str | None, str | None]], window: int) -> list[Patterns]:
+    """Search tables of all windows of the items, one for each length (shorter items are one window of their own length).
+
+    An item without a name owns no window, but its windows are searched too.
+    """
     data, offsets = text_bytes(pa.array([t for _, t in items], pa.string()))
     hashes, start, end, word_at = words(data, offsets)
     low = data.tobytes().translate(_LOWER)
@@ -92,7 +95,7 @@ def build_patterns(items: list[tuple[str, str | None]], window: int) -> list[Pat
         for first in range(a, b - m + 1) if m else ():
             text = b" ".join(low[start[i] : end[i]] for i in range(first, first + m))
             owners = by_length.setdefault(m, {}).setdefault(text, (first, []))[1]
-            if item not in owners:
+            if item is not None and item not in owners:
                 owners.append(item)
     return [
         Patterns(np.stack([hashes[f : f + m] for f, _ in found.values()]), list(found), [o for _, o in found.values()])
@@ -135,7 +138,8 @@ def scan_contamination(
     the items with an occurring pattern, hit_spans the byte ranges from the first to the last word of each run of hit
     words; carried is the struct of the columns `carry`, unchanged. A null text, and an item without words, has no words
     and no hits; an empty benchmark hits nothing; repeated rows are returned as they come, repeated items count once;
-    other columns are ignored.
+    items with a null id are searched like the others, so their words are hit, but item_ids does not name them; other
+    columns are ignored.
 
     Documents are scanned whole where they are, without a shuffle. The benchmark is taken in blocks of about 16 MB,
     each broadcast by itself.
@@ -147,7 +151,7 @@ def scan_contamination(
     held = []
     for k in range(n):
         rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()
-        broadcast = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in rows if r["item"] is not None])
+        broadcast = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in rows])
         held.append(_Held(broadcast, f"{spark.sparkContext.applicationId}/{broadcast._jbroadcast.id()}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

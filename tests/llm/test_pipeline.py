@@ -78,3 +78,13 @@ def test_texts_under_one_id_stay(spark):
     of_c = [r for r in out if r[1].startswith(c)]
     assert of_c in ([rows[4]], [rows[5]])
     assert cases.counted(r for r in out if r not in of_c) == cases.counted([(3, a), (7, b), (None, d), *rows[-2:]])
+
+
+def test_short_words_are_a_passage(spark):
+    """A passage of 51 short words goes from both texts."""
+    words = [w[:3] for w in cases.prose(31, 400).split(" ") if len(w) >= 3][:51]
+    passage = " ".join(words)
+    assert len(words) == 51 and 200 <= len(passage.encode()) < 250
+    rows = [(k, f"{cases.prose(40 + k, 60)} {passage} {cases.prose(50 + k, 60)}") for k in range(2)]
+    out = {r.doc_id: r.text for r in P.repeated_passages(spark, cases.documents(spark, rows), SF).collect()}
+    assert not any(passage in t for t in out.values()) and len(out) == 2

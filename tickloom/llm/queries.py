@@ -15,6 +15,7 @@ from tickloom.llm import (
     kd_shards,
     pieces,
     rule_lists,
+    simhash,
     suffix_dedup,
     token_counts,
     token_pack,
@@ -88,6 +89,11 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_lists.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_wu_manber": op1_wu_manber,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op8_bit_pack": op8_bit_pack,
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_decision_list": op10_decision_list,
+    "op11_simhash": op11_simhash,
 }
 
 #: Lower-cased words of the contract, in DuckDB's dialect.

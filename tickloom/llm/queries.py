@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import (
     chat_format,
+    collocations,
     decontaminate,
     jaccard_join,
     kd_shards,
@@ -94,6 +95,11 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_wu_manber": op1_wu_manber,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -106,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_decision_list": op10_decision_list,
     "op11_simhash": op11_simhash,
+    "op13_collocations": op13_collocations,
 }
 
 #: Lower-cased words of the contract, in DuckDB's dialect.
@@ -133,4 +140,20 @@ ORACLES: dict[str, str] = {
             CAST(coalesce(sum(length(text)) FILTER (WHERE learnt), 0) AS BIGINT) AS loss_chars,
             sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE learnt), '')) AS loss_sha256,
             CAST(sum(n) AS BIGINT) AS formatted_chars FROM f GROUP BY 1""",
+    "op13_collocations": r"""WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+            unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+        s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS k FROM p),
+        g AS (SELECT lang, w[k:k + m - 1] AS w, count(*) AS f FROM s, (SELECT unnest(range(1, 6)) AS m) WHERE k + m - 1 <= len(w) GROUP BY 1, 2),
+        t AS (SELECT lang, CAST(sum(f) AS HUGEINT) AS n FROM g WHERE len(w) = 1 GROUP BY 1),
+        c AS (SELECT lang, w, f FROM g WHERE len(w) > 1 AND f >= 100),
+        b AS (SELECT DISTINCT lang, unnest([w[:len(w) - 1], w[2:]]) AS w, f FROM c WHERE len(w) > 2),
+        o AS (SELECT c.* FROM c ANTI JOIN b ON c.lang = b.lang AND c.w = b.w AND c.f = b.f),
+        u AS (SELECT lang, w, f, unnest(range(1, len(w))) AS k FROM o),
+        x AS (SELECT u.lang, u.w, u.f AS a, u.k, h.f AS l, r.f AS r, t.n, CAST(1000 AS HUGEINT) * u.f * t.n // (CAST(h.f AS HUGEINT) * r.f) AS score
+            FROM u JOIN t ON t.lang = u.lang JOIN g h ON h.lang = u.lang AND h.w = u.w[:u.k] JOIN g r ON r.lang = u.lang AND r.w = u.w[u.k + 1:]),
+        y AS (SELECT *, array_to_string(w, ' ') AS phrase FROM x QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1)
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+            FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM y) WHERE rank <= 2000""",
 }

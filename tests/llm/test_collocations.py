@@ -78,9 +78,10 @@ def test_transforms_are_inverse_of_text():
     for length in range(2, 6):
         right = length % 2 == 0
         own, other = (r, f) if right else (f, r)
-        phrase, word, here, there, w = collocations.extend(ahead if right else behind, len(words), own, other, w)
+        phrase, here, there, w = collocations.extend(ahead if right else behind, len(words), own, other, w)
         f, r = (there, here) if right else (here, there)
-        phrases = [(*phrases[p], names[c]) if right else (names[c], *phrases[p]) for p, c in zip(phrase, word, strict=True)]
+        word = [names[k] for k in np.searchsorted(start, here, side="right") - 1]  # an interval lies in that of its first word
+        phrases = [(*phrases[p], c) if right else (c, *phrases[p]) for p, c in zip(phrase, word, strict=True)]
         found |= dict(zip(phrases, w.tolist(), strict=True))
     assert found == plain_counts
 
@@ -89,6 +90,7 @@ def test_transforms_are_inverse_of_text():
 def test_equals_brute_force(spark, monkeypatch, size):
     """Many shards or few, several languages and none, hot phrases, nulls and repeated rows."""
     monkeypatch.setattr(collocations, "SHARD_BYTES", size)
+    monkeypatch.setattr(collocations, "RANGE_WORDS", 2000)
     rows = [(None if k % 5 == 0 else ["en", "de", "fr"][k % 3], chatter(k, 150, 4 + k % 9)) for k in range(60)]
     rows += [("en", "the very same line of words, again the very same line")] * 30 + [("en", None), (None, None), ("xx", ""), ("yy", "  .\n"), (None, "word " * 400)]
     rows += [(None if (i or 0) % 3 else "en", t) for i, t in edge_rows()]

@@ -6,8 +6,9 @@ sorted by DEPTH words, which is all that phrases of DEPTH + 1 words need. A phra
 order; extending it by a word on one side reads that side's transform and keeps the interval of the other in step.
 
 Phrases grow by one word a round, to the right and to the left in turn. In every shard the intervals of phrases that are
-frequent in the whole corpus are extended; an extension is counted only if its other end is frequent too. Counts are
-summed over all shards, and what reaches the least count goes back to the shards that hold it.
+frequent in the whole corpus are extended; an extension is counted only if its other end is frequent too. Counts of all
+shards are summed by range of hashes, in blocks of packed columns (a fraction of the size of rows), and what reaches the
+least count goes back to the shards that hold it. Ranges grow in number with the corpus, so one is a bounded group.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.arrays import ragged, text_bytes
+from tickloom.llm.arrays import U64, mix, prefix_hash, ragged, span_hash, text_bytes
 from tickloom.llm.work import WorkTables
 
 #: Words of a phrase at most, and the words that suffixes are sorted by.
@@ -29,6 +30,8 @@ LONGEST = 5
 DEPTH = LONGEST - 1
 LEAST_COUNT = 100
 TOP = 2000
+#: Words of the corpus per range of hashes in which counts of shards are summed; a range of phrases is one group.
+RANGE_WORDS = 8 << 20
 #: Bytes of text of a shard; one longer piece without any separator makes a longer shard.
 SHARD_BYTES = 12 << 20
 
@@ -38,10 +41,12 @@ _SPLITS = np.zeros(256, bool)
 _SPLITS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _IS_WORD = ~_SPLITS
 _IS_WORD[[0x20, 0x09]] = False
-_CODEC = pa.Codec("zstd")
 
 SHARD = "shard long, lang string, n_words long, n_ids int, ahead binary, behind binary, words array<string>, starts array<int>, counts array<int>"
-EXTENDED = "shard long, f int, r int, w int, prefix long, suffix long"
+#: A frequent phrase in a shard: its intervals start at f (suffixes) and r (reversed prefixes) and are w wide; a is its count in the
+#: corpus, `phrase` its number among those of its length, `named` marks one row of it.
+FREQUENT = "shard long, f long, r long, w long, a long, phrase long, named boolean"
+COLUMNS = [c.split()[0] for c in FREQUENT.split(", ")]
 
 
 def word_ids(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -90,7 +95,7 @@ def transforms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def extend(bwt: np.ndarray, n_ids: int, own: np.ndarray, other: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, ...]:
-    """All extensions of phrases by one word on the side of `bwt`: phrase, word, interval starts on this and the other side, count.
+    """All extensions of phrases by one word on the side of `bwt`: phrase, interval starts on this and the other side, count.
 
     `own` are the interval starts in the order of `bwt`, `other` those in the other order.
     """
@@ -102,11 +107,10 @@ def extend(bwt: np.ndarray, n_ids: int, own: np.ndarray, other: np.ndarray, widt
     order = np.argsort(key, kind="stable")
     key = key[order]
     new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
-    phrase, word = key[new] // (n_ids + 1), key[new] % (n_ids + 1)
-    before = new - np.append(0, np.cumsum(width))[phrase]  # occurrences followed by smaller words
+    phrase, held = key[new] // (n_ids + 1), key[new] % (n_ids + 1) > 0
+    before = new - np.append(0, np.cumsum(width))[phrase]  # occurrences beside smaller words
     count = np.diff(np.append(new, len(key)))
-    held = word > 0
-    return phrase[held], word[held], steps[at[order[new]]][held], (other[phrase] + before)[held], count[held]
+    return phrase[held], steps[at[order[new]]][held], (other[phrase] + before)[held], count[held]
 
 
 def within(starts: np.ndarray, widths: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -117,16 +121,27 @@ def within(starts: np.ndarray, widths: np.ndarray, at: np.ndarray) -> np.ndarray
     return np.where((k >= 0) & (at < starts[k] + widths[k]), k, -1)
 
 
-def _pack(ids: np.ndarray) -> bytes:
-    """Ids as four planes of bytes, compressed."""
-    planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return len(ids).to_bytes(8, "little") + _CODEC.compress(planes.tobytes(), asbytes=True)
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of whole numbers, all lowest ones first, so that equal high bytes stand together."""
+    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _unpack(packed: bytes) -> np.ndarray:
-    n = int.from_bytes(packed[:8], "little")
-    planes = np.frombuffer(_CODEC.decompress(packed[8:], 4 * n, asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+def _squeeze(plain: bytes) -> bytes:
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
+
+
+def _expand(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length, compressed."""
+    return _squeeze(b"".join(map(_planes, columns)))
+
+
+def _unpack(packed: bytes, columns: int = 1) -> list[np.ndarray]:
+    planes = np.frombuffer(_expand(packed), np.uint8).reshape(columns, 8, -1)
+    return [np.ascontiguousarray(p.T).view("<i8").ravel() for p in planes]
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -199,41 +214,115 @@ def _shards(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, SHARD)
 
 
-def _extended(shards: DataFrame, alive: DataFrame, right: bool) -> DataFrame:
-    """Occurring extensions, by one word to the right or left, of the frequent phrases `alive` of every shard."""
+def _dealt(ranges: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Every range with the entries that belong to it, in their order."""
+    order = np.argsort(ranges, kind="stable")
+    cuts = np.flatnonzero(np.diff(ranges[order])) + 1
+    for at in np.split(order, cuts) if len(order) else ():
+        yield int(ranges[at[0]]), at
+
+
+def _spelled(shards: DataFrame, ranges: int) -> DataFrame:
+    """Words of every shard with interval starts and counts, packed by range of their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                shard, lang = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                words, starts, counts = (batch.column(k)[row].values for k in (2, 3, 4))
+                data, offsets = text_bytes(words)
+                hashes = span_hash(prefix_hash(data), offsets[:-1], offsets[1:])
+                by_name = pc.sort_indices(words).to_numpy()
+                blocks = []
+                for k, at in _dealt((hashes % U64(ranges)).astype(np.int64)[by_name]):
+                    at = by_name[at]
+                    spelled = "\n".join(words.take(pa.array(at)).to_pylist()).encode()  # no word has a line feed
+                    numbers = _pack(starts.to_numpy()[at], counts.to_numpy()[at])
+                    blocks.append((k, shard, lang, _squeeze(spelled), numbers))
+                yield pa.RecordBatch.from_pylist([dict(zip(("range", "shard", "lang", "words", "numbers"), b, strict=True)) for b in blocks], schema=schema)
+
+    schema = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("numbers", pa.binary())])
+    return shards.select("shard", "lang", "words", "starts", "counts").mapInArrow(run, "range long, shard long, lang string, words binary, numbers binary")
+
+
+def _frequent_words(blocks: DataFrame, least: int) -> DataFrame:
+    """Interval of every word with at least `least` occurrences over all shards, in every shard that has it; see FREQUENT."""
+
+    def run(group: pa.Table) -> pa.Table:
+        out, known = [], group["range"][0].as_py() << 32
+        langs = group["lang"].to_pylist()
+        for lang in sorted(set(langs)):
+            rows = [k for k, x in enumerate(langs) if x == lang]
+            words = [_expand(group["words"][k].as_py()).split(b"\n") for k in rows]
+            numbers = [_unpack(group["numbers"][k].as_py(), 2) for k in rows]
+            shard = np.repeat([group["shard"][k].as_py() for k in rows], [len(w) for w in words])
+            coded = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode()
+            word = coded.indices.to_numpy().astype(np.int64)
+            start, count = (np.concatenate(x) for x in zip(*numbers, strict=True))
+            total = np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(total, word, count)
+            held = np.flatnonzero(total[word] >= least)
+            word, start = word[held], start[held]
+            first = np.zeros(len(held), bool)
+            first[np.unique(word, return_index=True)[1]] = True
+            columns = [shard[held], start, start, count[held], total[word], known + word, first]
+            names = [pa.array([lang] * len(held), pa.string()), coded.dictionary.take(pa.array(word)).cast(pa.string())]
+            out.append(pa.Table.from_arrays([*map(pa.array, columns), *names], names=[*COLUMNS, "lang", "word"]))
+            known += len(coded.dictionary)
+        return pa.concat_tables(out)
+
+    return blocks.groupBy("range").applyInArrow(run, f"{FREQUENT}, lang string, word string")
+
+
+def _extended(shards: DataFrame, alive: DataFrame, right: bool, ranges: int) -> DataFrame:
+    """Occurring extensions, by one word to the right or left, of the frequent phrases `alive` of every shard, packed by range of their hashes."""
+    schema = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("numbers", pa.binary())])
 
     def run(left: pa.Table, rows: pa.Table) -> pa.Table:
-        schema = pa.schema([("shard", pa.int64()), *((c, pa.int32()) for c in "frw"), ("prefix", pa.int64()), ("suffix", pa.int64())])
         if not left.num_rows or not rows.num_rows:
             return schema.empty_table()
-        bwt = _unpack(left["bwt"][0].as_py())
-        f, r, w, name = (rows[c].to_numpy().astype(np.int64) for c in ("f", "r", "w", "phrase"))
+        f, r, w, name = (rows[c].to_numpy() for c in ("f", "r", "w", "phrase"))
         own, other = (r, f) if right else (f, r)
         order = np.argsort(own)
         own, other, w, name = own[order], other[order], w[order], name[order]
-        phrase, _, start, beside, count = extend(bwt, left["n_ids"][0].as_py(), own, other, w)
+        phrase, start, beside, count = extend(_unpack(left["bwt"][0].as_py())[0], left["n_ids"][0].as_py(), own, other, w)
         # the other end of the extension is a phrase of the old length: frequent if its interval is among those on this side
         end = within(own, w, start)
-        held = end >= 0
+        held = np.flatnonzero(end >= 0)
         here, there = name[phrase[held]], name[end[held]]
-        start, beside = start[held].astype(np.int32), beside[held].astype(np.int32)
-        columns = [np.full(len(here), left["shard"][0].as_py()), *((beside, start) if right else (start, beside)), count[held].astype(np.int32)]
-        return pa.Table.from_arrays([pa.array(c) for c in [*columns, *((here, there) if right else (there, here))]], schema=schema)
+        prefix, suffix = (here, there) if right else (there, here)
+        hashes = mix(prefix.view(U64) + mix(suffix.view(U64)))
+        columns = [*((beside[held], start[held]) if right else (start[held], beside[held])), count[held], prefix, suffix]
+        blocks = [(k, _pack(*(c[at] for c in columns))) for k, at in _dealt((hashes % U64(ranges)).astype(np.int64))]
+        shard = left["shard"][0].as_py()
+        return pa.Table.from_pylist([{"range": k, "shard": shard, "numbers": b} for k, b in blocks], schema=schema)
 
     index = shards.select("shard", "n_ids", F.col("ahead" if right else "behind").alias("bwt"))
-    return index.groupBy("shard").cogroup(alive.select("shard", "f", "r", "w", "phrase").groupBy("shard")).applyInArrow(run, EXTENDED)
+    held = alive.select("shard", "f", "r", "w", "phrase").groupBy("shard")
+    return index.groupBy("shard").cogroup(held).applyInArrow(run, "range long, shard long, numbers binary")
 
 
-def _frequent(found: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Rows of the phrases with at least `least` occurrences over all shards, with `a`, the occurrences, and `phrase`, a name of each.
+def _frequent_phrases(blocks: DataFrame, least: int) -> DataFrame:
+    """Intervals of every phrase with at least `least` occurrences over all shards, in every shard that has it; see FREQUENT."""
 
-    A phrase is named by its first place, shard and interval start; `named` marks the row it is named by. The rows of one
-    phrase are one per shard.
-    """
-    same = Window.partitionBy(*key)
-    place = F.col("shard") * (1 << 31) + F.col("f")
-    rows = found.withColumn("a", F.sum(F.col("w").cast("long")).over(same)).withColumn("phrase", F.min(place).over(same))
-    return rows.filter(F.col("a") >= least).withColumn("named", place == F.col("phrase"))
+    def run(group: pa.Table) -> pa.Table:
+        parts = [_unpack(b, 5) for b in group["numbers"].to_pylist()]
+        shard = np.repeat(group["shard"].to_numpy(), [len(p[0]) for p in parts])
+        f, r, w, prefix, suffix = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((suffix, prefix))
+        new = np.append(True, (np.diff(prefix[order]) != 0) | (np.diff(suffix[order]) != 0))
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        first = np.zeros(len(order), bool)
+        first[order[new]] = True
+        total = np.zeros(int(new.sum()), np.int64)
+        np.add.at(total, which, w)
+        held = total[which] >= least
+        name = (group["range"][0].as_py() << 32) + np.cumsum(total >= least)
+        columns = [*(c[held] for c in (shard, f, r, w)), total[which[held]], name[which[held]], first[held], prefix[held], suffix[held]]
+        return pa.Table.from_arrays(list(map(pa.array, columns)), names=[*COLUMNS, "prefix", "suffix"])
+
+    return blocks.groupBy("range").applyInArrow(run, f"{FREQUENT}, prefix long, suffix long")
 
 
 def _scored(phrases: DataFrame, length: int) -> DataFrame:
@@ -267,15 +356,13 @@ def collocations(
     shards = work.store(_shards(source), "shards")
     totals = work.store(shards.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
 
-    words = shards.select("shard", "lang", F.explode(F.arrays_zip("words", "starts", "counts")).alias("x")).select(
-        "shard", "lang", F.col("x.words").alias("word"), F.col("x.starts").alias("f"), F.col("x.starts").alias("r"), F.col("x.counts").alias("w")
-    )
-    alive = work.store(_frequent(words, ["lang", "word"], least), "words")
+    ranges = max(1, -(-(totals.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS))
+    alive = work.store(_frequent_words(_spelled(shards, ranges), least), "words")
     known = alive.filter("named").select("phrase", "lang", F.array("word").alias("words"), F.array("a").alias("heads"), F.array("a").alias("tails"), "a")
 
     scored, tables = [], [known]
     for length in range(2, LONGEST + 1):
-        alive = work.store(_frequent(_extended(shards, alive, length % 2 == 0), ["prefix", "suffix"], least), f"phrases-{length}")
+        alive = work.store(_frequent_phrases(_extended(shards, alive, length % 2 == 0, ranges), least), f"phrases-{length}")
         first, last = tables[-1].alias("p"), tables[-1].alias("s")
         rows = alive.filter("named").select("phrase", "prefix", "suffix", "a").alias("x")
         joined = rows.join(first, F.col("x.prefix") == F.col("p.phrase")).join(last, F.col("x.suffix") == F.col("s.phrase")).select(

@@ -31,7 +31,7 @@ DEPTH = LONGEST - 1
 LEAST_COUNT = 100
 TOP = 2000
 #: Words of the corpus per range of hashes in which counts of shards are summed; a range of phrases is one group.
-RANGE_WORDS = 8 << 20
+RANGE_WORDS = 4 << 20
 #: Bytes of text of a shard; one longer piece without any separator makes a longer shard.
 SHARD_BYTES = 12 << 20
 
@@ -43,10 +43,9 @@ _IS_WORD = ~_SPLITS
 _IS_WORD[[0x20, 0x09]] = False
 
 SHARD = "shard long, lang string, n_words long, n_ids int, ahead binary, behind binary, words array<string>, starts array<int>, counts array<int>"
-#: A frequent phrase in a shard: its intervals start at f (suffixes) and r (reversed prefixes) and are w wide; a is its count in the
-#: corpus, `phrase` its number among those of its length, `named` marks one row of it.
-FREQUENT = "shard long, f long, r long, w long, a long, phrase long, named boolean"
-COLUMNS = [c.split()[0] for c in FREQUENT.split(", ")]
+#: What a range of hashes gives back. For each shard, packed: interval starts f (suffixes) and r (reversed prefixes), width and
+#: number of the phrases that are frequent in the corpus. Once, without a shard: all these phrases with their counts.
+FREQUENT = "shard long, numbers binary, phrases array<struct<phrase: long, a: long, {}>>"
 
 
 def word_ids(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -144,15 +143,15 @@ def _unpack(packed: bytes, columns: int = 1) -> list[np.ndarray]:
     return [np.ascontiguousarray(p.T).view("<i8").ravel() for p in planes]
 
 
-def _texts(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Texts as bytes and offsets, at most SHARD_BYTES at a time; longer ones are cut where pieces end."""
+def _texts(column: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Texts as bytes and offsets, at most `most` bytes at a time; longer ones are cut where pieces end."""
     data, offsets = text_bytes(column)
     lo = 0
     while lo < len(offsets) - 1:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SHARD_BYTES, side="right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, side="right")) - 1)
         begin, stop = int(offsets[lo]), int(offsets[hi])
-        while stop - begin > SHARD_BYTES:  # one long text
-            cuts = np.flatnonzero(_SPLITS[data[begin : begin + SHARD_BYTES]])
+        while stop - begin > most:  # one long text
+            cuts = np.flatnonzero(_SPLITS[data[begin : begin + most]])
             if not len(cuts):
                 cuts = np.flatnonzero(_SPLITS[data[begin:stop]])[:1]
             if not len(cuts):
@@ -201,7 +200,7 @@ def _shards(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for lang in pc.unique(batch.column(0)).to_pylist():
-                for data, offsets in _texts(batch.column(1).filter(pc.equal(batch.column(0), lang))):
+                for data, offsets in _texts(batch.column(1).filter(pc.equal(batch.column(0), lang)), SHARD_BYTES):
                     if lang in open_ and size[lang] + len(data) > SHARD_BYTES:
                         yield close(lang)
                     open_.setdefault(lang, []).append((data, offsets))
@@ -222,6 +221,17 @@ def _dealt(ranges: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(ranges[at[0]]), at
 
 
+def _given_back(shard: np.ndarray, f: np.ndarray, r: np.ndarray, w: np.ndarray, phrase: np.ndarray, phrases: pa.StructArray) -> pa.Table:
+    """Rows of FREQUENT from the frequent occurrences of a range and its phrases."""
+    numbers = [(k, _pack(f[at], r[at], w[at], phrase[at])) for k, at in _dealt(shard)]
+    lists = pa.ListArray.from_arrays(pa.array([*[None] * len(numbers), 0, len(phrases)], pa.int32()), phrases)
+    return pa.Table.from_arrays([pa.array([*(k for k, _ in numbers), None], pa.int64()), pa.array([*(b for _, b in numbers), None], pa.binary()), lists], names=["shard", "numbers", "phrases"])
+
+
+def _phrases(frequent: DataFrame) -> DataFrame:
+    return frequent.filter("shard IS NULL").select(F.inline("phrases"))
+
+
 def _spelled(shards: DataFrame, ranges: int) -> DataFrame:
     """Words of every shard with interval starts and counts, packed by range of their hashes."""
 
@@ -246,32 +256,34 @@ def _spelled(shards: DataFrame, ranges: int) -> DataFrame:
 
 
 def _frequent_words(blocks: DataFrame, least: int) -> DataFrame:
-    """Interval of every word with at least `least` occurrences over all shards, in every shard that has it; see FREQUENT."""
+    """Words with at least `least` occurrences over all shards; see FREQUENT."""
 
     def run(group: pa.Table) -> pa.Table:
         out, known = [], group["range"][0].as_py() << 32
         langs = group["lang"].to_pylist()
+        names = {"phrase": [], "a": [], "lang": [], "word": []}
         for lang in sorted(set(langs)):
             rows = [k for k, x in enumerate(langs) if x == lang]
             words = [_expand(group["words"][k].as_py()).split(b"\n") for k in rows]
-            numbers = [_unpack(group["numbers"][k].as_py(), 2) for k in rows]
+            start, count = (np.concatenate(x) for x in zip(*(_unpack(group["numbers"][k].as_py(), 2) for k in rows), strict=True))
             shard = np.repeat([group["shard"][k].as_py() for k in rows], [len(w) for w in words])
             coded = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode()
             word = coded.indices.to_numpy().astype(np.int64)
-            start, count = (np.concatenate(x) for x in zip(*numbers, strict=True))
             total = np.zeros(len(coded.dictionary), np.int64)
             np.add.at(total, word, count)
-            held = np.flatnonzero(total[word] >= least)
-            word, start = word[held], start[held]
-            first = np.zeros(len(held), bool)
-            first[np.unique(word, return_index=True)[1]] = True
-            columns = [shard[held], start, start, count[held], total[word], known + word, first]
-            names = [pa.array([lang] * len(held), pa.string()), coded.dictionary.take(pa.array(word)).cast(pa.string())]
-            out.append(pa.Table.from_arrays([*map(pa.array, columns), *names], names=[*COLUMNS, "lang", "word"]))
+            held = total[word] >= least
+            out.append((shard[held], start[held], start[held], count[held], known + word[held]))
+            often = np.flatnonzero(total >= least)
+            names["phrase"] += (known + often).tolist()
+            names["a"] += total[often].tolist()
+            names["lang"] += [lang] * len(often)
+            names["word"] += [w.decode() for w in coded.dictionary.take(pa.array(often)).to_pylist()]
             known += len(coded.dictionary)
-        return pa.concat_tables(out)
+        kinds = {"phrase": pa.int64(), "a": pa.int64(), "lang": pa.string(), "word": pa.string()}
+        phrases = pa.StructArray.from_arrays([pa.array(names[c], t) for c, t in kinds.items()], names=list(kinds))
+        return _given_back(*(np.concatenate(x) for x in zip(*out, strict=True)), phrases)
 
-    return blocks.groupBy("range").applyInArrow(run, f"{FREQUENT}, lang string, word string")
+    return blocks.groupBy("range").applyInArrow(run, FREQUENT.format("lang: string, word: string"))
 
 
 def _extended(shards: DataFrame, alive: DataFrame, right: bool, ranges: int) -> DataFrame:
@@ -281,7 +293,7 @@ def _extended(shards: DataFrame, alive: DataFrame, right: bool, ranges: int) ->
     def run(left: pa.Table, rows: pa.Table) -> pa.Table:
         if not left.num_rows or not rows.num_rows:
             return schema.empty_table()
-        f, r, w, name = (rows[c].to_numpy() for c in ("f", "r", "w", "phrase"))
+        f, r, w, name = (np.concatenate(x) for x in zip(*(_unpack(b, 4) for b in rows["numbers"].to_pylist()), strict=True))
         own, other = (r, f) if right else (f, r)
         order = np.argsort(own)
         own, other, w, name = own[order], other[order], w[order], name[order]
@@ -298,31 +310,31 @@ def _extended(shards: DataFrame, alive: DataFrame, right: bool, ranges: int) ->
         return pa.Table.from_pylist([{"range": k, "shard": shard, "numbers": b} for k, b in blocks], schema=schema)
 
     index = shards.select("shard", "n_ids", F.col("ahead" if right else "behind").alias("bwt"))
-    held = alive.select("shard", "f", "r", "w", "phrase").groupBy("shard")
+    held = alive.filter("shard IS NOT NULL").select("shard", "numbers").groupBy("shard")
     return index.groupBy("shard").cogroup(held).applyInArrow(run, "range long, shard long, numbers binary")
 
 
 def _frequent_phrases(blocks: DataFrame, least: int) -> DataFrame:
-    """Intervals of every phrase with at least `least` occurrences over all shards, in every shard that has it; see FREQUENT."""
+    """Phrases with at least `least` occurrences over all shards; see FREQUENT."""
 
     def run(group: pa.Table) -> pa.Table:
         parts = [_unpack(b, 5) for b in group["numbers"].to_pylist()]
         shard = np.repeat(group["shard"].to_numpy(), [len(p[0]) for p in parts])
         f, r, w, prefix, suffix = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
         order = np.lexsort((suffix, prefix))
         new = np.append(True, (np.diff(prefix[order]) != 0) | (np.diff(suffix[order]) != 0))
         which = np.empty(len(order), np.int64)
         which[order] = np.cumsum(new) - 1
-        first = np.zeros(len(order), bool)
-        first[order[new]] = True
         total = np.zeros(int(new.sum()), np.int64)
         np.add.at(total, which, w)
-        held = total[which] >= least
-        name = (group["range"][0].as_py() << 32) + np.cumsum(total >= least)
-        columns = [*(c[held] for c in (shard, f, r, w)), total[which[held]], name[which[held]], first[held], prefix[held], suffix[held]]
-        return pa.Table.from_arrays(list(map(pa.array, columns)), names=[*COLUMNS, "prefix", "suffix"])
+        often = total >= least
+        name = (group["range"][0].as_py() << 32) + np.cumsum(often)
+        held, first = often[which], order[new][often]
+        phrases = pa.StructArray.from_arrays([pa.array(c) for c in (name[often], total[often], prefix[first], suffix[first])], names=["phrase", "a", "prefix", "suffix"])
+        return _given_back(shard[held], f[held], r[held], w[held], name[which[held]], phrases)
 
-    return blocks.groupBy("range").applyInArrow(run, f"{FREQUENT}, prefix long, suffix long")
+    return blocks.groupBy("range").applyInArrow(run, FREQUENT.format("prefix: long, suffix: long"))
 
 
 def _scored(phrases: DataFrame, length: int) -> DataFrame:
@@ -358,13 +370,13 @@ def collocations(
 
     ranges = max(1, -(-(totals.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS))
     alive = work.store(_frequent_words(_spelled(shards, ranges), least), "words")
-    known = alive.filter("named").select("phrase", "lang", F.array("word").alias("words"), F.array("a").alias("heads"), F.array("a").alias("tails"), "a")
+    known = _phrases(alive).select("phrase", "lang", F.array("word").alias("words"), F.array("a").alias("heads"), F.array("a").alias("tails"), "a")
 
     scored, tables = [], [known]
     for length in range(2, LONGEST + 1):
         alive = work.store(_frequent_phrases(_extended(shards, alive, length % 2 == 0, ranges), least), f"phrases-{length}")
         first, last = tables[-1].alias("p"), tables[-1].alias("s")
-        rows = alive.filter("named").select("phrase", "prefix", "suffix", "a").alias("x")
+        rows = _phrases(alive).alias("x")
         joined = rows.join(first, F.col("x.prefix") == F.col("p.phrase")).join(last, F.col("x.suffix") == F.col("s.phrase")).select(
             "x.phrase", "x.prefix", "x.suffix", "p.lang", F.concat("p.words", F.slice("s.words", -1, 1)).alias("words"),
             F.concat("p.heads", F.array("x.a")).alias("heads"), F.concat("s.tails", F.array("x.a")).alias("tails"), "x.a",

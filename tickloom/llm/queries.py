@@ -20,6 +20,7 @@ from tickloom.llm import (
     suffix_dedup,
     token_counts,
     token_pack,
+    turn_repair,
     weak_quality,
 )
 from tickloom.session import work_path
@@ -95,6 +96,11 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    return turn_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of every language."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
@@ -112,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_decision_list": op10_decision_list,
     "op11_simhash": op11_simhash,
+    "op12_turn_repair": op12_turn_repair,
     "op13_collocations": op13_collocations,
 }
 
@@ -140,6 +147,46 @@ ORACLES: dict[str, str] = {
             CAST(coalesce(sum(length(text)) FILTER (WHERE learnt), 0) AS BIGINT) AS loss_chars,
             sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE learnt), '')) AS loss_sha256,
             CAST(sum(n) AS BIGINT) AS formatted_chars FROM f GROUP BY 1""",
+    "op12_turn_repair": r"""WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+            lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+        given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '') AS named FROM conversations),
+        hit AS (SELECT * EXCLUDE (named), xor(list_reduce(list_prepend(4294967295, list_transform(named, lambda x: CAST(ascii(x) AS BIGINT))),
+            lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM given, tab),
+        damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+            CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+            unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM hit WHERE kind <> 0),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+        judged AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+            NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open_end, left(role, 1) AS initial,
+            lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM placed),
+        lattice AS (SELECT *, blank OR again AS gone, open_end AND NOT blank AND NOT again AS truncated FROM judged),
+        added(state, mid, c, e) AS (VALUES ('-', '-', 0, ''), ('-', 'u', 3, 'I'), ('-', 'a', 6, 'II'), ('s', 's', 0, ''), ('s', 'u', 3, 'I'), ('s', 'a', 6, 'II'),
+            ('u', 'u', 0, ''), ('u', 'a', 3, 'I'), ('a', 'a', 0, ''), ('a', 'u', 3, 'I')),
+        follows(mid, nx) AS (VALUES ('-', 's'), ('-', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u'), ('-', ''), ('s', ''), ('u', ''), ('a', '')),
+        paths AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '-' AS state, {'c': CAST(0 AS BIGINT), 'e': ''} AS best FROM placed
+            UNION ALL SELECT p.conv_id, p.i + 1, CASE WHEN nx = '' THEN f.mid ELSE nx END,
+                min({'c': p.best.c + a.c + CASE WHEN nx = '' THEN 4 ELSE CASE WHEN nx = r.initial THEN 0 ELSE 3 END + CASE WHEN r.truncated THEN 3 ELSE 0 END END,
+                    'e': p.best.e || a.e || CASE WHEN nx = '' THEN 'D' WHEN nx = r.initial THEN 'K' ELSE 'R' END})
+            FROM paths p JOIN added a ON a.state = p.state JOIN follows f ON f.mid = a.mid
+                JOIN lattice r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+            WHERE nx = '' OR (NOT r.gone AND (nx = r.initial OR nx IN ('u', 'a'))) GROUP BY 1, 2, 3),
+        whole AS (SELECT conv_id, max(i) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank,
+            count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM lattice GROUP BY 1),
+        final AS (SELECT w.conv_id, min({'c': p.best.c + a.c, 'e': p.best.e || a.e}) AS best FROM whole w
+            JOIN paths p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.i = w.n JOIN added a ON a.state = p.state AND a.mid IN ('-', 'a') GROUP BY 1),
+        letters AS (SELECT conv_id, unnest(string_split(best.e, '')) AS e, unnest(range(1, length(best.e) + 1)) AS p FROM final),
+        eaten AS (SELECT *, count(*) FILTER (e <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i FROM letters),
+        kept AS (SELECT x.conv_id, x.e, x.p, r.role, CASE WHEN x.e = 'I' THEN '' ELSE r.text END AS text, row_number() OVER (PARTITION BY x.conv_id ORDER BY x.p) AS q,
+            max(CASE WHEN x.e = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY x.conv_id) AS led
+            FROM eaten x LEFT JOIN lattice r ON r.conv_id IS NOT DISTINCT FROM x.conv_id AND r.i = x.i AND x.e <> 'I' WHERE x.e <> 'D'),
+        mended AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (q - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p) AS lines
+            FROM kept GROUP BY 1)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+            coalesce(illegal, 0) AS illegal, coalesce(f.best.c, 0) AS cost, coalesce(f.best.e, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+            FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN whole w ON w.conv_id IS NOT DISTINCT FROM c.conv_id
+            LEFT JOIN final f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN mended m ON m.conv_id IS NOT DISTINCT FROM c.conv_id""",
     "op13_collocations": r"""WITH d AS (SELECT coalesce(lang, 'und') AS lang,
             unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
             FROM documents),

@@ -163,6 +163,38 @@ def test_null_values_are_stepped_over(spark, monkeypatch, holes, chunk):
     np.testing.assert_allclose(values(out, "A", "up"), rises, rtol=1e-9, atol=1e-12)
 
 
+ODD = [float("nan"), float("inf"), float("-inf"), None]
+
+
+@pytest.mark.parametrize("holes", [[0], [0, 1, 20, 21, 59], [10], list(range(55, 60))])
+@pytest.mark.parametrize("chunk", [1, 2048])
+def test_nan_and_infinity_count_as_missing(spark, monkeypatch, tmp_path, holes, chunk):
+    """Batch and stream go on behind a value that is no number, as pandas does when it ignores gaps."""
+    from tickloom.streaming.indicators import MomentumStream
+
+    monkeypatch.setattr(E, "CHUNK_STEPS", chunk)
+    closes = pd.Series(100 + np.cumsum(np.random.default_rng(5).normal(size=60)).round(2))
+    given = [ODD[k % 4] if k in holes else float(c) for k, c in enumerate(closes)]
+    start = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("A", start + dt.timedelta(minutes=k), c) for k, c in enumerate(given)], "symbol string, open_time timestamp, close double")
+    closes[holes] = np.nan
+    known = closes.dropna()
+    moves = known.diff()
+    gain, loss = (moves.clip(lower=0).ewm(span=14, adjust=False).mean(), (-moves).clip(lower=0).ewm(span=14, adjust=False).mean())
+    rsi = (100 - 100 / (1 + gain / loss)).reindex(closes.index).ffill().fillna(0.0)
+    line = known.ewm(span=12, adjust=False).mean() - known.ewm(span=26, adjust=False).mean()
+    line = line.reindex(closes.index).ffill()
+    out = I.momentum(df)
+    np.testing.assert_allclose(values(out, "A", "rsi_14"), rsi, rtol=1e-9)
+    np.testing.assert_allclose(values(out, "A", "macd"), line, rtol=1e-9, atol=1e-9)
+    if chunk > 1:
+        stream = MomentumStream(spark, str(tmp_path / "m"))
+        rows = df.orderBy("open_time").collect()
+        for batch, part in enumerate((rows[:11], rows[11:58], rows[58:])):
+            stream(spark.createDataFrame(part, df.schema), batch)
+        np.testing.assert_allclose(values(stream.rows(), "A", "rsi_14"), rsi, rtol=1e-9)
+
+
 def test_more_rows_than_steps_raise(spark):
     start = dt.datetime(2024, 1, 1)
     rows = [("A", start + dt.timedelta(seconds=i), 1.0) for i in range(6000)]

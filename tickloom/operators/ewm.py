@@ -73,8 +73,8 @@ def ewm(
     """Add one column per mean.
 
     `df` must hold one row per (key, grid step of `step_seconds`); more rows than steps in a chunk raise.
-    A row with a NULL input is stepped over: it keeps its place and shows the mean before it (NULL
-    where there is none yet), and the next value follows as if the row were not there.
+    A row with a NULL, NaN or infinite input is stepped over: it keeps its place and shows the mean before it
+    (NULL where there is none yet), and the next value follows as if the row were not there.
     `carry` has one row per key: the last value of every input (`last_<value>`) and of every mean.
     A mean of rises or falls is NULL on the first row of a key, which has no predecessor.
     """
@@ -95,7 +95,7 @@ def _with_local(df: DataFrame, key: str, ts: str, step: int, means: Sequence[Mea
     """Chunk number, 1-based position in the chunk and each mean's response to the chunk's own values.
 
     The first row of a chunk is left out of the response; it enters through the entry value. Positions
-    count the rows without a NULL input (`__ok`).
+    count the rows whose inputs are finite numbers (`__ok`); NaN is greater than infinity in SQL.
     """
     inside = f"(PARTITION BY {key}, __c ORDER BY {ts})"
     so_far = f"(PARTITION BY {key}, __c ORDER BY {ts} ROWS UNBOUNDED PRECEDING)"
@@ -104,7 +104,7 @@ def _with_local(df: DataFrame, key: str, ts: str, step: int, means: Sequence[Mea
     steps = min(CHUNK_STEPS, *[m.longest_chunk for m in means])
     chunk = f"coalesce(floor(unix_seconds(CAST({ts} AS TIMESTAMP)) / {step * steps}), 0L) AS __c"
     values = list(dict.fromkeys(m.value for m in means))
-    known = " AND ".join(f"{v} IS NOT NULL" for v in values)
+    known = " AND ".join(f"coalesce(abs(CAST({v} AS DOUBLE)) < DOUBLE('Infinity'), false)" for v in values)
     fits = f"assert_true(row_number() OVER {inside} <= {steps}, 'more rows than grid steps: remove duplicates first')"
     placed = df.selectExpr("*", chunk, f"({known}) AS __ok").selectExpr(
         "*",
@@ -186,8 +186,9 @@ def _fold(ends: DataFrame, key: str, means: Sequence[Mean], carry: DataFrame | N
 
 
 def carry_of(df: DataFrame, key: str, ts: str, values: Sequence[str], means: Sequence[Mean]) -> DataFrame:
-    """State to continue from: per key the last inputs and means of a frame made by `ewm`."""
+    """State to continue from: per key the last inputs that are finite numbers, and the last means, of a frame made by `ewm`."""
+    finite = lambda v: F.abs(F.col(v).cast("double")) < float("inf")
     return df.groupBy(key).agg(
-        *[F.max_by(v, ts).alias(f"last_{v}") for v in values],
+        *[F.max_by(v, F.when(finite(v), F.col(ts))).alias(f"last_{v}") for v in values],
         *[F.max_by(m.out, ts).alias(m.out) for m in means],
     )

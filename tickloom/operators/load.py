@@ -90,12 +90,16 @@ def union_evolving(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Merge of two frames: per key the last row wins, new rows beat existing ones."""
+def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = (), newest_wins: bool = False) -> DataFrame:
+    """Merge of two frames: per key the last row wins, new rows beat existing ones.
+
+    With `newest_wins` the row with the greatest `order` wins, whichever frame it is in; new rows only break ties.
+    """
     both = union_evolving(
         existing.withColumn("__batch", F.lit(0)), new.withColumn("__batch", F.lit(1))
     )
-    return latest_by_key(both, keys, ["__batch", *order]).drop("__batch")
+    rank = [*order, "__batch"] if newest_wins else ["__batch", *order]
+    return latest_by_key(both, keys, rank).drop("__batch")
 
 
 def insert_new(existing: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
@@ -118,6 +122,28 @@ def load_audit(df: DataFrame, key: str, ts: str) -> DataFrame:
     )
 
 
+#: log2 of the buckets of a distinct-count sketch; the standard error is some 1.6 %, two of three estimates are nearer.
+SKETCH_BITS = 12
+
+
+def audit_parts(df: DataFrame, key: str, ts: str, *groups: str) -> DataFrame:
+    """Audit rows that merge: per group (a month, a load) the row count, the covered range and a sketch of distinct keys.
+
+    A sketch has a fixed size, so tasks merge before the shuffle whatever the number of keys.
+    """
+    return df.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.hll_sketch_agg(key, SKETCH_BITS).alias("sketch"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
+    )
+
+
+def merged_audit(parts: DataFrame, *groups: str) -> DataFrame:
+    """What `load_audit` says of all rows behind the parts, per group or of everything; n_symbols is an estimate."""
+    return parts.groupBy(*groups).agg(
+        F.sum("n_rows").alias("n_rows"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_symbols"),
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+    )
+
+
 def closed_only(df: DataFrame, ts: str, as_of: Column, step: int = CANDLE_STEP_SECONDS) -> DataFrame:
     """Drop the candle that is still open at `as_of`."""
     return df.where(F.col(ts) <= latest_closed_open(as_of, step))

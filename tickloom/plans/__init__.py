@@ -7,6 +7,7 @@ from tickloom.plans import (  # noqa: F401
     candle_queries,
     file_queries,
     load_queries,
+    table_queries,
     text_queries,
     ticker_queries,
 )

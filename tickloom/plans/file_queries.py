@@ -11,7 +11,7 @@ from tickloom.plans import candle_queries as CQ
 from tickloom.plans import sqlviews as V
 from tickloom.plans.registry import query
 from tickloom.session import remove_path, work_path
-from tickloom.sources import lake
+from tickloom.sources import lake, marked
 from tickloom.sources.candles import parse_kline_json, scan_klines_csv
 from tickloom.sources.messages import parse_ticker_json
 from tickloom.streaming.candles import stream_candles, stream_dedup
@@ -199,11 +199,11 @@ def stream_ewm(t):
 
 
 def _loaded(t, name: str, parts, keys, ts: str, month):
-    """The parts loaded one after the other into a monthly table, the last one twice, and read back."""
+    """The parts loaded one after the other into a table with marks, the last one twice, and read back."""
     path = work_path(t.spark, name)
     for rows in [*parts, parts[-1]]:
-        lake.load_into(rows.withColumn("month", month), path, keys, ts)
-    return t.spark.read.schema(parts[-1].withColumn("month", month).schema).parquet(path).drop("month")
+        marked.load_into(rows.withColumn("month", month), path, keys, ts)
+    return marked.read_loaded(t.spark, path, parts[-1].withColumn("month", month).schema).drop("month")
 
 
 @query("load_candles", V.with_views("minutes") + "SELECT symbol, open_time, close, volume FROM minutes")
@@ -248,8 +248,9 @@ def ticker_increment(t):
     wire = parse_ticker_json(raw, "body", ["closeTime"]).select("symbol", F.col("closeTime").cast("bigint").alias("close_time"), F.lit("all").alias("month"))
     path = work_path(t.spark, "ticker-increment")
     for part in (wire.where(F.col("close_time") < 3000), wire, wire):
-        lake.load_into(part, path, ["symbol"], "close_time")
-    stored = t.spark.read.schema(wire.schema).parquet(path)
+        marked.load_into(part, path, ["symbol"], "close_time")
+    marked.fold_loads(t.spark, path, wire.schema)
+    stored = marked.read_loaded(t.spark, path, wire.schema)
     return stored.groupBy("symbol").agg(F.max("close_time").alias("close_time"), F.count("*").alias("n"))
 
 

@@ -48,3 +48,28 @@ def parse_kline_json(df: DataFrame, column: str, symbol: str = "symbol") -> Data
             for i, c in enumerate(RAW_CANDLE_COLUMNS)
         ],
     )
+
+
+def judged_klines(df: DataFrame, column: str, symbol: str = "symbol") -> DataFrame:
+    """The candles of every page, and a row with a reason for what is none: symbol, the candle's columns, reason, body.
+
+    reason is NULL for a candle that can be stored, 'no message' for a null page, 'unreadable' for one that is no JSON array
+    of arrays, 'empty page' for one without candles, 'bad candle' for an array that is too short or has no time; body then
+    keeps the page (of a bad candle, its array).
+    """
+    parsed = F.from_json(column, "array<array<string>>")
+    pages = df.select(F.col(symbol).alias("symbol"), F.col(column).alias("body"), parsed.alias("page"))
+    rows = pages.select("symbol", "body", F.col("page").isNotNull().alias("read"), F.explode_outer("page").alias("k"))
+    kinds = dict(part.split() for part in schemas.RAW_CANDLES.split(", "))
+    cells = {
+        c: to_double(F.get("k", F.lit(i))) if kinds[c] == "double" else F.get("k", F.lit(i)).try_cast("bigint")
+        for i, c in enumerate(RAW_CANDLE_COLUMNS)
+    }
+    reason = (
+        F.when(F.col("body").isNull(), "no message")
+        .when(~F.col("read"), "unreadable")
+        .when(F.col("k").isNull(), "empty page")
+        .when((F.size("k") < len(RAW_CANDLE_COLUMNS)) | cells["open_time"].isNull(), "bad candle")
+    )
+    kept = F.when(F.col("reason") == "bad candle", F.to_json("k")).when(F.col("reason").isNotNull(), F.col("body"))
+    return rows.withColumn("reason", reason).select("symbol", *[F.when(F.col("reason").isNull(), x).alias(c) for c, x in cells.items()], "reason", kept.alias("body"))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.functions.times import MONTH_PATTERN, epoch_millis, instant
-from tickloom.operators.load import delete_where, incremental, union_evolving, upsert
-from tickloom.session import cut_lineage, path_exists, remove_path
+from tickloom.operators.load import delete_where, union_evolving, upsert
+from tickloom.session import cut_lineage, remove_path
 
 MONTH_SOURCES = ("open_time", "timestamp", "extracted_at")
 # <month>_delta_<epoch ms>[_<hex>].parquet, as a file or as a folder of part files
@@ -73,16 +73,6 @@ def upsert_months(
     )
 
 
-def load_into(new: DataFrame, path: str, keys: Sequence[str], ts: str) -> None:
-    """Append those rows of `new` (with `month`) that lie behind no key's newest stored row to the monthly table at `path`.
-
-    A second run with the same rows appends nothing. With no keys there is one mark for the whole table.
-    """
-    spark = new.sparkSession
-    fresh = incremental(new, spark.read.schema(new.schema).parquet(path), keys, ts) if path_exists(spark, path) else new
-    fresh.write.mode("append").partitionBy("month").parquet(path)
-
-
 def delete_from(spark: SparkSession, path: str, condition: Column, schema: StructType, partition: str = "month") -> None:
     """Rewrite the partitions of the table at `path` that hold rows where `condition` is true, without those rows.
 

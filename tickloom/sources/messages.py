@@ -67,3 +67,44 @@ def news_flatten(
         query.alias("search_query"),
         as_of.alias("extracted_at"),
     )
+
+
+def judged_depth(df: DataFrame, column: str, symbol: str = "symbol", ts: str = "timestamp") -> DataFrame:
+    """Every depth message once, parsed once: symbol, timestamp, bids, asks, reason, body.
+
+    reason is NULL for a message that can be stored. It is 'no message' for a null one, 'unreadable' for text that is no JSON
+    object of the format, 'no book' for one without both sides; then the book is NULL and body keeps the message.
+    """
+    raw = "__raw"
+    book = F.from_json(column, f"{schemas.DEPTH_MESSAGE}, {raw} string", {"columnNameOfCorruptRecord": raw})
+    m = df.select(symbol, ts, F.col(column).alias("body"), book.alias("m"))
+    reason = (
+        F.when(F.col("body").isNull(), "no message")
+        .when(F.col("m").isNull() | F.col(f"m.{raw}").isNotNull(), "unreadable")
+        .when(F.col("m.bids").isNull() & F.col("m.asks").isNull(), "no book")
+    )
+    empty = F.array().cast("array<array<string>>")
+    side = lambda c: F.when(F.col("reason").isNull(), F.coalesce(F.col(f"m.{c}"), empty)).alias(c)
+    return m.withColumn("reason", reason).select(
+        symbol, ts, side("bids"), side("asks"), "reason", F.when(F.col("reason").isNotNull(), F.col("body")).alias("body")
+    )
+
+
+def store_judged(judged: DataFrame, path: str) -> None:
+    """Append judged messages in one write: readable ones below `stored=true`, the others, with reason and body, below `stored=false`."""
+    judged.withColumn("stored", F.col("reason").isNull()).write.mode("append").partitionBy("stored").parquet(path)
+
+
+def read_stored(spark, path: str, schema) -> DataFrame:
+    """The readable messages of `store_judged`; `schema` is that of the judged ones."""
+    return _judged_rows(spark, path, schema, True).drop("reason", "body")
+
+
+def read_set_aside(spark, path: str, schema) -> DataFrame:
+    """The messages that could not be stored, with their reasons."""
+    return _judged_rows(spark, path, schema, False)
+
+
+def _judged_rows(spark, path: str, schema, stored: bool) -> DataFrame:
+    with_mark = type(schema)([*schema, *type(schema)().add("stored", "boolean")])
+    return spark.read.schema(with_mark).parquet(path).where(F.col("stored") == stored).drop("stored")

@@ -66,6 +66,34 @@ def test_edges(spark, monkeypatch, crowded):
     assert got(S.remove_repeats(cases.documents(spark, rows))) == brute(rows, 400)
 
 
+@pytest.mark.parametrize("length", [200, 400])
+def test_many_contexts_of_one_anchor(spark, monkeypatch, length):
+    """A passage in 500 texts that part at any byte before and behind it, at production settings; strings lie in several ranges."""
+    monkeypatch.setattr(S, "RANGE_STRINGS", 5000)
+    rng = random.Random(length)
+    passage = cases.prose(71, 120)
+    rows = []
+    for k in range(500):
+        a, b = rng.randint(0, 40), rng.randint(0, 40)
+        rows.append((k, cases.prose(5000 + k, 12) + passage[a : len(passage) - b] + cases.prose(9000 + k, 12)))
+    rows += [(600, rows[3][1]), (601, rows[3][1]), (3, rows[3][1])]
+    docs = cases.documents(spark, rows).repartition(4)
+    assert got(S.remove_repeats(docs, length)) == brute(rows, length)
+
+
+@pytest.mark.parametrize("length", [S.SHORTEST - 1, S.LONGEST + 1])
+def test_lengths_out_of_range(spark, length):
+    with pytest.raises(ValueError, match="length must be"):
+        S.remove_repeats(cases.empty(spark), length)
+
+
+@pytest.mark.parametrize("length", [S.SHORTEST, S.LONGEST])
+def test_shortest_and_longest(spark, length):
+    shared = cases.prose(81, 400)
+    rows = [(k, cases.prose(82 + k, 20) + shared[k * 3 :] + cases.prose(90 + k, 30)) for k in range(6)]
+    assert got(S.remove_repeats(cases.documents(spark, rows), length)) == brute(rows, length)
+
+
 def test_small_segments_and_arrays(spark, monkeypatch):
     """Texts cut in segments and contexts in many arrays give the same."""
     monkeypatch.setattr(S, "ARRAY_BLOCKS", 64)

@@ -20,6 +20,8 @@ ODD = [
     "  x  y ", "\n\n a\n b  c\t\td  ", "don't 'll it's 's", "日本語テキスト 漢字" * 50, "a\xa0b 　c à la é à", "é" * 300, "a  b  c",
     " \n <|endoftext|>  <|endoftext|>", "x\x1c y \x1cz", "aaaa" * 40, "1234567 89 0", "<|endoftext|", "مرحبا بالعالم", "a <s> b</s>",
     " <unk>  <0x0A>", "ﬁ １ x　y", "🙂 smile 👩‍👩‍👧", "a\x00b", "a – b — “c” d", "e.g. it's <|endoftext|>.\nNew; x<|endoftext|>y, (a) a.b,c!!d..\n\nz",
+    # two bytes in the order of bit parity, and exchanged: polynomials modulo 2**64 cannot tell such texts apart
+    *("".join(pair[(k.bit_count() + turn) % 2] for k in range(n)) for n in (512, 1024, 2048) for pair in ("ac", "xy") for turn in (0, 1)),
 ]
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import U64, mix, prefix_hash, ragged, span_hash, text_bytes
+from tickloom.llm.packed import dealt, expand, pack, squeeze, unpack
 from tickloom.llm.work import WorkTables
 
 #: Words of a phrase at most, and the words that suffixes are sorted by.
@@ -120,29 +121,6 @@ def within(starts: np.ndarray, widths: np.ndarray, at: np.ndarray) -> np.ndarray
     return np.where((k >= 0) & (at < starts[k] + widths[k]), k, -1)
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of whole numbers, all lowest ones first, so that equal high bytes stand together."""
-    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _squeeze(plain: bytes) -> bytes:
-    return len(plain).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
-
-
-def _expand(packed: bytes) -> bytes:
-    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
-
-
-def _pack(*columns: np.ndarray) -> bytes:
-    """Columns of one length, compressed."""
-    return _squeeze(b"".join(map(_planes, columns)))
-
-
-def _unpack(packed: bytes, columns: int = 1) -> list[np.ndarray]:
-    planes = np.frombuffer(_expand(packed), np.uint8).reshape(columns, 8, -1)
-    return [np.ascontiguousarray(p.T).view("<i8").ravel() for p in planes]
-
-
 def _texts(column: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Texts as bytes and offsets, at most `most` bytes at a time; longer ones are cut where pieces end."""
     data, offsets = text_bytes(column)
@@ -178,7 +156,7 @@ def _shards(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number]), pa.array([lang]), pa.array([int(counts.sum())]), pa.array([len(words)], pa.int32()),
-                pa.array([_pack(ahead)], pa.binary()), pa.array([_pack(behind)], pa.binary()),
+                pa.array([pack(ahead)], pa.binary()), pa.array([pack(behind)], pa.binary()),
                 pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
                 *(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(c.astype(np.int32))) for c in (starts, counts)),
             ],
@@ -213,17 +191,9 @@ def _shards(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, SHARD)
 
 
-def _dealt(ranges: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Every range with the entries that belong to it, in their order."""
-    order = np.argsort(ranges, kind="stable")
-    cuts = np.flatnonzero(np.diff(ranges[order])) + 1
-    for at in np.split(order, cuts) if len(order) else ():
-        yield int(ranges[at[0]]), at
-
-
 def _given_back(shard: np.ndarray, f: np.ndarray, r: np.ndarray, w: np.ndarray, phrase: np.ndarray, phrases: pa.StructArray) -> pa.Table:
     """Rows of FREQUENT from the frequent occurrences of a range and its phrases."""
-    numbers = [(k, _pack(f[at], r[at], w[at], phrase[at])) for k, at in _dealt(shard)]
+    numbers = [(k, pack(f[at], r[at], w[at], phrase[at])) for k, at in dealt(shard)]
     lists = pa.ListArray.from_arrays(pa.array([*[None] * len(numbers), 0, len(phrases)], pa.int32()), phrases)
     return pa.Table.from_arrays([pa.array([*(k for k, _ in numbers), None], pa.int64()), pa.array([*(b for _, b in numbers), None], pa.binary()), lists], names=["shard", "numbers", "phrases"])
 
@@ -244,11 +214,11 @@ def _spelled(shards: DataFrame, ranges: int) -> DataFrame:
                 hashes = span_hash(prefix_hash(data), offsets[:-1], offsets[1:])
                 by_name = pc.sort_indices(words).to_numpy()
                 blocks = []
-                for k, at in _dealt((hashes % U64(ranges)).astype(np.int64)[by_name]):
+                for k, at in dealt((hashes % U64(ranges)).astype(np.int64)[by_name]):
                     at = by_name[at]
                     spelled = "\n".join(words.take(pa.array(at)).to_pylist()).encode()  # no word has a line feed
-                    numbers = _pack(starts.to_numpy()[at], counts.to_numpy()[at])
-                    blocks.append((k, shard, lang, _squeeze(spelled), numbers))
+                    numbers = pack(starts.to_numpy()[at], counts.to_numpy()[at])
+                    blocks.append((k, shard, lang, squeeze(spelled), numbers))
                 yield pa.RecordBatch.from_pylist([dict(zip(("range", "shard", "lang", "words", "numbers"), b, strict=True)) for b in blocks], schema=schema)
 
     schema = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("numbers", pa.binary())])
@@ -264,8 +234,8 @@ def _frequent_words(blocks: DataFrame, least: int) -> DataFrame:
         names = {"phrase": [], "a": [], "lang": [], "word": []}
         for lang in sorted(set(langs)):
             rows = [k for k, x in enumerate(langs) if x == lang]
-            words = [_expand(group["words"][k].as_py()).split(b"\n") for k in rows]
-            start, count = (np.concatenate(x) for x in zip(*(_unpack(group["numbers"][k].as_py(), 2) for k in rows), strict=True))
+            words = [expand(group["words"][k].as_py()).split(b"\n") for k in rows]
+            start, count = (np.concatenate(x) for x in zip(*(unpack(group["numbers"][k].as_py(), 2) for k in rows), strict=True))
             shard = np.repeat([group["shard"][k].as_py() for k in rows], [len(w) for w in words])
             coded = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode()
             word = coded.indices.to_numpy().astype(np.int64)
@@ -293,11 +263,11 @@ def _extended(shards: DataFrame, alive: DataFrame, right: bool, ranges: int) ->
     def run(left: pa.Table, rows: pa.Table) -> pa.Table:
         if not left.num_rows or not rows.num_rows:
             return schema.empty_table()
-        f, r, w, name = (np.concatenate(x) for x in zip(*(_unpack(b, 4) for b in rows["numbers"].to_pylist()), strict=True))
+        f, r, w, name = (np.concatenate(x) for x in zip(*(unpack(b, 4) for b in rows["numbers"].to_pylist()), strict=True))
         own, other = (r, f) if right else (f, r)
         order = np.argsort(own)
         own, other, w, name = own[order], other[order], w[order], name[order]
-        phrase, start, beside, count = extend(_unpack(left["bwt"][0].as_py())[0], left["n_ids"][0].as_py(), own, other, w)
+        phrase, start, beside, count = extend(unpack(left["bwt"][0].as_py())[0], left["n_ids"][0].as_py(), own, other, w)
         # the other end of the extension is a phrase of the old length: frequent if its interval is among those on this side
         end = within(own, w, start)
         held = np.flatnonzero(end >= 0)
@@ -305,7 +275,7 @@ def _extended(shards: DataFrame, alive: DataFrame, right: bool, ranges: int) ->
         prefix, suffix = (here, there) if right else (there, here)
         hashes = mix(prefix.view(U64) + mix(suffix.view(U64)))
         columns = [*((beside[held], start[held]) if right else (start[held], beside[held])), count[held], prefix, suffix]
-        blocks = [(k, _pack(*(c[at] for c in columns))) for k, at in _dealt((hashes % U64(ranges)).astype(np.int64))]
+        blocks = [(k, pack(*(c[at] for c in columns))) for k, at in dealt((hashes % U64(ranges)).astype(np.int64))]
         shard = left["shard"][0].as_py()
         return pa.Table.from_pylist([{"range": k, "shard": shard, "numbers": b} for k, b in blocks], schema=schema)
 
@@ -318,7 +288,7 @@ def _frequent_phrases(blocks: DataFrame, least: int) -> DataFrame:
     """Phrases with at least `least` occurrences over all shards; see FREQUENT."""
 
     def run(group: pa.Table) -> pa.Table:
-        parts = [_unpack(b, 5) for b in group["numbers"].to_pylist()]
+        parts = [unpack(b, 5) for b in group["numbers"].to_pylist()]
         shard = np.repeat(group["shard"].to_numpy(), [len(p[0]) for p in parts])
         f, r, w, prefix, suffix = (np.concatenate(x) for x in zip(*parts, strict=True))
         del parts

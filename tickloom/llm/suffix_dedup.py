@@ -5,8 +5,8 @@ the same place around that anchor. So the corpus falls apart by anchor: the stri
 occurrence form its context, some 580 bytes. Contexts that agree as a whole are decided by counting. The distinct
 contexts of an anchor that differ are compared by a suffix array over their BLOCK-byte blocks, cut from the anchor on:
 suffixes that share as many blocks as any string of `length` bytes holds stand together in it, and comparing the strings
-in such a class finds the repeated ones exactly. Anchors with very many different contexts are compared string by
-string in a join instead, so no anchor fills a task.
+in such a class finds the repeated ones exactly. The strings of anchors with very many different contexts are counted
+in ranges of their hashes instead, so no anchor fills a task.
 
 Steps are written to the shared work folder, and each step's files go when the next is done.
 """
@@ -23,15 +23,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.llm.arrays import U64, mix, prefix_hash, ragged, slices, span_hash, text_bytes
+from tickloom.llm.packed import dealt, pack, unpack
 from tickloom.session import remove_path, work_path
 
 GRAM, BLOCK = 32, 16
+#: Bytes of the strings that can be looked for.
+SHORTEST, LONGEST = 2 * BLOCK + GRAM - 1, GRAM + 1022
 #: Bytes of a text whose anchors are found at a time; positions inside fit the low bits of a key.
 SEGMENT_BITS = 20
 #: Different contexts of an anchor that one task compares by suffix array, and blocks in one array.
 GROUP_CONTEXTS, ARRAY_BLOCKS = 96, 1 << 15
-#: Strings that are counted together at a crowded anchor.
-RUN = 16
+#: Strings of crowded anchors per range of hashes.
+RANGE_STRINGS = 1 << 21
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -306,63 +309,106 @@ def _by_suffix_array(contexts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _strings(rows: DataFrame, length: int, run_of: int) -> DataFrame:
-    """Hash and place of every run of `run_of` consecutive strings of the contexts that ends before `low` or starts after `high`.
+def _crowded_strings(rows: DataFrame, length: int, ranges: int) -> DataFrame:
+    """The strings of every context of crowded anchors, packed by range of their hashes, and what the contexts are.
 
-    rows: anchor, context, copies, doc_id, text_hash, place, body, low and high (first and last string known to repeat, or null).
+    Contexts are numbered inside a source, some thousand of them. Rows with a range hold (hash of anchor and string, context,
+    place in the context, copies) of a source; the row without one holds the contexts themselves.
     """
+    fields = pa.schema([
+        ("range", pa.int64()), ("source", pa.int64()), ("numbers", pa.binary()), ("doc_id", pa.list_(pa.int64())),
+        ("hash", pa.list_(pa.int64())), ("bytes", pa.list_(pa.int32())), ("begin", pa.list_(pa.int64())),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["string", "anchor", "context", "copies", "doc_id", "text_hash", "first", "last"]
+        from pyspark import TaskContext
+
+        source = TaskContext.get().partitionId() << 32
         for batch in batches:
-            data, offsets = text_bytes(batch.column(6))
-            place = batch.column(5).to_numpy()
-            low, high = (batch.column(k).fill_null(v).to_numpy() for k, v in ((7, 1 << 62), (8, -1)))
+            data, offsets = text_bytes(batch.column(5))
+            anchor, copies, place = (batch.column(k).to_numpy() for k in (0, 1, 4))
             for lo, hi in slices(offsets):
                 many = np.diff(offsets[lo : hi + 1]) - length + 1
-                runs = -(-many // run_of)
-                owner = np.repeat(np.arange(lo, hi), runs)
-                first = run_of * ragged(np.zeros(hi - lo, np.int64), runs)
-                last = np.minimum(first + run_of, np.repeat(many, runs)) - 1
-                at = first + (place >> 20)[owner]  # in the text
-                open_ = (at < low[owner]) | (at + last - first > high[owner])
-                owner, first, last, at = owner[open_], first[open_], last[open_], at[open_]
-                start = offsets[owner] - offsets[lo] + first
-                hashes = span_hash(prefix_hash(data[offsets[lo] : offsets[hi]]), start, start + last - first + length).view(np.int64)
-                take = pa.array(owner)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes), *(batch.column(k).take(take) for k in range(5)), pa.array(at), pa.array(at + last - first)], names=names
-                )
-
-    return rows.select("anchor", "context", "copies", "doc_id", "text_hash", "place", "body", "low", "high").mapInArrow(
-        run, "string long, anchor long, context long, copies long, doc_id long, text_hash struct<hash:long,bytes:int>, first long, last long"
-    )
-
-
-def _by_join(contexts: DataFrame, length: int) -> DataFrame:
-    """Spans of repeated strings of the contexts of crowded anchors.
+                owner = np.repeat(np.arange(hi - lo), many)
+                first = ragged(np.zeros(hi - lo, np.int64), many)
+                start = offsets[lo + owner] - offsets[lo] + first
+                hashes = span_hash(prefix_hash(data[offsets[lo] : offsets[hi]]), start, start + length) ^ mix(anchor[lo:hi].view(U64))[owner]
+                source += 1
+                columns = hashes.view(np.int64), owner, first, copies[lo:hi][owner]
+                out = []
+                for k, at in dealt((hashes % U64(ranges)).astype(np.int64)):
+                    at = at[np.argsort(columns[0][at], kind="stable")]
+                    out.append({"range": k, "source": source, "numbers": pack(*(c[at] for c in columns))})
+                text = batch.column(3).slice(lo, hi - lo)
+                out.append({
+                    "source": source, "doc_id": batch.column(2).slice(lo, hi - lo).to_pylist(), "hash": text.field("hash").to_pylist(),
+                    "bytes": text.field("bytes").to_pylist(), "begin": (place[lo:hi] >> 20).tolist(),
+                })
+                yield pa.RecordBatch.from_pylist(out, schema=fields)
+
+    columns = rows.select("anchor", "copies", "doc_id", "text_hash", "place", "body")
+    return columns.mapInArrow(run, "range long, source long, numbers binary, doc_id array<long>, hash array<long>, bytes array<int>, begin array<long>")
+
+
+def _crowded_ends(strings: DataFrame) -> DataFrame:
+    """For every source and range, packed: contexts with a repeated string that stands once among copies, their first and last such place."""
+    schema = pa.schema([("source", pa.int64()), ("numbers", pa.binary())])
+
+    def run(group: pa.Table) -> pa.Table:
+        parts = [unpack(b, 4) for b in group["numbers"].to_pylist()]
+        source = np.repeat(group["source"].to_numpy(), [len(p[0]) for p in parts])
+        key, context, place, copies = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
+        order = np.argsort(key, kind="stable")
+        new = np.append(True, np.diff(key[order]) != 0)
+        which = np.cumsum(new) - 1
+        places = np.add.reduceat(copies[order], np.flatnonzero(new))
+        at = order[(places[which] > 1) & (copies[order] == 1)]
+        if not len(at):
+            return schema.empty_table()
+        at = at[np.lexsort((place[at], context[at], source[at]))]
+        head = np.append(True, (np.diff(context[at]) != 0) | (np.diff(source[at]) != 0))
+        low, high = at[head], at[np.append(head[1:], True)]
+        out = [(s, pack(context[low[k]], place[low[k]], place[high[k]])) for s, k in dealt(source[low])]
+        return pa.Table.from_pylist([{"source": s, "numbers": b} for s, b in out], schema=schema)
+
+    return strings.filter("range IS NOT NULL").select("range", "source", "numbers").groupBy("range").applyInArrow(run, "source long, numbers binary")
+
+
+def _by_counting(contexts: DataFrame, length: int) -> tuple[DataFrame, str]:
+    """Spans of repeated strings of the contexts of crowded anchors, and the work table they come from.
 
     A context has fewer strings than a string has bytes, so whatever lies between two repeated ones is covered by them: its first
-    and last repeated string decide. Runs of strings are counted by hash first; single strings are joined with the
-    repeated ones only where they could widen what the runs found.
+    and last repeated string decide. Strings are counted by range of hashes, in blocks; a range is a bounded group, as
+    ranges grow in number with the strings.
     """
-    none = F.lit(None).cast("long")
-    rows = contexts.filter("hot").dropDuplicates(["anchor", "context"]).withColumns({"low": none, "high": none})
-    key = ["anchor", "context", "doc_id", "text_hash"]
-
-    def found(strings: DataFrame, among: DataFrame) -> DataFrame:
-        repeated = among.groupBy("string").agg(F.sum("copies").alias("places")).filter("places > 1").select("string")
-        return (
-            strings.filter("copies = 1").join(repeated, "string").groupBy(*key)
-            .agg(F.min("first").alias("low"), F.max("last").alias("high"))
+    spark = contexts.sparkSession
+    hot = contexts.filter("hot")
+    total = hot.agg(F.sum(F.shiftright("place", 10).bitwiseAND(1023))).first()[0] or 0
+    path = _write(_crowded_strings(hot.dropDuplicates(["anchor", "context"]), length, max(1, total // RANGE_STRINGS)), "crowded-strings")
+    strings = spark.read.parquet(path)
+    schema = "doc_id long, text_hash struct<hash:long,bytes:int>, begin long, stop long"
+
+    def run(what: pa.Table, ends: pa.Table) -> pa.Table:
+        parts = [unpack(b, 3) for b in ends["numbers"].to_pylist()]
+        if parts:
+            context, low, high = (np.concatenate(x) for x in zip(*parts, strict=True))
+        else:
+            context, low, high = (np.zeros(0, np.int64) for _ in range(3))
+        n = len(what["begin"][0]) if what.num_rows else 0
+        first, last = np.full(n, 1 << 62), np.full(n, -1)
+        np.minimum.at(first, context, low)
+        np.maximum.at(last, context, high)
+        take = np.flatnonzero(last >= 0)
+        picked = {c: (what[c][0].values.to_numpy()[take] if n else np.zeros(0, np.int64)) for c in ("doc_id", "hash", "bytes", "begin")}
+        text = pa.StructArray.from_arrays([pa.array(picked["hash"], pa.int64()), pa.array(picked["bytes"].astype(np.int32))], names=["hash", "bytes"])
+        return pa.Table.from_arrays(
+            [pa.array(picked["doc_id"], pa.int64()), text, pa.array(picked["begin"] + first[take]), pa.array(picked["begin"] + last[take] + length)],
+            names=["doc_id", "text_hash", "begin", "stop"],
         )
 
-    runs = _strings(rows, length, RUN)
-    wide = found(runs, runs)
-    rest = rows.filter("copies = 1").drop("low", "high").join(wide.drop("doc_id", "text_hash"), ["anchor", "context"], "left")
-    single = found(_strings(rest, length, 1), _strings(rows, length, 1))
-    ends = wide.unionByName(single).groupBy(*key).agg(F.min("low").alias("begin"), (F.max("high") + length).alias("stop"))
-    return ends.select("doc_id", "text_hash", "begin", "stop")
+    whats = strings.filter("range IS NULL").drop("range", "numbers").groupBy("source")
+    return whats.cogroup(_crowded_ends(strings).groupBy("source")).applyInArrow(run, schema), path
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -375,7 +421,12 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] =
 
 
 def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> str:
-    """Path of a work table doc_id, text_hash, begin, stop: byte spans that cover every repeated string of `length` bytes."""
+    """Path of a work table doc_id, text_hash, begin, stop: byte spans that cover every repeated string of `length` bytes.
+
+    `length` is SHORTEST to LONGEST: a string holds some whole blocks, and its place fits a packed number.
+    """
+    if not SHORTEST <= length <= LONGEST:
+        raise ValueError(f"length must be {SHORTEST} to {LONGEST} bytes")
     spark = docs.sparkSession
     texts = _keyed(docs, id_col, text_col)
     all_path = _write(_occurrences(texts.select("doc_id", "text_hash", "text"), length), "anchors")
@@ -410,10 +461,9 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     _drop(spark, mixed_path, crowded_path)
 
     bodies = spark.read.parquet(body_path)
-    path = _write(
-        spark.read.parquet(counted_path).unionByName(_by_suffix_array(bodies, length)).unionByName(_by_join(bodies, length)), "repeated-spans"
-    )
-    _drop(spark, body_path, counted_path)
+    crowded, strings_path = _by_counting(bodies, length)
+    path = _write(spark.read.parquet(counted_path).unionByName(_by_suffix_array(bodies, length)).unionByName(crowded), "repeated-spans")
+    _drop(spark, body_path, counted_path, strings_path)
     return path
 
 

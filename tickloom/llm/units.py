@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import xxhash
 
 from tickloom.llm.arrays import SLICE, U64, mix, prefix_hash, span_hash
 
 #: Units kept by a worker before it starts anew, and slots they are hashed to.
 MOST_UNITS, SLOTS = 1_500_000, 1 << 22
 _NONE = U64(0)
+LONG = 256
 #: Punctuation that starts a pre-token of its own after a letter.
 MARKS = b".,;:!?)]}\"*$%&#"
 _LETTER = np.zeros(256, bool)
@@ -64,7 +66,8 @@ def pair_cuts(data: np.ndarray, offsets: np.ndarray, joined: np.ndarray) -> np.n
 class UnitTable:
     """Numbers the distinct units of texts from 0; `learn(new units as bytes, which of them start a text)` is called for new ones.
 
-    Units are told apart by 64-bit hashes in an open-addressing table of numpy arrays. When MOST_UNITS are known, all are
+    Units are told apart by 64-bit hashes in an open-addressing table of numpy arrays; those of LONG bytes and more by a
+    hash that is no polynomial, as texts of that length with equal polynomials can be made on purpose. When MOST_UNITS are known, all are
     forgotten (`forget` is called) before the next slice.
     """
 
@@ -133,6 +136,8 @@ class UnitTable:
                 self._clear()
             base = start[lo]
             keys = span_hash(prefix_hash(data[base : end[hi - 1]]), start[lo:hi] - base, end[lo:hi] - base)
+            for k in np.flatnonzero(end[lo:hi] - start[lo:hi] >= LONG) + lo:
+                keys[k - lo] = xxhash.xxh3_64_intdigest(data[start[k] : end[k]].tobytes())
             if self.firsts_differ:
                 keys[is_head[lo:hi]] = mix(keys[is_head[lo:hi]] + U64(1))
             keys = np.maximum(keys, U64(1))

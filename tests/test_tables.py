@@ -268,6 +268,57 @@ def test_broken_messages_keep_a_row_with_the_reason(spark):
     assert '["1"]' in {r["body"] for r in out}
 
 
+def test_news_index_reads_the_months_asked_for(spark, tmp_path):
+    from tickloom.sources import newsindex
+
+    def articles(*days):
+        rows = [(f"a{d:03d}", START + dt.timedelta(days=d), START + dt.timedelta(days=d), f"title {d}", "text", "src", ["A", "B"] if d % 3 else ["A"]) for d in days]
+        return spark.createDataFrame(rows, "article_id string, published_at timestamp, extracted_at timestamp, title string, description string, source_name string, symbols array<string>")
+
+    path = str(tmp_path / "i")
+    newsindex.append_index(articles(*range(0, 80)), path, "a")
+    for _ in range(2):
+        newsindex.append_index(articles(*range(75, 100), 3), path, "b")  # some again, one late
+    index = newsindex.read_index(spark, path)
+    got = newsindex.newest_from_index(index, 20, n=5)
+    ranks = sorted((r["symbol"], r["rank"], r["article_id"]) for r in got.collect())
+    want = {"A": [99, 98, 97, 96, 95], "B": [98, 97, 95, 94, 92]}
+    assert ranks == sorted((s, k + 1, f"a{d:03d}") for s, days in want.items() for k, d in enumerate(days))
+    filters = [x.split("]")[0] for x in plan_of(got).split("PartitionFilters: [")[1:]]
+    assert filters and any("month" in f for f in filters)
+    assert [r["article_id"] for r in newsindex.news_from_index(index, "B", 400, n=100).orderBy("rank").collect()] == [f"a{d:03d}" for d in range(99, -1, -1) if d % 3]
+
+
+def test_lookbacks_of_ticker_and_books_prune_by_month(spark, tmp_path):
+    from tickloom.operators.orderbook import ob_summary, ob_trend
+    from tickloom.operators.ticker import spread_daily, ticker_trend
+
+    rows = spark.range(0, 24 * 100).select(
+        F.lit("A").alias("symbol"), F.timestamp_seconds(F.col("id") * 3600 + 1704067200).alias("snapshot_time"),
+        *[(F.col("id") % 13).cast("double").alias(c) for c in ("spread_pct", "price_change_pct", "volume_24h", "trade_count", "obi", "depth_bid_volume", "depth_ask_volume")],
+    ).withColumn("timestamp", F.col("snapshot_time"))
+    rows.withColumn("month", F.date_format("timestamp", "yyyy-MM")).write.partitionBy("month").parquet(str(tmp_path / "t"))
+    stored = spark.read.schema(rows.withColumn("month", F.lit("x")).schema).parquet(str(tmp_path / "t"))
+    for make in (lambda m: spread_daily(stored, 5, month=m), lambda m: ticker_trend(stored, "day", 5, month=m), lambda m: ob_trend(stored, "day", 5, month=m), lambda m: ob_summary(stored, 5, month=m)):
+        pruned = make("month")
+        assert same(pruned, make(None))
+        assert any("month" in x.split("]")[0] for x in plan_of(pruned).split("PartitionFilters: [")[1:])
+
+
+def test_hot_session_lies_on_several_tasks(spark):
+    from tickloom.operators.chat import chat_history
+
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id")).alias("session"), F.col("id").alias("turn"))
+    out = chat_history(rows.repartition(5), "session", ["turn"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = out.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r["task"] for r in got if r["session"] == 7}) >= 4
+    assert [(r["session"], r["turn"]) for r in got] == sorted((r["session"], r["turn"]) for r in got)
+
+
 def test_table_function_takes_names_and_defaults(spark):
     register_candle_tool(spark, candle_rows(spark, 2000), "tool_test")
     ask = lambda **a: spark.sql("SELECT * FROM tool_test(" + ", ".join(f"{k} => :{k}" for k in a) + ")", args=a).collect()

@@ -16,20 +16,18 @@ CONTEXT = (
 
 
 def chat_window(df: DataFrame, session: str, order: list[str], turns: int = CHAT_TURNS) -> DataFrame:
-    """Newest 2*turns messages per session, a session's together and oldest first (`order` ends with a unique tie-break).
-
-    Sessions are sorted inside tasks only; sessions may stand in any order.
-    """
+    """Newest 2*turns messages per session, a session's together and oldest first (`order` ends with a unique tie-break)."""
     return _by_session(newest_n(df, [session], order, 2 * turns), session, order)
 
 
 def chat_history(df: DataFrame, session: str, order: list[str]) -> DataFrame:
-    """Messages of every session, a session's together and oldest first; sessions may stand in any order."""
+    """Messages of every session, a session's together and oldest first."""
     return _by_session(df, session, order)
 
 
 def _by_session(df: DataFrame, session: str, order: list[str]) -> DataFrame:
-    return df.repartition(session).sortWithinPartitions(session, *order)
+    """Rows in order over all tasks: ranges of (session, order), so a session with most of the rows lies on several of them."""
+    return df.repartitionByRange(session, *order).sortWithinPartitions(session, *order)
 
 
 def with_intents(df: DataFrame, text: str) -> DataFrame:

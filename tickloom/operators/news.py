@@ -60,15 +60,15 @@ def by_symbol(df: DataFrame) -> DataFrame:
     return df.withColumn("symbol", F.explode("symbols"))
 
 
-def news_for_symbol(df: DataFrame, symbol: str, days: int, as_of=None, n: int = NEWS_LIMIT) -> DataFrame:
-    """Newest `n` articles about one symbol."""
-    rows = since(df, "published_at", days, as_of).where(F.array_contains("symbols", symbol))
+def news_for_symbol(df: DataFrame, symbol: str, days: int, as_of=None, n: int = NEWS_LIMIT, month: str | None = None) -> DataFrame:
+    """Newest `n` articles about one symbol; `month` names a 'yyyy-MM' partition column to prune by."""
+    rows = since(df, "published_at", days, as_of, month).where(F.array_contains("symbols", symbol))
     return rows.orderBy(F.desc("published_at"), "article_id").limit(n)
 
 
-def news_per_symbol(df: DataFrame, days: int, as_of=None, n: int = NEWS_LIMIT) -> DataFrame:
-    """Newest `n` articles of every symbol."""
-    rows = by_symbol(since(df, "published_at", days, as_of))
+def news_per_symbol(df: DataFrame, days: int, as_of=None, n: int = NEWS_LIMIT, month: str | None = None) -> DataFrame:
+    """Newest `n` articles of every symbol; `month` as in `news_for_symbol`."""
+    rows = by_symbol(since(df, "published_at", days, as_of, month))
     return newest_n(rows, ["symbol"], [F.desc("published_at"), F.asc("article_id")], n, rank="rank")
 
 

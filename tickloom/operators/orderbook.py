@@ -137,10 +137,10 @@ def ob_latest(df: DataFrame) -> DataFrame:
     )
 
 
-def ob_summary(df: DataFrame, days: int = 30, as_of=None) -> DataFrame:
-    """Average, least, greatest and newest imbalance per symbol over the last `days` days."""
+def ob_summary(df: DataFrame, days: int = 30, as_of=None, month: str | None = None) -> DataFrame:
+    """Average, least, greatest and newest imbalance per symbol over the last `days` days; `month` names a 'yyyy-MM' partition column to prune by."""
     known = F.when(F.col("obi").isNotNull(), F.col("timestamp"))
-    return since(df, "timestamp", days, as_of).groupBy("symbol").agg(
+    return since(df, "timestamp", days, as_of, month).groupBy("symbol").agg(
         F.avg("obi").alias("avg_obi"),
         F.min("obi").alias("min_obi"),
         F.max("obi").alias("max_obi"),
@@ -148,10 +148,10 @@ def ob_summary(df: DataFrame, days: int = 30, as_of=None) -> DataFrame:
     )
 
 
-def ob_trend(df: DataFrame, size: int | str, days: int, as_of=None) -> DataFrame:
-    """Average imbalance and depth volumes per symbol and bucket."""
+def ob_trend(df: DataFrame, size: int | str, days: int, as_of=None, month: str | None = None) -> DataFrame:
+    """Average imbalance and depth volumes per symbol and bucket; `month` as in `ob_summary`."""
     return (
-        since(df, "timestamp", days, as_of)
+        since(df, "timestamp", days, as_of, month)
         .groupBy("symbol", bucket(F.col("timestamp"), size).alias("ts"))
         .agg(
             F.avg("obi").alias("avg_obi"),
@@ -161,13 +161,13 @@ def ob_trend(df: DataFrame, size: int | str, days: int, as_of=None) -> DataFrame
     )
 
 
-def ob_view(df: DataFrame, preset: Timeframe, as_of=None) -> DataFrame:
+def ob_view(df: DataFrame, preset: Timeframe, as_of=None, month: str | None = None) -> DataFrame:
     """The order-book view a timeframe preset asks for."""
     if preset.book_mode == "latest_only":
         return ob_latest(df)
     if preset.book_mode == "summary_30d":
-        return ob_summary(df, 30, as_of)
-    return ob_trend(df, preset.book_bucket, preset.book_days, as_of)
+        return ob_summary(df, 30, as_of, month)
+    return ob_trend(df, preset.book_bucket, preset.book_days, as_of, month)
 
 
 def tagged(df: DataFrame) -> DataFrame:

@@ -40,10 +40,10 @@ def tracked(df: DataFrame, dim: DataFrame) -> DataFrame:
     return df.join(dim.select("symbol"), "symbol", "left_semi")
 
 
-def spread_daily(df: DataFrame, days: int = 30, as_of=None) -> DataFrame:
-    """Average, greatest and least spread per symbol and day."""
+def spread_daily(df: DataFrame, days: int = 30, as_of=None, month: str | None = None) -> DataFrame:
+    """Average, greatest and least spread per symbol and day; `month` names a 'yyyy-MM' partition column to prune by."""
     return (
-        since(df, "snapshot_time", days, as_of)
+        since(df, "snapshot_time", days, as_of, month)
         .groupBy("symbol", F.to_date("snapshot_time").alias("day"))
         .agg(
             F.round(F.avg("spread_pct"), 6).alias("avg_spread_pct"),
@@ -53,10 +53,10 @@ def spread_daily(df: DataFrame, days: int = 30, as_of=None) -> DataFrame:
     )
 
 
-def ticker_trend(df: DataFrame, size: int | str, days: int, as_of=None) -> DataFrame:
-    """Averages of change, volume, spread and trade count per symbol and bucket."""
+def ticker_trend(df: DataFrame, size: int | str, days: int, as_of=None, month: str | None = None) -> DataFrame:
+    """Averages of change, volume, spread and trade count per symbol and bucket; `month` as in `spread_daily`."""
     return (
-        since(df, "snapshot_time", days, as_of)
+        since(df, "snapshot_time", days, as_of, month)
         .groupBy("symbol", bucket(F.col("snapshot_time"), size).alias("ts"))
         .agg(
             F.avg("price_change_pct").alias("avg_price_change_pct"),

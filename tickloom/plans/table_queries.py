@@ -19,6 +19,7 @@ from tickloom.session import remove_path, work_path
 from tickloom.sources.bucketed import latest_bucketed, write_bucketed
 from tickloom.sources.candles import judged_klines
 from tickloom.sources.messages import judged_depth, read_set_aside, read_stored, store_judged
+from tickloom.sources.newsindex import append_index, newest_from_index, read_index
 from tickloom.streaming.sinks import read_new_files, run_batches
 from tickloom.streaming.tables import LateGuard, MonthlyUpsert
 from tickloom.vocab import RAW_CANDLE_COLUMNS
@@ -204,6 +205,20 @@ def kline_set_aside(t):
     return stored.unionByName(aside).groupBy("reason", "symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("open_time").alias("times"))
 
 
+@query("news_from_index", TQ.NEWS_REPORT + "SELECT symbol, article_id, title, published_at, rn AS rank FROM k")
+def news_from_index(t):
+    """The articles that the news report picks for every symbol, from the stored index; two loads, one of them repeated and overlapping."""
+    path = work_path(t.spark, "news-index")
+    articles = TQ._transformed(t)
+    first = F.col("published_at") < F.lit("2024-01-01 08:00:00").cast("timestamp")
+    again = F.col("published_at") >= F.lit("2024-01-01 07:00:00").cast("timestamp")
+    append_index(articles.where(first), path, "a")
+    for _ in range(2):
+        append_index(articles.where(again), path, "b")
+    newest = newest_from_index(read_index(t.spark, path), 3, t.news_as_of())
+    return newest.select("symbol", "article_id", "title", "published_at", F.col("rank").cast("long").alias("rank"))
+
+
 @query(
     "tool_candles",
     CQ.INDICATED.rstrip() + f""", i AS ({TQ.BARS}) SELECT symbol, string_agg({TQ.CANDLE_LINE}, chr(10) ORDER BY ts) AS report FROM i WHERE symbol = 'click' GROUP BY 1""",

@@ -5,6 +5,7 @@ import hashlib
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tickloom.llm import chat_format as C
 from tickloom.llm import queries as Q
@@ -53,11 +54,27 @@ def test_edges(spark, monkeypatch):
         table = spark.createDataFrame([(*r, 1, "p") for r in rows], "conv_id long, turn long, role string, text string, part int, formatted string")
         formatted = C.format_conversations(table)
         assert got(C.conversation_digests(formatted)) == want(rows)
-        assert formatted.count() == 5 if part > 10**6 else formatted.count() > 10
+        assert formatted.count() > 10 if part < 10**6 else formatted.groupBy("conv_id").count().count() == 5
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert C.format_conversations(table.repartition(4)).filter("conv_id = 3").count() == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
     none = C.format_conversations(table.limit(0))
     assert none.count() == 0 and C.conversation_digests(none).count() == 0
 
 
+def test_hot_conversation_lies_on_several_tasks(spark):
+    """Most rows are of one conversation: its parts stand in the order of its turns, whichever tasks formatted them."""
+    rows = [("hot", k, "assistant" if k % 2 else "user", f"said {k}") for k in range(4000)] + [(f"c{k}", 0, "user", "x") for k in range(500)]
+    formatted = C.format_conversations(spark.createDataFrame(rows, "conv_id string, turn int, role string, text string").repartition(3))
+    parts = sorted((r.part, r.n_turns) for r in formatted.filter("conv_id = 'hot'").collect())
+    assert len(parts) >= 4 and max(n for _, n in parts) < 2000
+    assert got(C.conversation_digests(formatted)) == want(rows)
+    days = formatted.filter("conv_id <> 'hot'").withColumn("conv_id", F.to_date(F.lit("2024-01-01")))  # any kind of id
+    assert C.conversation_digests(days).first()["n_turns"] == 500
+
+
 def test_query(spark):
     rows = [(r.conv_id, r.turn, r.role, r.text) for r in Q.table(spark, SF, "conversations").collect()]
     said = "\\### Assistant: </turn> ok"

@@ -27,7 +27,7 @@ PART_BYTES = 8 << 20
 _TURN = re.compile(r"### ((?:[^:\\]|\\.)*): (.*)", re.S)
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
-FORMATTED = "part int, n_turns long, formatted string, loss_starts array<long>, loss_ends array<long>"
+FORMATTED = "part long, n_turns long, formatted string, loss_starts array<long>, loss_ends array<long>"
 
 
 def escape(column: pa.Array) -> pa.Array:
@@ -71,15 +71,19 @@ def format_conversations(
     Turns stand in the order of `turn` (nulls first), equal turns by role and text, repeated rows as often as they
     occur. A null text is empty, a null role the empty role, a null conversation id a conversation of its own; an empty
     table gives no rows; other columns are ignored. loss_starts / loss_ends are byte ranges of the (escaped) assistant
-    texts in `formatted`. A conversation is one row unless it is longer than 8 MB: it then goes on in rows with
-    ascending `part`, so a task holds a few megabytes however long a conversation is.
+    texts in `formatted`. A conversation is one row unless it is longer than 8 MB or stands where the rows of two tasks meet:
+    it then goes on in rows with ascending `part`. Rows are dealt by ranges of conversation, turn and role, so one with most
+    of the rows is formatted by several tasks, which hold a few megabytes of it at a time.
     """
     source = rows.select(
         F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_, part = None, 0  # the conversation whose rows may go on in the next batch
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId() << 32  # tasks are in the order of ranges
+        open_, part = None, task  # the conversation whose rows may go on in the next batch
         for batch in batches:
             n = batch.num_rows
             if n == 0:
@@ -93,7 +97,7 @@ def format_conversations(
                     cut.append(k)
             numbers = []
             for k in cut:
-                part = part + 1 if open_ == (conv[k],) else 0
+                part = part + 1 if open_ == (conv[k],) else task
                 open_ = (conv[k],)
                 numbers.append(part)
             at = np.array(cut)
@@ -103,7 +107,7 @@ def format_conversations(
             text = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(turn[np.append(at, n)].tobytes()), pa.py_buffer(out))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(at)), pa.array(numbers, pa.int32()), pa.array(after - at, pa.int64()),
+                    batch.column(0).take(pa.array(at)), pa.array(numbers, pa.int64()), pa.array(after - at, pa.int64()),
                     text.cast(pa.string()),
                     pa.ListArray.from_arrays(pa.array(marks, pa.int32()), pa.array(start[learnt] - base, pa.int64())),
                     pa.ListArray.from_arrays(pa.array(marks, pa.int32()), pa.array(end[learnt] - base, pa.int64())),
@@ -111,9 +115,9 @@ def format_conversations(
                 names=["conv_id", "part", "n_turns", "formatted", "loss_starts", "loss_ends"],
             )
 
-    ordered = source.repartition("conv_id").sortWithinPartitions(
-        *(F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text"))
-    )
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = source.repartitionByRange(n, *order[:3]).sortWithinPartitions(*order)
     return ordered.mapInArrow(run, f"conv_id {rows.schema[conv_col].dataType.simpleString()}, {FORMATTED}")
 
 
@@ -126,7 +130,8 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
     """Per conversation, read back from the formatted text and its mask alone: turns and learnt texts as counts and hashes.
 
     conv_id, n_turns, turns_sha256 (of role, newline, text, newline per turn), loss_chars and loss_sha256 (code points
-    and hash of the unescaped text under the mask), formatted_chars. Parts are folded in order, one at a time.
+    and hash of the unescaped text under the mask), formatted_chars. Parts are folded in order, one at a time. Ids of
+    any type that Arrow knows stay as they are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +163,10 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
         if state:
             yield pa.RecordBatch.from_pylist([done()], schema=schema)
 
+    from pyspark.sql.pandas.types import to_arrow_type
+
     kind = formatted.schema["conv_id"].dataType
-    formatted_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind.simpleString()]
+    formatted_id = to_arrow_type(kind)
     ordered = formatted.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "part")
     return ordered.mapInArrow(
         run, f"conv_id {kind.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"

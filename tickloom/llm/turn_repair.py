@@ -251,7 +251,8 @@ def _folded(blocks: DataFrame, key: str) -> DataFrame:
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     order = [F.col("conv_id").asc_nulls_first(), "part", "block"]
     light = blocks.select("conv_id", "part", "block", "first", "last", "low", "high", "found", *numbers)
-    return light.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(run, schema)
+    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return light.repartition(n, "conv_id").sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
 def _digests(blocks: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
@@ -320,11 +321,13 @@ def repair_conversations(
     said = work.store(said.select(F.col("conv_id").alias("_c"), F.col("role").alias("_r"), F.col("text").alias("_t"), "first"), "repeated")
     again = once.join(said, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("role") == F.col("_r")) & (F.col("text") == F.col("_t")), "left")
     later = F.coalesce(where > F.col("first"), F.lit(False))
-    marked = again.select("conv_id", "turn", "role", "text", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"), later.alias("later"))
-    order = [*(F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")), F.col("copy")]
+    marked = again.select("conv_id", "turn", "role", "text", "copies", later.alias("later"))
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = marked.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    ready = ordered.select("conv_id", "turn", "role", "text", (F.col("later") | (F.col("copy") > 1)).alias("repeated"))
+    # ranges go by the beginning of a text, as Spark samples their bounds; copies are told apart once they are in place
+    ordered = marked.repartitionByRange(n, *order[:3], F.left("text", F.lit(64))).sortWithinPartitions(*order)
+    copied = ordered.select("conv_id", "turn", "role", "text", "later", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    ready = copied.select("conv_id", "turn", "role", "text", (F.col("later") | (F.col("copy") > 1)).alias("repeated"))
     blocks = work.store(_blocks(ready, key), "blocks")
     chosen = work.store(_folded(blocks, key), "chosen")
     digests = work.store(_digests(blocks, chosen, key), "digests")

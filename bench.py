@@ -24,7 +24,8 @@ HEADLINE = [
     "ticker_transform", "order_book_metrics", "ob_trend", "ob_summary_30d", "liquidity_table", "news_transform",
     "news_quality_default", "extract_entities", "clean_text", "intent_labels", "chat_window", "forecast_errors",
     "direction_accuracy", "forecast_overlay", "format_usd", "upsert_months", "scan_base_delta", "stream_ewm",
-    "momentum_warmup", "load_candles",
+    "momentum_warmup", "load_candles", "stream_upsert", "latest_bucketed", "candles_from_rollup", "forecast_bars",
+    "news_from_index",
 ]
 
 

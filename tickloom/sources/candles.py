@@ -19,7 +19,7 @@ def scan_klines_csv(spark: SparkSession, path: str, symbol: Column | None = None
     The symbol is taken from the path (`symbol=X/` or the folder or file name `X-1m-...`)
     unless given.
     """
-    # all fields are read as text of a permissive schema so that the extra column is legal
+    # the schema names the twelfth column, so that a row with it is legal
     kinds = schemas.RAW_CANDLES + ", ignored string"
     raw = spark.read.schema(kinds).csv(path, header=False, mode="PERMISSIVE", enforceSchema=True)
     where = F.col("_metadata.file_path")

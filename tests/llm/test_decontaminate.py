@@ -16,7 +16,7 @@ def brute(rows, items, window=10):
         words = cases.low_words(text)
         m = min(window, len(words))
         for k in range(len(words) - m + 1 if m else 0):
-            patterns.setdefault(tuple(words[k : k + m]), set()).add(str(item))
+            patterns.setdefault(tuple(words[k : k + m]), set()).update([] if item is None else [str(item)])
     out = []
     for i, text in rows:
         words, found = cases.low_words(text), set()
@@ -24,7 +24,7 @@ def brute(rows, items, window=10):
         for m in {len(p) for p in patterns}:
             for k in range(len(words) - m + 1):
                 owners = patterns.get(tuple(words[k : k + m]))
-                if owners:
+                if owners is not None:
                     found |= owners
                     hit[k : k + m] = [True] * m
         out.append((i, len(words), sum(hit), tuple(sorted(found))))
@@ -40,11 +40,35 @@ def test_edges(spark, monkeypatch, window):
     rows = cases.edge_rows()
     words = (rows[18][1] or "").split(" ")
     items = [(1, " ".join(words[5:40])), (2, " ".join(words[30:36])), (10, "One TWO"), (10, "one, two"), (3, None), (4, ""), (5, "a"), (None, "a b")]
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 64)  # several blocks
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 64)  # several passes
     found = decontaminate.scan_contamination(
         cases.documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"), window
     )
-    assert got(found) == brute(rows, [i for i in items if i[0] is not None], window)
+    assert got(found) == brute(rows, items, window)
+
+
+def test_passes_add_up(spark, monkeypatch):
+    """Spans and items of many blocks are those of one block; columns are carried through all passes."""
+    docs, items = Q.table(spark, SF, "documents"), Q.table(spark, SF, "benchmark")
+    run = lambda: sorted(map(repr, decontaminate.scan_contamination(docs, items, carry=("doc_id", "text", "lang")).collect()))
+    one, size = run(), items.selectExpr("sum(octet_length(text))").first()[0]
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size // 6)
+    stored = []
+    store = decontaminate.WorkTables.store
+    monkeypatch.setattr(decontaminate.WorkTables, "store", lambda self, df, name: stored.append(name) or store(self, df, name))
+    assert run() == one
+    assert len(stored) >= 5
+
+
+def test_tables_are_built_once(monkeypatch):
+    built = []
+    monkeypatch.setattr(decontaminate, "build_patterns", lambda items, window: built.append(items) or [])
+    block = type("Block", (), {"value": [("1", "a b")]})()
+    for _ in range(100):
+        decontaminate._patterns("app/1", block, 10)
+    assert len(built) == 1
+    decontaminate._patterns("app/2", block, 10)
+    assert len(built) == 2 and len(decontaminate._BUILT) == 1
 
 
 def test_items_without_id_hit(spark):

@@ -14,11 +14,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tickloom.llm.arrays import U64, carried, carried_columns, carried_field, mix, ragged, slices, text_bytes, words
+from tickloom.llm.work import WorkTables
 
-#: Benchmark bytes that are searched for, and broadcast, at a time.
+#: Benchmark bytes that are broadcast, and searched for, in one pass over the documents.
 BLOCK_BYTES = 16 << 20
 #: Words of one lane.
 LANE = 512
@@ -103,28 +104,15 @@ def build_patterns(items: list[tuple[str | None, str | None]], window: int) -> l
     ]
 
 
-_BUILT: dict[tuple, list[Patterns]] = {}
+_BUILT: dict[str, list[Patterns]] = {}
 
 
-def _patterns(block, window: int) -> list[Patterns]:
-    """Tables of a broadcast block, kept for the last few blocks a worker used."""
-    key = (block.id if hasattr(block, "id") else id(block), window)
-    if key not in _BUILT:
-        while len(_BUILT) >= 4:
-            _BUILT.pop(next(iter(_BUILT)))
-        _BUILT[key] = build_patterns(block.value, window)
-    return _BUILT[key]
-
-
-class _Held:
-    """A broadcast with the number that names it in a worker's cache."""
-
-    def __init__(self, broadcast, number: str):
-        self.broadcast, self.id = broadcast, number
-
-    @property
-    def value(self):
-        return self.broadcast.value
+def _patterns(name: str, block, window: int) -> list[Patterns]:
+    """Tables of the block of a pass, built once in a worker; it keeps those of its last pass only."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = build_patterns(block.value, window)
+    return _BUILT[name]
 
 
 def scan_contamination(
@@ -141,53 +129,93 @@ def scan_contamination(
     items with a null id are searched like the others, so their words are hit, but item_ids does not name them; other
     columns are ignored.
 
-    Documents are scanned whole where they are, without a shuffle. The benchmark is taken in blocks of about 16 MB,
-    each broadcast by itself.
+    Documents are scanned whole where they are, without a shuffle. The benchmark is taken in blocks of about 16 MB, and the
+    documents once for each: a pass broadcasts its block, adds to the hits of the passes before and, but for the last, writes
+    them with the documents below `spark.checkpoint.dir`. So the driver and every worker hold one block at a time, however
+    large the benchmark is.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // BLOCK_BYTES)
-    held = []
-    for k in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()
-        broadcast = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in rows])
-        held.append(_Held(broadcast, f"{spark.sparkContext.applicationId}/{broadcast._jbroadcast.id()}"))
+    passes = max(1, -(-total // BLOCK_BYTES))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carried_columns(carry, text_col),
+        F.lit(None).cast("array<string>").alias("item_ids"), F.lit(None).cast(_SPANS).alias("hit_spans"),
+    )
+    tables = WorkTables(spark, "contamination")
+    for k in range(passes):
+        block = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k).collect() if total else []
+        held = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in block])
+        name = f"{spark.sparkContext.applicationId}/{held._jbroadcast.id()}"
+        if k < passes - 1:
+            rows = tables.store(_add_hits(rows, held, name, window), f"pass-{k}")
+            held.destroy()
+    found = _result(rows, held, name, window, carry, text_col, carried_field(docs, carry))
+    tables.drop(rows)
+    return found
+
+
+_SPANS = "array<struct<start:long,end:long>>"
+
+
+def _searched(batch: pa.RecordBatch, held, name: str, window: int) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """Runs of rows [lo, hi) of a batch (id, text, ..., item_ids and hit_spans so far) and what is found in them."""
+    data, offsets = text_bytes(batch.column(1))
+    for lo, hi in slices(offsets, 1 << 22):
+        part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        yield lo, hi, _scan(batch.slice(lo, hi - lo), part, at, _patterns(name, held, window))
+
+
+def _add_hits(rows: DataFrame, held, name: str, window: int) -> DataFrame:
+    """`rows` with the items and spans of one block added to theirs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, found in _searched(batch, held, name, window):
+                same = [c.slice(lo, hi - lo) for c in batch.columns[:-2]]
+                yield pa.RecordBatch.from_arrays([*same, found["item_ids"], found["hit_spans"]], names=batch.schema.names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _result(rows: DataFrame, held, name: str, window: int, carry: tuple[str, ...], text_col: str, field: StructField) -> DataFrame:
+    """The result's columns, with the hits of the last block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            for lo, hi in slices(offsets, 1 << 22):
-                part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                found = _scan(batch.column(0).slice(lo, hi - lo), part, at, held, window)
+            for lo, hi, found in _searched(batch, held, name, window):
                 yield found.append_column("carried", carried(batch, carry, text_col, lo, hi))
 
-    pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carried_columns(carry, text_col))
-    found = StructType.fromDDL("n_words long, n_hit long, item_ids array<string>, hit_spans array<struct<start:long,end:long>>")
-    return pairs.mapInArrow(run, StructType([pairs.schema["doc_id"], *found.fields, carried_field(docs, carry)]))
+    found = StructType.fromDDL(f"n_words long, n_hit long, item_ids array<string>, hit_spans {_SPANS}")
+    return rows.mapInArrow(run, StructType([rows.schema["doc_id"], *found.fields, field]))
 
 
-def _scan(ids: pa.Array, data: np.ndarray, offsets: np.ndarray, held: list, window: int) -> pa.RecordBatch:
+def _scan(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, tables: list[Patterns]) -> pa.RecordBatch:
+    ids, spans_before = batch.column(0), batch["hit_spans"]
     hashes, start, end, word_at = words(data, offsets)
     cover = np.zeros(len(hashes) + 1, np.int64)
-    found: dict[int, set[str]] = {}
-    for block in held:
-        for patterns in _patterns(block, window):
-            first, pattern = patterns.search(hashes, word_at)
-            if not len(first):
-                continue
-            m = patterns.length
-            sure = np.zeros(len(first), bool)
-            for k, (f, p) in enumerate(zip(first.tolist(), pattern.tolist(), strict=True)):
-                text = data[start[f] : end[f + m - 1]].tobytes().translate(_LOWER)
-                at = start[f]
-                sure[k] = b" ".join(text[start[i] - at : end[i] - at] for i in range(f, f + m)) == patterns.texts[p]
-            first, pattern = first[sure], pattern[sure]
-            np.add.at(cover, first, 1)
-            np.add.at(cover, first + m, -1)
-            row = np.searchsorted(word_at, first, side="right") - 1
-            for r, p in {*zip(row.tolist(), pattern.tolist(), strict=True)}:
-                found.setdefault(r, set()).update(patterns.items[p])
+    found: dict[int, set[str]] = {k: set(x) for k, x in enumerate(batch["item_ids"].to_pylist()) if x}
+    if spans_before.null_count < len(ids):
+        flat = spans_before.flatten()  # byte ranges of whole words that passes before hit
+        base = offsets[:-1][np.repeat(np.arange(len(ids)), spans_before.value_lengths().fill_null(0).to_numpy())]
+        np.add.at(cover, np.searchsorted(start, flat.field("start").to_numpy() + base), 1)
+        np.add.at(cover, np.searchsorted(start, flat.field("end").to_numpy() + base), -1)
+    for patterns in tables:
+        first, pattern = patterns.search(hashes, word_at)
+        if not len(first):
+            continue
+        m = patterns.length
+        sure = np.zeros(len(first), bool)
+        for k, (f, p) in enumerate(zip(first.tolist(), pattern.tolist(), strict=True)):
+            text = data[start[f] : end[f + m - 1]].tobytes().translate(_LOWER)
+            at = start[f]
+            sure[k] = b" ".join(text[start[i] - at : end[i] - at] for i in range(f, f + m)) == patterns.texts[p]
+        first, pattern = first[sure], pattern[sure]
+        np.add.at(cover, first, 1)
+        np.add.at(cover, first + m, -1)
+        row = np.searchsorted(word_at, first, side="right") - 1
+        for r, p in {*zip(row.tolist(), pattern.tolist(), strict=True)}:
+            found.setdefault(r, set()).update(patterns.items[p])
     hit = np.cumsum(cover[:-1]) > 0
     hits = np.append(0, np.cumsum(hit))
     n = len(ids)

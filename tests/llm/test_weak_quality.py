@@ -1,4 +1,7 @@
-"""Label model on simulated votes, and the classifier against held-out labels."""
+"""Every step against plain Python, label model on simulated votes, and the classifier against held-out labels."""
+
+import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -7,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import queries as Q
 from tickloom.llm import weak_quality as K
-from tickloom.llm.arrays import text_bytes
+from tickloom.llm.arrays import mix, text_bytes
 
 from . import cases
 
@@ -86,3 +89,110 @@ def test_edges(spark):
     assert all(0 <= r.score <= 1 and 0 <= r.posterior <= 1 for r in got)
     assert K.classify(cases.empty(spark)).count() == 0
     assert not K.classify(cases.documents(spark, [(1, None), (2, ""), (2, "")])).filter("rejected").count()
+
+
+def plain_statistics(text):
+    data, words = (text or "").encode(), cases.low_words(text)
+    n, kinds = len(words), Counter(data)
+    upper = sum(kinds[b] for b in range(65, 91))
+    letters = upper + sum(kinds[b] for b in [*range(97, 123), *range(128, 256)])
+    blocks = max(1, -(-n // K.BLOCK))
+    distinct = len({(i * blocks // n, w) for i, w in enumerate(words)}) / max(n, 1)
+    if blocks > 1:
+        windows = [tuple(words[k : k + K.WINDOW]) for k in range(n - K.WINDOW + 1)]
+        distinct *= len(set(windows)) / len(windows)
+    lines = [x for x in data.split(b"\n") if x]
+    return {
+        "letters": letters, "words": n, "upper": upper / max(letters, 1), "symbol": sum(kinds[b] for b in b"#*$%&|<>") / max(n, 1),
+        "shout": (kinds[33] + kinds[63]) / max(n, 1), "digit": sum(kinds[b] for b in range(48, 58)) / max(len(data), 1),
+        "distinct": distinct, "expected": min(1.0, 1.15 - 0.065 * math.log(max(n / blocks, 1))), "lines": len(lines),
+        "repeats": (len(lines) - len(set(lines))) / max(len(lines), 1), "echo": sum(a == b for a, b in zip(words, words[1:], strict=False)) / max(n, 1),
+    }
+
+
+def _texts(spark):
+    rows = [t for _, t in cases.edge_rows()] + [r.text for r in Q.table(spark, "/root/testdata/sf0.001", "documents").collect()]
+    return [*rows, "a\n\na\nb\n", "\n", "A! b? 12 é é", "one two " * 900]
+
+
+def test_statistics_are_plain(spark):
+    texts = _texts(spark)
+    got = K.statistics(*text_bytes(pa.array(texts, pa.string())))
+    for k, text in enumerate(texts):
+        want = plain_statistics(text)
+        assert {n: float(x[k]) for n, x in got.items()} == pytest.approx(want, abs=1e-12), k
+
+
+def test_features_are_plain(spark):
+    texts = _texts(spark)
+    data, offsets = text_bytes(pa.array(texts, pa.string()))
+    votes = K.votes(data, offsets)
+    got = [Counter() for _ in texts]
+    for r, b, x in zip(*K.features(data, offsets, votes), strict=True):
+        got[r][int(b)] += x
+    for text, vote, found in zip(texts, votes.tolist(), got, strict=True):
+        b = (text or "").encode()
+        grams = Counter(int(mix(np.array([(b[i] << 16 | b[i + 1] << 8 | b[i + 2]) + 1], np.uint64))[0]) % K.BUCKETS for i in range(len(b) - 2))
+        want = {g: math.sqrt(c / (len(b) - 2)) for g, c in grams.items()}
+        want.update({K.BUCKETS + 2 * j + (v > 0): 0.5 for j, v in enumerate(vote) if v})
+        assert dict(found) == pytest.approx(want)
+
+
+def test_estimate_is_plain():
+    """Expectation and maximisation, vote by vote; a pattern that was not counted has a posterior too."""
+    rng = np.random.default_rng(1)
+    votes = rng.integers(-1, 2, (300, 3))
+    accuracy = [K.START] * 3
+
+    def poor(vote):
+        odds = math.prod((a / (1 - a)) ** v for a, v in zip(accuracy, vote, strict=True))
+        return odds / (1 + odds)
+
+    for _ in range(K.ROUNDS):
+        right, total = [0.0] * 3, [0.0] * 3
+        for vote in votes.tolist():
+            p = poor(vote)
+            for j, v in enumerate(vote):
+                right[j] += p if v > 0 else 1 - p if v < 0 else 0
+                total[j] += v != 0
+        accuracy = [min(0.995, max(0.55, (r + K.START * K.SMOOTH) / (t + K.SMOOTH))) for r, t in zip(right, total, strict=True)]
+    numbers, counts = np.unique(K.pattern(votes), return_counts=True)
+    got, posterior = K.estimate(numbers, counts, 3)
+    assert got.tolist() == pytest.approx(accuracy)
+    assert posterior.tolist() == pytest.approx([poor(v) for v in K.unpattern(numbers, 3).tolist()])
+    assert K.posterior_of(np.zeros((1, 3)), got).tolist() == [0.5]
+
+
+def test_fit_is_plain():
+    """Scaled gradient steps, weight by weight."""
+    rng = np.random.default_rng(2)
+    rows = [{int(b): float(x) for b, x in zip(rng.integers(0, 5, 3), rng.random(3), strict=True)} for _ in range(20)]
+    target = rng.random(20)
+    weight, scale, last = [0.0] * 6, [1e-8] * 6, 5
+    poor, good = max(1, target.sum()), max(1, (1 - target).sum())
+    for _ in range(K.STEPS):
+        gradient = [1e-6 * w for w in weight[:5]] + [0.0]
+        for x, t in zip(rows, target, strict=True):
+            score = 1 / (1 + math.exp(-sum(weight[b] * v for b, v in x.items()) - weight[last]))
+            error = (score - t) * (t / poor + (1 - t) / good) * abs(2 * t - 1) / 2
+            for b, v in x.items():
+                gradient[b] += v * error
+            gradient[last] += error
+        for b, g in enumerate(gradient):
+            scale[b] += g * g
+            weight[b] -= K.RATE * g / math.sqrt(scale[b])
+    row = np.repeat(np.arange(20), [len(x) for x in rows])
+    got = K.fit(row, np.array([b for x in rows for b in x]), np.array([v for x in rows for v in x.values()]), target)
+    assert [*got[:5], got[-1]] == pytest.approx(weight, rel=1e-6)
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    """Copies, and texts without ids that open alike, give no more rows than others."""
+    monkeypatch.setattr(K, "FIT_ROWS", 50)
+    head = "All rights reserved. " * 5
+    rows = [(None, head + str(k)) for k in range(2000)] + [(None, "copy")] * 2000 + [(k, f"text {k}") for k in range(2000)] + [(1, None)] * 9
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r.text for r in K._sample(texts, len(rows)).collect()]
+    assert 10 <= len(got) <= 50 and len(set(got)) == len(got)
+    assert [r.text for r in K._sample(texts.repartition(7), len(rows)).collect()] == got
+    assert K._sample(texts, 1).count() == 50

@@ -133,19 +133,24 @@ def unpattern(numbers: np.ndarray, labellers: int) -> np.ndarray:
     return (numbers[:, None] // 3 ** np.arange(labellers) % 3 - 1).astype(np.int8)
 
 
+def posterior_of(v: np.ndarray, accuracy: np.ndarray) -> np.ndarray:
+    """How likely texts with these votes are poor; 0.5 without votes."""
+    return 1 / (1 + np.exp(-(v @ np.log(accuracy / (1 - accuracy)))))
+
+
 def estimate(numbers: np.ndarray, counts: np.ndarray, labellers: int = len(LABELLERS)) -> tuple[np.ndarray, np.ndarray]:
     """Accuracy of every labeller where it votes, and posterior (of being poor) of every vote pattern, from the patterns' counts.
 
     Labellers are taken to err independently; on texts with votes both classes are equally likely beforehand.
     """
     v, w = unpattern(numbers, labellers), counts.astype(float)
-    accuracy, posterior = np.full(labellers, START), np.full(len(v), 0.5)
+    accuracy = np.full(labellers, START)
     for _ in range(ROUNDS):
-        posterior = 1 / (1 + np.exp(-(v @ np.log(accuracy / (1 - accuracy)))))
+        posterior = posterior_of(v, accuracy)
         right = posterior * w @ (v > 0) + (1 - posterior) * w @ (v < 0)
         total = w @ (v != 0)
         accuracy = np.clip((right + START * SMOOTH) / (total + SMOOTH), 0.55, 0.995)
-    return accuracy, posterior
+    return accuracy, posterior_of(v, accuracy)
 
 
 def features(data: np.ndarray, offsets: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,6 +198,17 @@ def _pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def _sample(texts: DataFrame, rows: int) -> DataFrame:
+    """FIT_ROWS texts at most, `fit` set: different ones, with the least hashes of those below a bound that some FIT_ROWS of `rows` meet.
+
+    Copies fall together by the hash of the whole text before the limit, so a table of copies, or of texts that open
+    alike, gives no more rows than another.
+    """
+    bound = int(min(1.0, FIT_ROWS / max(1, rows)) * (1 << 62))
+    hashed = texts.select(F.pmod(F.xxhash64("text"), F.lit(1 << 62)).alias("hash"), "text").filter(F.col("hash") < bound)
+    return hashed.dropDuplicates(["hash"]).orderBy("hash").limit(FIT_ROWS).select("text", F.lit(True).alias("fit"))
+
+
 def _patterns(texts: DataFrame) -> DataFrame:
     """pattern of every text, and its features where `fit` is set."""
 
@@ -217,28 +233,27 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
 
     carried is the struct of the columns `carry`, unchanged.
 
-    Rejected is a text that the scorer gives more than 0.5 and the label model does not call good. The label model counts the votes on all texts; the scorer is fitted on some FIT_ROWS texts chosen by hash, the same
-    at every size of table. A null text is empty: nobody votes on it and it is not rejected; nor is any text on which no
-    labeller votes. Repeated rows and null ids are returned as they come; an empty table gives no rows; other columns
+    Rejected is a text that the scorer gives more than 0.5 and the label model does not call good. The label model counts
+    the votes on all texts; the scorer is fitted on at most FIT_ROWS different texts chosen by hash, as many at every size of
+    table; texts with one hash count once. A null text is empty: nobody votes on it and it is not rejected; nor is any text
+    on which no labeller votes. Repeated rows and null ids are returned as they come; an empty table gives no rows; other columns
     are ignored.
     """
     spark, texts = docs.sparkSession, _pairs(docs, id_col, text_col)
-    share = min(1.0, FIT_ROWS / max(1, docs.count()))
-    picked = F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(1 << 30)) < int(share * (1 << 30))
     rows = sorted(_patterns(texts.select("text", F.lit(False).alias("fit"))).groupBy("pattern").agg(F.count("*").alias("n")).collect())
     numbers, counts = np.array([r["pattern"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
-    _, posterior = estimate(numbers, counts)
-    fitted = _patterns(texts.filter(picked).select("text", F.lit(True).alias("fit")))
+    accuracy, _ = estimate(numbers, counts)
+    fitted = _patterns(_sample(texts, int(counts.sum())))
     sample = sorted((r["pattern"], bytes(r["features"])) for r in fitted.collect())
     sparse = [np.frombuffer(x, "<f4").reshape(2, -1) for _, x in sample] or [np.zeros((2, 0))]
-    soft = dict(zip(numbers.tolist(), posterior.tolist(), strict=True))
+    soft = posterior_of(unpattern(np.array([p for p, _ in sample], np.int64), len(LABELLERS)), accuracy)
     bucket, value = np.concatenate(sparse, 1)
     row = np.repeat(np.arange(len(sparse)), [x.shape[1] for x in sparse])
-    weight = fit(row, bucket.astype(np.int64), value.astype(float), np.array([soft[p] for p, _ in sample]))
-    model = spark.sparkContext.broadcast((soft, weight))  # WIDTH weights and at most 3 ** labellers patterns
+    weight = fit(row, bucket.astype(np.int64), value.astype(float), soft)
+    model = spark.sparkContext.broadcast((accuracy, weight))  # an accuracy for each labeller, WIDTH weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        soft, weight = model.value
+        accuracy, weight = model.value
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             for lo, hi in slices(offsets):
@@ -247,7 +262,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
                 row, bucket, value = features(part, at, v)
                 score = 1 / (1 + np.exp(-(np.bincount(row, value * weight[bucket], hi - lo) + weight[-1])))
                 n_votes = (v != 0).sum(1)
-                judged = np.fromiter(map(soft.__getitem__, pattern(v).tolist()), float, hi - lo)
+                judged = posterior_of(v, accuracy)
                 rest = carried(batch, carry, text_col, lo, hi)
                 yield pa.RecordBatch.from_arrays(
                     [

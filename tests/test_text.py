@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tickloom import vocab
 from tickloom.functions import text
+from tickloom.functions.phrases import PhraseIndex
 from tickloom.operators import chat, forecast, news, reports
 from tickloom.operators.signals import signal_block, signals
 from tickloom.presets import TIMEFRAMES, timeframe
@@ -41,6 +42,58 @@ def test_entities_and_relevance_equal_brute_force(spark):
     assert col(spark, texts, text.is_relevant) == [bool(relevant.search(t)) for t in texts]
 
 
+TERMS = {"Near": "N", "near protocol": "NP", "near protocol coin": "NPC", "the-graph": "TG", "coin coin": "CC", "é é": "E", "a b": "AB", "b": "B", "": "none"}
+
+
+def _plain_mentions(value, terms):
+    out, low = [], (value or "").lower()
+    for term, symbol in terms.items():
+        t = term.lower()
+        for k in range(len(low)) if t else ():
+            whole = not re.match(r"\w", low[k - 1 : k] if k else "") and not re.match(r"\w", low[k + len(t) : k + len(t) + 1])
+            if whole and low.startswith(t, k):
+                out.append((k, len(t), t, symbol))
+    return sorted(out)
+
+
+def test_phrase_index_equals_brute_force(spark):
+    """Places, separators, overlapping terms; nulls, empty and long texts."""
+    rng = random.Random(8)
+    pieces = ["near", "Protocol", "coin", "the", "graph", "é", "a", "b", "_", "other"]
+    texts = ["".join(rng.choice(pieces) + rng.choice([" ", " ", " ", "-", "  ", "\n", ""]) for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    texts += [None, "", " ", "b", "-b-", "coin coin coin", "near protocol coin", "é é é", "x " * 30000 + "a b"]
+    want = [_plain_mentions(t, TERMS) for t in texts]
+    index = PhraseIndex(TERMS)
+    got = col(spark, texts, lambda x: index.mentions(F.lower(F.coalesce(x, F.lit("")))))
+    assert [[tuple(m) for m in row] for row in got] == want
+    assert col(spark, texts, lambda x: text.mentioned_symbols(x, TERMS)) == [sorted({m[3] for m in row}) for row in want]
+    assert col(spark, texts, lambda x: text.is_relevant(x, TERMS)) == [None if t is None else bool(row) for t, row in zip(texts, want)]
+
+
+def test_phrase_index_of_few_kinds_of_terms(spark):
+    """Only longer terms, only signs, no terms."""
+    texts = ["near protocol", "near  protocol", "c++ and a b", "c+", "", None]
+    lowered = lambda x: F.lower(F.coalesce(x, F.lit("")))
+    for terms in ({"near protocol": "NP"}, {"c++": "C"}, {"c++": "C", "a b": "AB", "and": "AND"}, {}):
+        index = PhraseIndex(terms)
+        want = [sorted({m[3] for m in _plain_mentions(t, terms)}) for t in texts]
+        assert col(spark, texts, lambda x: index.found(lowered(x))) == want
+        assert col(spark, texts, lambda x: index.holds(lowered(x))) == [bool(w) for w in want]
+    with pytest.raises(ValueError):
+        PhraseIndex({"c++": "C"}).mentions(F.lit(""))
+    assert col(spark, texts, lambda x: PhraseIndex({}).mentions(lowered(x))) == [[]] * len(texts)
+
+
+def test_mentions_of_symbols(spark):
+    rows = spark.createDataFrame([("1", "Bitcoin, bitcoin", None), ("2", "", "near protocol"), ("3", None, None)], "article_id string, title string, description string")
+    got = sorted(tuple(r) for r in news.mentions(rows).collect())
+    assert got == [
+        ("1", "title", "BTCUSDT", "bitcoin", 0, 7), ("1", "title", "BTCUSDT", "bitcoin", 9, 7),
+        ("2", "description", "NEARUSDT", "near", 0, 4), ("2", "description", "NEARUSDT", "near protocol", 0, 13),
+    ]
+    assert news.mentions(rows.limit(0)).count() == 0
+
+
 def test_quality_rules(spark):
     long = "Bitcoin has broken through the $100,000 barrier as institutions invest."
     rows = [(1, "Bitcoin Surges", long), (2, "Big PRESALE now", long), (3, "Bitcoin", "too short"), (4, "Weather", "x" * 60),

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickloom.functions.phrases import PhraseIndex, once
 from tickloom.vocab import (
     COMPREHENSIVE_PHRASES,
     GREETING_PHRASES,
@@ -20,7 +21,6 @@ from tickloom.vocab import (
     TECHNICAL_PHRASES,
 )
 
-NOT_A_WORD = r"[^\p{L}\p{N}_]+"
 PLAIN = re.compile(r"[\w ]+")
 
 
@@ -43,45 +43,19 @@ def _any(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
-def _once(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is computed once, even where `body` uses it many times.
-
-    Short-circuit conditions are not covered by common-subexpression elimination.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def words(lowered: Column) -> Column:
-    """Maximal runs of letters, digits and underscores."""
-    return F.split(lowered, NOT_A_WORD)
-
-
-def holds_phrase(lowered: Column, phrase: str) -> Column:
-    """Whole-word match of a term with blanks; the substring test spares most texts the regex."""
-    bounded = r"(?<![\p{L}\p{N}_])" + re.escape(phrase) + r"(?![\p{L}\p{N}_])"
-    return F.contains(lowered, F.lit(phrase)) & F.rlike(lowered, F.lit(bounded))
-
-
 def is_spam_title(title: Column, terms: Iterable[str] = SPAM_TITLE_TERMS) -> Column:
     """Any term as a substring."""
     lowered = F.lower(text_or_empty(title))
-    return _once(lowered, lambda x: _any(F.contains(x, F.lit(t.lower())) for t in terms))
+    return once(lowered, lambda x: _any(F.contains(x, F.lit(t.lower())) for t in terms))
 
 
 def is_relevant(text: Column, terms: Iterable[str] = RELEVANT_TERMS) -> Column:
     """Any term as whole words.
 
-    One split of the text and one hash join of its words with the terms; trying a hundred alternatives at every
-    position of a long text is several times slower.
+    One split of the text and one look-up of its words among the terms'; trying a hundred alternatives at every position
+    of a long text is several times slower.
     """
-    single = [t.lower() for t in terms if PLAIN.fullmatch(t) and " " not in t]
-    phrases = [t.lower() for t in terms if t.lower() not in single]
-
-    def hit(x: Column) -> Column:
-        listed = F.arrays_overlap(words(x), F.array(*map(F.lit, single))) if single else F.lit(False)
-        return listed | _any(holds_phrase(x, p) for p in phrases)
-
-    return _once(F.lower(text), hit)
+    return once(F.lower(text), PhraseIndex(dict.fromkeys(terms, "")).holds)
 
 
 def good_article(
@@ -101,25 +75,13 @@ def good_article(
 
 
 def mentioned_symbols(text: Column, aliases: Mapping[str, str] = SYMBOL_ALIASES) -> Column:
-    """Sorted distinct symbols whose alias occurs in `text` as whole words.
-
-    The words of the text are looked up in a literal map; the few aliases of several words are
-    searched as phrases.
-    """
-    single = {a.lower(): s for a, s in aliases.items() if PLAIN.fullmatch(a) and " " not in a}
-    table = F.create_map(*[F.lit(v) for pair in single.items() for v in pair])
-    rest = {a.lower(): s for a, s in aliases.items() if a.lower() not in single}
+    """Sorted distinct symbols whose alias occurs in `text` as whole words."""
+    return once(F.lower(text_or_empty(text)), PhraseIndex(aliases).found)
 
-    def found(x: Column) -> Column:
-        hits = F.array_intersect(words(x), F.array(*map(F.lit, single)))
-        names = F.transform(hits, lambda w: F.element_at(table, w))
-        if not rest:
-            return names
-        phrases = F.array(*[F.when(holds_phrase(x, a), s) for a, s in rest.items()])
-        return F.concat(names, F.array_compact(phrases))
 
-    lowered = F.lower(text_or_empty(text))
-    return F.array_sort(F.array_distinct(_once(lowered, found)))
+def symbol_mentions(text: Column, aliases: Mapping[str, str] = SYMBOL_ALIASES) -> Column:
+    """Every place of every alias in the lower-cased `text`: start, length, term and value (the symbol)."""
+    return once(F.lower(text_or_empty(text)), PhraseIndex(aliases).mentions)
 
 
 def _says(lowered: Column, phrases: Iterable[str]) -> Column:
@@ -145,10 +107,10 @@ def intent_labels(message: Column) -> Column:
     """Array of work areas a chat message asks for; empty for a greeting, NULL when unclear."""
     trimmed = F.lower(F.regexp_replace(text_or_empty(message), r"(?U)^\s+|\s+$", ""))
     greeting = F.lit("(?U)^(" + "|".join(GREETING_PHRASES) + ")$")
-    return _once(
+    return once(
         trimmed,
         lambda msg: F.when(F.rlike(msg, greeting), F.array().cast("array<string>")).otherwise(
-            _once(
+            once(
                 F.struct(
                     _says(msg, TECHNICAL_PHRASES).alias("technical"),
                     _says(msg, NEWS_PHRASES).alias("news"),

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import schemas
-from tickloom.functions.text import good_article, mentioned_symbols, text_or_empty
+from tickloom.functions.text import good_article, mentioned_symbols, symbol_mentions, text_or_empty
 from tickloom.functions.times import since
 from tickloom.operators.latest import first_by_key, newest_n
 from tickloom.vocab import NEWS_LIMIT, RELEVANT_TERMS, SPAM_TITLE_TERMS, SYMBOL_ALIASES
@@ -30,6 +30,22 @@ def with_symbols(df: DataFrame, aliases: Mapping[str, str] = SYMBOL_ALIASES) ->
     return df.withColumn("symbols", mentioned_symbols(F.concat_ws(" ", *parts), aliases))
 
 
+def mentions(
+    df: DataFrame, aliases: Mapping[str, str] = SYMBOL_ALIASES, columns: Sequence[str] = ("title", "description"), keys: Sequence[str] = ("article_id",)
+) -> DataFrame:
+    """One row per place where a text column names a symbol: keys, field, symbol, alias, start (characters from 0), length.
+
+    Every place counts, in the order of the text; a NULL or empty column names nothing.
+    """
+
+    def named(column: str) -> Column:
+        return F.transform(symbol_mentions(F.col(column), aliases), lambda m: F.struct(F.lit(column).alias("field"), m.alias("m")))
+
+    return df.select(*keys, F.explode(F.concat(*map(named, columns))).alias("x")).select(
+        *keys, "x.field", F.col("x.m.value").alias("symbol"), F.col("x.m.term").alias("alias"), "x.m.start", "x.m.length"
+    )
+
+
 def about(df: DataFrame, symbols: Iterable[str]) -> DataFrame:
     """Articles that mention any of `symbols`."""
     wanted = F.array(*[F.lit(s) for s in symbols])

@@ -20,6 +20,7 @@ from tickloom.vocab import NEWS_CAPS, NO_CANDLES, NO_NEWS
 
 # The given prose is invented, so names that do occur in it stand for coin names.
 ALIASES = {"the": "THEUSDT", "with": "WITHUSDT", "une": "UNEUSDT", "des": "DESUSDT", "und": "UNDUSDT", "was": "WITHUSDT"}
+PHRASES = {"of the": "OFUSDT", "the and": "ANDUSDT"}
 SPAM = ["ouou", "eding"]
 RELEVANT = ["the", "les", "und", "by", "pour"]
 ORDER = ["doc_id"]
@@ -124,6 +125,23 @@ def extract_entities(t):
     return _joined(N.with_symbols(t.raw_news(), ALIASES)).select("doc_id", "symbols")
 
 
+@query(
+    "symbol_mentions",
+    V.with_views("raw_news")
+    + ", f AS (SELECT doc_id, field, lower(x) AS x FROM (SELECT doc_id, title, description FROM raw_news) UNPIVOT (x FOR field IN (title, description))), a(alias, symbol) AS (VALUES "
+    + ", ".join(f"('{a}', '{s}')" for a, s in {**ALIASES, **PHRASES}.items())
+    + r"""), c AS (SELECT *, string_split(x, alias) AS parts FROM f, a WHERE contains(x, alias)),
+        p AS (SELECT *, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS k FROM c),
+        o AS (SELECT *, sum(length(part)) OVER (PARTITION BY doc_id, field, alias ORDER BY k) + (k - 1) * length(alias) AS start FROM p)
+        SELECT doc_id, field, symbol, alias, CAST(start AS INTEGER) AS start, CAST(length(alias) AS INTEGER) AS length FROM o WHERE k < len(parts)
+            AND NOT (start > 0 AND regexp_matches(substr(x, CAST(start AS BIGINT), 1), '[\p{L}\p{N}_]'))
+            AND NOT regexp_matches(substr(x, CAST(start AS BIGINT) + length(alias) + 1, 1), '[\p{L}\p{N}_]')""",
+)
+def symbol_mentions(t):
+    """Every place where a title or description names a symbol."""
+    return N.mentions(t.raw_news(), {**ALIASES, **PHRASES}, keys=["doc_id"])
+
+
 @query(
     "entity_filter",
     V.with_views("raw_news", s=f"SELECT doc_id, {SYMBOLS_SQL} AS symbols FROM raw_news")

@@ -86,3 +86,40 @@ def test_marks_replace_the_scan(spark):
     after = load.advance_marks(marks, fresh, ["symbol"], "t")
     assert sorted(map(tuple, after.collect())) == [("A", 6), ("B", 7), ("C", 1)]
     assert load.incremental(new, loaded, ["symbol"], "t", marks=after).count() == 0
+
+
+def test_upsert_rewrites_changed_months_only(spark, tmp_path):
+    """A repeated delivery writes nothing; a corrected row, a new column with values and a removed copy do."""
+    path = str(tmp_path / "t")
+    rows = [("A", m, d, float(d)) for m in ("2024-01", "2024-02", "2024-03") for d in range(5)]
+    stored = spark.createDataFrame(rows, "symbol string, month string, day int, close double")
+    stored.write.partitionBy("month").parquet(path)
+    seen = lambda: {m: sorted(p.name for p in (tmp_path / "t" / f"month={m}").glob("*.parquet")) for m in ("2024-01", "2024-02", "2024-03")}
+    first = seen()
+    put = lambda df: lake.upsert_months(df, path, ["symbol", "day"], ["month"])
+    put(stored.where("month <> '2024-03'"))
+    assert seen() == first
+    put(stored.where("month <> '2024-03'").withColumn("close", F.expr("if(month = '2024-02' AND day = 3, 9.5, close)")))
+    second = seen()
+    assert {m for m in first if first[m] != second[m]} == {"2024-02"}
+    read = lambda: sorted((r.month, r.day, r.close) for r in spark.read.parquet(path).collect())
+    want = sorted((m, d, 9.5 if (m, d) == ("2024-02", 3) else c) for _, m, d, c in rows)
+    assert read() == want
+    put(stored.where("month = '2024-01' AND day = 4").withColumn("note", F.lit("x")))
+    assert seen()["2024-01"] != second["2024-01"] and seen()["2024-02"] == second["2024-02"]
+    assert read() == want
+    put(spark.createDataFrame([("A", "2024-04", 1, None)], stored.schema))
+    assert read() == sorted([*want, ("2024-04", 1, None)])
+
+
+def test_partition_prints_tell_rows_apart(spark):
+    """Rows that swap values, null against zero, and copies of a row are changes; another order is none."""
+    base = [("m", 1, 2.0), ("m", 2, 1.0), ("m", 2, 1.0), ("k", None, None)]
+    frame = lambda rows: spark.createDataFrame(rows, "month string, day int, close double")
+    differ = lambda a, b: sorted(r.month for r in lake.changed_partitions(frame(a), frame(b), ["month"]).collect())
+    assert differ(base, base[::-1]) == []
+    assert differ(base, [("m", 1, 1.0), ("m", 2, 2.0), ("m", 2, 1.0), base[3]]) == ["m"]
+    assert differ(base, base[1:]) == ["m"]
+    assert differ(base, [*base[:3], ("k", 0, None)]) == ["k"]
+    assert differ(base, [*base[:3], ("k", None, 0.0)]) == ["k"]
+    assert differ(base[:3], base) == ["k"]

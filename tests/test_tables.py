@@ -7,7 +7,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.functions.tables import register_candle_tool
+from tickloom.functions.tables import register_candle_tool, register_news_tool, register_ticker_tool
 from tickloom.operators import load
 from tickloom.operators.candles import candles
 from tickloom.operators.intervals import interval_join
@@ -327,3 +327,34 @@ def test_table_function_takes_names_and_defaults(spark):
     assert ask(wanted="A") == medium == ask(wanted="A", preset="no such")
     assert ask(wanted="A", preset="short")[0]["report"].count("\n") == 33
     assert ask(wanted="nobody", preset="long") == []
+
+
+def test_tools_answer_for_any_symbol(spark):
+    """One row for every symbol that is asked for: with rows, listed without rows, not listed; nulls read 0."""
+    rows = [("A", START, 1.5, 2e6, 0.25), ("A", START + dt.timedelta(days=1), -2.5, 3e6, 0.5), ("N", START, None, None, float("nan"))]
+    ticks = spark.createDataFrame(rows, "symbol string, snapshot_time timestamp, price_change_pct double, volume_24h double, spread_pct double")
+    dim = spark.createDataFrame([("A",), ("N",), ("LISTED",), ("A",)], "symbol string")
+    register_ticker_tool(spark, ticks.withColumn("trade_count", F.lit(1)), dim, "ticker_test")
+    ask = lambda tool, s, p="medium": [tuple(r) for r in spark.sql(f"SELECT * FROM {tool}(wanted => :s, preset => :p)", args={"s": s, "p": p}).collect()]
+    tail = "\n\n--- Latest 24h snapshot ---\nPrice change: {}%\nVolume 24h: {}\nBid-ask spread: {}%"
+    lines = "2024-01-01 Vol:2,000,000 Spread:0.2500% PriceChg:+1.50%\n2024-01-02 Vol:3,000,000 Spread:0.5000% PriceChg:-2.50%"
+    assert ask("ticker_test", "A") == [("A", lines + tail.format("-2.50", "3,000,000", "0.5000"))]
+    nothing = "(No ticker trend data available)" + tail.format("+0.00", "0", "0.0000")
+    for s in ("LISTED", "nobody", "it's"):
+        assert ask("ticker_test", s, "long") == [(s, nothing)]
+    assert ask("ticker_test", "N")[0][1] == "2024-01-01 Vol:0 Spread:0.0000% PriceChg:+0.00%" + tail.format("+0.00", "0", "0.0000")
+
+    news = "article_id string, published_at timestamp, symbols array<string>, title string, description string, source_name string"
+    register_news_tool(spark, spark.createDataFrame([("1", START, ["A"], "T", None, "")], news), dim, "news_test")
+    assert ask("news_test", "A", "short") == [("A", "[2024-01-01 00:00] T")]
+    assert ask("news_test", "nobody") == [("nobody", "(No recent news articles found for this symbol)")]
+
+
+def test_a_tool_reads_its_symbol_only(spark, tmp_path):
+    """The symbol asked for, and the null one, reach the scan of the stored table."""
+    rows = [(s, START, 1.0, 1.0, 1.0, 1) for s in "ABC"]
+    ticks = spark.createDataFrame(rows, "symbol string, snapshot_time timestamp, price_change_pct double, volume_24h double, spread_pct double, trade_count int")
+    ticks.write.parquet(str(tmp_path / "t"))
+    register_ticker_tool(spark, spark.read.parquet(str(tmp_path / "t")), ticks.select("symbol"), "ticker_scan_test", START)
+    plan = spark.sql("SELECT * FROM ticker_scan_test(wanted => 'B')")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(symbol,B)" in plan and plan.count("FileScan parquet") <= 2

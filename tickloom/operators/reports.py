@@ -6,6 +6,8 @@ the per-symbol line array is small by construction.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +21,17 @@ from tickloom.operators.news import news_per_symbol
 from tickloom.operators.signals import SIGNALS, signal_lines, with_signals
 from tickloom.operators.ticker import latest_ticker, ticker_trend
 from tickloom.presets import Timeframe
+from tickloom.vocab import NO_TICKER
 
 
 #: Characters of a title and of a description that the report format prints.
 TITLE_CHARS, TEXT_CHARS = 120, 200
 
+#: Numbers that the reports print of the newest ticker snapshot, the newest book and the 30-day summary.
+SNAPSHOT_NUMBERS = ("price_change_pct", "volume_24h", "spread_pct")
+BOOK_NUMBERS = ("obi", "depth_bid_volume", "depth_ask_volume", "bid_ask_ratio", "spread_pct")
+SUMMARY_NUMBERS = ("avg_obi", "min_obi", "max_obi", "latest_obi")
+
 
 def _stamp(ts: str, pattern: str) -> Column:
     return F.date_format(instant(F.col(ts)), pattern)
@@ -56,8 +64,17 @@ def report_candles(df: DataFrame, pattern: str) -> DataFrame:
     return _block(df, "ts", _candle_line(pattern), "report")
 
 
-def report_ticker(trend: DataFrame, latest: DataFrame) -> DataFrame:
-    """Trend lines followed by the newest snapshot."""
+def _of_every_symbol(rows: DataFrame, dim: DataFrame | None, numbers: Sequence[str]) -> DataFrame:
+    """`rows` for each symbol of `dim`, numbers of a symbol without a row read 0; `rows` as they are without a dimension."""
+    if dim is None:
+        return rows
+    joined = dim.select("symbol").distinct().join(rows, "symbol", "left")
+    return joined.select("symbol", *[finite_or(F.col(c), 0).alias(c) for c in numbers])
+
+
+def report_ticker(trend: DataFrame, latest: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """Trend lines followed by the newest snapshot; with `dim` for each of its symbols, also for those without rows."""
+    latest = _of_every_symbol(latest, dim, SNAPSHOT_NUMBERS)
     line = F.concat(
         _stamp("ts", "yyyy-MM-dd"),
         F.lit(" Vol:"),
@@ -77,7 +94,7 @@ def report_ticker(trend: DataFrame, latest: DataFrame) -> DataFrame:
         fixed(F.col("spread_pct"), 4),
         F.lit("%"),
     )
-    body = F.coalesce("trend", F.lit("(No ticker trend data available)"))
+    body = F.coalesce("trend", F.lit(NO_TICKER))
     return (
         latest.join(_block(trend, "ts", line, "trend"), "symbol", "left")
         .select("symbol", F.concat(body, tail).alias("report"))
@@ -92,9 +109,9 @@ def _with_tag(x: Column) -> Column:
     return F.concat(_signed(x), F.lit(" ("), obi_tag(finite_or(x, 0)), F.lit(")"))
 
 
-def report_book_latest(df: DataFrame) -> DataFrame:
-    """Newest snapshot (made by `ob_latest`)."""
-    return df.select(
+def report_book_latest(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """Newest snapshot (made by `ob_latest`); `dim` as in `report_ticker`."""
+    return _of_every_symbol(df, dim, BOOK_NUMBERS).select(
         "symbol",
         F.concat(
             F.lit("Live Liquidity Pressure:\n  OBI (±0.5% depth): "),
@@ -112,9 +129,9 @@ def report_book_latest(df: DataFrame) -> DataFrame:
     )
 
 
-def report_book_summary(df: DataFrame) -> DataFrame:
-    """30-day summary (made by `ob_summary`)."""
-    return df.select(
+def report_book_summary(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """30-day summary (made by `ob_summary`); `dim` as in `report_ticker`."""
+    return _of_every_symbol(df, dim, SUMMARY_NUMBERS).select(
         "symbol",
         F.concat(
             F.lit("30-day order book summary:\n  Avg OBI: "),
@@ -129,8 +146,9 @@ def report_book_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def report_book_trend(trend: DataFrame, latest: DataFrame) -> DataFrame:
-    """Newest imbalance followed by the bucketed trend."""
+def report_book_trend(trend: DataFrame, latest: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """Newest imbalance followed by the bucketed trend; `dim` as in `report_ticker`."""
+    latest = _of_every_symbol(latest, dim, ["obi"])
     line = F.concat(
         F.lit("  "),
         _stamp("ts", "yyyy-MM-dd HH:00"),
@@ -149,14 +167,20 @@ def report_book_trend(trend: DataFrame, latest: DataFrame) -> DataFrame:
     )
 
 
-def report_book(df: DataFrame, preset: Timeframe, as_of=None, latest: DataFrame | None = None) -> DataFrame:
-    """Order-book report in the preset's mode; `latest` may hold the newest snapshots already."""
+def report_book(
+    df: DataFrame, preset: Timeframe, as_of=None, latest: DataFrame | None = None, dim: DataFrame | None = None, month: str | None = None
+) -> DataFrame:
+    """Order-book report in the preset's mode; `latest` may hold the newest snapshots already.
+
+    With `dim` there is one report for each of its symbols; where a symbol has no books its numbers read 0 and
+    there is no trend. `month` names a 'yyyy-MM' partition column to prune the lookback by.
+    """
     newest = df if latest is None else latest
     if preset.book_mode == "latest_only":
-        return report_book_latest(ob_latest(newest))
+        return report_book_latest(ob_latest(newest), dim)
     if preset.book_mode == "summary_30d":
-        return report_book_summary(ob_summary(df, 30, as_of))
-    return report_book_trend(ob_trend(df, preset.book_bucket, preset.book_days, as_of), ob_latest(newest))
+        return report_book_summary(ob_summary(df, 30, as_of, month), dim)
+    return report_book_trend(ob_trend(df, preset.book_bucket, preset.book_days, as_of, month), ob_latest(newest), dim)
 
 
 def report_news(
@@ -221,8 +245,7 @@ def market_report(klines: DataFrame, preset: Timeframe, as_of=None, digits: int
     return whole.select("symbol", F.concat("lines", summary, tail).alias("report"))
 
 
-def ticker_report(ticker: DataFrame, preset: Timeframe, as_of=None) -> DataFrame:
-    """Volume and liquidity report for a timeframe preset."""
-    return report_ticker(
-        ticker_trend(ticker, preset.ticker_bucket, preset.ticker_days, as_of), latest_ticker(ticker)
-    )
+def ticker_report(ticker: DataFrame, preset: Timeframe, as_of=None, dim: DataFrame | None = None, month: str | None = None) -> DataFrame:
+    """Volume and liquidity report for a timeframe preset; `dim` as in `report_ticker`, `month` as in `report_book`."""
+    trend = ticker_trend(ticker, preset.ticker_bucket, preset.ticker_days, as_of, month)
+    return report_ticker(trend, latest_ticker(ticker), dim)

@@ -190,52 +190,74 @@ def _tagged(x: str) -> str:
     return f"{_signed(x)} || ' (' || {V.TAG.format(f'coalesce({x}, 0)')} || ')'"
 
 
-@query(
-    "report_book_latest",
-    V.with_views("last_book")
-    + f"""SELECT symbol, 'Live Liquidity Pressure:' || chr(10) || '  OBI (±0.5% depth): ' || {_tagged('obi')} || chr(10)
-        || '  Bid Volume: ' || format('{{:,.2f}}', coalesce(depth_bid_volume, 0)) || ' / Ask Volume: '
-        || format('{{:,.2f}}', coalesce(depth_ask_volume, 0)) || chr(10) || '  Bid/Ask Ratio: '
-        || format('{{:.2f}}', coalesce(bid_ask_ratio, 0)) || 'x' || chr(10) || '  Spread: '
-        || format('{{:.4f}}', coalesce(spread_pct, 0)) || '%' AS report FROM last_book""",
-)
+BOOK_REPORT = f"""'Live Liquidity Pressure:' || chr(10) || '  OBI (±0.5% depth): ' || {_tagged('obi')} || chr(10)
+    || '  Bid Volume: ' || format('{{:,.2f}}', coalesce(depth_bid_volume, 0)) || ' / Ask Volume: '
+    || format('{{:,.2f}}', coalesce(depth_ask_volume, 0)) || chr(10) || '  Bid/Ask Ratio: '
+    || format('{{:.2f}}', coalesce(bid_ask_ratio, 0)) || 'x' || chr(10) || '  Spread: '
+    || format('{{:.4f}}', coalesce(spread_pct, 0)) || '%' AS report"""
+
+
+@query("report_book_latest", V.with_views("last_book") + f"SELECT symbol, {BOOK_REPORT} FROM last_book")
 def report_book_latest(t):
     return R.report_book(t.latest_books(), timeframe("very_long"))
 
 
-@query(
-    "report_book_summary",
-    V.with_views(
-        "books",
-        s="""SELECT symbol, avg(obi) AS a, min(obi) AS lo, max(obi) AS hi, arg_max(obi, timestamp) AS l FROM books
-            WHERE timestamp >= (SELECT max(timestamp) FROM books) - INTERVAL 30 DAY GROUP BY 1""",
-    )
-    + f"""SELECT symbol, '30-day order book summary:' || chr(10) || '  Avg OBI: ' || {_signed('a')} || chr(10) || '  Min: '
-        || {_signed('lo')} || ' / Max: ' || {_signed('hi')} || chr(10) || '  Latest: ' || {_tagged('l')} AS report FROM s""",
-)
+SUMMARY = """SELECT symbol, avg(obi) AS a, min(obi) AS lo, max(obi) AS hi, arg_max(obi, timestamp) AS l FROM books
+    WHERE timestamp >= (SELECT max(timestamp) FROM books) - INTERVAL 30 DAY GROUP BY 1"""
+SUMMARY_REPORT = f"""'30-day order book summary:' || chr(10) || '  Avg OBI: ' || {_signed('a')} || chr(10) || '  Min: '
+    || {_signed('lo')} || ' / Max: ' || {_signed('hi')} || chr(10) || '  Latest: ' || {_tagged('l')} AS report"""
+
+
+@query("report_book_summary", V.with_views("books", s=SUMMARY) + f"SELECT symbol, {SUMMARY_REPORT} FROM s")
 def report_book_summary(t):
     return R.report_book(t.books(), timeframe("long"), t.books_as_of())
 
 
-@query(
-    "report_book",
-    V.with_views(
-        "last_book",
-        d="""SELECT symbol, date_trunc('day', timestamp) AS ts, avg(obi) AS o, avg(depth_bid_volume) AS b,
-            avg(depth_ask_volume) AS a FROM books
-            WHERE timestamp >= (SELECT max(timestamp) FROM books) - INTERVAL 30 DAY GROUP BY 1, 2""",
-        x=f"""SELECT symbol, string_agg('  ' || strftime(ts, '%Y-%m-%d %H:00') || ' OBI:' || {_signed('o')} || ' Bid:'
-            || format('{{:,.0f}}', coalesce(b, 0)) || ' Ask:' || format('{{:,.0f}}', coalesce(a, 0)), chr(10) ORDER BY ts) AS trend
-            FROM d GROUP BY 1""",
-    )
-    + f"""SELECT l.symbol, 'Current OBI: ' || {_tagged('obi')} || coalesce(chr(10) || 'Order book trend:' || chr(10) || trend, '') AS report
-        FROM last_book l LEFT JOIN x ON x.symbol = l.symbol""",
-)
+TREND_VIEWS = {
+    "d": """SELECT symbol, date_trunc('day', timestamp) AS ts, avg(obi) AS o, avg(depth_bid_volume) AS b,
+        avg(depth_ask_volume) AS a FROM books
+        WHERE timestamp >= (SELECT max(timestamp) FROM books) - INTERVAL 30 DAY GROUP BY 1, 2""",
+    "x": f"""SELECT symbol, string_agg('  ' || strftime(ts, '%Y-%m-%d %H:00') || ' OBI:' || {_signed('o')} || ' Bid:'
+        || format('{{:,.0f}}', coalesce(b, 0)) || ' Ask:' || format('{{:,.0f}}', coalesce(a, 0)), chr(10) ORDER BY ts) AS trend
+        FROM d GROUP BY 1""",
+}
+TREND_REPORT = f"'Current OBI: ' || {_tagged('obi')} || coalesce(chr(10) || 'Order book trend:' || chr(10) || trend, '') AS report"
+
+
+@query("report_book", V.with_views("last_book", **TREND_VIEWS) + f"SELECT l.symbol, {TREND_REPORT} FROM last_book l LEFT JOIN x ON x.symbol = l.symbol")
 def report_book(t):
     """Trend mode of the medium preset."""
     return R.report_book(t.books(), timeframe("medium"), t.books_as_of(), t.latest_books())
 
 
+def _listed(t):
+    """Symbols with books, and some without (the regions)."""
+    suppliers = t.read("supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"))
+    return suppliers.unionByName(t.read("region").select(F.col("r_name").alias("symbol")))
+
+
+LISTED = "(SELECT 'S' || s_suppkey AS symbol FROM supplier UNION SELECT r_name FROM region) n"
+
+
+@query(
+    "report_book_all",
+    V.with_views("last_book", **TREND_VIEWS)
+    + f"SELECT n.symbol, {TREND_REPORT} FROM {LISTED} LEFT JOIN last_book l ON l.symbol = n.symbol LEFT JOIN x ON x.symbol = n.symbol",
+)
+def report_book_all(t):
+    """The same for a dimension that also lists symbols without books."""
+    return R.report_book(t.books(), timeframe("medium"), t.books_as_of(), t.latest_books(), _listed(t))
+
+
+@query(
+    "report_book_summary_all",
+    V.with_views("books", s=SUMMARY) + f"SELECT n.symbol, {SUMMARY_REPORT} FROM {LISTED} LEFT JOIN s ON s.symbol = n.symbol",
+)
+def report_book_summary_all(t):
+    """Summary mode of the long preset for the same dimension."""
+    return R.report_book(t.books(), timeframe("long"), t.books_as_of(), dim=_listed(t))
+
+
 @query(
     "book_walls",
     V.with_views("books")

@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tickloom.functions.tables import register_candle_tool
+from tickloom.functions.tables import register_book_tool, register_candle_tool, register_news_tool, register_ticker_tool
 from tickloom.functions.times import instant
 from tickloom.operators import load as L
 from tickloom.operators.intervals import interval_join
 from tickloom.operators.rollup import Pyramid
+from tickloom.plans import book_queries as BQ
 from tickloom.plans import candle_queries as CQ
 from tickloom.plans import sqlviews as V
 from tickloom.plans import text_queries as TQ
@@ -22,7 +23,7 @@ from tickloom.sources.messages import judged_depth, read_set_aside, read_stored,
 from tickloom.sources.newsindex import append_index, newest_from_index, read_index
 from tickloom.streaming.sinks import read_new_files, run_batches
 from tickloom.streaming.tables import LateGuard, MonthlyUpsert
-from tickloom.vocab import RAW_CANDLE_COLUMNS
+from tickloom.vocab import NO_NEWS, RAW_CANDLE_COLUMNS
 
 
 def _delivered(t, parts, schema, handler, root: str) -> None:
@@ -227,3 +228,41 @@ def tool_candles(t):
     """A candle report asked for in SQL text alone."""
     register_candle_tool(t.spark, t.ticks())
     return t.spark.sql("SELECT symbol, report FROM tool_candles(wanted => :symbol, preset => :timeframe)", args={"symbol": "click", "timeframe": "medium"})
+
+
+def _asked(t, tool: str, **presets: str):
+    """One report after the other, each asked for in SQL text alone."""
+    calls = " UNION ALL ".join(f"SELECT symbol, report FROM {tool}(wanted => '{s}', preset => '{p}')" for s, p in presets.items())
+    return t.spark.sql(calls)
+
+
+@query("tool_ticker", TQ.listed_ticker_sql("SELECT unnest(['click', 'EUROPE']) AS symbol"))
+def tool_ticker(t):
+    """Volume and liquidity of a symbol and of one that is not listed."""
+    register_ticker_tool(t.spark, t.event_ticker(), t.event_dim())
+    return _asked(t, "tool_ticker", click="medium", EUROPE="no such preset")
+
+
+@query(
+    "tool_book",
+    V.with_views("last_book", **BQ.TREND_VIEWS, s=BQ.SUMMARY)
+    + f"""SELECT n.symbol, {BQ.TREND_REPORT} FROM (SELECT 'S1' AS symbol) n LEFT JOIN last_book l ON l.symbol = n.symbol LEFT JOIN x ON x.symbol = n.symbol
+        UNION ALL SELECT n.symbol, {BQ.BOOK_REPORT} FROM (SELECT unnest(['S2', 'EUROPE']) AS symbol) n LEFT JOIN last_book l ON l.symbol = n.symbol
+        UNION ALL SELECT n.symbol, {BQ.SUMMARY_REPORT} FROM (SELECT unnest(['S3', 'ASIA']) AS symbol) n LEFT JOIN s ON s.symbol = n.symbol""",
+)
+def tool_book(t):
+    """Order books in the three modes, of suppliers and of symbols that are not listed."""
+    dim = t.read("supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"))
+    register_book_tool(t.spark, t.books(), dim, as_of=t.books_as_of(), latest=t.latest_books())
+    return _asked(t, "tool_book", S1="medium", S2="very_long", S3="long", EUROPE="very_long", ASIA="long")
+
+
+@query(
+    "tool_news",
+    TQ.NEWS_REPORT + f"SELECT n.symbol, coalesce(report, '{NO_NEWS}') AS report FROM (SELECT unnest(['UNDUSDT', 'EUROPE']) AS symbol) n LEFT JOIN y ON y.symbol = n.symbol",
+)
+def tool_news(t):
+    """Newest articles of a symbol and of one that is not listed."""
+    dim = t.read("region").select(F.col("r_name").alias("symbol")).where("symbol <> 'EUROPE'").unionByName(t.spark.sql("SELECT 'UNDUSDT' AS symbol"))
+    register_news_tool(t.spark, TQ._transformed(t), dim, as_of=t.news_as_of())
+    return _asked(t, "tool_news", UNDUSDT="short", EUROPE="short")

@@ -16,7 +16,7 @@ from tickloom.plans.book_queries import _signed
 from tickloom.plans.registry import query
 from tickloom.presets import timeframe
 from tickloom.sources.messages import news_flatten
-from tickloom.vocab import NEWS_CAPS, NO_CANDLES, NO_NEWS
+from tickloom.vocab import NEWS_CAPS, NO_CANDLES, NO_NEWS, NO_TICKER
 
 # The given prose is invented, so names that do occur in it stand for coin names.
 ALIASES = {"the": "THEUSDT", "with": "WITHUSDT", "une": "UNEUSDT", "des": "DESUSDT", "und": "UNDUSDT", "was": "WITHUSDT"}
@@ -409,20 +409,35 @@ def market_report(t):
     return R.market_report(t.ticks(), timeframe("medium"))
 
 
+TICKER_VIEWS = {
+    "d": """SELECT symbol, date_trunc('day', snapshot_time) AS ts, avg(volume_24h) AS v, avg(spread_pct) AS s, avg(price_change_pct) AS p
+        FROM event_ticker WHERE snapshot_time >= (SELECT max(snapshot_time) FROM event_ticker) - INTERVAL 30 DAY GROUP BY 1, 2""",
+    "x": f"""SELECT symbol, string_agg(strftime(ts, '%Y-%m-%d') || ' Vol:' || format('{{:,.0f}}', v) || ' Spread:' || format('{{:.4f}}', s)
+        || '% PriceChg:' || {_signed('p', 2)} || '%', chr(10) ORDER BY ts) AS trend FROM d GROUP BY 1""",
+    "l": "SELECT * FROM event_ticker QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY snapshot_time DESC) = 1",
+}
+SNAPSHOT = f"""chr(10) || chr(10) || '--- Latest 24h snapshot ---' || chr(10) || 'Price change: '
+    || {_signed('price_change_pct', 2)} || '%' || chr(10) || 'Volume 24h: ' || format('{{:,.0f}}', coalesce(volume_24h, 0)) || chr(10)
+    || 'Bid-ask spread: ' || format('{{:.4f}}', coalesce(spread_pct, 0)) || '%'"""
+
+
 @query(
     "report_ticker",
-    V.with_views(
-        "event_ticker",
-        d="""SELECT symbol, date_trunc('day', snapshot_time) AS ts, avg(volume_24h) AS v, avg(spread_pct) AS s, avg(price_change_pct) AS p
-            FROM event_ticker WHERE snapshot_time >= (SELECT max(snapshot_time) FROM event_ticker) - INTERVAL 30 DAY GROUP BY 1, 2""",
-        x=f"""SELECT symbol, string_agg(strftime(ts, '%Y-%m-%d') || ' Vol:' || format('{{:,.0f}}', v) || ' Spread:' || format('{{:.4f}}', s)
-            || '% PriceChg:' || {_signed('p', 2)} || '%', chr(10) ORDER BY ts) AS trend FROM d GROUP BY 1""",
-        l="SELECT * FROM event_ticker QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY snapshot_time DESC) = 1",
-    )
-    + f"""SELECT l.symbol, trend || chr(10) || chr(10) || '--- Latest 24h snapshot ---' || chr(10) || 'Price change: '
-        || {_signed('price_change_pct', 2)} || '%' || chr(10) || 'Volume 24h: ' || format('{{:,.0f}}', volume_24h) || chr(10)
-        || 'Bid-ask spread: ' || format('{{:.4f}}', spread_pct) || '%' AS report FROM l JOIN x ON x.symbol = l.symbol""",
+    V.with_views("event_ticker", **TICKER_VIEWS) + f"SELECT l.symbol, trend || {SNAPSHOT} AS report FROM l JOIN x ON x.symbol = l.symbol",
 )
 def report_ticker(t):
     """Medium preset of the event market."""
     return R.ticker_report(t.event_ticker(), timeframe("medium"))
+
+
+def listed_ticker_sql(symbols: str) -> str:
+    """Reports of the listed symbols, with or without snapshots."""
+    return V.with_views("event_ticker", **TICKER_VIEWS) + f"""SELECT n.symbol, coalesce(trend, '{NO_TICKER}') || {SNAPSHOT} AS report
+        FROM ({symbols}) n LEFT JOIN l ON l.symbol = n.symbol LEFT JOIN x ON x.symbol = n.symbol"""
+
+
+@query("report_ticker_all", listed_ticker_sql("SELECT DISTINCT event_type AS symbol FROM events UNION SELECT r_name FROM region"))
+def report_ticker_all(t):
+    """The same for a dimension that also lists symbols without snapshots (the regions)."""
+    dim = t.event_dim().select("symbol").unionByName(t.read("region").select(F.col("r_name").alias("symbol")))
+    return R.ticker_report(t.event_ticker(), timeframe("medium"), dim=dim)

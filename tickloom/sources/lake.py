@@ -45,6 +45,25 @@ def append_delta(df: DataFrame, path: str, keys: Sequence[str] = ("symbol",)) ->
 FILES_PER_PARTITION = 8
 
 
+def _prints(df: DataFrame, partitions: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Per partition the row count and two sums over the rows' hashes, the same for the same rows in any order."""
+    low = F.lit(1 << 32)
+    hashes = [F.xxhash64(F.lit(seed), *columns) for seed in (1, 2)]
+    return df.groupBy(*partitions).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.sum(part) for h in hashes for part in (F.pmod(h, low), F.shiftrightunsigned(h, 32))]).alias("sums"),
+    )
+
+
+def changed_partitions(stored: DataFrame, merged: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """The partitions whose rows differ between the two frames; columns that only `merged` has count as NULL in `stored`."""
+    columns = sorted(merged.columns)
+    missing = {c: F.lit(None).cast(merged.schema[c].dataType) for c in columns if c not in stored.columns}
+    old = _prints(stored.withColumns(missing) if missing else stored, partitions, columns)
+    new = _prints(merged, partitions, columns)
+    return new.join(old, [*partitions, "n", "sums"], "left_anti").select(*partitions)
+
+
 def upsert_months(
     df: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str], order=(),
     months: Sequence[str] | None = None, schema: StructType | None = None,
@@ -55,7 +74,8 @@ def upsert_months(
     listed and read; without them Spark may read all. `schema` is the stored one; without it every file's footer
     is opened to merge theirs. A partition's rows are dealt over several tasks by their keys. The merged rows are checkpointed to the shared
     folder before the dynamic overwrite, so a lost executor cannot make a task re-read a
-    partition that is already being replaced.
+    partition that is already being replaced. Partitions whose rows the merge leaves as they are stay untouched, so a
+    repeated delivery writes nothing.
     """
     spark = df.sparkSession
     reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
@@ -64,8 +84,13 @@ def upsert_months(
         old = old.where(F.col(partitions[0]).isin(list(months)))
     touched = old.join(df.select(*partitions).distinct(), list(partitions), "left_semi")
     merged = cut_lineage(upsert(touched, df, [*partitions, *keys], order))
+    # one row per changed partition, settled before any of them is replaced
+    changed = cut_lineage(changed_partitions(touched, merged, partitions))
+    if changed.isEmpty():
+        return
     (
-        merged.repartition(*partitions, F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PARTITION)))
+        merged.join(changed, list(partitions), "left_semi")
+        .repartition(*partitions, F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PARTITION)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)

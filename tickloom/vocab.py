@@ -39,6 +39,7 @@ TICKER_COLUMNS = {
 
 # --- Fixed values: what a report says of a symbol without rows ---
 NO_CANDLES = "(No candle data available)"
+NO_TICKER = "(No ticker trend data available)"
 NO_NEWS = "(No recent news articles found for this symbol)"
 
 # --- Fixed values: news length caps (characters) ---

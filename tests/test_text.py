@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -70,6 +71,28 @@ def test_phrase_index_equals_brute_force(spark):
     assert col(spark, texts, lambda x: text.is_relevant(x, TERMS)) == [None if t is None else bool(row) for t, row in zip(texts, want)]
 
 
+def test_places_in_a_long_text_take_time_by_its_length(spark):
+    """50,000 places: adding up all words before each of them took minutes."""
+    words = ["the"] * 50_000 + ["été", "of", "the"]
+    value, terms = " ".join(words), {"the": "T", "of the": "O"}
+    want = [(4 * k, 3, "the", "T") for k in range(50_000)] + [(200_004, 6, "of the", "O"), (200_007, 3, "the", "T")]
+    began = time.monotonic()
+    got = col(spark, [value], lambda x: PhraseIndex(terms).mentions(F.lower(x)))
+    assert time.monotonic() - began < 30
+    assert [tuple(m) for m in got[0]] == want
+
+
+def test_places_around_blocks_of_sums(spark):
+    """Texts as long as one or more blocks, less or more by a word; terms that begin and end there."""
+    rng = random.Random(9)
+    counts = sorted({b + d for b in (0, 32, 64, 1024, 2048, 3104) for d in (-2, -1, 0, 1, 2)} - {-2, -1})
+    texts = ["".join(rng.choice(["a", "b", "née", "𝒳y"]) + rng.choice([" ", "-", " ¿"]) for _ in range(n)) for n in counts]
+    texts += [t[:-1] for t in texts] + [" " + t for t in texts]
+    terms = {"a": "A", "née": "N", "née a": "NA", "a b": "AB", "𝒳y": "X"}
+    got = col(spark, texts, lambda x: PhraseIndex(terms).mentions(F.lower(x)))
+    assert [[tuple(m) for m in row] for row in got] == [_plain_mentions(t, terms) for t in texts]
+
+
 def test_phrase_index_of_few_kinds_of_terms(spark):
     """Only longer terms, only signs, no terms."""
     texts = ["near protocol", "near  protocol", "c++ and a b", "c+", "", None]

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 WORD, NOT_A_WORD = r"[\p{L}\p{N}_]+", r"[^\p{L}\p{N}_]+"
 _WHOLE = re.compile(r"\w(.*\w)?", re.DOTALL)
+#: Numbers that are added up at once where sums of a long array are asked for again and again.
+SUM_BLOCK = 32
 _MENTION = "array<struct<start:int,length:int,term:string,value:string>>"
 
 
@@ -31,6 +33,32 @@ def _strings(items: Iterable[str]) -> Column:
     return F.array(*map(F.lit, items)).cast("array<string>")
 
 
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda total, x: total + x)
+
+
+def _with_sums(numbers: Column, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """`body` of a function that gives the sum of the first m numbers, for any m up to their count.
+
+    It adds up what is left over of sums of SUM_BLOCK numbers and of SUM_BLOCK such sums, so that many sums of a long
+    array take time in proportion to the array.
+    """
+    n = SUM_BLOCK
+
+    def by_blocks(xs: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor(F.size(xs) / n).cast("int")), lambda b: _total(F.slice(xs, b * n + 1, F.lit(n))))
+
+    def summed(ones: Column, blocks: Column, squares: Column) -> Column:
+        def before(m: Column) -> Column:
+            block, square = F.floor(m / n).cast("int"), F.floor(m / (n * n)).cast("int")
+            parts = [(squares, F.lit(0), square), (blocks, square * n, block), (ones, block * n, m)]
+            return sum((_total(F.slice(xs, start + 1, end - start)) for xs, start, end in parts), F.lit(0))
+
+        return body(before)
+
+    return once(numbers, lambda ones: once(by_blocks(ones), lambda blocks: once(by_blocks(blocks), lambda squares: summed(ones, blocks, squares))))
+
+
 class PhraseIndex:
     """Terms with a value each, by first word.
 
@@ -143,23 +171,26 @@ class PhraseIndex:
             raise ValueError(f"terms must begin and end with a letter, digit or underscore: {sorted(self.signs)}")
         if not self._parts:
             return F.when(lowered.isNotNull(), F.array().cast(_MENTION))
-        index = self._by_first_word(self._parts)
-        length = lambda items: F.aggregate(items, F.lit(0), lambda total, x: total + F.length(x))
+        index = self._by_first_word(sorted(self._parts, key=len))  # as they stand at one place, so nothing is left to sort
+        firsts = sorted({w[0] for w in self._parts.values()})
 
         def located(words: Column, gaps: Column) -> Column:
-            places = F.filter(F.sequence(F.lit(1), F.size(words)), lambda k: F.map_contains_key(index, F.get(words, k - 1)))
+            lengths = F.zip_with(words, gaps, lambda w, g: F.length(w) + F.coalesce(F.length(g), F.lit(0)))
+            places = F.filter(F.sequence(F.lit(1), F.size(words)), lambda k: F.get(words, k - 1).isin(firsts))
 
-            def here(k: Column) -> Column:
-                start = length(F.slice(words, 1, k - 1)) + length(F.slice(gaps, 1, k - 1)) - 1
+            def here(k: Column, before: Callable[[Column], Column]) -> Column:
                 terms = F.filter(F.element_at(index, F.get(words, k - 1)), lambda e: self._stands(words, gaps, k, e))
-                return F.transform(
-                    terms, lambda e: F.struct(start.alias("start"), F.length(e["term"]).alias("length"), e["term"].alias("term"), e["value"].alias("value"))
+                return once(
+                    before(k - 1) - 1,
+                    lambda start: F.transform(
+                        terms, lambda e: F.struct(start.alias("start"), F.length(e["term"]).alias("length"), e["term"].alias("term"), e["value"].alias("value"))
+                    ),
                 )
 
-            return F.array_sort(F.flatten(F.transform(places, here))).cast(_MENTION)
+            return _with_sums(lengths, lambda before: F.flatten(F.transform(places, lambda k: here(k, before)))).cast(_MENTION)
 
         def cut(words: Column) -> Column:
             found = once(self._gaps(lowered), lambda gaps: located(words, gaps))
-            return F.when(F.arrays_overlap(words, F.map_keys(index)), found).otherwise(F.array().cast(_MENTION))
+            return F.when(F.arrays_overlap(words, _strings(firsts)), found).otherwise(F.array().cast(_MENTION))
 
         return F.when(lowered.isNotNull(), once(self._words(lowered), cut))
